@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from towerlens.constants import SOURCES
 from towerlens.operators import audit_record, null_counts
@@ -36,9 +37,15 @@ def audit_total_rows(sources: dict[str, DataFrame]) -> DataFrame:
         F.sum("row_count").cast("bigint").alias("total_rows"))
 
 
-def audit_document(audit: DataFrame, run_ts: str) -> DataFrame:
-    """The audit as one nested record: run id, stage, sources array."""
-    return audit.agg(F.collect_list(F.struct(*audit.columns, F.lit(run_ts).alias("ingested_at")))
-                     .alias("sources")).select(
-        F.date_format(F.lit(run_ts).cast("timestamp_ntz"), "yyyyMMdd_HHmmss").alias("pipeline_run_id"),
-        F.lit("bronze").alias("stage"), "sources")
+def audit_document(spark: SparkSession, audit: DataFrame, run_ts: str) -> DataFrame:
+    """The audit as one nested record: run id, stage, sources array.
+
+    The audit has one row per registered source, so it is brought to the
+    driver (bounded by the registry, not by the data) and rewrapped.
+    """
+    rows = [r.asDict(recursive=True) | {"ingested_at": run_ts} for r in audit.collect()]
+    src_type = StructType(audit.schema.fields + [StructField("ingested_at", StringType())])
+    schema = StructType([StructField("pipeline_run_id", StringType()), StructField("stage", StringType()),
+                         StructField("sources", ArrayType(src_type))])
+    run_id = run_ts.replace("-", "").replace(":", "").replace("T", "_").rstrip("Z")[:15]
+    return spark.createDataFrame([(run_id, "bronze", rows)], schema)

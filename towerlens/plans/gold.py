@@ -58,15 +58,19 @@ def engagement_score(base: DataFrame, rank_kwargs: dict | None = None) -> DataFr
     return out.select(*base.columns, "engagement_score", "estimated_clv_usd")
 
 
-def fact_customer_summary(customers: DataFrame, cdrs: DataFrame, materialize: bool = False,
+def fact_customer_summary(customers: DataFrame, cdrs: DataFrame, materialize: bool | None = None,
                           rank_kwargs: dict | None = None) -> DataFrame:
     """M4: one row per customer with activity, engagement score and CLV.
 
-    ``materialize=True`` checkpoints the joined base into the session's
-    checkpoint folder first: the base then feeds three ranks and the final
-    join without recomputing the CDR aggregation.
+    The joined base feeds three rank computations (each reads it twice) and
+    the final join. ``materialize`` (default: whenever the session names a
+    checkpoint folder) checkpoints it there once, which also cuts the lineage
+    back to the CDR scan, so a lost executor does not replay the CDR
+    aggregation.
     """
     base = customer_summary_base(customers, cdrs)
+    if materialize is None:
+        materialize = bool(base.sparkSession.sparkContext.getCheckpointDir())
     if materialize:
         base = base.checkpoint(eager=True)
     return engagement_score(base, rank_kwargs)

@@ -18,7 +18,7 @@ from towerlens.sources import adapters
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, as_of: str = DEFAULT_AS_OF,
-                 materialize: bool = False, rank_kwargs: dict | None = None,
+                 materialize: bool | None = None, rank_kwargs: dict | None = None,
                  tables: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir

@@ -1,9 +1,7 @@
 """Writers (SK1-SK7).
 
 * ``write_parquet``: overwrite a table; optional ``partitionBy`` (CDRs by
-  call_date), with rows range-partitioned on the partition column plus a
-  second key first, so a hot date is spread over several writer tasks while
-  each task still writes few files.
+  month) with rows sorted by folder and clustering keys inside each task.
 * ``write_mart``: a gold mart as Parquet and CSV from one materialised pass.
 * ``write_json_report``: a one-row nested report as a single JSON file.
 * ``load_table``: truncate-and-load into a declared table: columns aligned by
@@ -19,12 +17,18 @@ from pyspark.sql.types import StructType
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = None,
-                  cluster_by: str | None = None, num_partitions: int | None = None) -> None:
-    writer_df = df
-    if partition_by:
-        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        keys = [partition_by] + ([cluster_by] if cluster_by else [])
-        writer_df = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                  cluster_by: list[str] | None = None) -> None:
+    """Overwrite a Parquet table, optionally in ``partition_by`` folders.
+
+    Rows are sorted inside each task by the folder column and the clustering
+    keys, so every task writes each folder once (few files) and Parquet
+    min/max statistics on the clustering keys become selective. No shuffle
+    is added: the task layout is the one of the upstream stage (which AQE
+    sizes to the data), and a range repartition would cost a sampling pass
+    over the whole upstream plan.
+    """
+    keys = ([partition_by] if partition_by else []) + list(cluster_by or [])
+    writer_df = df.sortWithinPartitions(*keys) if keys else df
     w = writer_df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
