@@ -57,6 +57,12 @@ def main() -> None:
         rows.append((d, jid, desc, [(s["tasks"], round(s["dur"] / 1000, 2)) for s in st]))
     total = sum(r[0] for r in rows)
     print(f"{len(rows)} jobs, {total:.2f}s summed job time")
+    by: dict[str, list] = {}
+    for d, jid, desc, st in rows:
+        key = desc.split(" | ")[0] if jobs[jid]["desc"] else "?"
+        by.setdefault(key, []).append(d)
+    for k, v in sorted(by.items(), key=lambda kv: -sum(kv[1])):
+        print(f"  {sum(v):7.2f}s {len(v):4d} jobs  {k[:90]}")
     for d, jid, desc, st in sorted(rows, reverse=True)[:top]:
         print(f"{d:7.2f}s job {jid:4d} {st[:3]} {desc[:150]}")
 

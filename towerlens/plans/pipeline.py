@@ -26,6 +26,11 @@ from towerlens.sources.adapters import CDR_ORDER
 from towerlens.plans.warehouse import Warehouse
 
 
+def step(spark: SparkSession, name: str) -> None:
+    """Label the following Spark jobs (visible in the event log)."""
+    spark.sparkContext.setJobDescription(name)
+
+
 @dataclass
 class RunReport:
     timings: dict[str, float] = field(default_factory=dict)
@@ -50,6 +55,7 @@ def publish(spark: SparkSession, staged: str, final: str) -> None:
 
 
 def run_bronze(spark: SparkSession, w: Warehouse, out: str, run_ts: str) -> DataFrame:
+    step(spark, "bronze: audit sources")
     audit = bronze.audit_sources(w.raw_sources())
     write_json_report(bronze.audit_document(spark, audit, run_ts), f"{out}/bronze/_ingestion_audit")
     return audit
@@ -62,20 +68,26 @@ def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
     cdrs = silver.clean_cdrs(w.cdrs_raw, CDR_ORDER, observation=obs)
     towers = silver.clean_cell_towers(w.towers_raw, w.as_of)
     stage = f"{out}/_staging/silver"
+    step(spark, "silver: write customers")
     write_parquet(customers, f"{stage}/customers")
     # Every mart aggregates all CDRs, so folders per date would only add
     # files; rows sorted by (call_date, customer_id) inside each file make
     # Parquet min/max statistics selective for date or customer predicates.
+    step(spark, "silver: write cdrs")
     write_parquet(cdrs, f"{stage}/cdrs", partition_by=cdr_partition_by,
                   cluster_by=["call_date", "customer_id"])
+    step(spark, "silver: write towers")
     write_parquet(towers, f"{stage}/cell_towers")
     s_customers = spark.read.parquet(f"{stage}/customers")
     s_cdrs = spark.read.parquet(f"{stage}/cdrs")
     s_towers = spark.read.parquet(f"{stage}/cell_towers")
     # audit on the staged tables, then publish
+    step(spark, "silver: constraints")
     enforce(constraint_violations(s_customers, CONSTRAINTS["customers"]))
+    step(spark, "silver: dq report")
     report = dq.dq_report(spark, s_customers, s_cdrs, s_towers, run_ts)
     dq.gate(report)
+    step(spark, "silver: publish")
     for name in ("customers", "cdrs", "cell_towers"):
         publish(spark, f"{stage}/{name}", f"{out}/silver/{name}")
     write_json_report(report, f"{out}/silver/_data_quality_report")
@@ -87,6 +99,7 @@ def run_gold(spark: SparkSession, out: str, materialize: bool | None = None) ->
     customers = spark.read.parquet(f"{out}/silver/customers")
     cdrs = spark.read.parquet(f"{out}/silver/cdrs")
     towers = spark.read.parquet(f"{out}/silver/cell_towers")
+    step(spark, "gold: customer summary base + ranks")
     summary = gold.fact_customer_summary(customers, cdrs, materialize=materialize)
     marts = {
         "fact_customer_summary": summary,
@@ -96,10 +109,13 @@ def run_gold(spark: SparkSession, out: str, materialize: bool | None = None) ->
     }
     written: dict[str, DataFrame] = {}
     for name, df in marts.items():
+        step(spark, f"gold: write {name}")
         written[name] = write_mart(df, f"{out}/gold/{name}", f"{out}/gold_csv/{name}")
+    step(spark, "gold: write fact_churn_cohort")
     written["fact_churn_cohort"] = write_mart(
         gold.fact_churn_cohort(written["fact_customer_summary"]),
         f"{out}/gold/fact_churn_cohort", f"{out}/gold_csv/fact_churn_cohort")
+    step(spark, "gold: constraints")
     for name, df in written.items():
         enforce(constraint_violations(df, CONSTRAINTS[name]))
     return written
@@ -109,6 +125,7 @@ def run_load(spark: SparkSession, out: str, marts: dict[str, DataFrame]) -> dict
     """Conform each mart to its declared schema, write the warehouse copy and
     read back the row count; register the tables as views for SQL."""
     counts = {}
+    step(spark, "load: warehouse tables")
     for name, schema in MART_SCHEMAS.items():
         defaults = CUSTOMER_SUMMARY_DEFAULTS if name == "fact_customer_summary" else None
         path = f"{out}/warehouse/{name}"

@@ -34,12 +34,25 @@ class Warehouse:
     @classmethod
     def from_path(cls, spark: SparkSession, root: str) -> Warehouse:
         """Silver and gold tables written by ``pipeline.run``."""
-        names = ["customers", "cdrs", "cell_towers", "fact_customer_summary",
-                 "fact_daily_network_metrics", "fact_regional_performance", "fact_churn_cohort"]
-        tables = {n: spark.read.parquet(f"{root}/{'silver' if n in ('customers', 'cdrs', 'cell_towers') else 'gold'}/{n}")
-                  for n in names}
+        silver_names = ["customers", "cdrs", "cell_towers"]
+        gold_names = ["fact_customer_summary", "fact_daily_network_metrics",
+                      "fact_regional_performance", "fact_churn_cohort"]
+        tables = {n: spark.read.parquet(f"{root}/silver/{n}") for n in silver_names}
+        tables.update({n: spark.read.parquet(f"{root}/gold/{n}") for n in gold_names})
         return cls(spark, None, tables=tables)
 
+    def serve(self, names: list[str] | None = None) -> dict[str, int]:
+        """Keep the query-facing marts in executor memory (spilling to disk)
+        for a burst of queries, like a warehouse load; returns row counts.
+        Lost blocks are recomputed from the Parquet files."""
+        from pyspark import StorageLevel
+        counts = {}
+        for n in names or ["fact_customer_summary", "fact_daily_network_metrics",
+                           "fact_regional_performance", "fact_churn_cohort"]:
+            self._tables[n] = self._tables[n].persist(StorageLevel.MEMORY_AND_DISK)
+            counts[n] = self._tables[n].count()
+        return counts
+
     def _get(self, name: str, build):
         if name not in self._tables:
             self._tables[name] = build()
