@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 
@@ -58,13 +58,25 @@ def constraint_violations(df: DataFrame, spec: TableConstraints) -> DataFrame:
         for i, (name, _) in enumerate(named)])).alias("_x")).select("_x.*")
 
 
-def enforce(violations: DataFrame) -> None:
+def load_check(df: DataFrame, spec: TableConstraints) -> tuple[int, list]:
+    """Row count and violation rows of ``spec`` from ONE aggregate pass (the
+    read-back count of a load doubles as the constraint scan)."""
+    named = _violation_columns(spec)
+    row = df.agg(F.count(F.lit(1)).alias("_rows"),
+                 *[expr.cast("bigint").alias(f"_v{i}") for i, (_, expr) in enumerate(named)]).first()
+    rows = [(spec.table, name, int(row[f"_v{i}"])) for i, (name, _) in enumerate(named)]
+    return int(row["_rows"]), [Row(table_name=t, constraint_name=c, violations=v) for t, c, v in rows]
+
+
+def enforce(violations: DataFrame | list) -> None:
     """Raise ``DataQualityError`` if any rule has violations.
 
-    ``violations`` is small (one row per rule), so bringing it to the driver
-    is bounded by the number of declared rules.
+    ``violations`` (a DataFrame or already collected rows) has one row per
+    rule, so bringing it to the driver is bounded by the declared rules.
     """
-    bad = [r for r in violations.where(F.col("violations") > 0).collect()]
+    if isinstance(violations, DataFrame):
+        violations = violations.where(F.col("violations") > 0).collect()
+    bad = [r for r in violations if r["violations"] > 0]
     if bad:
         msg = "; ".join(f"{r['table_name']}.{r['constraint_name']}: {r['violations']}" for r in bad)
         raise DataQualityError(f"DQ FAIL: {msg}")

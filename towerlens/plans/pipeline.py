@@ -11,12 +11,18 @@ published.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
+from typing import Any
+
+from pyspark import inheritable_thread_target
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from towerlens.constants import DEFAULT_AS_OF
 from towerlens.operators import constraint_violations, enforce
+from towerlens.operators.constraints import load_check
 from towerlens.plans import bronze, dq, gold, silver
 from towerlens.plans.analytics import v1_regional_snapshot
 from towerlens.schemas import CONSTRAINTS, CUSTOMER_SUMMARY_DEFAULTS, MART_SCHEMAS
@@ -26,6 +32,27 @@ from towerlens.sources.adapters import CDR_ORDER
 from towerlens.plans.warehouse import Warehouse
 
 
+def run_concurrently(spark: SparkSession, tasks: dict[str, Callable[[], Any]],
+                     max_workers: int = 8) -> dict[str, Any]:
+    """Run independent Spark actions from separate driver threads.
+
+    Spark schedules jobs from different threads side by side, so small jobs
+    (a one-row report, a dimension write) fill cores a large job leaves
+    idle instead of queueing behind it. Job descriptions follow the task
+    names; the first error is re-raised after all tasks finish.
+    """
+    def wrap(name, fn):
+        def go():
+            spark.sparkContext.setJobDescription(name)
+            return fn()
+        return inheritable_thread_target(go)
+
+    with ThreadPoolExecutor(max_workers=min(max_workers, max(1, len(tasks)))) as pool:
+        futures = {name: pool.submit(wrap(name, fn)) for name, fn in tasks.items()}
+        wait(list(futures.values()))
+    return {name: f.result() for name, f in futures.items()}
+
+
 def step(spark: SparkSession, name: str) -> None:
     """Label the following Spark jobs (visible in the event log)."""
     spark.sparkContext.setJobDescription(name)
@@ -68,24 +95,25 @@ def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
     cdrs = silver.clean_cdrs(w.cdrs_raw, CDR_ORDER, observation=obs)
     towers = silver.clean_cell_towers(w.towers_raw, w.as_of)
     stage = f"{out}/_staging/silver"
-    step(spark, "silver: write customers")
-    write_parquet(customers, f"{stage}/customers")
     # Every mart aggregates all CDRs, so folders per date would only add
     # files; rows sorted by (call_date, customer_id) inside each file make
     # Parquet min/max statistics selective for date or customer predicates.
-    step(spark, "silver: write cdrs")
-    write_parquet(cdrs, f"{stage}/cdrs", partition_by=cdr_partition_by,
-                  cluster_by=["call_date", "customer_id"])
-    step(spark, "silver: write towers")
-    write_parquet(towers, f"{stage}/cell_towers")
+    run_concurrently(spark, {
+        "silver: write cdrs": lambda: write_parquet(
+            cdrs, f"{stage}/cdrs", partition_by=cdr_partition_by, cluster_by=["call_date", "customer_id"]),
+        "silver: write customers": lambda: write_parquet(customers, f"{stage}/customers"),
+        "silver: write towers": lambda: write_parquet(towers, f"{stage}/cell_towers"),
+    })
     s_customers = spark.read.parquet(f"{stage}/customers")
     s_cdrs = spark.read.parquet(f"{stage}/cdrs")
     s_towers = spark.read.parquet(f"{stage}/cell_towers")
     # audit on the staged tables, then publish
-    step(spark, "silver: constraints")
-    enforce(constraint_violations(s_customers, CONSTRAINTS["customers"]))
-    step(spark, "silver: dq report")
-    report = dq.dq_report(spark, s_customers, s_cdrs, s_towers, run_ts)
+    checks = run_concurrently(spark, {
+        "silver: constraints": lambda: constraint_violations(s_customers, CONSTRAINTS["customers"]).collect(),
+        "silver: dq report": lambda: dq.dq_report(spark, s_customers, s_cdrs, s_towers, run_ts, concurrent=True),
+    })
+    enforce(checks["silver: constraints"])
+    report = checks["silver: dq report"]
     dq.gate(report)
     step(spark, "silver: publish")
     for name in ("customers", "cdrs", "cell_towers"):
@@ -99,56 +127,72 @@ def run_gold(spark: SparkSession, out: str, materialize: bool | None = None) ->
     customers = spark.read.parquet(f"{out}/silver/customers")
     cdrs = spark.read.parquet(f"{out}/silver/cdrs")
     towers = spark.read.parquet(f"{out}/silver/cell_towers")
-    step(spark, "gold: customer summary base + ranks")
-    summary = gold.fact_customer_summary(customers, cdrs, materialize=materialize)
-    marts = {
-        "fact_customer_summary": summary,
-        "fact_daily_network_metrics": gold.fact_daily_network_metrics(cdrs),
-        "fact_regional_performance": gold.fact_regional_performance(cdrs, towers),
-        "dim_cell_towers": towers,
-    }
-    written: dict[str, DataFrame] = {}
-    for name, df in marts.items():
-        step(spark, f"gold: write {name}")
-        written[name] = write_mart(df, f"{out}/gold/{name}", f"{out}/gold_csv/{name}")
-    step(spark, "gold: write fact_churn_cohort")
-    written["fact_churn_cohort"] = write_mart(
-        gold.fact_churn_cohort(written["fact_customer_summary"]),
-        f"{out}/gold/fact_churn_cohort", f"{out}/gold_csv/fact_churn_cohort")
-    step(spark, "gold: constraints")
-    for name, df in written.items():
-        enforce(constraint_violations(df, CONSTRAINTS[name]))
+
+    def summary_then_cohort() -> tuple[DataFrame, DataFrame]:
+        summary = gold.fact_customer_summary(customers, cdrs, materialize=materialize)
+        s = write_mart(summary, f"{out}/gold/fact_customer_summary", f"{out}/gold_csv/fact_customer_summary")
+        c = write_mart(gold.fact_churn_cohort(s), f"{out}/gold/fact_churn_cohort",
+                       f"{out}/gold_csv/fact_churn_cohort")
+        return s, c
+
+    def mart(name: str, df_fn: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        return lambda: write_mart(df_fn(), f"{out}/gold/{name}", f"{out}/gold_csv/{name}")
+
+    done = run_concurrently(spark, {
+        "gold: customer summary + churn cohort": summary_then_cohort,
+        "gold: fact_daily_network_metrics": mart("fact_daily_network_metrics",
+                                                 lambda: gold.fact_daily_network_metrics(cdrs)),
+        "gold: fact_regional_performance": mart("fact_regional_performance",
+                                                lambda: gold.fact_regional_performance(cdrs, towers)),
+        "gold: dim_cell_towers": mart("dim_cell_towers", lambda: towers),
+    })
+    summary, cohort = done.pop("gold: customer summary + churn cohort")
+    written = {k.split(": ")[1]: v for k, v in done.items()}
+    written["fact_customer_summary"] = summary
+    written["fact_churn_cohort"] = cohort
     return written
 
 
 def run_load(spark: SparkSession, out: str, marts: dict[str, DataFrame]) -> dict[str, int]:
-    """Conform each mart to its declared schema, write the warehouse copy and
-    read back the row count; register the tables as views for SQL."""
-    counts = {}
-    step(spark, "load: warehouse tables")
-    for name, schema in MART_SCHEMAS.items():
+    """Conform each mart to its declared schema and write the warehouse copy;
+    one read-back aggregate per table gives its row count and the
+    violations of its declared keys and checks (gate on all tables)."""
+    def load(name: str) -> tuple[int, list]:
         defaults = CUSTOMER_SUMMARY_DEFAULTS if name == "fact_customer_summary" else None
         path = f"{out}/warehouse/{name}"
-        conform(marts[name], schema, defaults).write.mode("overwrite").parquet(path)
-        loaded = spark.read.parquet(path)
-        loaded.createOrReplaceTempView(name)
-        counts[name] = loaded.count()
-    return counts
+        conform(marts[name], MART_SCHEMAS[name], defaults).write.mode("overwrite").parquet(path)
+        return load_check(spark.read.parquet(path), CONSTRAINTS[name])
+
+    results = run_concurrently(spark, {name: (lambda n=name: load(n)) for name in MART_SCHEMAS})
+    violations = [v for _, vs in results.values() for v in vs]
+    enforce(violations)
+    for name in MART_SCHEMAS:
+        spark.read.parquet(f"{out}/warehouse/{name}").createOrReplaceTempView(name)
+    return {name: n for name, (n, _) in results.items()}
 
 
 def run(spark: SparkSession, sf_dir: str, out: str, as_of: str = DEFAULT_AS_OF,
         run_ts: str = "2026-05-26T00:00:00Z") -> RunReport:
+    """Run all stages. The bronze audit (an inventory, not a gate) scans the
+    raw sources while silver cleans them; silver publishes only after its
+    own gates; gold reads published silver; load gates every mart."""
     rep = RunReport()
     w = Warehouse.from_sources(spark, sf_dir, as_of=as_of)
-    t = time.time()
-    run_bronze(spark, w, out, run_ts)
-    rep.timings["bronze"] = time.time() - t
-    t = time.time()
-    rep.counts.update(run_silver(spark, w, out, run_ts))
-    rep.timings["silver"] = time.time() - t
-    t = time.time()
-    marts = run_gold(spark, out)
-    rep.timings["gold"] = time.time() - t
+
+    def timed(name: str, fn: Callable[[], Any]) -> Callable[[], Any]:
+        def go():
+            t = time.time()
+            result = fn()
+            rep.timings[name] = time.time() - t
+            return result
+        return go
+
+    first = run_concurrently(spark, {
+        "bronze": timed("bronze", lambda: run_bronze(spark, w, out, run_ts)),
+        "silver": timed("silver", lambda: run_silver(spark, w, out, run_ts)),
+    })
+    rep.counts.update(first["silver"])
+    marts = timed("gold", lambda: run_gold(spark, out))()
     t = time.time()
     rep.counts.update(run_load(spark, out, marts))
     v1_regional_snapshot(spark, spark.table("fact_regional_performance")).collect()
