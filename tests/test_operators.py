@@ -159,3 +159,13 @@ def test_require_sources(spark, scratch):
     require_sources(spark, {"here": scratch})
     with pytest.raises(SourceMissingError):
         require_sources(spark, {"gone": f"{scratch}/missing.csv"})
+
+
+def test_orphans_both_strategies_agree(spark):
+    fact = spark.createDataFrame([(i % 13 if i % 5 else None, i) for i in range(400)], "k int, v int")
+    dim = spark.createDataFrame([(i,) for i in range(0, 13, 2)], "k int")
+    small = orphans(fact, "k", dim, "k")
+    big = orphans(fact, "k", dim, "k", max_broadcast_keys=1)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
+    assert small.count() == sum(1 for i in range(400) if i % 5 == 0 or (i % 13) % 2 == 1)

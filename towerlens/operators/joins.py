@@ -52,8 +52,21 @@ def match_rates(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
         (F.try_divide(F.col("matched_rows").cast("double"), F.col("total_rows")) * 100).alias(out_col))
 
 
-def orphans(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
-    """Rows of ``fact`` whose key has no match in ``dim`` (NULL keys included,
-    they match nothing). Left anti join; AQE splits a skewed fact key."""
+def orphans(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
+            max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Rows of ``fact`` whose key has no match in ``dim`` (NULL keys
+    included: they match nothing).
+
+    The unmatched keys are found on the pre-aggregated distinct keys of the
+    fact table (a map-side partial aggregate, then a join of key sets). When
+    that set passes the size check it is broadcast into a semi-join, so the
+    fact rows are filtered where they lie instead of being shuffled; beyond
+    the bound the plain shuffle anti-join runs (AQE splits skewed keys).
+    """
     keys = dim.select(F.col(dim_key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
+    fact_keys = fact.select(F.col(fact_key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
+    missing = fact_keys.join(keys, "_k", "left_anti")
+    if small_enough(missing, max_broadcast_keys):
+        hit = fact.join(F.broadcast(missing), fact[fact_key] == F.col("_k"), "left_semi")
+        return hit.unionByName(fact.where(F.col(fact_key).isNull()))
     return fact.join(keys, fact[fact_key] == keys["_k"], "left_anti")

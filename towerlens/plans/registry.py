@@ -252,6 +252,13 @@ SELECT * FROM s_cdrs c WHERE NOT EXISTS (SELECT 1 FROM s_customers k WHERE k.cus
 def _dq_orphans(spark, w):
     return dq.dq_orphan_cdrs(w.cdrs, w.customers)
 
+@register("dq_orphan_cdrs_tower", """
+SELECT * FROM s_cdrs c WHERE NOT EXISTS (SELECT 1 FROM s_towers t WHERE t.cell_tower_id = c.cell_tower_id)""",
+          ["s_cdrs", "s_towers"])
+def _dq_orphans_tower(spark, w):
+    return dq.dq_orphan_cdrs(w.cdrs, w.towers, key="cell_tower_id")
+
+
 @register("dq_towers", "SELECT COUNT(*) AS row_count, COUNT(DISTINCT region) AS unique_regions FROM s_towers",
           ["s_towers"])
 def _dq_towers(spark, w):
