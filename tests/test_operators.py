@@ -60,13 +60,22 @@ def test_outlier_filter_removes_nulls_and_counts(spark):
     assert obs.get == {"rows_in": 4, "rows_kept": 2}
 
 
+def window_pct_rank(df, col, out_col):
+    """Reference form: one global window (a single task holds every row)."""
+    from pyspark.sql import Window
+    v = F.col(col)
+    r = ((F.rank().over(Window.orderBy(v.asc_nulls_last()))
+          + (F.count(F.lit(1)).over(Window.partitionBy(v)) - 1) / F.lit(2.0))
+         / F.count(v).over(Window.partitionBy()))
+    return df.withColumn(out_col, F.when(v.isNotNull(), r))
+
+
 def test_pct_rank_average_ties(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (5.0,), (None,)], "x double")
-    for method in ("distributed", "window"):
-        got = sorted((r.x, r.p) for r in pct_rank_average(df, "x", "p", method=method).collect()
-                     if r.x is not None)
+    for fn in (pct_rank_average, window_pct_rank):
+        got = sorted((r.x, r.p) for r in fn(df, "x", "p").collect() if r.x is not None)
         assert got == [(1.0, 0.25), (2.0, 0.625), (2.0, 0.625), (5.0, 1.0)]
-        assert pct_rank_average(df, "x", "p", method=method).where("x is null").first().p is None
+        assert fn(df, "x", "p").where("x is null").first().p is None
 
 
 def test_pct_rank_distributed_equals_window_many_buckets(spark):
@@ -74,7 +83,7 @@ def test_pct_rank_distributed_equals_window_many_buckets(spark):
     vals = [(float(rnd.choice([0, 0, 0, rnd.randint(0, 500)])),) for _ in range(4000)]
     df = spark.createDataFrame(vals, "x double")
     dist = pct_rank_average(df, "x", "p", rows_per_bucket=150)
-    win = pct_rank_average(df, "x", "p", method="window")
+    win = window_pct_rank(df, "x", "p")
     assert dist.exceptAll(win).count() == 0
     assert win.exceptAll(dist).count() == 0
     # mean of average ranks is (N+1)/2N

@@ -5,9 +5,9 @@ count, NULL input -> NULL rank.
 Neither ``percent_rank`` nor ``cume_dist`` is this function (for 1,2,2,5 they
 give 0,1/3,1/3,1 and .25,.75,.75,1; the average rank gives .25,.625,.625,1).
 
-``method="window"`` is the textbook form: one global ``orderBy`` window, i.e.
-one task holding every row. ``method="distributed"`` computes the same numbers
-without a single-partition step:
+The textbook form is one global ``orderBy`` window, i.e. one task holding
+every row (the tests keep it as the reference to compare against). This
+module computes the same numbers without a single-partition step:
 
 1. quantile boundaries of the column (one aggregate, at most ``max_buckets``
    numbers reach the driver) cut the value range into buckets of about
@@ -77,18 +77,8 @@ def pct_rank_table(df: DataFrame, col: str, out_col: str, rows_per_bucket: int =
     return local.join(F.broadcast(offsets), "_b").select(v, rank.alias(out_col))
 
 
-def pct_rank_average(df: DataFrame, col: str, out_col: str, method: str = "distributed",
-                     **kwargs) -> DataFrame:
-    """``df`` plus ``out_col`` = average-rank percentile of ``col``."""
-    if method == "window":
-        v = F.col(col)
-        whole = Window.orderBy(v.asc_nulls_last())
-        ties = Window.partitionBy(v)
-        everything = Window.partitionBy()
-        r = ((F.rank().over(whole) + (F.count(F.lit(1)).over(ties) - 1) / F.lit(2.0))
-             / F.count(v).over(everything))
-        return df.withColumn(out_col, F.when(v.isNotNull(), r))
-    if method != "distributed":
-        raise ValueError(f"unknown method {method!r}")
+def pct_rank_average(df: DataFrame, col: str, out_col: str, **kwargs) -> DataFrame:
+    """``df`` plus ``out_col`` = average-rank percentile of ``col``
+    (distributed form; keyword arguments go to ``pct_rank_table``)."""
     ranks = pct_rank_table(df, col, out_col, **kwargs)
     return df.join(ranks, on=col, how="left")

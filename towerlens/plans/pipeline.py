@@ -45,7 +45,7 @@ def run_concurrently(spark: SparkSession, tasks: dict[str, Callable[[], Any]],
         def go():
             spark.sparkContext.setJobDescription(name)
             return fn()
-        return inheritable_thread_target(go)
+        return inheritable_thread_target(spark)(go)
 
     with ThreadPoolExecutor(max_workers=min(max_workers, max(1, len(tasks)))) as pool:
         futures = {name: pool.submit(wrap(name, fn)) for name, fn in tasks.items()}
