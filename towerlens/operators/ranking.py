@@ -59,8 +59,18 @@ def pct_rank_table(df: DataFrame, col: str, out_col: str, rows_per_bucket: int =
     """Distinct non-NULL values of ``col`` with their average-rank percentile."""
     bounds = _boundaries(df, col, rows_per_bucket, max_buckets, accuracy)
     v = F.col(col)
-    bucket = _bucket_expr(v, bounds, 0, len(bounds)) if bounds else F.lit(0)
-    counts = (df.where(v.isNotNull()).select(v.alias(col), bucket.alias("_b"))
+    present = df.where(v.isNotNull()).select(v.alias(col))
+    if not bounds:
+        # One bucket: at most rows_per_bucket rows, so a single window over
+        # the distinct values is the bounded case the buckets are sized for.
+        counts = present.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
+        before = F.coalesce(F.sum("_cnt").over(
+            Window.orderBy(col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        n = F.sum("_cnt").over(Window.partitionBy())
+        rank = (before.cast("double") + (F.col("_cnt") + F.lit(1)) / F.lit(2.0)) / n
+        return counts.select(v, rank.alias(out_col))
+    bucket = _bucket_expr(v, bounds, 0, len(bounds))
+    counts = (present.select(v, bucket.alias("_b"))
               .groupBy("_b", col).agg(F.count(F.lit(1)).alias("_cnt")))
     before_w = (Window.partitionBy("_b").orderBy(col)
                 .rowsBetween(Window.unboundedPreceding, -1))
