@@ -136,6 +136,11 @@ def q10_tenure_cohort_revenue(summary: DataFrame) -> DataFrame:
     ).orderBy("tenure_cohort")
 
 
+def cohort_preview(cohort: DataFrame, n: int = 5) -> DataFrame:
+    """First n cohorts of the churn mart in its order (highest churn first)."""
+    return cohort.orderBy(F.col("churn_rate_pct").desc(), *COHORT_KEYS).limit(n)
+
+
 def ex1_having_form(summary: DataFrame) -> DataFrame:
     """Filter after the aggregate (HAVING on the key); Catalyst pushes it
     below the aggregate and into the Parquet scan."""

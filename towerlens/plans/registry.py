@@ -396,6 +396,13 @@ FROM fact_customer_summary GROUP BY tenure_cohort ORDER BY tenure_cohort""", FCS
 def _q10(spark, w):
     return A.q10_tenure_cohort_revenue(w.customer_summary)
 
+@register("cohort_preview_top5", """
+SELECT * FROM fact_churn_cohort ORDER BY churn_rate_pct DESC, tenure_cohort, contract, paymentmethod LIMIT 5""",
+          ["fact_churn_cohort"])
+def _preview(spark, w):
+    return A.cohort_preview(w.cohort)
+
+
 @register("ex1_having_form", f"""
 SELECT contract, AVG(churn_flag) * 100 AS churn_rate_pct FROM fact_customer_summary
 GROUP BY contract HAVING contract = '{MONTH_TO_MONTH}'""", FCS)

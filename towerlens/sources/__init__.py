@@ -4,6 +4,7 @@ from towerlens.sources.adapters import cdrs_raw, customers_raw, raw_sources, tow
 from towerlens.sources.files import (  # noqa: F401
     file_fingerprints,
     read_csv,
+    read_mart_csv,
     require_sources,
 )
 from towerlens.sources.tables import read_table  # noqa: F401

@@ -20,6 +20,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     return reader.option("inferSchema", True).csv(path)
 
 
+def read_mart_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A gold CSV export read back with its declared schema: date and
+    timestamp columns are parsed by the scan, not by a later cast."""
+    return read_csv(spark, path, schema)
+
+
 def require_sources(spark: SparkSession, paths: dict[str, str]) -> None:
     """Fail when a named source is missing (checks the file system the
     cluster sees, through Hadoop, not the local disk of the driver)."""
