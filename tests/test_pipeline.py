@@ -36,7 +36,7 @@ def test_pipeline_outputs(spark, scratch):
     assert set(dq["cell_towers"]["technology_distribution"]) <= {"4G", "5G", "3G"}
     assert not os.listdir(f"{scratch}/_staging/silver")
     for name in MART_SCHEMAS:
-        assert spark.read.parquet(f"{scratch}/warehouse/{name}").schema == MART_SCHEMAS[name]
+        assert spark.read.parquet(f"{scratch}/gold/{name}").schema == MART_SCHEMAS[name]
         assert glob.glob(f"{scratch}/gold_csv/{name}/part-*.csv")
     # gold CSV exports scan back with the declared schema (dates parsed)
     from towerlens.sources import read_mart_csv

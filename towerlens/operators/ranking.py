@@ -39,8 +39,9 @@ def _bucket_expr(v: Column, bounds: list, lo: int, hi: int) -> Column:
 
 
 def _boundaries(df: DataFrame, col: str, rows_per_bucket: int, max_buckets: int,
-                accuracy: int) -> list:
-    n = df.where(F.col(col).isNotNull()).count()
+                accuracy: int, n: int | None = None) -> list:
+    if n is None:
+        n = df.where(F.col(col).isNotNull()).count()
     buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
     if buckets == 1:
         return []
@@ -55,9 +56,12 @@ def _boundaries(df: DataFrame, col: str, rows_per_bucket: int, max_buckets: int,
 
 
 def pct_rank_table(df: DataFrame, col: str, out_col: str, rows_per_bucket: int = 2_000_000,
-                   max_buckets: int = 1024, accuracy: int = 10_000) -> DataFrame:
-    """Distinct non-NULL values of ``col`` with their average-rank percentile."""
-    bounds = _boundaries(df, col, rows_per_bucket, max_buckets, accuracy)
+                   max_buckets: int = 1024, accuracy: int = 10_000, n: int | None = None) -> DataFrame:
+    """Distinct non-NULL values of ``col`` with their average-rank percentile.
+
+    ``n`` (the non-NULL count, if already known) only sizes the buckets; the
+    ranks divide by the count computed with them."""
+    bounds = _boundaries(df, col, rows_per_bucket, max_buckets, accuracy, n)
     v = F.col(col)
     present = df.where(v.isNotNull()).select(v.alias(col))
     if not bounds:

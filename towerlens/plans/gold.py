@@ -44,12 +44,14 @@ def customer_summary_base(customers: DataFrame, cdrs: DataFrame) -> DataFrame:
 
 def engagement_score(base: DataFrame, rank_kwargs: dict | None = None) -> DataFrame:
     """Weighted sum of three average-rank percentiles, 2 decimals, plus CLV."""
-    kw = rank_kwargs or {}
+    kw = dict(rank_kwargs or {})
+    cols = [c for c, _ in ENGAGEMENT_WEIGHTS]
+    counts = base.agg(*[F.count(c).alias(c) for c in cols]).first()  # one job for all N
     out = base
     score = None
     for col, weight in ENGAGEMENT_WEIGHTS:
         rcol = f"_pct_{col}"
-        out = out.join(pct_rank_table(base, col, rcol, **kw), on=col, how="left")
+        out = out.join(pct_rank_table(base, col, rcol, n=counts[col], **kw), on=col, how="left")
         term = F.col(rcol) * F.lit(weight)
         score = term if score is None else score + term
     out = out.withColumn("engagement_score", round_half_even(score, 2))

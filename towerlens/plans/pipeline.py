@@ -124,27 +124,29 @@ def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
 
 
 def run_gold(spark: SparkSession, out: str, materialize: bool | None = None) -> dict[str, DataFrame]:
+    """Build the marts from published silver and write each once as Parquet
+    (conformed to its declared schema: it is the warehouse table) and once
+    as CSV export."""
     customers = spark.read.parquet(f"{out}/silver/customers")
     cdrs = spark.read.parquet(f"{out}/silver/cdrs")
     towers = spark.read.parquet(f"{out}/silver/cell_towers")
 
-    def summary_then_cohort() -> tuple[DataFrame, DataFrame]:
-        summary = gold.fact_customer_summary(customers, cdrs, materialize=materialize)
-        s = write_mart(summary, f"{out}/gold/fact_customer_summary", f"{out}/gold_csv/fact_customer_summary")
-        c = write_mart(gold.fact_churn_cohort(s), f"{out}/gold/fact_churn_cohort",
-                       f"{out}/gold_csv/fact_churn_cohort")
-        return s, c
+    def write(name: str, df: DataFrame) -> DataFrame:
+        defaults = CUSTOMER_SUMMARY_DEFAULTS if name == "fact_customer_summary" else None
+        return write_mart(conform(df, MART_SCHEMAS[name], defaults),
+                          f"{out}/gold/{name}", f"{out}/gold_csv/{name}")
 
-    def mart(name: str, df_fn: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
-        return lambda: write_mart(df_fn(), f"{out}/gold/{name}", f"{out}/gold_csv/{name}")
+    def summary_then_cohort() -> tuple[DataFrame, DataFrame]:
+        s = write("fact_customer_summary", gold.fact_customer_summary(customers, cdrs, materialize=materialize))
+        return s, write("fact_churn_cohort", gold.fact_churn_cohort(s))
 
     done = run_concurrently(spark, {
         "gold: customer summary + churn cohort": summary_then_cohort,
-        "gold: fact_daily_network_metrics": mart("fact_daily_network_metrics",
-                                                 lambda: gold.fact_daily_network_metrics(cdrs)),
-        "gold: fact_regional_performance": mart("fact_regional_performance",
-                                                lambda: gold.fact_regional_performance(cdrs, towers)),
-        "gold: dim_cell_towers": mart("dim_cell_towers", lambda: towers),
+        "gold: fact_daily_network_metrics": lambda: write("fact_daily_network_metrics",
+                                                          gold.fact_daily_network_metrics(cdrs)),
+        "gold: fact_regional_performance": lambda: write("fact_regional_performance",
+                                                         gold.fact_regional_performance(cdrs, towers)),
+        "gold: dim_cell_towers": lambda: write("dim_cell_towers", towers),
     })
     summary, cohort = done.pop("gold: customer summary + churn cohort")
     written = {k.split(": ")[1]: v for k, v in done.items()}
@@ -154,21 +156,16 @@ def run_gold(spark: SparkSession, out: str, materialize: bool | None = None) ->
 
 
 def run_load(spark: SparkSession, out: str, marts: dict[str, DataFrame]) -> dict[str, int]:
-    """Conform each mart to its declared schema and write the warehouse copy;
-    one read-back aggregate per table gives its row count and the
-    violations of its declared keys and checks (gate on all tables)."""
-    def load(name: str) -> tuple[int, list]:
-        defaults = CUSTOMER_SUMMARY_DEFAULTS if name == "fact_customer_summary" else None
-        path = f"{out}/warehouse/{name}"
-        conform(marts[name], MART_SCHEMAS[name], defaults).write.mode("overwrite").parquet(path)
-        return load_check(spark.read.parquet(path), CONSTRAINTS[name])
-
-    results = run_concurrently(spark, {name: (lambda n=name: load(n)) for name in MART_SCHEMAS})
-    violations = [v for _, vs in results.values() for v in vs]
-    enforce(violations)
+    """Warehouse load: the gold Parquet tables already carry the declared
+    schemas, so loading registers them for SQL and gates them -- one
+    aggregate per table gives its row count and the violations of its keys,
+    NOT NULL columns and checks. No data is copied."""
+    results = run_concurrently(spark, {
+        f"load: {name}": (lambda n=name: load_check(marts[n], CONSTRAINTS[n])) for name in MART_SCHEMAS})
+    enforce([v for _, vs in results.values() for v in vs])
     for name in MART_SCHEMAS:
-        spark.read.parquet(f"{out}/warehouse/{name}").createOrReplaceTempView(name)
-    return {name: n for name, (n, _) in results.items()}
+        marts[name].createOrReplaceTempView(name)
+    return {k.split(": ")[1]: n for k, (n, _) in results.items()}
 
 
 def run(spark: SparkSession, sf_dir: str, out: str, as_of: str = DEFAULT_AS_OF,

@@ -44,18 +44,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
+def checkpoint_dir(spark: SparkSession, fallback=None) -> str | None:
     """The shared checkpoint folder named by the session.
 
-    ``spark.checkpoint.dir`` (cluster setting) wins; otherwise an existing
-    SparkContext checkpoint dir; otherwise ``fallback`` is installed (tests).
+    An installed SparkContext checkpoint dir wins, then ``spark.checkpoint.dir``
+    (cluster setting); otherwise ``fallback`` (a path, or a callable making
+    one, evaluated only then) is installed -- tests and local runs only.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    target = named or fallback
+    target = named or (fallback() if callable(fallback) else fallback)
     if target:
         sc.setCheckpointDir(target)
         return sc.getCheckpointDir()
