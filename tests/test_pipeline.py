@@ -1,6 +1,7 @@
 """End-to-end pipeline on sf0.001: outputs, reports, gates, sinks."""
 
 import glob
+import hashlib
 import json
 import os
 
@@ -24,8 +25,16 @@ def read_json(folder):
 
 def test_pipeline_outputs(spark, scratch):
     rep = pipeline.run(spark, SF_SMALL, scratch)
-    assert set(rep.timings) == {"bronze", "silver", "gold", "load"}
+    assert set(rep.timings) == {"land", "bronze", "silver", "gold", "load"}
     audit = read_json(f"{scratch}/bronze/_ingestion_audit")
+    # file inventory of the landed raw zone: bytes and checksum of the files
+    towers_files = sorted(glob.glob(f"{scratch}/landing/cell_towers.csv/*.csv"))
+    tw = audit["sources"][2]
+    assert tw["file_count"] == len(towers_files)
+    assert tw["size_bytes"] == sum(os.path.getsize(f) for f in towers_files)
+    if len(towers_files) == 1:
+        with open(towers_files[0], "rb") as fh:
+            assert tw["checksum_sha256_16"] == hashlib.sha256(fh.read()).hexdigest()[:16]
     assert [s["filename"] for s in audit["sources"]] == [
         "telco_customer_churn.csv", "cdr_records.csv", "cell_towers.csv"]
     assert audit["sources"][0]["column_count"] == 21 and audit["stage"] == "bronze"

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from towerlens.constants import SOURCES
 from towerlens.operators import audit_record, null_counts
@@ -37,14 +37,24 @@ def audit_total_rows(sources: dict[str, DataFrame]) -> DataFrame:
         F.sum("row_count").cast("bigint").alias("total_rows"))
 
 
-def audit_document(spark: SparkSession, audit: DataFrame, run_ts: str) -> DataFrame:
-    """The audit as one nested record: run id, stage, sources array.
+def audit_document(spark: SparkSession, audit: DataFrame, run_ts: str,
+                   file_stats: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The audit as one nested record: run id, stage, sources array; with
+    ``file_stats`` (per source: file count, bytes, checksum) merged in.
 
     The audit has one row per registered source, so it is brought to the
     driver (bounded by the registry, not by the data) and rewrapped.
     """
-    rows = [r.asDict(recursive=True) | {"ingested_at": run_ts} for r in audit.collect()]
-    src_type = StructType(audit.schema.fields + [StructField("ingested_at", StringType())])
+    stats = {k: v.first().asDict() for k, v in (file_stats or {}).items()}
+    stat_fields = [StructField("file_count", LongType()), StructField("size_bytes", LongType()),
+                   StructField("checksum_sha256_16", StringType())] if file_stats else []
+    rows = []
+    for r in audit.collect():
+        d = r.asDict(recursive=True)
+        if file_stats:
+            d |= stats.get(d["filename"], {})
+        rows.append(d | {"ingested_at": run_ts})
+    src_type = StructType(audit.schema.fields + stat_fields + [StructField("ingested_at", StringType())])
     schema = StructType([StructField("pipeline_run_id", StringType()), StructField("stage", StringType()),
                          StructField("sources", ArrayType(src_type))])
     run_id = run_ts.replace("-", "").replace(":", "").replace("T", "_").rstrip("Z")[:15]

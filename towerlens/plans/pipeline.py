@@ -1,6 +1,6 @@
-"""The medallion pipeline as one Spark application: bronze audit -> silver
-(write, audit, publish) -> gold marts (constraint gate, write Parquet + CSV)
--> warehouse load -> smoke query.
+"""The medallion pipeline as one Spark application: land raw sources as
+files -> bronze audit of the files -> silver (write, audit, publish) -> gold
+marts (Parquet + CSV) -> warehouse load (register + gate) -> smoke query.
 
 Silver follows write-audit-publish: tables are written to a staging folder,
 the data-quality report and gates run on the staged Parquet, and only then
@@ -20,16 +20,17 @@ from pyspark import inheritable_thread_target
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from towerlens.constants import DEFAULT_AS_OF
+from towerlens.constants import DEFAULT_AS_OF, SOURCES
 from towerlens.operators import constraint_violations, enforce
 from towerlens.operators.constraints import load_check
 from towerlens.plans import bronze, dq, gold, silver
 from towerlens.plans.analytics import v1_regional_snapshot
+from towerlens.plans.warehouse import Warehouse
 from towerlens.schemas import CONSTRAINTS, CUSTOMER_SUMMARY_DEFAULTS, MART_SCHEMAS
-from towerlens.sinks import write_json_report, write_mart, write_parquet
+from towerlens.sinks import write_csv, write_json_report, write_mart, write_parquet
 from towerlens.sinks.writers import conform
+from towerlens.sources import require_sources, source_file_stats
 from towerlens.sources.adapters import CDR_ORDER
-from towerlens.plans.warehouse import Warehouse
 
 
 def run_concurrently(spark: SparkSession, tasks: dict[str, Callable[[], Any]],
@@ -81,10 +82,28 @@ def publish(spark: SparkSession, staged: str, final: str) -> None:
         raise OSError(f"could not publish {staged} -> {final}")
 
 
-def run_bronze(spark: SparkSession, w: Warehouse, out: str, run_ts: str) -> DataFrame:
+def run_land(spark: SparkSession, w: Warehouse, out: str) -> dict[str, str]:
+    """Write the three raw sources once as CSV files: the raw zone that the
+    bronze audit inventories and silver cleans (the CDR file keeps its row
+    order as columns)."""
+    paths = {name: f"{out}/landing/{name}" for name, _, _ in SOURCES}
+    frames = {"telco_customer_churn.csv": w.customers_raw, "cdr_records.csv": w.cdrs_raw,
+              "cell_towers.csv": w.towers_raw}
+    run_concurrently(spark, {f"land: {n}": (lambda n=n: write_csv(frames[n], paths[n])) for n in paths})
+    return paths
+
+
+def run_bronze(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
+               paths: dict[str, str] | None = None) -> DataFrame:
+    """Inventory of the raw sources: row, column and NULL counts per source
+    and, for landed files, file count, bytes and checksum."""
     step(spark, "bronze: audit sources")
+    stats = None
+    if paths:
+        require_sources(spark, paths)
+        stats = {name: source_file_stats(spark, path) for name, path in paths.items()}
     audit = bronze.audit_sources(w.raw_sources())
-    write_json_report(bronze.audit_document(spark, audit, run_ts), f"{out}/bronze/_ingestion_audit")
+    write_json_report(bronze.audit_document(spark, audit, run_ts, stats), f"{out}/bronze/_ingestion_audit")
     return audit
 
 
@@ -170,11 +189,11 @@ def run_load(spark: SparkSession, out: str, marts: dict[str, DataFrame]) -> dict
 
 def run(spark: SparkSession, sf_dir: str, out: str, as_of: str = DEFAULT_AS_OF,
         run_ts: str = "2026-05-26T00:00:00Z") -> RunReport:
-    """Run all stages. The bronze audit (an inventory, not a gate) scans the
-    raw sources while silver cleans them; silver publishes only after its
-    own gates; gold reads published silver; load gates every mart."""
+    """Run all stages. The sources are landed once as files; the bronze
+    audit (an inventory, not a gate) scans them while silver cleans them;
+    silver publishes only after its own gates; gold reads published silver;
+    load gates every mart."""
     rep = RunReport()
-    w = Warehouse.from_sources(spark, sf_dir, as_of=as_of)
 
     def timed(name: str, fn: Callable[[], Any]) -> Callable[[], Any]:
         def go():
@@ -184,8 +203,11 @@ def run(spark: SparkSession, sf_dir: str, out: str, as_of: str = DEFAULT_AS_OF,
             return result
         return go
 
+    source = Warehouse.from_sources(spark, sf_dir, as_of=as_of)
+    paths = timed("land", lambda: run_land(spark, source, out))()
+    w = Warehouse.from_landing(spark, paths, as_of=as_of)
     first = run_concurrently(spark, {
-        "bronze": timed("bronze", lambda: run_bronze(spark, w, out, run_ts)),
+        "bronze": timed("bronze", lambda: run_bronze(spark, w, out, run_ts, paths)),
         "silver": timed("silver", lambda: run_silver(spark, w, out, run_ts)),
     })
     rep.counts.update(first["silver"])

@@ -31,6 +31,17 @@ class Warehouse:
     def from_sources(cls, spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
         return cls(spark, sf_dir, **kw)
 
+    @classmethod
+    def from_landing(cls, spark: SparkSession, paths: dict[str, str], as_of: str = DEFAULT_AS_OF) -> Warehouse:
+        """Raw sources read from landed CSV files with their declared schemas."""
+        from towerlens.schemas import CDRS_RAW_ORDERED, CUSTOMERS_RAW, TOWERS_RAW
+        from towerlens.sources import read_csv
+        w = cls(spark, None, as_of=as_of)
+        w.customers_raw = read_csv(spark, paths["telco_customer_churn.csv"], CUSTOMERS_RAW)
+        w.cdrs_raw = read_csv(spark, paths["cdr_records.csv"], CDRS_RAW_ORDERED)
+        w.towers_raw = read_csv(spark, paths["cell_towers.csv"], TOWERS_RAW)
+        return w
+
     @classmethod
     def from_path(cls, spark: SparkSession, root: str) -> Warehouse:
         """Silver and gold tables written by ``pipeline.run``."""

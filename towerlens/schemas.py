@@ -35,6 +35,10 @@ CDRS_RAW = _s(
     ("call_id", S), ("customer_id", S), ("timestamp", S), ("call_type", S), ("duration_seconds", I),
     ("bytes_transferred", L), ("cell_tower_id", S), ("call_status", S), ("cost_usd", D))
 
+# The landed CDR file carries its row order as columns (keep-first dedup).
+CDRS_RAW_ORDERED = _s(*[(f.name, f.dataType) for f in CDRS_RAW.fields],
+                      ("ord0", TS), ("ord1", L), ("ord2", L), ("ord3", D), ("ord4", D))
+
 TOWERS_RAW = _s(
     ("cell_tower_id", S), ("region", S), ("city", S), ("latitude", D), ("longitude", D),
     ("technology", S), ("installation_date", DT), ("capacity_users", I))

@@ -36,8 +36,10 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None,
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header; dates and timestamps as ISO text, NULL as empty."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header; dates and timestamps as ISO text, NULL as empty.
+    Leading and trailing blanks are kept (a blank text is data, not NULL)."""
+    (df.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_mart(df: DataFrame, parquet_path: str, csv_path: str | None = None) -> DataFrame:

@@ -6,5 +6,6 @@ from towerlens.sources.files import (  # noqa: F401
     read_csv,
     read_mart_csv,
     require_sources,
+    source_file_stats,
 )
 from towerlens.sources.tables import read_table  # noqa: F401

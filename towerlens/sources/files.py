@@ -20,6 +20,22 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     return reader.option("inferSchema", True).csv(path)
 
 
+def source_file_stats(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """One row for a source stored as one or more files: file count, total
+    bytes and a SHA-256-based checksum (first 16 hex digits). For a single
+    file the checksum is that file's; for several it is combined order-free
+    (sum of 64-bit hashes of the per-file digests), so no file list is
+    gathered in one place."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+             .select(F.col("length"), F.sha2(F.col("content"), 256).alias("d")))
+    combined = F.substring(F.sha2(F.sum(F.xxhash64("d").cast("decimal(38,0)")).cast("string"), 256), 1, 16)
+    return files.agg(
+        F.count(F.lit(1)).alias("file_count"),
+        F.sum("length").alias("size_bytes"),
+        F.when(F.count(F.lit(1)) == 1, F.substring(F.max("d"), 1, 16)).otherwise(combined)
+        .alias("checksum_sha256_16"))
+
+
 def read_mart_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A gold CSV export read back with its declared schema: date and
     timestamp columns are parsed by the scan, not by a later cast."""
