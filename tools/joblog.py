@@ -25,9 +25,10 @@ def lines(path: str):
 
 def main() -> None:
     path = sys.argv[1]
-    top = int(sys.argv[2]) if len(sys.argv) > 2 else 40
+    top = int(sys.argv[2]) if len(sys.argv) > 2 and sys.argv[2].isdigit() else 40
     jobs: dict[int, dict] = {}
     stages: dict[int, dict] = {}
+    tasks: dict[int, list] = {}
     sql: dict[str, str] = {}
     for line in lines(path):
         e = json.loads(line)
@@ -44,6 +45,12 @@ def main() -> None:
             sql[str(e["executionId"])] = (e.get("description", "") + " | " + head)[:150]
         elif ev == "SparkListenerJobEnd":
             jobs[e["Job ID"]]["end"] = e["Completion Time"]
+        elif ev == "SparkListenerTaskEnd":
+            ti = e["Task Info"]
+            recs = (e.get("Task Metrics") or {}).get("Shuffle Read Metrics", {})
+            nrec = recs.get("Total Records Read", 0) + (e.get("Task Metrics") or {}).get(
+                "Input Metrics", {}).get("Records Read", 0)
+            tasks.setdefault(e["Stage ID"], []).append((ti["Finish Time"] - ti["Launch Time"], nrec))
         elif ev == "SparkListenerStageCompleted":
             si = e["Stage Info"]
             stages[si["Stage ID"]] = {"tasks": si["Number of Tasks"],
@@ -63,6 +70,17 @@ def main() -> None:
         by.setdefault(key, []).append(d)
     for k, v in sorted(by.items(), key=lambda kv: -sum(kv[1])):
         print(f"  {sum(v):7.2f}s {len(v):4d} jobs  {k[:90]}")
+    if "--tasks" in sys.argv:
+        print("stages with >1 task: max/median task ms and records (skew check)")
+        for sid, ts in sorted(tasks.items()):
+            if len(ts) < 2:
+                continue
+            durs = sorted(t for t, _ in ts)
+            recs = sorted(r for _, r in ts)
+            med_d, med_r = durs[len(durs) // 2], recs[len(recs) // 2]
+            flag = "  <-- skew?" if recs[-1] > 4 * max(med_r, 1) and recs[-1] > 50000 else ""
+            print(f"  stage {sid:4d} {len(ts):4d} tasks  ms max {durs[-1]:6d} med {med_d:6d}  "
+                  f"records max {recs[-1]:9d} med {med_r:9d}{flag}")
     for d, jid, desc, st in sorted(rows, reverse=True)[:top]:
         print(f"{d:7.2f}s job {jid:4d} {st[:3]} {desc[:150]}")
 
