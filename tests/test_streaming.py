@@ -52,3 +52,5 @@ def test_stream_equals_batch(spark, scratch):
     CdrIngest(lake, CDR_ORDER)(spark.read.schema(SCHEMA).option("header", True).csv(landing), 99)
     assert spark.read.parquet(f"{lake}/silver/cdrs").count() == before
     assert same(latest_daily(spark, lake), daily)
+    snaps = [d for d in os.listdir(f"{lake}/gold/fact_daily_network_metrics") if d.startswith("v")]
+    assert len(snaps) <= 3

@@ -28,6 +28,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", "16g"))
     for k, v in {**DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)

@@ -75,10 +75,11 @@ class CdrIngest:
     """The ``foreachBatch`` function (picklable state: paths and order)."""
 
     def __init__(self, lake_dir: str, order_cols: Sequence[str] | None = None,
-                 max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS):
+                 max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS, keep_snapshots: int = 3):
         self.lake_dir = lake_dir.rstrip("/")
         self.order_cols = list(order_cols) if order_cols else None
         self.max_broadcast_keys = max_broadcast_keys
+        self.keep_snapshots = max(1, keep_snapshots)
 
     @property
     def silver(self) -> str:
@@ -111,6 +112,16 @@ class CdrIngest:
             F.broadcast(touched), "call_date", "left_anti").unionByName(rebuilt)
         mart.write.mode("overwrite").parquet(
             f"{self.lake_dir}/gold/fact_daily_network_metrics/v{epoch_id:012d}")
+        self._expire(spark)
+
+    def _expire(self, spark: SparkSession) -> None:
+        """Drop snapshots older than the newest ``keep_snapshots`` complete
+        ones (readers always take the newest complete snapshot)."""
+        old = _snapshots(spark, f"{self.lake_dir}/gold/fact_daily_network_metrics")[:-self.keep_snapshots]
+        jvm = spark.sparkContext._jvm
+        for path in old:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def start_cdr_ingest(spark: SparkSession, landing_dir: str, lake_dir: str, checkpoint_location: str,
