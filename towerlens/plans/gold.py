@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from towerlens.constants import ENGAGEMENT_WEIGHTS
 from towerlens.functions import avg_exact, pct, round_half_even, safe_ratio, sum_exact
 from towerlens.operators import drop_null_keys, join_dim, pct_rank_table
+from towerlens import session
 from towerlens.schemas import CUSTOMER_SUMMARY_DEFAULTS
 
 
@@ -66,15 +67,15 @@ def fact_customer_summary(customers: DataFrame, cdrs: DataFrame, materialize: bo
 
     The joined base feeds three rank computations (each reads it twice) and
     the final join. ``materialize`` (default: whenever the session names a
-    checkpoint folder) checkpoints it there once, which also cuts the lineage
-    back to the CDR scan, so a lost executor does not replay the CDR
-    aggregation.
+    checkpoint folder) writes it once as a Parquet table in that shared
+    folder, which also cuts the lineage back to the CDR scan, so a lost
+    executor does not replay the CDR aggregation.
     """
     base = customer_summary_base(customers, cdrs)
     if materialize is None:
         materialize = bool(base.sparkSession.sparkContext.getCheckpointDir())
     if materialize:
-        base = base.checkpoint(eager=True)
+        base = session.materialize(base, "customer_summary_base")
     return engagement_score(base, rank_kwargs)
 
 

@@ -27,6 +27,7 @@ from towerlens.plans import bronze, dq, gold, silver
 from towerlens.plans.analytics import v1_regional_snapshot
 from towerlens.plans.warehouse import Warehouse
 from towerlens.schemas import CONSTRAINTS, CUSTOMER_SUMMARY_DEFAULTS, MART_SCHEMAS
+from towerlens.session import release_all
 from towerlens.sinks import write_csv, write_json_report, write_mart, write_parquet
 from towerlens.sinks.writers import conform
 from towerlens.sources import require_sources, source_file_stats
@@ -216,4 +217,5 @@ def run(spark: SparkSession, sf_dir: str, out: str, as_of: str = DEFAULT_AS_OF,
     rep.counts.update(run_load(spark, out, marts))
     v1_regional_snapshot(spark, spark.table("fact_regional_performance")).collect()
     rep.timings["load"] = time.time() - t
+    release_all(spark)  # intermediate tables in the checkpoint folder
     return rep

@@ -8,7 +8,9 @@ the caller passes one (tests and the local bench do, a cluster job must not).
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that every plan in this package assumes. They are defaults: a value
 # already present in the session (cluster config) wins.
@@ -62,3 +64,46 @@ def checkpoint_dir(spark: SparkSession, fallback=None) -> str | None:
         sc.setCheckpointDir(target)
         return sc.getCheckpointDir()
     return None
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` as a Parquet table in the session's shared
+    checkpoint folder and return the table read back.
+
+    Columnar and compressed (unlike row-serialized RDD checkpoint blocks),
+    and the scan carries statistics. Requires ``spark.checkpoint.dir``.
+    """
+    spark = df.sparkSession
+    root = spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise RuntimeError("no checkpoint folder: set spark.checkpoint.dir to a shared folder")
+    path = f"{root.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    _MATERIALIZED.append(path)
+    out = spark.read.parquet(path)
+    out._towerlens_path = path
+    return out
+
+
+_MATERIALIZED: list[str] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the table behind a ``materialize``d DataFrame (no longer read)."""
+    path = getattr(df, "_towerlens_path", None)
+    if path:
+        _delete(df.sparkSession, path)
+        if path in _MATERIALIZED:
+            _MATERIALIZED.remove(path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete every table ``materialize`` wrote in this process."""
+    while _MATERIALIZED:
+        _delete(spark, _MATERIALIZED.pop())

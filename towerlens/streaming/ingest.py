@@ -10,8 +10,8 @@ Per micro-batch (``foreachBatch``):
    first-arrived row across batches and a replayed batch appends nothing
    twice (the batch's key set, size-checked, is broadcast into a one-column
    scan of the published ids);
-3. the new rows are checkpointed (reliable, in the shared checkpoint
-   folder): step 2 must not be re-evaluated after the append below;
+3. the new rows are written as a table in the shared checkpoint folder and
+   read back: step 2 must not be re-evaluated after the append below;
 4. the rows are appended to silver (sorted by call_date, customer_id);
 5. the daily mart is rebuilt for the dates the batch touched only -- the
    silver rows of those dates are re-aggregated (exact distinct counts need
@@ -34,6 +34,7 @@ from towerlens.operators.joins import DEFAULT_BROADCAST_ROWS, small_enough
 from towerlens.plans.gold import fact_daily_network_metrics
 from towerlens.plans.silver import clean_cdrs
 from towerlens.schemas import CDRS_RAW
+from towerlens.session import materialize, release
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, schema: StructType = CDRS_RAW,
@@ -98,10 +99,11 @@ class CdrIngest:
                 clean = clean.join(seen, "call_id", "left_anti")
             else:
                 clean = clean.join(published, "call_id", "left_anti")
-        new = clean.checkpoint(eager=True)
+        new = materialize(clean, f"cdr_batch_{epoch_id}")
         (new.sortWithinPartitions("call_date", "customer_id")
          .write.mode("append").parquet(self.silver))
         self._refresh_daily(spark, new, epoch_id)
+        release(new)
 
     def _refresh_daily(self, spark: SparkSession, new: DataFrame, epoch_id: int) -> None:
         touched = new.select("call_date").distinct()
