@@ -9,6 +9,8 @@ a LIMIT are deterministic.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -192,7 +194,7 @@ def ex5_rank_in_cohort(summary: DataFrame, k: int = 50) -> DataFrame:
 def ex6_cte_at_risk(spark: SparkSession, summary: DataFrame) -> DataFrame:
     """Two chained CTEs in SQL text over a temp view; the CTEs are inlined
     and the filter reaches the scan."""
-    view = "_tl_customer_summary_ex6"
+    view = f"_tl_customer_summary_{uuid.uuid4().hex}"
     summary.createOrReplaceTempView(view)
     return spark.sql(f"""
         WITH at_risk AS (
@@ -214,7 +216,7 @@ def ex6_cte_at_risk(spark: SparkSession, summary: DataFrame) -> DataFrame:
 
 def v1_regional_snapshot(spark: SparkSession, regional: DataFrame) -> DataFrame:
     """Warehouse smoke query: SQL text over the registered mart."""
-    view = "_tl_fact_regional_performance_v1"
+    view = f"_tl_fact_regional_performance_{uuid.uuid4().hex}"
     regional.createOrReplaceTempView(view)
     return spark.sql(f"""
         SELECT region, total_calls, drop_rate_pct, revenue_per_customer_usd

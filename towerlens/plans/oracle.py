@@ -9,21 +9,7 @@ doubles.
 
 from __future__ import annotations
 
-from towerlens.constants import (
-    ALLOWED_TECHNOLOGIES,
-    AT_RISK_MIN_MONTHLY,
-    DEFAULT_AS_OF,
-    ENGAGEMENT_DASH_EDGES,
-    ENGAGEMENT_DASH_LABELS,
-    ENGAGEMENT_SQL_EDGES,
-    ENGAGEMENT_SQL_LABELS,
-    HIGH_RISK_MIN_CUSTOMERS,
-    MAX_CALL_SECONDS,
-    MONTH_TO_MONTH,
-    SOURCES,
-    TENURE_EDGES,
-    TENURE_LABELS,
-)
+from towerlens.constants import DEFAULT_AS_OF, MAX_CALL_SECONDS, TENURE_EDGES, TENURE_LABELS
 
 
 # ----------------------------------------------------------------- helpers

@@ -12,12 +12,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark import inheritable_thread_target
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from towerlens.constants import DEFAULT_AS_OF, SOURCES
@@ -27,34 +24,13 @@ from towerlens.plans import bronze, dq, gold, silver
 from towerlens.plans.analytics import v1_regional_snapshot
 from towerlens.plans.warehouse import Warehouse
 from towerlens.schemas import CONSTRAINTS, CUSTOMER_SUMMARY_DEFAULTS, MART_SCHEMAS
-from towerlens.session import release_all
+from towerlens.session import release_all, run_concurrently
 from towerlens.sinks import write_csv, write_json_report, write_mart, write_parquet
 from towerlens.sinks.writers import conform
-from towerlens.sources import require_sources, source_file_stats
+from towerlens.sources import hadoop_fs, require_sources, source_file_stats
 from towerlens.sources.adapters import CDR_ORDER
 
 
-def run_concurrently(spark: SparkSession, tasks: dict[str, Callable[[], Any]],
-                     max_workers: int = 8) -> dict[str, Any]:
-    """Run independent Spark actions from separate driver threads.
-
-    Spark schedules jobs from different threads side by side, so small jobs
-    (a one-row report, a dimension write) fill cores a large job leaves
-    idle instead of queueing behind it. Job descriptions follow the task
-    names; the first error is re-raised after all tasks finish.
-    """
-    def wrap(name, fn):
-        def go():
-            spark.sparkContext.setJobDescription(name)
-            return fn()
-        return inheritable_thread_target(spark)(go)
-
-    with ThreadPoolExecutor(max_workers=min(max_workers, max(1, len(tasks)))) as pool:
-        futures = {name: pool.submit(wrap(name, fn)) for name, fn in tasks.items()}
-        wait(list(futures.values()))
-    return {name: f.result() for name, f in futures.items()}
-
-
 def step(spark: SparkSession, name: str) -> None:
     """Label the following Spark jobs (visible in the event log)."""
     spark.sparkContext.setJobDescription(name)
@@ -66,21 +42,9 @@ class RunReport:
     counts: dict[str, int] = field(default_factory=dict)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
 def publish(spark: SparkSession, staged: str, final: str) -> None:
     """Move a staged folder to its published path (replacing an old one)."""
-    fs, src, jvm = _fs(spark, staged)
-    dst = jvm.org.apache.hadoop.fs.Path(final)
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst):
-        raise OSError(f"could not publish {staged} -> {final}")
+    hadoop_fs.replace(spark, staged, final)
 
 
 def run_land(spark: SparkSession, w: Warehouse, out: str) -> dict[str, str]:

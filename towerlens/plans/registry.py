@@ -7,6 +7,7 @@ over whole tables; LIMIT appears only where top-k is the query's feature.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,7 +106,7 @@ def _scan_csv_towers(spark, w):
     root = checkpoint_dir(spark)
     if root is None:
         raise RuntimeError("spark.checkpoint.dir is not set")
-    path = f"{root}/csv/cell_towers_{abs(hash(w.sf_dir))}"
+    path = f"{root}/csv/cell_towers_{uuid.uuid4().hex}"
     write_csv(w.towers_raw, path)
     return read_csv(spark, path, TOWERS_RAW)
 

@@ -9,9 +9,16 @@ the caller passes one (tests and the local bench do, a cluster job must not).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
+from typing import Any
+
+from pyspark import inheritable_thread_target
 
 from pyspark.sql import DataFrame, SparkSession
 
+from towerlens.sources import hadoop_fs
+
 # Settings that every plan in this package assumes. They are defaults: a value
 # already present in the session (cluster config) wins.
 DEFAULTS = {
@@ -88,17 +95,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 _MATERIALIZED: list[str] = []
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def release(df: DataFrame) -> None:
     """Delete the table behind a ``materialize``d DataFrame (no longer read)."""
     path = getattr(df, "_towerlens_path", None)
     if path:
-        _delete(df.sparkSession, path)
+        hadoop_fs.delete(df.sparkSession, path)
         if path in _MATERIALIZED:
             _MATERIALIZED.remove(path)
 
@@ -106,4 +107,25 @@ def release(df: DataFrame) -> None:
 def release_all(spark: SparkSession) -> None:
     """Delete every table ``materialize`` wrote in this process."""
     while _MATERIALIZED:
-        _delete(spark, _MATERIALIZED.pop())
+        hadoop_fs.delete(spark, _MATERIALIZED.pop())
+
+
+def run_concurrently(spark: SparkSession, tasks: dict[str, Callable[[], Any]],
+                     max_workers: int = 8) -> dict[str, Any]:
+    """Run independent Spark actions from separate driver threads.
+
+    Spark schedules jobs from different threads side by side, so small jobs
+    (a one-row report, a dimension write) fill cores a large job leaves
+    idle instead of queueing behind it. Job descriptions follow the task
+    names; the first error is re-raised after all tasks finish.
+    """
+    def wrap(name, fn):
+        def go():
+            spark.sparkContext.setJobDescription(name)
+            return fn()
+        return inheritable_thread_target(spark)(go)
+
+    with ThreadPoolExecutor(max_workers=min(max_workers, max(1, len(tasks)))) as pool:
+        futures = {name: pool.submit(wrap(name, fn)) for name, fn in tasks.items()}
+        wait(list(futures.values()))
+    return {name: f.result() for name, f in futures.items()}

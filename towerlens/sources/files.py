@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from towerlens.sources import hadoop_fs
+
 
 class SourceMissingError(FileNotFoundError):
     """A named bronze source does not exist."""
@@ -45,13 +47,7 @@ def read_mart_csv(spark: SparkSession, path: str, schema: StructType) -> DataFra
 def require_sources(spark: SparkSession, paths: dict[str, str]) -> None:
     """Fail when a named source is missing (checks the file system the
     cluster sees, through Hadoop, not the local disk of the driver)."""
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    missing = []
-    for name, path in paths.items():
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        if not p.getFileSystem(hconf).exists(p):
-            missing.append(f"{name}: {path}")
+    missing = [f"{name}: {path}" for name, path in paths.items() if not hadoop_fs.exists(spark, path)]
     if missing:
         raise SourceMissingError("Bronze source missing: " + "; ".join(missing))
 

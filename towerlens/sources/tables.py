@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from towerlens.sources import hadoop_fs
+
 # Below this size a single-split scan is cheaper than a redistribution.
 SPREAD_MIN_BYTES = 4 * 1024 * 1024
 
@@ -12,13 +14,6 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def _size_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Parquet scan; column pruning and filter pushdown come from Catalyst.
 
@@ -38,6 +33,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
             splits = df.rdd.getNumPartitions()
         except Exception:  # noqa: BLE001 - no RDD API (e.g. a remote session): leave the scan as is
             return df
-        if splits < target and _size_bytes(spark, path) > SPREAD_MIN_BYTES:
+        if splits < target and hadoop_fs.size_bytes(spark, path) > SPREAD_MIN_BYTES:
             df = df.repartition(target)
     return df

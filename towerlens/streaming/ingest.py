@@ -35,6 +35,7 @@ from towerlens.plans.gold import fact_daily_network_metrics
 from towerlens.plans.silver import clean_cdrs
 from towerlens.schemas import CDRS_RAW
 from towerlens.session import materialize, release
+from towerlens.sources import hadoop_fs
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, schema: StructType = CDRS_RAW,
@@ -46,22 +47,10 @@ def landing_stream(spark: SparkSession, landing_dir: str, schema: StructType = C
     return reader.csv(landing_dir)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _snapshots(spark: SparkSession, root: str) -> list[str]:
     """Complete snapshot folders (with a _SUCCESS marker), oldest first."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
-    return [f"{root}/{n}" for n in names
-            if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))]
+    return [f"{root}/{n}" for n in hadoop_fs.list_dirs(spark, root)
+            if n.startswith("v") and hadoop_fs.exists(spark, f"{root}/{n}/_SUCCESS")]
 
 
 def latest_daily(spark: SparkSession, lake_dir: str, before_epoch: int | None = None) -> DataFrame | None:
@@ -89,7 +78,7 @@ class CdrIngest:
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         clean = clean_cdrs(batch, self.order_cols)
-        if _exists(spark, self.silver):
+        if hadoop_fs.exists(spark, self.silver):
             published = spark.read.parquet(self.silver).select("call_id")
             keys = clean.select("call_id").distinct()
             if small_enough(keys, self.max_broadcast_keys):
@@ -120,10 +109,8 @@ class CdrIngest:
         """Drop snapshots older than the newest ``keep_snapshots`` complete
         ones (readers always take the newest complete snapshot)."""
         old = _snapshots(spark, f"{self.lake_dir}/gold/fact_daily_network_metrics")[:-self.keep_snapshots]
-        jvm = spark.sparkContext._jvm
         for path in old:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            hadoop_fs.delete(spark, path)
 
 
 def start_cdr_ingest(spark: SparkSession, landing_dir: str, lake_dir: str, checkpoint_location: str,
