@@ -80,3 +80,13 @@ def test_gold_edges(spark):
     # property: daily totals = regional totals + CDRs of unknown towers
     unmatched = cdrs.join(towers, "cell_tower_id", "left_anti").count()
     assert sum(r.total_calls for r in daily.values()) == sum(r.total_calls for r in regional) + unmatched
+
+
+def test_approx_distinct_opt_in(spark):
+    from towerlens.plans.warehouse import Warehouse
+    w = Warehouse.from_sources(spark, "/root/testdata/sf0.01")
+    exact = {r.call_date: r.unique_customers_active for r in gold.fact_daily_network_metrics(w.cdrs).collect()}
+    approx = gold.fact_daily_network_metrics(w.cdrs, exact_distinct=False)
+    assert "Expand" not in approx._jdf.queryExecution().executedPlan().toString()
+    for r in approx.collect():
+        assert abs(r.unique_customers_active - exact[r.call_date]) <= max(2, 0.06 * exact[r.call_date])
