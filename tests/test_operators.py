@@ -178,3 +178,20 @@ def test_orphans_both_strategies_agree(spark):
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
     assert small.count() == sum(1 for i in range(400) if i % 5 == 0 or (i % 13) % 2 == 1)
+
+
+def test_source_file_stats_multi_file(spark, scratch):
+    from towerlens.sources import source_file_stats
+    folder = f"{scratch}/src"
+    import os
+    os.makedirs(folder)
+    for i, data in enumerate([b"a\n1\n", b"a\n2\n", b"a\n3\n"]):
+        with open(f"{folder}/part-{i}.csv", "wb") as fh:
+            fh.write(data)
+    first = source_file_stats(spark, folder).first()
+    assert (first.file_count, first.size_bytes) == (3, 12)
+    assert source_file_stats(spark, folder).first() == first
+    with open(f"{folder}/part-1.csv", "wb") as fh:
+        fh.write(b"a\n9\n")
+    changed = source_file_stats(spark, folder).first()
+    assert changed.size_bytes == 12 and changed.checksum_sha256_16 != first.checksum_sha256_16
