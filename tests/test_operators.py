@@ -46,6 +46,21 @@ def test_dedup_hot_key_plan_is_partial_aggregate(spark):
     assert out.where("k = 'hot'").first().o == 1
 
 
+def test_dedup_split_plan_equals_aggregate_plan(spark):
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["a", "b", None] + [f"k{i}" for i in range(300)]), rnd.randint(0, 50), i)
+            for i in range(3000)]
+    rows += [("hot", rnd.randint(0, 10 ** 6), i) for i in range(1500)]  # a third of all rows
+    df = spark.createDataFrame(rows, "k string, o int, v int")
+    full = dedup_keep_first(df, ["k"], ["o", "v"])
+    split = dedup_keep_first(df, ["k"], ["o", "v"], max_broadcast_keys=1000)
+    fallback = dedup_keep_first(df, ["k"], ["o", "v"], max_broadcast_keys=2)
+    assert "BroadcastHashJoin" in split._jdf.queryExecution().executedPlan().toString()
+    for other in (split, fallback):
+        assert other.exceptAll(full).count() == 0 and full.exceptAll(other).count() == 0
+    assert split.where("k is null").count() == 1 and split.count() == full.count()
+
+
 def test_dedup_counts(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
     r = dedup_counts(df, "k").first()
