@@ -210,3 +210,5 @@ def test_source_file_stats_multi_file(spark, scratch):
         fh.write(b"a\n9\n")
     changed = source_file_stats(spark, folder).first()
     assert changed.size_bytes == 12 and changed.checksum_sha256_16 != first.checksum_sha256_16
+    big = source_file_stats(spark, folder, max_hash_bytes=3).first()
+    assert (big.file_count, big.size_bytes, big.checksum_sha256_16) == (3, 12, None)

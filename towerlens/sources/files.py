@@ -22,20 +22,34 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     return reader.option("inferSchema", True).csv(path)
 
 
-def source_file_stats(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+MAX_HASH_BYTES = 1 << 30  # larger files are not read whole into one task
+
+
+def source_file_stats(spark: SparkSession, folder: str, glob: str = "*.csv",
+                      max_hash_bytes: int = MAX_HASH_BYTES) -> DataFrame:
     """One row for a source stored as one or more files: file count, total
     bytes and a SHA-256-based checksum (first 16 hex digits). For a single
     file the checksum is that file's; for several it is combined order-free
     (sum of 64-bit hashes of the per-file digests), so no file list is
-    gathered in one place."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-             .select(F.col("length"), F.sha2(F.col("content"), 256).alias("d")))
-    combined = F.substring(F.sha2(F.sum(F.xxhash64("d").cast("decimal(38,0)")).cast("string"), 256), 1, 16)
-    return files.agg(
-        F.count(F.lit(1)).alias("file_count"),
-        F.sum("length").alias("size_bytes"),
-        F.when(F.count(F.lit(1)) == 1, F.substring(F.max("d"), 1, 16)).otherwise(combined)
-        .alias("checksum_sha256_16"))
+    gathered in one place.
+
+    Files are listed first without reading them; a digest needs the whole
+    file in one task, so when any file exceeds ``max_hash_bytes`` the
+    checksum is NULL (use ``operators.table_fingerprint`` on the parsed rows
+    for change detection at that size)."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    sizes = listing.agg(F.count(F.lit(1)).alias("file_count"), F.sum("length").alias("size_bytes"),
+                        F.max("length").alias("_largest")).first()
+    if sizes["file_count"] and sizes["_largest"] <= max_hash_bytes:
+        digests = listing.select(F.sha2(F.col("content"), 256).alias("d"))
+        combined = F.substring(F.sha2(F.sum(F.xxhash64("d").cast("decimal(38,0)")).cast("string"), 256), 1, 16)
+        checksum = digests.agg(F.when(F.count(F.lit(1)) == 1, F.substring(F.max("d"), 1, 16))
+                               .otherwise(combined)).first()[0]
+    else:
+        checksum = None
+    return spark.createDataFrame(
+        [(int(sizes["file_count"]), int(sizes["size_bytes"] or 0), checksum)],
+        "file_count bigint, size_bytes bigint, checksum_sha256_16 string")
 
 
 def read_mart_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
