@@ -66,7 +66,8 @@ def run_bronze(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
     stats = None
     if paths:
         require_sources(spark, paths)
-        stats = {name: source_file_stats(spark, path) for name, path in paths.items()}
+        stats = run_concurrently(spark, {
+            name: (lambda p=path: source_file_stats(spark, p)) for name, path in paths.items()})
     audit = bronze.audit_sources(w.raw_sources())
     write_json_report(bronze.audit_document(spark, audit, run_ts, stats), f"{out}/bronze/_ingestion_audit")
     return audit
