@@ -53,3 +53,14 @@ def test_pushdown_of_tuned_predicates(spark, scratch):
     assert "PushedFilters: [IsNotNull(contract), EqualTo(contract,Month-to-month)]" in plain
     assert "EqualTo(contract" not in upper
     assert "EqualTo(contract,Month-to-month)" in having
+
+
+def test_rank_join_back_broadcasts_within_bound(spark):
+    w = Warehouse.from_sources(spark, SF_SMALL)
+    base = gold.customer_summary_base(w.customers, w.cdrs)
+    small = plan(gold.engagement_score(base))
+    assert small.count("BroadcastHashJoin") >= 3
+    big = gold.engagement_score(base, max_broadcast_rows=0)
+    a = big.select("customer_id", "engagement_score")
+    b = gold.engagement_score(base).select("customer_id", "engagement_score")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

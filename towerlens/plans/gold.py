@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from towerlens.constants import ENGAGEMENT_WEIGHTS
 from towerlens.functions import avg_exact, pct, round_half_even, safe_ratio, sum_exact
 from towerlens.operators import drop_null_keys, join_dim, pct_rank_table
+from towerlens.operators.joins import DEFAULT_BROADCAST_ROWS
 from towerlens import session
 from towerlens.schemas import CUSTOMER_SUMMARY_DEFAULTS
 
@@ -43,16 +44,30 @@ def customer_summary_base(customers: DataFrame, cdrs: DataFrame) -> DataFrame:
     return joined.fillna(CUSTOMER_SUMMARY_DEFAULTS)
 
 
-def engagement_score(base: DataFrame, rank_kwargs: dict | None = None) -> DataFrame:
-    """Weighted sum of three average-rank percentiles, 2 decimals, plus CLV."""
+def engagement_score(base: DataFrame, rank_kwargs: dict | None = None,
+                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Weighted sum of three average-rank percentiles, 2 decimals, plus CLV.
+
+    One aggregate job gives, per rank input, the non-NULL count (sizes the
+    rank buckets) and the exact number of distinct values, which is the row
+    count of its rank table: tables within ``max_broadcast_rows`` (tenure and
+    call counts have few distinct values) are broadcast into the join-back,
+    so the wide customer base is not shuffled for them; a larger table (e.g.
+    megabytes, nearly one value per customer) is a shuffle join, where AQE
+    splits a hot value.
+    """
     kw = dict(rank_kwargs or {})
     cols = [c for c, _ in ENGAGEMENT_WEIGHTS]
-    counts = base.agg(*[F.count(c).alias(c) for c in cols]).first()  # one job for all N
+    stats = base.agg(*[F.count(c).alias(f"n_{c}") for c in cols],
+                     *[F.count_distinct(c).alias(f"d_{c}") for c in cols]).first()
     out = base
     score = None
     for col, weight in ENGAGEMENT_WEIGHTS:
         rcol = f"_pct_{col}"
-        out = out.join(pct_rank_table(base, col, rcol, n=counts[col], **kw), on=col, how="left")
+        ranks = pct_rank_table(base, col, rcol, n=stats[f"n_{col}"], **kw)
+        if stats[f"d_{col}"] <= max_broadcast_rows:
+            ranks = F.broadcast(ranks)
+        out = out.join(ranks, on=col, how="left")
         term = F.col(rcol) * F.lit(weight)
         score = term if score is None else score + term
     out = out.withColumn("engagement_score", round_half_even(score, 2))
