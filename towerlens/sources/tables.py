@@ -27,12 +27,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     """
     path = table_path(sf_dir, name)
     df = spark.read.parquet(path)
-    if spread:
+    # the size (file-system metadata) is checked first: small tables skip
+    # the split probe, which has to plan the scan
+    if spread and hadoop_fs.size_bytes(spark, path) > SPREAD_MIN_BYTES:
         try:
             target = spark.sparkContext.defaultParallelism
             splits = df.rdd.getNumPartitions()
         except Exception:  # noqa: BLE001 - no RDD API (e.g. a remote session): leave the scan as is
             return df
-        if splits < target and hadoop_fs.size_bytes(spark, path) > SPREAD_MIN_BYTES:
+        if splits < target:
             df = df.repartition(target)
     return df
