@@ -64,3 +64,12 @@ def test_rank_join_back_broadcasts_within_bound(spark):
     a = big.select("customer_id", "engagement_score")
     b = gold.engagement_score(base).select("customer_id", "engagement_score")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_scan_spread_only_for_large_single_split_tables(spark):
+    from towerlens.sources.tables import read_table
+    big = read_table(spark, "/root/testdata/sf0.1", "lineitem")     # ~10 MB, one row group
+    small = read_table(spark, "/root/testdata/sf0.1", "supplier")   # tiny
+    assert big.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert "RoundRobinPartitioning" in plan(big)
+    assert "RoundRobinPartitioning" not in plan(small)
