@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from towerlens.plans.registry import ORACLE, QUERIES
 
 from .conftest import SF_SMALL
 
@@ -24,7 +25,8 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_declared_rows_only():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == ROWS_ONLY
+    assert set(QUERIES) <= set(q) and set(ORACLE) <= set(o)
+    assert set(QUERIES) - set(o) == ROWS_ONLY
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +47,7 @@ def canon(df: pd.DataFrame):
     return sorted(tuple(norm(x) for x in r) for r in df[cols].itertuples(index=False, name=None))
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     sat = entry.queries()[name](spark, SF_SMALL).toArrow()
     oat = duck.sql(entry.oracle_sql()[name]).to_arrow_table()
