@@ -8,10 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from towerlens.llm.common import read
+from towerlens.llm.dac import read_token_files, write_token_files
 from towerlens.llm.exact_dedup import exact_groups
+from towerlens.llm.packing import pack
 
 #: Normalisation of the exact operators: A-Z only, null as empty.
 SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -28,8 +32,20 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
+def op6_directly_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_directly_addressable_codes": op6_directly_addressable_codes,
     "op8_cuckoo_exact_dedup": op8_cuckoo_exact_dedup,
+    "op10_bounded_space_packing": op10_bounded_space_packing,
 }
 ORACLE: dict[str, str] = {
     "op8_cuckoo_exact_dedup": OP8_SQL,
