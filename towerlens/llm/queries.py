@@ -16,6 +16,8 @@ from towerlens.llm.common import read
 from towerlens.llm.dac import read_token_files, write_token_files
 from towerlens.llm.exact_dedup import exact_groups
 from towerlens.llm.packing import pack
+from towerlens.llm.simhash import near_duplicates
+from towerlens.llm.winnowing import contamination
 
 #: Normalisation of the exact operators: A-Z only, null as empty.
 SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -37,6 +39,20 @@ def op6_directly_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFram
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    judged, found = contamination(docs, read(spark, sf_dir, "benchmark"))
+    hit = F.size(f"{found}.hit_words").cast("long")
+    return judged.select("doc_id", F.col(f"{found}.n_words").alias("n_words"), hit.alias("n_hit"),
+                         F.size(f"{found}.items").cast("long").alias("n_items"),
+                         F.sha2(F.array_join(f"{found}.items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+def op9_bit_sliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -44,7 +60,9 @@ def op10_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_directly_addressable_codes": op6_directly_addressable_codes,
+    "op7_winnowing_decontamination": op7_winnowing_decontamination,
     "op8_cuckoo_exact_dedup": op8_cuckoo_exact_dedup,
+    "op9_bit_sliced_simhash": op9_bit_sliced_simhash,
     "op10_bounded_space_packing": op10_bounded_space_packing,
 }
 ORACLE: dict[str, str] = {
