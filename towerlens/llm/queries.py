@@ -16,6 +16,7 @@ from towerlens.llm.common import read
 from towerlens.llm.dac import read_token_files, write_token_files
 from towerlens.llm.exact_dedup import exact_groups
 from towerlens.llm.packing import pack
+from towerlens.llm.pii import base_count, find_personal_data, joined_spans
 from towerlens.llm.simhash import near_duplicates
 from towerlens.llm.winnowing import contamination
 
@@ -34,6 +35,12 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
+def op3_checked_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[base_count(k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+                        F.sha2(joined_spans(base_only=True), 256).alias("base_sha256"), joined_spans(base_only=False).alias("spans"))
+
+
 def op6_directly_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -59,6 +66,7 @@ def op10_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_checked_personal_data": op3_checked_personal_data,
     "op6_directly_addressable_codes": op6_directly_addressable_codes,
     "op7_winnowing_decontamination": op7_winnowing_decontamination,
     "op8_cuckoo_exact_dedup": op8_cuckoo_exact_dedup,
