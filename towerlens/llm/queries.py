@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from towerlens.llm.brown import brown_scores, seventh_held_out
 from towerlens.llm.common import read
 from towerlens.llm.dac import read_token_files, write_token_files
 from towerlens.llm.exact_dedup import exact_groups
@@ -35,6 +36,10 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
+def op2_brown_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_scores(read(spark, sf_dir, "documents"), seventh_held_out())
+
+
 def op3_checked_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(read(spark, sf_dir, "documents"))
     return found.select("doc_id", *[base_count(k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
@@ -66,6 +71,7 @@ def op10_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_brown_class_ngrams": op2_brown_class_ngrams,
     "op3_checked_personal_data": op3_checked_personal_data,
     "op6_directly_addressable_codes": op6_directly_addressable_codes,
     "op7_winnowing_decontamination": op7_winnowing_decontamination,
