@@ -18,6 +18,7 @@ from towerlens.llm.dac import read_token_files, write_token_files
 from towerlens.llm.exact_dedup import exact_groups
 from towerlens.llm.packing import pack
 from towerlens.llm.pii import base_count, find_personal_data, joined_spans
+from towerlens.llm.quality import quality_scores, quarter_held_out
 from towerlens.llm.simhash import near_duplicates
 from towerlens.llm.winnowing import contamination
 
@@ -46,6 +47,11 @@ def op3_checked_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined_spans(base_only=True), 256).alias("base_sha256"), joined_spans(base_only=False).alias("spans"))
 
 
+def op5_latent_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), quarter_held_out())
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op6_directly_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -73,6 +79,7 @@ def op10_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_brown_class_ngrams": op2_brown_class_ngrams,
     "op3_checked_personal_data": op3_checked_personal_data,
+    "op5_latent_neighbour_quality": op5_latent_neighbour_quality,
     "op6_directly_addressable_codes": op6_directly_addressable_codes,
     "op7_winnowing_decontamination": op7_winnowing_decontamination,
     "op8_cuckoo_exact_dedup": op8_cuckoo_exact_dedup,
