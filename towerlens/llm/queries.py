@@ -20,6 +20,7 @@ from towerlens.llm.packing import pack
 from towerlens.llm.pii import base_count, find_personal_data, joined_spans
 from towerlens.llm.quality import quality_scores, quarter_held_out
 from towerlens.llm.simhash import near_duplicates
+from towerlens.llm.toxicity import toxicity_scores
 from towerlens.llm.winnowing import contamination
 
 #: Normalisation of the exact operators: A-Z only, null as empty.
@@ -37,6 +38,11 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
+def op1_boosted_tree_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op2_brown_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_scores(read(spark, sf_dir, "documents"), seventh_held_out())
 
@@ -77,6 +83,7 @@ def op10_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_boosted_tree_toxicity": op1_boosted_tree_toxicity,
     "op2_brown_class_ngrams": op2_brown_class_ngrams,
     "op3_checked_personal_data": op3_checked_personal_data,
     "op5_latent_neighbour_quality": op5_latent_neighbour_quality,
