@@ -16,6 +16,7 @@ from towerlens.llm.brown import brown_scores, seventh_held_out
 from towerlens.llm.common import read
 from towerlens.llm.dac import read_token_files, write_token_files
 from towerlens.llm.exact_dedup import exact_groups
+from towerlens.llm.long_repeats import remove_long_repeats
 from towerlens.llm.packing import pack
 from towerlens.llm.pii import base_count, find_personal_data, joined_spans
 from towerlens.llm.quality import quality_scores, quarter_held_out
@@ -53,6 +54,12 @@ def op3_checked_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined_spans(base_only=True), 256).alias("base_sha256"), joined_spans(base_only=False).alias("spans"))
 
 
+def op4_run_length_index_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_long_repeats(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_latent_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), quarter_held_out())
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
@@ -86,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_boosted_tree_toxicity": op1_boosted_tree_toxicity,
     "op2_brown_class_ngrams": op2_brown_class_ngrams,
     "op3_checked_personal_data": op3_checked_personal_data,
+    "op4_run_length_index_repeats": op4_run_length_index_repeats,
     "op5_latent_neighbour_quality": op5_latent_neighbour_quality,
     "op6_directly_addressable_codes": op6_directly_addressable_codes,
     "op7_winnowing_decontamination": op7_winnowing_decontamination,
