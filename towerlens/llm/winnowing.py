@@ -262,3 +262,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, str
     return out.withColumn(column, F.struct(
         F.col(f"{column}.n_words").alias("n_words"), F.array_sort(f"{column}.hit_words").alias("hit_words"),
         F.array_sort(F.array_distinct(f"{column}.items")).alias("items"))), column
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without documents that hold a benchmark window; all columns as they are."""
+    judged, found = contamination(docs, benchmark)
+    return judged.where(F.size(f"{found}.hit_words") == 0).drop(found)
