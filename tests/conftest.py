@@ -20,6 +20,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-test-warehouse-", dir="/tmp"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     configure(s)

@@ -82,7 +82,20 @@ def test_lenient_timestamp_forms(spark):
 def test_exact_sum_is_order_free(spark):
     vals = [0.1] * 10 + [0.2] * 10 + [1e6 + 0.3]
     df = one_col(spark, vals, "double")
-    a = df.agg(sum_exact("x", 1).alias("s"), avg_exact("x", 1).alias("m")).first()
-    b = df.repartition(7).agg(sum_exact("x", 1).alias("s"), avg_exact("x", 1).alias("m")).first()
+    a = df.agg(sum_exact("x").alias("s"), avg_exact("x").alias("m")).first()
+    b = df.repartition(7).agg(sum_exact("x").alias("s"), avg_exact("x").alias("m")).first()
     assert a.s == b.s == 1000003.3
     assert a.m == b.m
+
+
+def test_exact_sum_keeps_all_digits(spark):
+    df = one_col(spark, [0.005] + [0.004] * 10, "double")
+    assert abs(df.agg(sum_exact("x")).first()[0] - 0.045) < 1e-15
+    tiny = one_col(spark, [1e-12] * 1000, "double")
+    assert abs(tiny.agg(sum_exact("x")).first()[0] - 1e-9) < 1e-20
+
+
+def test_lenient_number_takes_plain_numbers_only(spark):
+    df = one_col(spark, ["NaN", "1d", "Infinity", "-inf", "1e400", "0x1", "1.5", " -2 ", "+.5", "3.", "1e3", "", None], "string")
+    assert [r[0] for r in df.select(lenient_number("x")).collect()] == [
+        None, None, None, None, None, None, 1.5, -2.0, 0.5, 3.0, 1000.0, None, None]

@@ -8,6 +8,10 @@ from towerlens.plans import gold, silver
 from towerlens.schemas import CDRS_RAW, CUSTOMERS_RAW, TOWERS_RAW
 
 
+def ordered(df):
+    return df.withColumn("file_row", F.monotonically_increasing_id())
+
+
 def customer(cid, tenure, monthly, total, churn="No", contract="Month-to-month", pay="Electronic check"):
     return (cid, "Male", 0, "No", "No", tenure, "Yes", "No", "DSL", "No", "No", "No", "No", "No", "No",
             contract, "Yes", pay, monthly, total, churn)
@@ -15,9 +19,9 @@ def customer(cid, tenure, monthly, total, churn="No", contract="Month-to-month",
 
 def test_clean_customers_imputation_and_cohorts(spark):
     rows = [customer("c1", 0, 30.0, " "), customer("c2", 0, 30.0, "50"), customer("c3", 5, 20.0, "n/a"),
-            customer("c4", 12, 10.0, "120.5", churn="Yes"), customer("c4", 99, 1.0, "1", churn="No"),
+            customer("c4", 12, 10.0, "120.5", churn="Yes"), customer("c4", 3, 1.0, "1", churn="No"),
             customer("c5", 101, 10.0, "1010")]
-    df = silver.clean_customers(spark.createDataFrame(rows, CUSTOMERS_RAW))
+    df = silver.clean_customers(ordered(spark.createDataFrame(rows, CUSTOMERS_RAW)), ["file_row"])
     got = {r.customer_id: r for r in df.collect()}
     assert got["c1"].totalcharges == 0.0 and got["c2"].totalcharges == 0.0
     assert got["c3"].totalcharges == 20.0
@@ -49,7 +53,7 @@ def test_clean_cdrs_order_of_steps(spark):
 def test_towers_years_in_service(spark):
     rows = [("t1", "North", "Delhi", 28.0, 75.0, "5G", dt.date(2023, 12, 15), 500),
             ("t2", "Central", "Indore", 23.9, 68.9, "4G", dt.date(2021, 6, 30), 1000)]
-    df = silver.clean_cell_towers(spark.createDataFrame(rows, TOWERS_RAW), as_of="2026-05-26")
+    df = silver.clean_cell_towers(ordered(spark.createDataFrame(rows, TOWERS_RAW)), "2026-05-26", ["file_row"])
     # values from the reference's committed tower dimension for that day
     assert {r.cell_tower_id: r.years_in_service for r in df.collect()} == {"t1": 2.44, "t2": 4.9}
 
@@ -57,7 +61,7 @@ def test_towers_years_in_service(spark):
 def test_gold_edges(spark):
     customers = silver.clean_customers(spark.createDataFrame(
         [customer("c1", 10, 50.0, "500"), customer("c2", 20, 60.0, "1200"), customer("c3", 30, 70.0, "2100")],
-        CUSTOMERS_RAW))
+        CUSTOMERS_RAW).withColumn("file_row", F.lit(1)), ["file_row"])
     raw = spark.createDataFrame([
         cdr("a", "c1", "2026-01-01T10:00:00", tower="t1", cost=0.25),
         cdr("b", "c1", "2026-01-01T11:00:00", ctype="SMS", tower="t1", status="DROPPED", cost=0.5),
@@ -65,7 +69,7 @@ def test_gold_edges(spark):
         cdr("d", None, "2026-01-02T12:00:00", tower="t1", cost=2.0)], CDRS_RAW)
     cdrs = silver.clean_cdrs(raw.withColumn("ord", F.lit(0)), ["ord"])
     towers = silver.clean_cell_towers(spark.createDataFrame(
-        [("t1", "North", "Delhi", 28.0, 75.0, "5G", dt.date(2023, 12, 15), 500)], TOWERS_RAW))
+        [("t1", "North", "Delhi", 28.0, 75.0, "5G", dt.date(2023, 12, 15), 500)], TOWERS_RAW).withColumn("file_row", F.lit(1)), "2026-05-26", ["file_row"])
     summary = {r.customer_id: r for r in gold.fact_customer_summary(customers, cdrs).collect()}
     assert summary["c3"].total_calls == 0 and summary["c3"].total_data_mb == 0.0
     assert summary["c3"].last_activity_date is None

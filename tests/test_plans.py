@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from towerlens.plans import analytics as A
+from towerlens.plans import dq
 from towerlens.plans import gold
 from towerlens.plans.warehouse import Warehouse
 
@@ -55,21 +56,16 @@ def test_pushdown_of_tuned_predicates(spark, scratch):
     assert "EqualTo(contract,Month-to-month)" in having
 
 
-def test_rank_join_back_broadcasts_within_bound(spark):
+def test_no_size_check_gathers_rows(spark):
+    """No join is preceded by a count of rows in one task, and no scan is dealt anew."""
     w = Warehouse.from_sources(spark, SF_SMALL)
-    base = gold.customer_summary_base(w.customers, w.cdrs)
-    small = plan(gold.engagement_score(base))
-    assert small.count("BroadcastHashJoin") >= 3
-    big = gold.engagement_score(base, max_broadcast_rows=0)
-    a = big.select("customer_id", "engagement_score")
-    b = gold.engagement_score(base).select("customer_id", "engagement_score")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-def test_scan_spread_only_for_large_single_split_tables(spark):
-    from towerlens.sources.tables import read_table
-    big = read_table(spark, "/root/testdata/sf0.1", "lineitem")     # ~10 MB, one row group
-    small = read_table(spark, "/root/testdata/sf0.1", "supplier")   # tiny
-    assert big.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert "RoundRobinPartitioning" in plan(big)
-    assert "RoundRobinPartitioning" not in plan(small)
+    for df in (gold.cdr_tower_enrich(w.cdrs, w.towers), w.regional, dq.dq_orphan_cdrs(w.cdrs, w.customers)):
+        p = plan(df)
+        assert "GlobalLimit" not in p and "RoundRobinPartitioning" not in p and "Expand" not in p
+
+
+def test_regional_aggregates_before_the_tower_join(spark):
+    w = Warehouse.from_sources(spark, SF_SMALL)
+    p = w.regional._jdf.queryExecution().optimizedPlan().toString()
+    join = p.index("cell_tower_id")
+    assert "Aggregate [cell_tower_id" in p and join >= 0

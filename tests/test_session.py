@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from towerlens.session import checkpoint_dir, materialize, release, release_all, run_concurrently
+from towerlens.session import checkpoint_dir, materialize, materialized, release, release_since, run_concurrently
 from towerlens.sources import hadoop_fs
 
 
@@ -29,9 +29,12 @@ def test_materialize_cuts_lineage_and_release_deletes(spark):
     assert m.exceptAll(df).count() == 0 and df.exceptAll(m).count() == 0
     release(m)
     assert not hadoop_fs.exists(spark, path)
-    other = materialize(df, "unit2")
-    release_all(spark)
-    assert not hadoop_fs.exists(spark, other._towerlens_path)
+    kept = materialize(df, "unit2")
+    mark = materialized()
+    other = materialize(df, "unit3")
+    release_since(spark, mark)
+    assert not hadoop_fs.exists(spark, other._towerlens_path) and hadoop_fs.exists(spark, kept._towerlens_path)
+    release(kept)
 
 
 def test_checkpoint_dir_prefers_session_setting(spark, scratch):

@@ -39,7 +39,7 @@ FROM (SELECT *, ord1 AS l_partkey FROM cdrs_raw_base)"""
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    w = Warehouse.from_sources(spark, SF, rank_kwargs={"rows_per_bucket": 40})
+    w = Warehouse.from_sources(spark, SF, rank_parts=30)
     w.cdrs_raw = skew_spark(w.cdrs_raw)
     con = duckdb.connect()
     for t in ["region", "nation", "customer", "supplier", "orders", "lineitem"]:

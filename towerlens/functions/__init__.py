@@ -2,6 +2,7 @@
 
 from towerlens.functions.exprs import (  # noqa: F401
     avg_exact,
+    beyond_nine,
     bucketize,
     eq_flag,
     lenient_number,

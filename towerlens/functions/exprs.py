@@ -40,20 +40,26 @@ def round_half_up(c: str | Column, digits: int) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-def sum_exact(c: str | Column, scale: int, precision: int = 28) -> Column:
-    """Order-independent sum of a double that carries ``scale`` decimals.
+def sum_exact(c: str | Column) -> Column:
+    """Sum of a double that does not depend on the order rows arrive in.
 
-    Summing doubles depends on the order rows arrive in, which differs between
-    runs and partitionings; a decimal sum does not. Use only for values that
-    already have that many decimals (money in 1/10^4, megabytes in 1/10^3).
+    The first nine decimals are summed as decimals; what a value has beyond
+    them (nothing, for money and megabytes) is summed as a double and added,
+    so no digit of the source is dropped.
     """
-    return F.sum(_c(c).cast(f"decimal({precision},{scale})")).cast("double")
+    return F.sum(_c(c).cast("decimal(38,9)")).cast("double") + F.sum(beyond_nine(c))
 
 
-def avg_exact(c: str | Column, scale: int, precision: int = 28) -> Column:
-    """Mean as exact decimal sum / non-null count, returned as double."""
+def beyond_nine(c: str | Column) -> Column:
+    """What a double has beyond its first nine decimals."""
+    x = _c(c).cast("double")
+    return x - x.cast("decimal(38,9)").cast("double")
+
+
+def avg_exact(c: str | Column) -> Column:
+    """Mean as exact sum / non-null count, returned as double."""
     x = _c(c)
-    return sum_exact(x, scale, precision) / F.count(x)
+    return sum_exact(x) / F.count(x)
 
 
 def safe_ratio(num: str | Column, den: str | Column) -> Column:
@@ -72,8 +78,12 @@ def eq_flag(c: str | Column, value) -> Column:
 
 
 def lenient_number(c: str | Column, dtype: str = "double") -> Column:
-    """Text to number, unparsable or blank text becomes NULL (never fails)."""
-    return F.trim(_c(c).cast(StringType())).try_cast(dtype)
+    """Plain decimal or exponent text to number; anything else (blank, words, NaN, infinities, type suffixes) becomes
+    NULL and never fails."""
+    text = F.trim(_c(c).cast(StringType()))
+    plain = text.rlike(r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$")
+    number = F.when(plain, text).try_cast(dtype)
+    return F.when(F.abs(number) < F.lit(float("inf")), number) if dtype in ("double", "float") else number
 
 
 def lenient_timestamp(c: str | Column) -> Column:

@@ -3,8 +3,8 @@
 A ``TableConstraints`` lists primary key, NOT NULL columns, IN-list checks
 and lower bounds. ``constraint_violations`` turns it into a long table
 (table_name, constraint_name, violations) from a single pass over the data;
-``enforce`` raises when any count is not zero. The gate runs before anything
-is committed (silver/gold written), unlike a write-then-assert flow.
+``enforce`` raises when any count is not zero. The pipeline gates staged
+tables: silver and gold are published only after their gates.
 """
 
 from __future__ import annotations
@@ -79,11 +79,11 @@ def enforce(violations: DataFrame | list) -> None:
     bad = [r for r in violations if r["violations"] > 0]
     if bad:
         msg = "; ".join(f"{r['table_name']}.{r['constraint_name']}: {r['violations']}" for r in bad)
-        raise DataQualityError(f"DQ FAIL: {msg}")
+        raise DataQualityError(f"rules broken: {msg}")
 
 
 def enforce_min(value_df: DataFrame, col: str, minimum: float, message: str) -> None:
     """Gate on a one-row report column (e.g. a match rate)."""
     v = value_df.select(col).first()[0]
     if v is None or v < minimum:
-        raise DataQualityError(f"DQ FAIL: {message} ({col}={v}, minimum {minimum})")
+        raise DataQualityError(f"rule broken: {message} ({col}={v}, minimum {minimum})")

@@ -8,84 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | None = None,
-                     drop_order_cols: bool = False, max_broadcast_keys: int | None = None) -> DataFrame:
+def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
+                     drop_order_cols: bool = False) -> DataFrame:
     """One row per key: the first by ``order_cols`` ascending (NULLs first).
 
-    A distributed table has no file order, so "first" is declared by columns.
-    Without ``order_cols`` all non-key columns order the rows, which picks a
-    deterministic row.
+    A distributed table has no file order, so every source declares the
+    columns that stand for it; they are required. Rows that tie on all of them
+    are settled by the remaining columns, so the result never depends on the
+    partitioning.
 
-    Plan, when ``max_broadcast_keys`` is given (opt-in): rows are counted per
-    key (a hash aggregate over the key columns only, so the shuffle carries
-    keys, not rows); if the keys that occur more than once pass the size
-    check, they are broadcast, rows of all other keys pass through where they
-    lie, and only rows of repeated (or NULL) keys go through the aggregate
-    below. This reads the input twice, so it pays off when duplicates are
-    rare, rows are wide and the input is cheap to re-read (columnar); on a
-    CSV source it measured twice as slow. Beyond the bound, or without it,
-    every row takes the aggregate:
-    ``min(struct(order..., rest...))`` per key, which -- unlike a
-    ``row_number()`` window -- aggregates partially before the shuffle, so a
-    key holding a third of all rows collapses to one row per map task.
+    Plan: ``min(struct(order..., rest...))`` per key, a sort aggregate on both
+    sides of the exchange; unlike a ``row_number()`` window it aggregates
+    before the shuffle, so a key holding a third of all rows becomes one row
+    per map task.
     """
-    if max_broadcast_keys is not None:
-        split = _split_repeated(df, list(keys), max_broadcast_keys)
-        if split is not None:
-            single, repeated = split
-            first = _first_per_key(repeated, keys, order_cols, drop_order_cols)
-            return single.select(*first.columns).unionByName(first)
-    return _first_per_key(df, keys, order_cols, drop_order_cols)
-
-
-def _split_repeated(df: DataFrame, keys: list[str], max_keys: int):
-    """(rows of keys seen once, rows of repeated or NULL keys), or None when
-    the repeated keys exceed ``max_keys`` or no checkpoint folder is set.
-
-    The repeated keys are written once to the checkpoint folder (small when
-    the check passes), so the size check and the broadcast read that table
-    instead of re-running the key count."""
-    from towerlens import session
-    from towerlens.operators.joins import small_enough
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        return None
-    any_null = None
-    for k in keys:
-        c = F.col(k).isNull()
-        any_null = c if any_null is None else (any_null | c)
-    present = df.where(~any_null)
-    repeated = session.materialize(
-        present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys),
-        "repeated_keys")
-    if not small_enough(repeated, max_keys):
-        session.release(repeated)
-        return None
-    repeated = F.broadcast(repeated)
-    single = present.join(repeated, keys, "left_anti")
-    multi = present.join(repeated, keys, "left_semi").unionByName(df.where(any_null))
-    return single, multi
-
-
-def _first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | None,
-                   drop_order_cols: bool) -> DataFrame:
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    order = list(order_cols) if order_cols else list(rest)
-    payload = [c for c in rest if c not in order]
-    ordered_fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
-    packed = F.struct(*ordered_fields, *[F.col(c) for c in payload]).alias("_first")
+    if not order_cols:
+        raise ValueError("order_cols must name the columns that order the rows of a key")
+    keys, order = list(keys), list(order_cols)
+    payload = [c for c in df.columns if c not in keys and c not in order]
+    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in payload])
     first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    out_cols = []
+    out = []
     for c in df.columns:
         if c in keys:
-            out_cols.append(F.col(c))
-        elif c in order:
-            if drop_order_cols and order_cols:
-                continue
-            out_cols.append(F.col(f"_first._o{order.index(c)}").alias(c))
-        else:
-            out_cols.append(F.col(f"_first.{c}").alias(c))
-    return first.select(*out_cols)
+            out.append(F.col(c))
+        elif c in payload:
+            out.append(F.col(f"_first.{c}").alias(c))
+        elif not drop_order_cols:
+            out.append(F.col(f"_first._o{order.index(c)}").alias(c))
+    return first.select(*out)
 
 
 def dedup_counts(before: DataFrame, key: str) -> DataFrame:

@@ -5,30 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension side is broadcast only when it has at most this many rows; the
-# check runs on the (pruned) dimension before the join is planned.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed, so
-    the check costs at most max_rows + 1 rows however large ``df`` is.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dim(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",
-             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def join_dim(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
     """Fact-to-dimension equi-join.
 
-    Broadcast hash join (no shuffle of the fact side, no skew exposure) when
-    the dimension passes the size check; otherwise a shuffle join, where AQE
-    may still switch to broadcast from runtime sizes and split skewed keys.
+    No hint: Spark broadcasts the dimension when its estimated or measured
+    size in bytes is under ``spark.sql.autoBroadcastJoinThreshold``, and
+    otherwise shuffles both sides, where AQE splits skewed keys.
     """
-    if small_enough(dim, max_broadcast_rows):
-        dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)
 
 
@@ -52,21 +36,9 @@ def match_rates(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
         (F.try_divide(F.col("matched_rows").cast("double"), F.col("total_rows")) * 100).alias(out_col))
 
 
-def orphans(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
-            max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def orphans(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
     """Rows of ``fact`` whose key has no match in ``dim`` (NULL keys
-    included: they match nothing).
-
-    The unmatched keys are found on the pre-aggregated distinct keys of the
-    fact table (a map-side partial aggregate, then a join of key sets). When
-    that set passes the size check it is broadcast into a semi-join, so the
-    fact rows are filtered where they lie instead of being shuffled; beyond
-    the bound the plain shuffle anti-join runs (AQE splits skewed keys).
-    """
+    included: they match nothing): one anti-join on the distinct keys, which
+    Spark broadcasts when they are small."""
     keys = dim.select(F.col(dim_key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    fact_keys = fact.select(F.col(fact_key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    missing = fact_keys.join(keys, "_k", "left_anti")
-    if small_enough(missing, max_broadcast_keys):
-        hit = fact.join(F.broadcast(missing), fact[fact_key] == F.col("_k"), "left_semi")
-        return hit.unionByName(fact.where(F.col(fact_key).isNull()))
     return fact.join(keys, fact[fact_key] == keys["_k"], "left_anti")

@@ -6,93 +6,47 @@ Neither ``percent_rank`` nor ``cume_dist`` is this function (for 1,2,2,5 they
 give 0,1/3,1/3,1 and .25,.75,.75,1; the average rank gives .25,.625,.625,1).
 
 The textbook form is one global ``orderBy`` window, i.e. one task holding
-every row (the tests keep it as the reference to compare against). This
-module computes the same numbers without a single-partition step:
-
-1. quantile boundaries of the column (one aggregate, at most ``max_buckets``
-   numbers reach the driver) cut the value range into buckets of about
-   ``rows_per_bucket`` rows; the bucket id is a binary-search CASE tree, so
-   it is deterministic and codegen-friendly;
-2. rows are pre-aggregated to (bucket, value, count) -- a hot value
-   collapses in the map-side partial aggregate;
-3. inside each bucket a window gives the count of smaller values;
-4. per-bucket totals (one row per bucket, size bounded by ``max_buckets``)
-   give each bucket's offset and N; that table is broadcast;
+every row (the tests keep it as the reference to compare against). Here:
+
+1. rows are aggregated to (value, count), so a hot value collapses map-side;
+2. the values are dealt to partitions by range and written once with their
+   partition's number (written, so that number cannot change when a task is
+   run again);
+3. inside each partition a window counts the rows of smaller values;
+4. the partitions' totals, one row each, are summed in order and broadcast;
 5. rank = (offset + smaller + (count + 1) / 2) / N, one row per distinct value.
+
+The number of partitions is ``parts`` (default: the session's shuffle
+partitions) at any size; no value range or bucket is capped.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from towerlens import session
 
-def _bucket_expr(v: Column, bounds: list, lo: int, hi: int) -> Column:
-    """Bucket index in [lo, hi]; bucket k holds bounds[k-1] <= v < bounds[k]."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(v < F.lit(bounds[mid]), _bucket_expr(v, bounds, lo, mid)).otherwise(
-        _bucket_expr(v, bounds, mid + 1, hi))
-
-
-def _boundaries(df: DataFrame, col: str, rows_per_bucket: int, max_buckets: int,
-                accuracy: int, n: int | None = None) -> list:
-    if n is None:
-        n = df.where(F.col(col).isNotNull()).count()
-    buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
-    if buckets == 1:
-        return []
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(col), probs, accuracy).alias("q")).first()
-    qs = row["q"] or []
-    out = []
-    for q in qs:
-        if q is not None and (not out or q > out[-1]):
-            out.append(q)
-    return out
-
-
-def pct_rank_table(df: DataFrame, col: str, out_col: str, rows_per_bucket: int = 2_000_000,
-                   max_buckets: int = 1024, accuracy: int = 10_000, n: int | None = None) -> DataFrame:
-    """Distinct non-NULL values of ``col`` with their average-rank percentile.
 
-    ``n`` (the non-NULL count, if already known) only sizes the buckets; the
-    ranks divide by the count computed with them."""
-    bounds = _boundaries(df, col, rows_per_bucket, max_buckets, accuracy, n)
+def pct_rank_table(df: DataFrame, col: str, out_col: str, parts: int | None = None) -> DataFrame:
+    """Distinct non-NULL values of ``col`` with their average-rank percentile."""
     v = F.col(col)
-    present = df.where(v.isNotNull()).select(v.alias(col))
-    if not bounds:
-        # One bucket: at most rows_per_bucket rows, so a single window over
-        # the distinct values is the bounded case the buckets are sized for.
-        counts = present.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
-        before = F.coalesce(F.sum("_cnt").over(
-            Window.orderBy(col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        n = F.sum("_cnt").over(Window.partitionBy())
-        rank = (before.cast("double") + (F.col("_cnt") + F.lit(1)) / F.lit(2.0)) / n
-        return counts.select(v, rank.alias(out_col))
-    bucket = _bucket_expr(v, bounds, 0, len(bounds))
-    counts = (present.select(v, bucket.alias("_b"))
-              .groupBy("_b", col).agg(F.count(F.lit(1)).alias("_cnt")))
-    before_w = (Window.partitionBy("_b").orderBy(col)
-                .rowsBetween(Window.unboundedPreceding, -1))
-    local = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(before_w), F.lit(0)))
-    totals = counts.groupBy("_b").agg(F.sum("_cnt").alias("_tot"))
-    order_w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_b",
-        F.coalesce(F.sum("_tot").over(order_w), F.lit(0)).alias("_off"),
-        F.sum("_tot").over(Window.partitionBy()).alias("_n"))
-    # ``offsets`` has one row per bucket: at most max_buckets rows.
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.where(v.isNotNull()).groupBy(v.alias(col)).agg(F.count(F.lit(1)).alias("_cnt"))
+    ranged = counts.repartitionByRange(parts, col).withColumn("_part", F.spark_partition_id())
+    ranged = session.materialize(ranged, "rank_values")
+    smaller = Window.partitionBy("_part").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_before", F.coalesce(F.sum("_cnt").over(smaller), F.lit(0)))
+    totals = ranged.groupBy("_part").agg(F.sum("_cnt").alias("_tot"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_part", F.coalesce(F.sum("_tot").over(earlier), F.lit(0)).alias("_off"),
+                            F.sum("_tot").over(Window.partitionBy()).alias("_n"))
+    # ``offsets`` has at most ``parts`` rows.
     rank = ((F.col("_off") + F.col("_before")).cast("double")
             + (F.col("_cnt") + F.lit(1)) / F.lit(2.0)) / F.col("_n")
-    return local.join(F.broadcast(offsets), "_b").select(v, rank.alias(out_col))
+    return local.join(F.broadcast(offsets), "_part").select(v, rank.alias(out_col))
 
 
-def pct_rank_average(df: DataFrame, col: str, out_col: str, **kwargs) -> DataFrame:
-    """``df`` plus ``out_col`` = average-rank percentile of ``col``
-    (distributed form; keyword arguments go to ``pct_rank_table``)."""
-    ranks = pct_rank_table(df, col, out_col, **kwargs)
-    return df.join(ranks, on=col, how="left")
+def pct_rank_average(df: DataFrame, col: str, out_col: str, parts: int | None = None) -> DataFrame:
+    """``df`` plus ``out_col`` = average-rank percentile of ``col``."""
+    return df.join(pct_rank_table(df, col, out_col, parts), on=col, how="left")

@@ -35,9 +35,9 @@ def q01_executive_kpis(summary: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_customers"),
         F.sum("churn_flag").cast("bigint").alias("churned_customers"),
         _churn_pct().alias("churn_rate_pct"),
-        round_half_up(sum_exact("monthlycharges", 2), 2).alias("monthly_revenue_usd"),
-        round_half_up(avg_exact("monthlycharges", 2), 2).alias("arpu_usd"),
-        round_half_up(sum_exact("estimated_clv_usd", 2), 2).alias("total_clv_usd"),
+        round_half_up(sum_exact("monthlycharges"), 2).alias("monthly_revenue_usd"),
+        round_half_up(avg_exact("monthlycharges"), 2).alias("arpu_usd"),
+        round_half_up(sum_exact("estimated_clv_usd"), 2).alias("total_clv_usd"),
         round_half_up(F.avg("tenure"), 1).alias("avg_tenure_months"),
     )
 
@@ -47,7 +47,7 @@ def q02_churn_by_contract(summary: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("customer_count"),
         F.sum("churn_flag").cast("bigint").alias("churned"),
         _churn_pct().alias("churn_rate_pct"),
-        round_half_up(avg_exact("monthlycharges", 2), 2).alias("avg_monthly_charges"),
+        round_half_up(avg_exact("monthlycharges"), 2).alias("avg_monthly_charges"),
         round_half_up(F.avg("tenure"), 1).alias("avg_tenure_months"),
     ).orderBy(F.col("churn_rate_pct").desc(), "contract")
 
@@ -64,7 +64,7 @@ def q04_churn_by_internet(summary: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("customers"),
         F.sum("churn_flag").cast("bigint").alias("churned"),
         _churn_pct().alias("churn_rate_pct"),
-        round_half_up(avg_exact("monthlycharges", 2), 2).alias("arpu"),
+        round_half_up(avg_exact("monthlycharges"), 2).alias("arpu"),
     ).orderBy(F.col("churn_rate_pct").desc(), "internetservice")
 
 
@@ -77,8 +77,8 @@ def at_risk(summary: DataFrame) -> DataFrame:
 def q05_revenue_at_risk(summary: DataFrame) -> DataFrame:
     return at_risk(summary).groupBy("tenure_cohort", "contract").agg(
         F.count(F.lit(1)).alias("at_risk_customer_count"),
-        round_half_up(sum_exact("monthlycharges", 2), 2).alias("monthly_revenue_at_risk_usd"),
-        round_half_up(sum_exact("estimated_clv_usd", 2), 2).alias("clv_at_risk_usd"),
+        round_half_up(sum_exact("monthlycharges"), 2).alias("monthly_revenue_at_risk_usd"),
+        round_half_up(sum_exact("estimated_clv_usd"), 2).alias("clv_at_risk_usd"),
     ).orderBy(F.col("monthly_revenue_at_risk_usd").desc(), "tenure_cohort")
 
 
@@ -111,8 +111,8 @@ def q08_engagement_vs_churn(summary: DataFrame) -> DataFrame:
         "engagement_band").agg(
         F.count(F.lit(1)).alias("customers"),
         _churn_pct().alias("churn_rate_pct"),
-        round_half_up(avg_exact("monthlycharges", 2), 2).alias("avg_arpu"),
-        round_half_up(avg_exact("total_data_mb", 3, 38), 2).alias("avg_data_mb"),
+        round_half_up(avg_exact("monthlycharges"), 2).alias("avg_arpu"),
+        round_half_up(avg_exact("total_data_mb"), 2).alias("avg_data_mb"),
         round_half_up(F.avg("total_calls"), 1).alias("avg_calls"),
     ).orderBy("engagement_band")
 
@@ -121,7 +121,7 @@ def q09_payment_vs_churn(summary: DataFrame) -> DataFrame:
     return summary.groupBy("paymentmethod").agg(
         F.count(F.lit(1)).alias("customers"),
         _churn_pct().alias("churn_rate_pct"),
-        round_half_up(avg_exact("monthlycharges", 2), 2).alias("avg_arpu"),
+        round_half_up(avg_exact("monthlycharges"), 2).alias("avg_arpu"),
         round_half_up(F.avg("tenure"), 1).alias("avg_tenure"),
     ).orderBy(F.col("churn_rate_pct").desc(), "paymentmethod")
 
@@ -133,8 +133,8 @@ def q10_tenure_cohort_revenue(summary: DataFrame) -> DataFrame:
     return summary.groupBy("tenure_cohort").agg(
         F.count(F.lit(1)).alias("customers"),
         _churn_pct().alias("churn_rate_pct"),
-        round_half_up(sum_exact("monthlycharges", 2), 2).alias("monthly_revenue_usd"),
-        round_half_up(avg_exact("estimated_clv_usd", 2), 2).alias("avg_clv_usd"),
+        round_half_up(sum_exact("monthlycharges"), 2).alias("monthly_revenue_usd"),
+        round_half_up(avg_exact("estimated_clv_usd"), 2).alias("avg_clv_usd"),
     ).orderBy("tenure_cohort")
 
 
@@ -197,20 +197,11 @@ def ex6_cte_at_risk(spark: SparkSession, summary: DataFrame) -> DataFrame:
     view = f"_tl_customer_summary_{uuid.uuid4().hex}"
     summary.createOrReplaceTempView(view)
     return spark.sql(f"""
-        WITH at_risk AS (
-            SELECT customer_id, monthlycharges, contract, tenure_cohort
-            FROM {view}
-            WHERE churn_flag = 0 AND contract = '{MONTH_TO_MONTH}' AND monthlycharges > {AT_RISK_MIN_MONTHLY}
-        ),
-        cohort_summary AS (
-            SELECT tenure_cohort,
-                   COUNT(*) AS at_risk_count,
-                   CAST(SUM(CAST(monthlycharges AS DECIMAL(28,2))) AS DOUBLE) AS monthly_revenue_at_risk
-            FROM at_risk
-            GROUP BY tenure_cohort
-        )
-        SELECT * FROM cohort_summary
-        ORDER BY monthly_revenue_at_risk DESC, tenure_cohort
+        WITH monthly AS (SELECT tenure_cohort AS cohort, CAST(monthlycharges AS DECIMAL(38,9)) AS fee FROM {view}
+                         WHERE contract = '{MONTH_TO_MONTH}' AND churn_flag = 0 AND monthlycharges > {AT_RISK_MIN_MONTHLY}),
+             totals AS (SELECT cohort, COUNT(*) AS n, CAST(SUM(fee) AS DOUBLE) AS fees FROM monthly GROUP BY cohort)
+        SELECT cohort AS tenure_cohort, n AS at_risk_count, fees AS monthly_revenue_at_risk FROM totals
+        ORDER BY fees DESC, cohort
     """)
 
 

@@ -25,9 +25,9 @@ def d0_kpi_tiles(summary: DataFrame) -> DataFrame:
     return summary.agg(
         F.count(F.lit(1)).alias("total_customers"),
         (F.avg("churn_flag") * F.lit(100)).alias("churn_rate"),
-        sum_exact("monthlycharges", 2).alias("mrr"),
-        avg_exact("monthlycharges", 2).alias("arpu"),
-        F.coalesce(sum_exact(F.when(F.col("churn_flag") == 1, F.col("monthlycharges")), 2),
+        sum_exact("monthlycharges").alias("mrr"),
+        avg_exact("monthlycharges").alias("arpu"),
+        F.coalesce(sum_exact(F.when(F.col("churn_flag") == 1, F.col("monthlycharges"))),
                    F.lit(0.0)).alias("lost_mrr"),
     )
 
@@ -67,7 +67,7 @@ def d4_daily_success_trend(daily: DataFrame) -> DataFrame:
     """Daily success rate with the unweighted mean over all days as a
     reference line. The mean is a scalar subquery (no join, no window over a
     single partition)."""
-    mean = daily.agg(avg_exact("call_success_rate_pct", 3)).scalar()
+    mean = daily.agg(avg_exact("call_success_rate_pct")).scalar()
     return daily.select("call_date", "call_success_rate_pct",
                         mean.alias("mean_success_rate_pct")).orderBy("call_date")
 
@@ -80,5 +80,5 @@ def d5_engagement_bands_right(summary: DataFrame) -> DataFrame:
     return (banded.where(F.col("eng_band").isNotNull()).groupBy("eng_band").agg(
         (F.avg("churn_flag") * F.lit(100)).alias("churn_rate"),
         F.count("customer_id").alias("customers"),
-        avg_exact("monthlycharges", 2).alias("avg_revenue"),
+        avg_exact("monthlycharges").alias("avg_revenue"),
     ).orderBy("eng_band"))

@@ -4,8 +4,8 @@ Scale notes:
 * every mart pre-aggregates the CDRs with a map-side partial aggregate before
   any shuffle, so a customer, day or tower holding a third of all CDRs costs
   one row per map task in the exchange;
-* the tower dimension is joined by broadcast only after a row-count check
-  (``join_dim``), otherwise by shuffle join with AQE skew splitting;
+* dimensions and rank tables are joined without hints: Spark broadcasts what
+  is small in bytes and splits skewed keys of the rest;
 * the engagement percentile ranks never pass through one partition
   (``operators.ranking``).
 """
@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.constants import ENGAGEMENT_WEIGHTS
-from towerlens.functions import avg_exact, pct, round_half_even, safe_ratio, sum_exact
+from towerlens.functions import avg_exact, beyond_nine, pct, round_half_even, safe_ratio, sum_exact
 from towerlens.operators import drop_null_keys, join_dim, pct_rank_table
-from towerlens.operators.joins import DEFAULT_BROADCAST_ROWS
 from towerlens import session
 from towerlens.schemas import CUSTOMER_SUMMARY_DEFAULTS
 
@@ -29,7 +28,7 @@ def customer_activity(cdrs: DataFrame) -> DataFrame:
     return (drop_null_keys(cdrs, ["customer_id"]).groupBy("customer_id").agg(
         F.count("call_id").alias("total_calls"),
         round_half_even(F.coalesce(F.sum(voice), F.lit(0)) / F.lit(60.0), 2).alias("total_voice_minutes"),
-        F.coalesce(sum_exact("data_mb", 3), F.lit(0.0)).alias("total_data_mb"),
+        F.coalesce(sum_exact("data_mb"), F.lit(0.0)).alias("total_data_mb"),
         F.count_if(F.col("call_type") == "SMS").alias("total_sms"),
         F.coalesce(F.sum("is_dropped"), F.lit(0)).cast("bigint").alias("dropped_calls"),
         F.avg("duration_seconds").alias("avg_call_duration_sec"),
@@ -44,30 +43,17 @@ def customer_summary_base(customers: DataFrame, cdrs: DataFrame) -> DataFrame:
     return joined.fillna(CUSTOMER_SUMMARY_DEFAULTS)
 
 
-def engagement_score(base: DataFrame, rank_kwargs: dict | None = None,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def engagement_score(base: DataFrame, rank_parts: int | None = None) -> DataFrame:
     """Weighted sum of three average-rank percentiles, 2 decimals, plus CLV.
 
-    One aggregate job gives, per rank input, the non-NULL count (sizes the
-    rank buckets) and the exact number of distinct values, which is the row
-    count of its rank table: tables within ``max_broadcast_rows`` (tenure and
-    call counts have few distinct values) are broadcast into the join-back,
-    so the wide customer base is not shuffled for them; a larger table (e.g.
-    megabytes, nearly one value per customer) is a shuffle join, where AQE
-    splits a hot value.
+    Each rank table has one row per distinct value (few for tenure and call
+    counts, which Spark then broadcasts into the join-back by their size).
     """
-    kw = dict(rank_kwargs or {})
-    cols = [c for c, _ in ENGAGEMENT_WEIGHTS]
-    stats = base.agg(*[F.count(c).alias(f"n_{c}") for c in cols],
-                     *[F.count_distinct(c).alias(f"d_{c}") for c in cols]).first()
     out = base
     score = None
     for col, weight in ENGAGEMENT_WEIGHTS:
         rcol = f"_pct_{col}"
-        ranks = pct_rank_table(base, col, rcol, n=stats[f"n_{col}"], **kw)
-        if stats[f"d_{col}"] <= max_broadcast_rows:
-            ranks = F.broadcast(ranks)
-        out = out.join(ranks, on=col, how="left")
+        out = out.join(pct_rank_table(base, col, rcol, rank_parts), on=col, how="left")
         term = F.col(rcol) * F.lit(weight)
         score = term if score is None else score + term
     out = out.withColumn("engagement_score", round_half_even(score, 2))
@@ -76,22 +62,16 @@ def engagement_score(base: DataFrame, rank_kwargs: dict | None = None,
     return out.select(*base.columns, "engagement_score", "estimated_clv_usd")
 
 
-def fact_customer_summary(customers: DataFrame, cdrs: DataFrame, materialize: bool | None = None,
-                          rank_kwargs: dict | None = None) -> DataFrame:
+def fact_customer_summary(customers: DataFrame, cdrs: DataFrame, rank_parts: int | None = None) -> DataFrame:
     """M4: one row per customer with activity, engagement score and CLV.
 
-    The joined base feeds three rank computations (each reads it twice) and
-    the final join. ``materialize`` (default: whenever the session names a
-    checkpoint folder) writes it once as a Parquet table in that shared
-    folder, which also cuts the lineage back to the CDR scan, so a lost
-    executor does not replay the CDR aggregation.
+    The joined base feeds three rank computations and the final join; it is
+    written once as a Parquet table in the session's shared checkpoint folder,
+    which also cuts the lineage back to the CDR scan, so a lost executor does
+    not replay the CDR aggregation.
     """
-    base = customer_summary_base(customers, cdrs)
-    if materialize is None:
-        materialize = bool(base.sparkSession.sparkContext.getCheckpointDir())
-    if materialize:
-        base = session.materialize(base, "customer_summary_base")
-    return engagement_score(base, rank_kwargs)
+    base = session.materialize(customer_summary_base(customers, cdrs), "customer_summary_base")
+    return engagement_score(base, rank_parts)
 
 
 def _distinct(col: str, exact: bool):
@@ -108,9 +88,9 @@ def fact_daily_network_metrics(cdrs: DataFrame, exact_distinct: bool = True) ->
         F.sum("is_completed").cast("bigint").alias("completed_calls"),
         F.sum("is_dropped").cast("bigint").alias("dropped_calls"),
         _distinct("customer_id", exact_distinct).alias("unique_customers_active"),
-        F.coalesce(sum_exact("data_mb", 3), F.lit(0.0)).alias("total_data_mb"),
+        F.coalesce(sum_exact("data_mb"), F.lit(0.0)).alias("total_data_mb"),
         F.avg("duration_seconds").alias("avg_duration_sec"),
-        F.coalesce(sum_exact("cost_usd", 4), F.lit(0.0)).alias("total_revenue_usd"),
+        F.coalesce(sum_exact("cost_usd"), F.lit(0.0)).alias("total_revenue_usd"),
     )
     return daily.withColumns({
         "drop_rate_pct": round_half_even(pct("dropped_calls", "total_calls"), 3),
@@ -126,17 +106,34 @@ def cdr_tower_enrich(cdrs: DataFrame, towers: DataFrame) -> DataFrame:
 
 def fact_regional_performance(cdrs: DataFrame, towers: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """M6: one row per region; CDRs of unknown towers have no region and
-    drop out of the grouping."""
-    enriched = drop_null_keys(cdr_tower_enrich(cdrs, towers), ["region"])
-    regional = enriched.groupBy("region").agg(
-        F.count("call_id").alias("total_calls"),
-        F.sum("is_completed").cast("bigint").alias("completed_calls"),
-        F.sum("is_dropped").cast("bigint").alias("dropped_calls"),
-        _distinct("customer_id", exact_distinct).alias("unique_customers"),
-        F.coalesce(sum_exact("data_mb", 3), F.lit(0.0)).alias("total_data_mb"),
-        F.coalesce(sum_exact("cost_usd", 4), F.lit(0.0)).alias("total_revenue_usd"),
-        _distinct("cell_tower_id", exact_distinct).alias("active_towers"),
-    )
+    drop out of the grouping.
+
+    CDRs are first aggregated to (tower, customer), so neither a hot tower nor
+    the tower columns meet the raw rows; distinct customers and towers are
+    then counted from (region, customer) and (region, tower) rows, each by a
+    plain two-step aggregate.
+    """
+    narrow = drop_null_keys(cdrs, ["cell_tower_id"]).groupBy("cell_tower_id", "customer_id").agg(
+        F.count("call_id").alias("calls"), F.sum("is_completed").alias("completed"), F.sum("is_dropped").alias("dropped"),
+        F.sum(F.col("data_mb").cast("decimal(38,9)")).alias("mb"),
+        F.sum(F.col("cost_usd").cast("decimal(38,9)")).alias("usd"),
+        F.sum(beyond_nine("data_mb")).alias("mb_rest"), F.sum(beyond_nine("cost_usd")).alias("usd_rest"))
+    known = drop_null_keys(join_dim(narrow, towers.select("cell_tower_id", "region"), "cell_tower_id", "left"), ["region"])
+    per_tower = known.groupBy("region", "cell_tower_id").agg(
+        *[F.sum(c).alias(c) for c in ("calls", "completed", "dropped", "mb", "usd", "mb_rest", "usd_rest")])
+    totals = per_tower.groupBy("region").agg(
+        F.sum("calls").alias("total_calls"), F.sum("completed").cast("bigint").alias("completed_calls"),
+        F.sum("dropped").cast("bigint").alias("dropped_calls"),
+        F.coalesce(F.sum("mb").cast("double") + F.sum("mb_rest"), F.lit(0.0)).alias("total_data_mb"),
+        F.coalesce(F.sum("usd").cast("double") + F.sum("usd_rest"), F.lit(0.0)).alias("total_revenue_usd"),
+        F.count(F.lit(1)).alias("active_towers"))
+    if exact_distinct:
+        people = known.select("region", "customer_id").distinct().groupBy("region").agg(F.count("customer_id").alias("unique_customers"))
+    else:
+        people = known.groupBy("region").agg(F.approx_count_distinct("customer_id", 0.02).alias("unique_customers"))
+    regional = totals.join(people, "region").select(
+        "region", "total_calls", "completed_calls", "dropped_calls", "unique_customers", "total_data_mb",
+        "total_revenue_usd", "active_towers")
     return regional.withColumns({
         "drop_rate_pct": round_half_even(pct("dropped_calls", "total_calls"), 3),
         "revenue_per_customer_usd": round_half_even(
@@ -151,9 +148,9 @@ def fact_churn_cohort(summary: DataFrame) -> DataFrame:
     cohort = drop_null_keys(summary, keys).groupBy(*keys).agg(
         F.count("customer_id").alias("customer_count"),
         F.sum("churn_flag").cast("bigint").alias("churn_count"),
-        avg_exact("monthlycharges", 2).alias("avg_monthly_charges"),
-        avg_exact("totalcharges", 2).alias("avg_total_charges"),
-        avg_exact("estimated_clv_usd", 2).alias("avg_clv"),
+        avg_exact("monthlycharges").alias("avg_monthly_charges"),
+        avg_exact("totalcharges").alias("avg_total_charges"),
+        avg_exact("estimated_clv_usd").alias("avg_clv"),
     )
     cohort = cohort.withColumn("churn_rate_pct",
                                round_half_even(pct("churn_count", "customer_count"), 2))

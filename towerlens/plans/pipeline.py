@@ -1,11 +1,13 @@
 """The medallion pipeline as one Spark application: land raw sources as
 files -> bronze audit of the files -> silver (write, audit, publish) -> gold
-marts (Parquet + CSV) -> warehouse load (register + gate) -> smoke query.
-
-Silver follows write-audit-publish: tables are written to a staging folder,
-the data-quality report and gates run on the staged Parquet, and only then
-are the folders moved to their published place. A failed gate leaves nothing
-published.
+marts (write, gate, publish) -> warehouse load (declared tables) -> smoke query.
+
+Silver and gold follow write-audit-publish: all tables of a layer are written
+to a folder of their own version, the gates run on the written Parquet, and
+only then is the layer's pointer (``CURRENT``, one small file) switched to that
+version. Readers resolve the pointer, so they see all old or all new tables; a
+failed gate or a crash leaves the old version in place. The version that was
+current before is kept, older ones are deleted.
 """
 
 from __future__ import annotations
@@ -24,11 +26,11 @@ from towerlens.plans import bronze, dq, gold, silver
 from towerlens.plans.analytics import v1_regional_snapshot
 from towerlens.plans.warehouse import Warehouse
 from towerlens.schemas import CONSTRAINTS, CUSTOMER_SUMMARY_DEFAULTS, MART_SCHEMAS
-from towerlens.session import release_all, run_concurrently
+from towerlens.session import materialized, release_since, run_concurrently
 from towerlens.sinks import write_csv, write_json_report, write_mart, write_parquet
-from towerlens.sinks.writers import conform
+from towerlens.sinks.writers import conform, declare_table, load_table
 from towerlens.sources import hadoop_fs, require_sources, source_file_stats
-from towerlens.sources.adapters import CDR_ORDER
+from towerlens.sources.adapters import CDR_ORDER, CUSTOMER_ORDER, TOWER_ORDER
 
 
 def step(spark: SparkSession, name: str) -> None:
@@ -42,9 +44,25 @@ class RunReport:
     counts: dict[str, int] = field(default_factory=dict)
 
 
-def publish(spark: SparkSession, staged: str, final: str) -> None:
-    """Move a staged folder to its published path (replacing an old one)."""
-    hadoop_fs.replace(spark, staged, final)
+def publish(spark: SparkSession, layer: str, version: str) -> None:
+    """Switch ``layer`` to ``version`` and drop versions older than the one before."""
+    before = hadoop_fs.read_text(spark, f"{layer}/CURRENT")
+    hadoop_fs.write_text(spark, f"{layer}/CURRENT", version)
+    for name in hadoop_fs.list_dirs(spark, layer):
+        if name.startswith("v-") and name not in (version, before):
+            hadoop_fs.delete(spark, f"{layer}/{name}")
+
+
+def current(spark: SparkSession, layer: str) -> str:
+    """The folder of the published version of a layer."""
+    version = hadoop_fs.read_text(spark, f"{layer}/CURRENT")
+    if version is None:
+        raise FileNotFoundError(f"nothing published under {layer}")
+    return f"{layer}/{version}"
+
+
+def new_version() -> str:
+    return f"v-{time.time_ns():020d}"
 
 
 def run_land(spark: SparkSession, w: Warehouse, out: str) -> dict[str, str]:
@@ -76,10 +94,11 @@ def run_bronze(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
 def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
                cdr_partition_by: str | None = None) -> dict[str, int]:
     obs = Observation("outliers")
-    customers = silver.clean_customers(w.customers_raw)
+    customers = silver.clean_customers(w.customers_raw, CUSTOMER_ORDER)
     cdrs = silver.clean_cdrs(w.cdrs_raw, CDR_ORDER, observation=obs)
-    towers = silver.clean_cell_towers(w.towers_raw, w.as_of)
-    stage = f"{out}/_staging/silver"
+    towers = silver.clean_cell_towers(w.towers_raw, w.as_of, TOWER_ORDER)
+    version = new_version()
+    stage = f"{out}/silver/{version}"
     # Every mart aggregates all CDRs, so folders per date would only add
     # files; rows sorted by (call_date, customer_id) inside each file make
     # Parquet min/max statistics selective for date or customer predicates.
@@ -95,34 +114,37 @@ def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
     # audit on the staged tables, then publish
     checks = run_concurrently(spark, {
         "silver: constraints": lambda: constraint_violations(s_customers, CONSTRAINTS["customers"]).collect(),
-        "silver: dq report": lambda: dq.dq_report(spark, s_customers, s_cdrs, s_towers, run_ts, concurrent=True),
+        "silver: dq report": lambda: dq.dq_report(spark, s_customers, s_cdrs, s_towers, run_ts).collect(),
     })
     enforce(checks["silver: constraints"])
-    report = checks["silver: dq report"]
+    lazy = dq.dq_report(spark, s_customers, s_cdrs, s_towers, run_ts)
+    report = spark.createDataFrame(checks["silver: dq report"], lazy.schema)  # one row
     dq.gate(report)
     step(spark, "silver: publish")
-    for name in ("customers", "cdrs", "cell_towers"):
-        publish(spark, f"{stage}/{name}", f"{out}/silver/{name}")
-    write_json_report(report, f"{out}/silver/_data_quality_report")
+    write_json_report(report, f"{stage}/_data_quality_report")
+    publish(spark, f"{out}/silver", version)
     m = obs.get
     return {"cdr_rows_seen": int(m.get("rows_in", 0)), "cdr_rows_kept": int(m.get("rows_kept", 0))}
 
 
-def run_gold(spark: SparkSession, out: str, materialize: bool | None = None) -> dict[str, DataFrame]:
-    """Build the marts from published silver and write each once as Parquet
-    (conformed to its declared schema: it is the warehouse table) and once
-    as CSV export."""
-    customers = spark.read.parquet(f"{out}/silver/customers")
-    cdrs = spark.read.parquet(f"{out}/silver/cdrs")
-    towers = spark.read.parquet(f"{out}/silver/cell_towers")
+def run_gold(spark: SparkSession, out: str) -> str:
+    """Build the marts from published silver, write each once as Parquet
+    (conformed to its declared schema) and once as CSV export, gate them and
+    publish; returns the published folder."""
+    source = current(spark, f"{out}/silver")
+    customers = spark.read.parquet(f"{source}/customers")
+    cdrs = spark.read.parquet(f"{source}/cdrs")
+    towers = spark.read.parquet(f"{source}/cell_towers")
+    version = new_version()
+    folder = f"{out}/gold/{version}"
 
     def write(name: str, df: DataFrame) -> DataFrame:
         defaults = CUSTOMER_SUMMARY_DEFAULTS if name == "fact_customer_summary" else None
         return write_mart(conform(df, MART_SCHEMAS[name], defaults),
-                          f"{out}/gold/{name}", f"{out}/gold_csv/{name}")
+                          f"{folder}/{name}", f"{folder}/csv/{name}")
 
     def summary_then_cohort() -> tuple[DataFrame, DataFrame]:
-        s = write("fact_customer_summary", gold.fact_customer_summary(customers, cdrs, materialize=materialize))
+        s = write("fact_customer_summary", gold.fact_customer_summary(customers, cdrs))
         return s, write("fact_churn_cohort", gold.fact_churn_cohort(s))
 
     done = run_concurrently(spark, {
@@ -137,29 +159,45 @@ def run_gold(spark: SparkSession, out: str, materialize: bool | None = None) ->
     written = {k.split(": ")[1]: v for k, v in done.items()}
     written["fact_customer_summary"] = summary
     written["fact_churn_cohort"] = cohort
-    return written
+    gate_marts(spark, written)
+    publish(spark, f"{out}/gold", version)
+    return folder
 
 
-def run_load(spark: SparkSession, out: str, marts: dict[str, DataFrame]) -> dict[str, int]:
-    """Warehouse load: the gold Parquet tables already carry the declared
-    schemas, so loading registers them for SQL and gates them -- one
-    aggregate per table gives its row count and the violations of its keys,
-    NOT NULL columns and checks. No data is copied."""
+def gate_marts(spark: SparkSession, marts: dict[str, DataFrame]) -> dict[str, int]:
+    """One aggregate per mart: its row count and the violations of its keys,
+    NOT NULL columns and checks; raises when there are any."""
     results = run_concurrently(spark, {
-        f"load: {name}": (lambda n=name: load_check(marts[n], CONSTRAINTS[n])) for name in MART_SCHEMAS})
+        f"gate: {name}": (lambda n=name: load_check(marts[n], CONSTRAINTS[n])) for name in MART_SCHEMAS})
     enforce([v for _, vs in results.values() for v in vs])
-    for name in MART_SCHEMAS:
-        marts[name].createOrReplaceTempView(name)
     return {k.split(": ")[1]: n for k, (n, _) in results.items()}
 
 
+def run_load(spark: SparkSession, folder: str, database: str) -> dict[str, int]:
+    """Warehouse load: truncate-and-load every gated mart into its declared
+    table (external, beside the lake, so dropping it keeps data) and return
+    the rows read back from the tables."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    root = folder.rsplit("/gold/", 1)[0]
+
+    def load(name: str) -> int:
+        defaults = CUSTOMER_SUMMARY_DEFAULTS if name == "fact_customer_summary" else None
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")  # the declaration of another lake
+        declare_table(spark, f"{database}.{name}", MART_SCHEMAS[name], f"{root}/warehouse/{name}")
+        return load_table(spark, f"{database}.{name}", spark.read.parquet(f"{folder}/{name}"), MART_SCHEMAS[name], defaults)
+
+    done = run_concurrently(spark, {f"load: {name}": (lambda n=name: load(n)) for name in MART_SCHEMAS})
+    return {k.split(": ")[1]: n for k, n in done.items()}
+
+
 def run(spark: SparkSession, sf_dir: str, out: str, as_of: str = DEFAULT_AS_OF,
-        run_ts: str = "2026-05-26T00:00:00Z") -> RunReport:
+        run_ts: str = "2026-05-26T00:00:00Z", database: str = "towerlens") -> RunReport:
     """Run all stages. The sources are landed once as files; the bronze
     audit (an inventory, not a gate) scans them while silver cleans them;
-    silver publishes only after its own gates; gold reads published silver;
-    load gates every mart."""
+    silver and gold publish only after their gates; gold reads published
+    silver; load fills the declared tables of ``database``."""
     rep = RunReport()
+    mark = materialized()
 
     def timed(name: str, fn: Callable[[], Any]) -> Callable[[], Any]:
         def go():
@@ -177,10 +215,10 @@ def run(spark: SparkSession, sf_dir: str, out: str, as_of: str = DEFAULT_AS_OF,
         "silver": timed("silver", lambda: run_silver(spark, w, out, run_ts)),
     })
     rep.counts.update(first["silver"])
-    marts = timed("gold", lambda: run_gold(spark, out))()
+    folder = timed("gold", lambda: run_gold(spark, out))()
     t = time.time()
-    rep.counts.update(run_load(spark, out, marts))
-    v1_regional_snapshot(spark, spark.table("fact_regional_performance")).collect()
+    rep.counts.update(run_load(spark, folder, database))
+    v1_regional_snapshot(spark, spark.table(f"{database}.fact_regional_performance")).collect()
     rep.timings["load"] = time.time() - t
-    release_all(spark)  # intermediate tables in the checkpoint folder
+    release_since(spark, mark)  # this run's tables in the checkpoint folder
     return rep

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from towerlens.constants import (
@@ -33,6 +33,7 @@ from towerlens.operators import (
     pct_rank_average,
     table_fingerprint,
 )
+from towerlens.operators.constraints import TableConstraints
 from towerlens.plans import analytics as A
 from towerlens.plans import bronze, dq
 from towerlens.plans import dashboards as D
@@ -41,7 +42,7 @@ from towerlens.plans.oracle import avgx, dbl, left_case, pct_rank_sql, re_, righ
 from towerlens.plans.warehouse import Warehouse
 from towerlens.schemas import CDRS_RAW, CONSTRAINTS, CUSTOMERS_RAW, TOWERS_RAW
 from towerlens.session import checkpoint_dir
-from towerlens.sources.adapters import CDR_ORDER
+from towerlens.sources.adapters import CDR_ORDER, CUSTOMER_ORDER, TOWER_ORDER
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -93,11 +94,15 @@ def _audit_null_counts(spark, w):
 def _audit_total_rows(spark, w):
     return bronze.audit_total_rows(w.raw_sources())
 
-@register("table_fingerprint")
+_PRINTED = ["call_id", "customer_id", "call_type", "duration_seconds", "bytes_transferred", "cell_tower_id", "call_status"]
+
+@register("table_fingerprint", "SELECT COUNT(*) AS row_count, CAST(SUM(CAST(('0x' || substr(md5(" + " || chr(31) || ".join(
+    f"COALESCE(CAST({c} AS VARCHAR), chr(30))" for c in _PRINTED)
+    + "), 1, 15)) AS BIGINT)) AS VARCHAR) AS hash_sum FROM s_cdrs", ["s_cdrs"])
 def _table_fingerprint(spark, w):
-    return table_fingerprint(w.cdrs)
+    return table_fingerprint(w.cdrs, _PRINTED)
 
-@register("scan_csv_towers", "SELECT * FROM towers_raw", ["towers_raw"])
+@register("scan_csv_towers", "SELECT * EXCLUDE (file_row) FROM towers_raw", ["towers_raw"])
 def _scan_csv_towers(spark, w):
     """Write the tower source as CSV (shared checkpoint folder), scan it back
     with the declared schema (no inference pass)."""
@@ -107,7 +112,7 @@ def _scan_csv_towers(spark, w):
     if root is None:
         raise RuntimeError("spark.checkpoint.dir is not set")
     path = f"{root}/csv/cell_towers_{uuid.uuid4().hex}"
-    write_csv(w.towers_raw, path)
+    write_csv(w.towers_raw.drop(*TOWER_ORDER), path)
     return read_csv(spark, path, TOWERS_RAW)
 
 # ----------------------------------------------------------- silver pieces
@@ -159,14 +164,18 @@ def _outlier_filter(spark, w):
     from towerlens.operators import outlier_filter
     return outlier_filter(_parsed(w), "duration_seconds", MAX_CALL_SECONDS).select("call_id", "duration_seconds")
 
-@register("outlier_removed_count", f"""
-SELECT COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE duration_seconds <= {MAX_CALL_SECONDS}) AS rows_kept,
-  COUNT(*) - COUNT(*) FILTER (WHERE duration_seconds <= {MAX_CALL_SECONDS}) AS rows_removed
+@register("outlier_removed_count", """
+SELECT COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE duration_seconds <= 86400) AS rows_kept,
+  COUNT(*) - COUNT(*) FILTER (WHERE duration_seconds <= 86400) AS rows_removed
 FROM cdrs_parsed WHERE timestamp IS NOT NULL""", ["cdrs_parsed"])
 def _outlier_count(spark, w):
-    kept = F.count_if(F.col("duration_seconds") <= MAX_CALL_SECONDS)
-    return _parsed(w).agg(F.count(F.lit(1)).alias("rows_in"), kept.alias("rows_kept"),
-                          (F.count(F.lit(1)) - kept).alias("rows_removed"))
+    """The operator's own counters: its Observation, filled when the filtered rows are read once."""
+    from towerlens.operators import outlier_filter
+    seen = Observation("outlier_counts")
+    outlier_filter(_parsed(w), "duration_seconds", MAX_CALL_SECONDS, seen).write.format("noop").mode("overwrite").save()
+    n = seen.get
+    return spark.createDataFrame([(n["rows_in"], n["rows_kept"], n["rows_in"] - n["rows_kept"])],
+                                 "rows_in bigint, rows_kept bigint, rows_removed bigint")
 
 @register("dedup_keep_first", """
 SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY call_id
@@ -175,6 +184,12 @@ SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY call_id
 def _dedup(spark, w):
     return dedup_keep_first(w.cdrs_raw, ["call_id"], CDR_ORDER)
 
+@register("dedup_customers", """
+SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY customerID ORDER BY file_row NULLS FIRST) AS _rn
+  FROM customers_raw) WHERE _rn = 1""", ["customers_raw"])
+def _dedup_customers(spark, w):
+    return dedup_keep_first(w.customers_raw, ["customerID"], CUSTOMER_ORDER)
+
 @register("dedup_counts", """
 SELECT COUNT(*) AS rows_in, COUNT(DISTINCT call_id) + LEAST(COUNT(*) FILTER (WHERE call_id IS NULL), 1) AS rows_out
 FROM cdrs_raw""", ["cdrs_raw"])
@@ -271,9 +286,24 @@ GROUP BY technology ORDER BY tower_count DESC, technology""", ["s_towers"])
 def _dq_tech(spark, w):
     return dq.dq_technology_distribution(w.towers)
 
-@register("dq_report")
+@register("dq_report", f"""
+SELECT '1970-01-01T00:00:00Z' AS run_timestamp, c.row_count AS customers_rows, c.unique_ids AS customers_unique,
+  c.churn AS churn_rate_pct, k.row_count AS cdrs_rows, k.unique_ids AS cdrs_unique, k.first_day AS date_range_min,
+  {_match_sql('customer_id', 's_customers')} AS cdr_customer_match_rate_pct,
+  {_match_sql('cell_tower_id', 's_towers')} AS cdr_tower_match_rate_pct,
+  t.row_count AS towers_rows, t.n4 AS towers_4g, t.n5 AS towers_5g
+FROM (SELECT COUNT(*) AS row_count, COUNT(DISTINCT customer_id) AS unique_ids, {re_('AVG(churn_flag) * 100', 2)} AS churn FROM s_customers) c,
+  (SELECT COUNT(*) AS row_count, COUNT(DISTINCT call_id) AS unique_ids, CAST(MIN(timestamp) AS VARCHAR) AS first_day FROM s_cdrs) k,
+  (SELECT COUNT(*) AS row_count, COUNT(*) FILTER (WHERE technology = '4G') AS n4,
+     COUNT(*) FILTER (WHERE technology = '5G') AS n5 FROM s_towers) t""", ["s_customers", "s_cdrs", "s_towers"])
 def _dq_report(spark, w):
-    return dq.dq_report(spark, w.customers, w.cdrs, w.towers, run_ts="1970-01-01T00:00:00Z")
+    r = dq.dq_report(spark, w.customers, w.cdrs, w.towers, run_ts="1970-01-01T00:00:00Z")
+    return r.select("run_timestamp", F.col("customers.row_count").alias("customers_rows"),
+                    F.col("customers.unique_customer_ids").alias("customers_unique"), "customers.churn_rate_pct",
+                    F.col("cdrs.row_count").alias("cdrs_rows"), F.col("cdrs.unique_call_ids").alias("cdrs_unique"),
+                    "cdrs.date_range_min", "referential_integrity.*", F.col("cell_towers.row_count").alias("towers_rows"),
+                    F.col("cell_towers.technology_distribution")["4G"].alias("towers_4g"),
+                    F.col("cell_towers.technology_distribution")["5G"].alias("towers_5g"))
 
 def _constraint_sql(view: str, spec) -> list[str]:
     rows = []
@@ -313,14 +343,27 @@ def _constraints(spark, w):
         out = v if out is None else out.unionByName(v)
     return out
 
+_RAW_SPEC = TableConstraints("customers_raw", primary_key=("customerID",), not_null=("Dependents",),
+                             allowed_values={"Contract": ("One year", "Two year")}, min_values={"tenure": 6})
+
+@register("constraint_violations_raw", """
+SELECT 'customers_raw' AS table_name, name AS constraint_name, violations FROM (
+  SELECT 'primary_key(customerID)' AS name, COUNT(*) - COUNT(DISTINCT customerID) AS violations FROM customers_raw
+  UNION ALL SELECT 'not_null(Dependents)', COUNT(*) FILTER (WHERE Dependents IS NULL) FROM customers_raw
+  UNION ALL SELECT 'check(Contract in (One year,Two year))', COUNT(*) FILTER (WHERE Contract = 'Month-to-month') FROM customers_raw
+  UNION ALL SELECT 'min(tenure)>=6', COUNT(*) FILTER (WHERE tenure < 6) FROM customers_raw)""", ["customers_raw"])
+def _constraints_raw(spark, w):
+    """Rules that the raw source breaks, so that every count is above zero."""
+    return constraint_violations(w.customers_raw, _RAW_SPEC)
+
 # --------------------------------------------------------- business queries
 FCS = ["fact_customer_summary"]
 CHURN_PCT = ru("AVG(churn_flag) * 100", 2)
 
 @register("q01_executive_kpis", f"""
 SELECT COUNT(*) AS total_customers, CAST(SUM(churn_flag) AS BIGINT) AS churned_customers,
-  {CHURN_PCT} AS churn_rate_pct, {ru(sumx('monthlycharges', 2), 2)} AS monthly_revenue_usd,
-  {ru(avgx('monthlycharges', 2), 2)} AS arpu_usd, {ru(sumx('estimated_clv_usd', 2), 2)} AS total_clv_usd,
+  {CHURN_PCT} AS churn_rate_pct, {ru(sumx('monthlycharges'), 2)} AS monthly_revenue_usd,
+  {ru(avgx('monthlycharges'), 2)} AS arpu_usd, {ru(sumx('estimated_clv_usd'), 2)} AS total_clv_usd,
   {ru('AVG(tenure)', 1)} AS avg_tenure_months
 FROM fact_customer_summary""", FCS)
 def _q01(spark, w):
@@ -328,7 +371,7 @@ def _q01(spark, w):
 
 @register("q02_churn_by_contract", f"""
 SELECT contract, COUNT(*) AS customer_count, CAST(SUM(churn_flag) AS BIGINT) AS churned,
-  {CHURN_PCT} AS churn_rate_pct, {ru(avgx('monthlycharges', 2), 2)} AS avg_monthly_charges,
+  {CHURN_PCT} AS churn_rate_pct, {ru(avgx('monthlycharges'), 2)} AS avg_monthly_charges,
   {ru('AVG(tenure)', 1)} AS avg_tenure_months
 FROM fact_customer_summary GROUP BY contract ORDER BY churn_rate_pct DESC""", FCS)
 def _q02(spark, w):
@@ -344,7 +387,7 @@ def _q03(spark, w):
 
 @register("q04_churn_by_internet", f"""
 SELECT internetservice, COUNT(*) AS customers, CAST(SUM(churn_flag) AS BIGINT) AS churned,
-  {CHURN_PCT} AS churn_rate_pct, {ru(avgx('monthlycharges', 2), 2)} AS arpu
+  {CHURN_PCT} AS churn_rate_pct, {ru(avgx('monthlycharges'), 2)} AS arpu
 FROM fact_customer_summary GROUP BY internetservice ORDER BY churn_rate_pct DESC""", FCS)
 def _q04(spark, w):
     return A.q04_churn_by_internet(w.customer_summary)
@@ -353,8 +396,8 @@ AT_RISK_WHERE = (f"churn_flag = 0 AND contract = '{MONTH_TO_MONTH}' AND monthlyc
 
 @register("q05_revenue_at_risk", f"""
 SELECT tenure_cohort, contract, COUNT(*) AS at_risk_customer_count,
-  {ru(sumx('monthlycharges', 2), 2)} AS monthly_revenue_at_risk_usd,
-  {ru(sumx('estimated_clv_usd', 2), 2)} AS clv_at_risk_usd
+  {ru(sumx('monthlycharges'), 2)} AS monthly_revenue_at_risk_usd,
+  {ru(sumx('estimated_clv_usd'), 2)} AS clv_at_risk_usd
 FROM fact_customer_summary WHERE {AT_RISK_WHERE}
 GROUP BY tenure_cohort, contract ORDER BY monthly_revenue_at_risk_usd DESC""", FCS)
 def _q05(spark, w):
@@ -377,22 +420,22 @@ def _q07(spark, w):
 
 @register("q08_engagement_vs_churn", f"""
 SELECT {left_case('engagement_score', ENGAGEMENT_SQL_EDGES, ENGAGEMENT_SQL_LABELS)} AS engagement_band,
-  COUNT(*) AS customers, {CHURN_PCT} AS churn_rate_pct, {ru(avgx('monthlycharges', 2), 2)} AS avg_arpu,
-  {ru(avgx('total_data_mb', 3, 38), 2)} AS avg_data_mb, {ru('AVG(total_calls)', 1)} AS avg_calls
+  COUNT(*) AS customers, {CHURN_PCT} AS churn_rate_pct, {ru(avgx('monthlycharges'), 2)} AS avg_arpu,
+  {ru(avgx('total_data_mb'), 2)} AS avg_data_mb, {ru('AVG(total_calls)', 1)} AS avg_calls
 FROM fact_customer_summary GROUP BY engagement_band ORDER BY engagement_band""", FCS)
 def _q08(spark, w):
     return A.q08_engagement_vs_churn(w.customer_summary)
 
 @register("q09_payment_vs_churn", f"""
 SELECT paymentmethod, COUNT(*) AS customers, {CHURN_PCT} AS churn_rate_pct,
-  {ru(avgx('monthlycharges', 2), 2)} AS avg_arpu, {ru('AVG(tenure)', 1)} AS avg_tenure
+  {ru(avgx('monthlycharges'), 2)} AS avg_arpu, {ru('AVG(tenure)', 1)} AS avg_tenure
 FROM fact_customer_summary GROUP BY paymentmethod ORDER BY churn_rate_pct DESC""", FCS)
 def _q09(spark, w):
     return A.q09_payment_vs_churn(w.customer_summary)
 
 @register("q10_tenure_cohort_revenue", f"""
 SELECT tenure_cohort, COUNT(*) AS customers, {CHURN_PCT} AS churn_rate_pct,
-  {ru(sumx('monthlycharges', 2), 2)} AS monthly_revenue_usd, {ru(avgx('estimated_clv_usd', 2), 2)} AS avg_clv_usd
+  {ru(sumx('monthlycharges'), 2)} AS monthly_revenue_usd, {ru(avgx('estimated_clv_usd'), 2)} AS avg_clv_usd
 FROM fact_customer_summary GROUP BY tenure_cohort ORDER BY tenure_cohort""", FCS)
 def _q10(spark, w):
     return A.q10_tenure_cohort_revenue(w.customer_summary)
@@ -447,7 +490,7 @@ def _ex5(spark, w):
     return A.ex5_rank_in_cohort(w.customer_summary)
 
 @register("ex6_cte_at_risk", f"""
-SELECT tenure_cohort, COUNT(*) AS at_risk_count, {sumx('monthlycharges', 2)} AS monthly_revenue_at_risk
+SELECT tenure_cohort, COUNT(*) AS at_risk_count, {sumx('monthlycharges')} AS monthly_revenue_at_risk
 FROM fact_customer_summary WHERE {AT_RISK_WHERE}
 GROUP BY tenure_cohort ORDER BY monthly_revenue_at_risk DESC""", FCS)
 def _ex6(spark, w):
@@ -461,9 +504,9 @@ def _v1(spark, w):
 
 # --------------------------------------------------------------- dashboards
 @register("d0_kpi_tiles", f"""
-SELECT COUNT(*) AS total_customers, AVG(churn_flag) * 100 AS churn_rate, {sumx('monthlycharges', 2)} AS mrr,
-  {avgx('monthlycharges', 2)} AS arpu,
-  COALESCE({sumx('CASE WHEN churn_flag = 1 THEN monthlycharges END', 2)}, {dbl(0)}) AS lost_mrr
+SELECT COUNT(*) AS total_customers, AVG(churn_flag) * 100 AS churn_rate, {sumx('monthlycharges')} AS mrr,
+  {avgx('monthlycharges')} AS arpu,
+  COALESCE({sumx('CASE WHEN churn_flag = 1 THEN monthlycharges END')}, {dbl(0)}) AS lost_mrr
 FROM fact_customer_summary""", FCS)
 def _d0(spark, w):
     return D.d0_kpi_tiles(w.customer_summary)
@@ -494,14 +537,14 @@ def _d3(spark, w):
 
 @register("d4_daily_success_trend", f"""
 SELECT call_date, call_success_rate_pct,
-  (SELECT {avgx('call_success_rate_pct', 3)} FROM fact_daily_network_metrics) AS mean_success_rate_pct
+  (SELECT {avgx('call_success_rate_pct')} FROM fact_daily_network_metrics) AS mean_success_rate_pct
 FROM fact_daily_network_metrics ORDER BY call_date""", ["fact_daily_network_metrics"])
 def _d4(spark, w):
     return D.d4_daily_success_trend(w.daily)
 
 @register("d5_engagement_bands_right", f"""
 SELECT eng_band, AVG(churn_flag) * 100 AS churn_rate, COUNT(customer_id) AS customers,
-  {avgx('monthlycharges', 2)} AS avg_revenue
+  {avgx('monthlycharges')} AS avg_revenue
 FROM (SELECT *, {right_bins('engagement_score', ENGAGEMENT_DASH_EDGES, ENGAGEMENT_DASH_LABELS)} AS eng_band
       FROM fact_customer_summary)
 WHERE eng_band IS NOT NULL GROUP BY eng_band ORDER BY eng_band""", FCS)

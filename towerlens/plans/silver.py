@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from towerlens.constants import (
     BYTES_PER_MB,
     DAYS_PER_YEAR,
-    DEFAULT_AS_OF,
     MAX_CALL_SECONDS,
     TENURE_EDGES,
     TENURE_LABELS,
@@ -38,15 +37,15 @@ def impute_total_charges(df: DataFrame) -> DataFrame:
     return df.withColumn("totalcharges", F.coalesce(tc, F.col("monthlycharges").cast("double")))
 
 
-def clean_customers(raw: DataFrame, order_cols: Sequence[str] | None = None) -> DataFrame:
-    """M1: names, lenient totals, imputation, flags, keep-first dedup, cohort."""
+def clean_customers(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+    """M1: names, lenient totals, imputation, flags, keep-first dedup by ``order_cols`` (dropped), cohort."""
     df = normalise_names(raw).withColumnRenamed("customerid", "customer_id")
     df = impute_total_charges(df)
     df = df.withColumns({
         "churn_flag": eq_flag("churn", "Yes"),
         "is_senior_citizen": F.col("seniorcitizen").cast("int"),
     })
-    df = dedup_keep_first(df, ["customer_id"], order_cols)
+    df = dedup_keep_first(df, ["customer_id"], order_cols, drop_order_cols=True)
     return df.withColumn("tenure_cohort", bucketize("tenure", TENURE_EDGES, TENURE_LABELS))
 
 
@@ -60,7 +59,7 @@ def add_time_dims(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     })
 
 
-def clean_cdrs(raw: DataFrame, order_cols: Sequence[str] | None = None,
+def clean_cdrs(raw: DataFrame, order_cols: Sequence[str],
                drop_order_cols: bool = True, observation: Observation | None = None) -> DataFrame:
     """M2: parse -> drop unparsable -> time dims -> outlier filter -> flags ->
     MB -> keep-first dedup on call_id (filters run before the dedup)."""
@@ -72,20 +71,13 @@ def clean_cdrs(raw: DataFrame, order_cols: Sequence[str] | None = None,
         "is_dropped": eq_flag("call_status", "DROPPED"),
         "data_mb": round_half_even(F.col("bytes_transferred") / F.lit(float(BYTES_PER_MB)), 3),
     })
-    # Single-pass aggregate plan: the raw source is CSV, and parsing it twice
-    # (the repeated-key split of ``dedup_keep_first``) cost twice the time of
-    # the shuffle it saves in measurements here.
-    df = dedup_keep_first(df, ["call_id"], order_cols, drop_order_cols=drop_order_cols)
-    if drop_order_cols and order_cols:
-        df = df.drop(*order_cols)
-    return df
+    return dedup_keep_first(df, ["call_id"], order_cols, drop_order_cols=drop_order_cols)
 
 
-def clean_cell_towers(raw: DataFrame, as_of: str = DEFAULT_AS_OF,
-                      order_cols: Sequence[str] | None = None) -> DataFrame:
+def clean_cell_towers(raw: DataFrame, as_of: str, order_cols: Sequence[str]) -> DataFrame:
     """M3 (= dim_cell_towers): date type, years in service as of a given day
-    (whole days / 365.25, 2 decimals), keep-first dedup on cell_tower_id."""
+    (whole days / 365.25, 2 decimals), keep-first dedup on cell_tower_id by ``order_cols`` (dropped)."""
     df = raw.withColumn("installation_date", F.to_date(F.col("installation_date")))
     days = F.datediff(F.lit(as_of).cast("date"), F.col("installation_date"))
     df = df.withColumn("years_in_service", round_half_even(days / F.lit(DAYS_PER_YEAR), 2))
-    return dedup_keep_first(df, ["cell_tower_id"], order_cols)
+    return dedup_keep_first(df, ["cell_tower_id"], order_cols, drop_order_cols=True)

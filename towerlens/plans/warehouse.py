@@ -18,13 +18,11 @@ from towerlens.sources import adapters
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, as_of: str = DEFAULT_AS_OF,
-                 materialize: bool | None = None, rank_kwargs: dict | None = None,
-                 tables: dict[str, DataFrame] | None = None):
+                 rank_parts: int | None = None, tables: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
-        self.materialize = materialize
-        self.rank_kwargs = rank_kwargs or {}
+        self.rank_parts = rank_parts
         self._tables = dict(tables or {})
 
     @classmethod
@@ -34,12 +32,12 @@ class Warehouse:
     @classmethod
     def from_landing(cls, spark: SparkSession, paths: dict[str, str], as_of: str = DEFAULT_AS_OF) -> Warehouse:
         """Raw sources read from landed CSV files with their declared schemas."""
-        from towerlens.schemas import CDRS_RAW_ORDERED, CUSTOMERS_RAW, TOWERS_RAW
+        from towerlens.schemas import CDRS_RAW_ORDERED, CUSTOMERS_RAW_ORDERED, TOWERS_RAW_ORDERED
         from towerlens.sources import read_csv
         w = cls(spark, None, as_of=as_of)
-        w.customers_raw = read_csv(spark, paths["telco_customer_churn.csv"], CUSTOMERS_RAW)
+        w.customers_raw = read_csv(spark, paths["telco_customer_churn.csv"], CUSTOMERS_RAW_ORDERED)
         w.cdrs_raw = read_csv(spark, paths["cdr_records.csv"], CDRS_RAW_ORDERED)
-        w.towers_raw = read_csv(spark, paths["cell_towers.csv"], TOWERS_RAW)
+        w.towers_raw = read_csv(spark, paths["cell_towers.csv"], TOWERS_RAW_ORDERED)
         return w
 
     @classmethod
@@ -48,8 +46,10 @@ class Warehouse:
         silver_names = ["customers", "cdrs", "cell_towers"]
         gold_names = ["fact_customer_summary", "fact_daily_network_metrics",
                       "fact_regional_performance", "fact_churn_cohort"]
-        tables = {n: spark.read.parquet(f"{root}/silver/{n}") for n in silver_names}
-        tables.update({n: spark.read.parquet(f"{root}/gold/{n}") for n in gold_names})
+        from towerlens.plans.pipeline import current
+        silver_folder, gold_folder = current(spark, f"{root}/silver"), current(spark, f"{root}/gold")
+        tables = {n: spark.read.parquet(f"{silver_folder}/{n}") for n in silver_names}
+        tables.update({n: spark.read.parquet(f"{gold_folder}/{n}") for n in gold_names})
         return cls(spark, None, tables=tables)
 
     def serve(self, names: list[str] | None = None) -> dict[str, int]:
@@ -83,14 +83,14 @@ class Warehouse:
         return adapters.towers_raw(self.spark, self.sf_dir)
 
     def raw_sources(self) -> dict[str, DataFrame]:
-        return {"telco_customer_churn.csv": self.customers_raw,
+        return {"telco_customer_churn.csv": self.customers_raw.drop(*adapters.CUSTOMER_ORDER),
                 "cdr_records.csv": self.cdrs_raw.drop(*adapters.CDR_ORDER),
-                "cell_towers.csv": self.towers_raw}
+                "cell_towers.csv": self.towers_raw.drop(*adapters.TOWER_ORDER)}
 
     # silver ------------------------------------------------------------
     @property
     def customers(self) -> DataFrame:
-        return self._get("customers", lambda: silver.clean_customers(self.customers_raw))
+        return self._get("customers", lambda: silver.clean_customers(self.customers_raw, adapters.CUSTOMER_ORDER))
 
     @property
     def cdrs(self) -> DataFrame:
@@ -98,7 +98,7 @@ class Warehouse:
 
     @property
     def towers(self) -> DataFrame:
-        return self._get("cell_towers", lambda: silver.clean_cell_towers(self.towers_raw, self.as_of))
+        return self._get("cell_towers", lambda: silver.clean_cell_towers(self.towers_raw, self.as_of, adapters.TOWER_ORDER))
 
     # gold --------------------------------------------------------------
     @property
@@ -108,7 +108,7 @@ class Warehouse:
     @property
     def customer_summary(self) -> DataFrame:
         return self._get("fact_customer_summary", lambda: gold.fact_customer_summary(
-            self.customers, self.cdrs, materialize=self.materialize, rank_kwargs=self.rank_kwargs))
+            self.customers, self.cdrs, self.rank_parts))
 
     @property
     def daily(self) -> DataFrame:

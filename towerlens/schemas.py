@@ -43,6 +43,10 @@ TOWERS_RAW = _s(
     ("cell_tower_id", S), ("region", S), ("city", S), ("latitude", D), ("longitude", D),
     ("technology", S), ("installation_date", DT), ("capacity_users", I))
 
+# The landed customer and tower files carry their row order too.
+CUSTOMERS_RAW_ORDERED = _s(*[(f.name, f.dataType) for f in CUSTOMERS_RAW.fields], ("file_row", L))
+TOWERS_RAW_ORDERED = _s(*[(f.name, f.dataType) for f in TOWERS_RAW.fields], ("file_row", L))
+
 DIM_CELL_TOWERS = _s(*[(f.name, f.dataType) for f in TOWERS_RAW.fields], ("years_in_service", D))
 
 FACT_DAILY_NETWORK_METRICS = _s(

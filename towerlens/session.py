@@ -104,9 +104,14 @@ def release(df: DataFrame) -> None:
             _MATERIALIZED.remove(path)
 
 
-def release_all(spark: SparkSession) -> None:
-    """Delete every table ``materialize`` wrote in this process."""
-    while _MATERIALIZED:
+def materialized() -> int:
+    """How many tables ``materialize`` has written so far and not released: a mark for ``release_since``."""
+    return len(_MATERIALIZED)
+
+
+def release_since(spark: SparkSession, mark: int) -> None:
+    """Delete the tables written after ``mark``: what the caller made itself, never another owner's."""
+    while len(_MATERIALIZED) > mark:
         hadoop_fs.delete(spark, _MATERIALIZED.pop())
 
 

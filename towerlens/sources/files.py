@@ -14,42 +14,51 @@ class SourceMissingError(FileNotFoundError):
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """CSV with a header row. With a schema no inference pass runs (main path);
-    without one the schema is inferred (audit of unknown files only)."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", True).csv(path)
+    """CSV with a header row, columns resolved by their header names.
+
+    With a schema, its columns are picked by name (a missing one is an error,
+    files of one source whose headers differ are an error, no inference pass)
+    and cast; a field that does not parse becomes NULL (``malformed_fields``
+    counts them). Without one the types are inferred (audit of unknown files).
+    """
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    raw = reader.csv(path)
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def malformed_fields(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """(column_name, malformed_count): fields that hold text which does not parse as the declared type."""
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    typed = [f for f in schema.fields if f.dataType.simpleString() != "string"]
+    wide = raw.agg(*[F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f"_n{i}")
+                     for i, f in enumerate(typed)])
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f"_n{i}").alias("malformed_count"))
+                                           for i, f in enumerate(typed)])).alias("_x")).select("_x.*")
 
 
-MAX_HASH_BYTES = 1 << 30  # larger files are not read whole into one task
+def _line_checksum(lines: DataFrame):
+    """Order-free checksum of text lines, the same at every size: 16 hex digits of a SHA-256 over the number of lines and
+    the sum of their 64-bit hashes (copies of lines count)."""
+    text = F.concat_ws(":", F.count(F.lit(1)).cast("string"),
+                       F.coalesce(F.sum(F.xxhash64("value").cast("decimal(38,0)")).cast("string"), F.lit("0")))
+    return F.substring(F.sha2(text, 256), 1, 16)
 
 
-def source_file_stats(spark: SparkSession, folder: str, glob: str = "*.csv",
-                      max_hash_bytes: int = MAX_HASH_BYTES) -> DataFrame:
+def source_file_stats(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
     """One row for a source stored as one or more files: file count, total
-    bytes and a SHA-256-based checksum (first 16 hex digits). For a single
-    file the checksum is that file's; for several it is combined order-free
-    (sum of 64-bit hashes of the per-file digests), so no file list is
-    gathered in one place.
-
-    Files are listed first without reading them; a digest needs the whole
-    file in one task, so when any file exceeds ``max_hash_bytes`` the
-    checksum is NULL (use ``operators.table_fingerprint`` on the parsed rows
-    for change detection at that size)."""
+    bytes and a checksum of its lines.
+
+    Files are listed without reading them; lines are read in splits and
+    hashed where they lie, so no file, however large, meets one task, and
+    equal lines give equal checksums however they are cut into files.
+    """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    sizes = listing.agg(F.count(F.lit(1)).alias("file_count"), F.sum("length").alias("size_bytes"),
-                        F.max("length").alias("_largest")).first()
-    if sizes["file_count"] and sizes["_largest"] <= max_hash_bytes:
-        digests = listing.select(F.sha2(F.col("content"), 256).alias("d"))
-        combined = F.substring(F.sha2(F.sum(F.xxhash64("d").cast("decimal(38,0)")).cast("string"), 256), 1, 16)
-        checksum = digests.agg(F.when(F.count(F.lit(1)) == 1, F.substring(F.max("d"), 1, 16))
-                               .otherwise(combined)).first()[0]
-    else:
-        checksum = None
-    return spark.createDataFrame(
-        [(int(sizes["file_count"]), int(sizes["size_bytes"] or 0), checksum)],
-        "file_count bigint, size_bytes bigint, checksum_sha256_16 string")
+    sizes = listing.agg(F.count(F.lit(1)).alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"))
+    lines = spark.read.option("pathGlobFilter", glob).text(folder)
+    return sizes.select("file_count", "size_bytes",
+                        lines.agg(_line_checksum(lines).alias("c")).scalar().alias("checksum_sha256_16"))
 
 
 def read_mart_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -63,16 +72,11 @@ def require_sources(spark: SparkSession, paths: dict[str, str]) -> None:
     cluster sees, through Hadoop, not the local disk of the driver)."""
     missing = [f"{name}: {path}" for name, path in paths.items() if not hadoop_fs.exists(spark, path)]
     if missing:
-        raise SourceMissingError("Bronze source missing: " + "; ".join(missing))
+        raise SourceMissingError("sources that do not exist: " + "; ".join(missing))
 
 
 def file_fingerprints(spark: SparkSession, pattern: str) -> DataFrame:
-    """Per file: path, size in bytes, first 16 hex digits of SHA-256.
-
-    One task per file (binaryFile source); the digest runs in the JVM. Files
-    must fit one task (binaryFile limit 2 GB); for table-level change
-    detection at any size use ``operators.profile.table_fingerprint``.
-    """
-    return (spark.read.format("binaryFile").load(pattern)
-            .select(F.col("path"), F.col("length").alias("size_bytes"),
-                    F.substring(F.sha2(F.col("content"), 256), 1, 16).alias("checksum_sha256_16")))
+    """Per file: path, size in bytes, checksum of its lines (as in ``source_file_stats``), at any size."""
+    lines = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("path"),
+                                            F.col("_metadata.file_size").alias("size_bytes"))
+    return lines.groupBy("path", "size_bytes").agg(_line_checksum(lines).alias("checksum_sha256_16"))

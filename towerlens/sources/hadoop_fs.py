@@ -36,12 +36,26 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def replace(spark: SparkSession, src: str, dst: str) -> None:
-    """Move folder ``src`` to ``dst``, replacing an existing ``dst``."""
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    if fs.exists(d):
-        fs.delete(d, True)
-    fs.mkdirs(d.getParent())
-    if not fs.rename(s, d):
-        raise OSError(f"could not move {src} -> {dst}")
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: a new file beside it, then renamed over it."""
+    fs, p = _fs(spark, path)
+    _, fresh = _fs(spark, path + ".next")
+    out = fs.create(fresh, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    fs.delete(p, False)
+    if not fs.rename(fresh, p):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, or of the one that was about to replace it; None if neither exists."""
+    for name in (path, path + ".next"):
+        fs, p = _fs(spark, name)
+        if fs.exists(p):
+            stream = fs.open(p)
+            try:
+                return bytes(stream.readAllBytes()).decode("utf-8")
+            finally:
+                stream.close()
+    return None

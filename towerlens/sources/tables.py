@@ -4,37 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from towerlens.sources import hadoop_fs
-
-# Below this size a single-split scan is cheaper than a redistribution.
-SPREAD_MIN_BYTES = 4 * 1024 * 1024
-
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Parquet scan; column pruning and filter pushdown come from Catalyst.
-
-    A Parquet file splits only at row-group boundaries, so a large table
-    stored as one row group scans in one task and everything up to the first
-    shuffle (joins, parsing, partial aggregation) runs on one core. With
-    ``spread`` such a scan -- fewer splits than the default parallelism and
-    more than ``SPREAD_MIN_BYTES`` of data -- is redistributed round-robin.
-    Tables stored as many files or row groups (any table at cluster scale)
-    already have enough splits and get no extra shuffle.
-    """
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    # the size (file-system metadata) is checked first: small tables skip
-    # the split probe, which has to plan the scan
-    if spread and hadoop_fs.size_bytes(spark, path) > SPREAD_MIN_BYTES:
-        try:
-            target = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD API (e.g. a remote session): leave the scan as is
-            return df
-        if splits < target:
-            df = df.repartition(target)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan; column pruning, filter pushdown and the splits come from Spark."""
+    return spark.read.parquet(table_path(sf_dir, name))

@@ -8,17 +8,17 @@ Per micro-batch (``foreachBatch``):
    by the declared order columns inside the batch;
 2. call_ids already published in silver are removed, so a call id keeps its
    first-arrived row across batches and a replayed batch appends nothing
-   twice (the batch's key set, size-checked, is broadcast into a one-column
-   scan of the published ids);
-3. the new rows are written as a table in the shared checkpoint folder and
-   read back: step 2 must not be re-evaluated after the append below;
-4. the rows are appended to silver (sorted by call_date, customer_id);
-5. the daily mart is rebuilt for the dates the batch touched only -- the
-   silver rows of those dates are re-aggregated (exact distinct counts need
-   the rows, not running totals) -- and written, together with the
-   untouched days of the previous snapshot, as snapshot ``v<epoch>``.
-   Readers take the newest complete snapshot (``latest_daily``); a replayed
-   epoch overwrites its own snapshot, so the mart is idempotent.
+   twice;
+3. batch and new rows are written as tables in the shared checkpoint folder
+   and read back: step 2 must not be re-evaluated after the append below;
+4. the new rows are appended to silver (sorted by call_date, customer_id);
+5. the daily mart is rebuilt for every date of the cleaned batch, also of rows
+   that were published before (a batch that is run again after a crash must
+   rebuild its days although it appends nothing): the silver rows of those
+   dates are re-aggregated and written, together with the other days of the
+   snapshot before this epoch, as snapshot ``v<epoch>``. Readers take the
+   newest complete snapshot (``latest_daily``); a replayed epoch overwrites
+   its own snapshot.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from towerlens.operators.joins import DEFAULT_BROADCAST_ROWS, small_enough
 from towerlens.plans.gold import fact_daily_network_metrics
 from towerlens.plans.silver import clean_cdrs
 from towerlens.schemas import CDRS_RAW
@@ -41,7 +40,7 @@ from towerlens.sources import hadoop_fs
 def landing_stream(spark: SparkSession, landing_dir: str, schema: StructType = CDRS_RAW,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Raw CDR CSV files (header row) arriving in ``landing_dir``."""
-    reader = spark.readStream.schema(schema).option("header", True)
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(landing_dir)
@@ -64,12 +63,10 @@ def latest_daily(spark: SparkSession, lake_dir: str, before_epoch: int | None =
 class CdrIngest:
     """The ``foreachBatch`` function (picklable state: paths and order)."""
 
-    def __init__(self, lake_dir: str, order_cols: Sequence[str] | None = None,
-                 max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS, keep_snapshots: int = 3):
+    def __init__(self, lake_dir: str, order_cols: Sequence[str], keep_snapshots: int = 3):
         self.lake_dir = lake_dir.rstrip("/")
-        self.order_cols = list(order_cols) if order_cols else None
-        self.max_broadcast_keys = max_broadcast_keys
-        self.keep_snapshots = max(1, keep_snapshots)
+        self.order_cols = list(order_cols)
+        self.keep_snapshots = max(2, keep_snapshots)  # a replayed epoch starts from the snapshot before it
 
     @property
     def silver(self) -> str:
@@ -77,30 +74,23 @@ class CdrIngest:
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        clean = clean_cdrs(batch, self.order_cols)
+        batch_clean = materialize(clean_cdrs(batch, self.order_cols), f"cdr_batch_{epoch_id}")
+        new = batch_clean
         if hadoop_fs.exists(spark, self.silver):
             published = spark.read.parquet(self.silver).select("call_id")
-            keys = clean.select("call_id").distinct()
-            if small_enough(keys, self.max_broadcast_keys):
-                # one-column scan of published ids, filtered by the broadcast
-                # key set of this batch: no shuffle of the key history
-                seen = published.join(F.broadcast(keys), "call_id", "left_semi")
-                clean = clean.join(seen, "call_id", "left_anti")
-            else:
-                clean = clean.join(published, "call_id", "left_anti")
-        new = materialize(clean, f"cdr_batch_{epoch_id}")
+            new = materialize(batch_clean.join(published, "call_id", "left_anti"), f"cdr_new_{epoch_id}")
         (new.sortWithinPartitions("call_date", "customer_id")
          .write.mode("append").parquet(self.silver))
-        self._refresh_daily(spark, new, epoch_id)
-        release(new)
+        self._refresh_daily(spark, batch_clean.select("call_date").distinct(), epoch_id)
+        release(batch_clean)
+        if new is not batch_clean:
+            release(new)
 
-    def _refresh_daily(self, spark: SparkSession, new: DataFrame, epoch_id: int) -> None:
-        touched = new.select("call_date").distinct()
+    def _refresh_daily(self, spark: SparkSession, touched: DataFrame, epoch_id: int) -> None:
         silver = spark.read.parquet(self.silver)
-        rebuilt = fact_daily_network_metrics(silver.join(F.broadcast(touched), "call_date", "left_semi"))
+        rebuilt = fact_daily_network_metrics(silver.join(touched, "call_date", "left_semi"))
         previous = latest_daily(spark, self.lake_dir, before_epoch=epoch_id)
-        mart = rebuilt if previous is None else previous.join(
-            F.broadcast(touched), "call_date", "left_anti").unionByName(rebuilt)
+        mart = rebuilt if previous is None else previous.join(touched, "call_date", "left_anti").unionByName(rebuilt)
         mart.write.mode("overwrite").parquet(
             f"{self.lake_dir}/gold/fact_daily_network_metrics/v{epoch_id:012d}")
         self._expire(spark)
@@ -114,7 +104,7 @@ class CdrIngest:
 
 
 def start_cdr_ingest(spark: SparkSession, landing_dir: str, lake_dir: str, checkpoint_location: str,
-                     schema: StructType = CDRS_RAW, order_cols: Sequence[str] | None = None,
+                     order_cols: Sequence[str], schema: StructType = CDRS_RAW,
                      available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the ingestion query; ``available_now`` processes what has landed
     and stops (scheduled runs), otherwise it keeps polling."""
