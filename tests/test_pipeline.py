@@ -31,7 +31,7 @@ def test_pipeline_outputs(spark, scratch):
     tw = audit["sources"][2]
     assert tw["file_count"] == len(towers_files)
     assert tw["size_bytes"] == sum(os.path.getsize(f) for f in towers_files)
-    assert len(tw["checksum_sha256_16"]) == 16
+    assert len(tw["checksum_sha256_16"]) == 16 and tw["malformed_fields"] == 0
     assert [s["filename"] for s in audit["sources"]] == [
         "telco_customer_churn.csv", "cdr_records.csv", "cell_towers.csv"]
     assert audit["sources"][0]["column_count"] == 21 and audit["stage"] == "bronze"

@@ -40,14 +40,14 @@ def audit_total_rows(sources: dict[str, DataFrame]) -> DataFrame:
 def audit_document(spark: SparkSession, audit: DataFrame, run_ts: str,
                    file_stats: dict[str, DataFrame] | None = None) -> DataFrame:
     """The audit as one nested record: run id, stage, sources array; with
-    ``file_stats`` (per source: file count, bytes, checksum) merged in.
+    ``file_stats`` (per source: file count, bytes, checksum, malformed fields) merged in.
 
     The audit has one row per registered source, so it is brought to the
     driver (bounded by the registry, not by the data) and rewrapped.
     """
     stats = {k: v.first().asDict() for k, v in (file_stats or {}).items()}
     stat_fields = [StructField("file_count", LongType()), StructField("size_bytes", LongType()),
-                   StructField("checksum_sha256_16", StringType())] if file_stats else []
+                   StructField("checksum_sha256_16", StringType()), StructField("malformed_fields", LongType())] if file_stats else []
     rows = []
     for r in audit.collect():
         d = r.asDict(recursive=True)

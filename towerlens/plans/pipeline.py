@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from towerlens.constants import DEFAULT_AS_OF, SOURCES
 from towerlens.operators import constraint_violations, enforce
@@ -25,11 +26,11 @@ from towerlens.operators.constraints import load_check
 from towerlens.plans import bronze, dq, gold, silver
 from towerlens.plans.analytics import v1_regional_snapshot
 from towerlens.plans.warehouse import Warehouse
-from towerlens.schemas import CONSTRAINTS, CUSTOMER_SUMMARY_DEFAULTS, MART_SCHEMAS
+from towerlens.schemas import CONSTRAINTS, CUSTOMER_SUMMARY_DEFAULTS, LANDED_SCHEMAS, MART_SCHEMAS
 from towerlens.session import materialized, release_since, run_concurrently
 from towerlens.sinks import write_csv, write_json_report, write_mart, write_parquet
 from towerlens.sinks.writers import conform, declare_table, load_table
-from towerlens.sources import hadoop_fs, require_sources, source_file_stats
+from towerlens.sources import hadoop_fs, malformed_fields, require_sources, source_file_stats
 from towerlens.sources.adapters import CDR_ORDER, CUSTOMER_ORDER, TOWER_ORDER
 
 
@@ -84,8 +85,10 @@ def run_bronze(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
     stats = None
     if paths:
         require_sources(spark, paths)
-        stats = run_concurrently(spark, {
-            name: (lambda p=path: source_file_stats(spark, p)) for name, path in paths.items()})
+        def stats_of(name: str, path: str) -> DataFrame:
+            bad = malformed_fields(spark, path, LANDED_SCHEMAS[name]).agg(F.sum("malformed_count"))
+            return source_file_stats(spark, path).withColumn("malformed_fields", bad.scalar())
+        stats = {name: stats_of(name, path) for name, path in paths.items()}
     audit = bronze.audit_sources(w.raw_sources())
     write_json_report(bronze.audit_document(spark, audit, run_ts, stats), f"{out}/bronze/_ingestion_audit")
     return audit

@@ -47,6 +47,9 @@ TOWERS_RAW = _s(
 CUSTOMERS_RAW_ORDERED = _s(*[(f.name, f.dataType) for f in CUSTOMERS_RAW.fields], ("file_row", L))
 TOWERS_RAW_ORDERED = _s(*[(f.name, f.dataType) for f in TOWERS_RAW.fields], ("file_row", L))
 
+LANDED_SCHEMAS = {"telco_customer_churn.csv": CUSTOMERS_RAW_ORDERED, "cdr_records.csv": CDRS_RAW_ORDERED,
+                  "cell_towers.csv": TOWERS_RAW_ORDERED}
+
 DIM_CELL_TOWERS = _s(*[(f.name, f.dataType) for f in TOWERS_RAW.fields], ("years_in_service", D))
 
 FACT_DAILY_NETWORK_METRICS = _s(
