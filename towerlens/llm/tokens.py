@@ -1,39 +1,51 @@
-"""Token ids of whole texts with a public tokenizer file, memoised by piece.
-
-A text is cut before every single space that has a visible character on both
-sides. No pre-token of the supported tokenizers spans such a cut (white space
-either starts the next pre-token or is dropped), so the ids of a text are the
-ids of its pieces, one after the other; pieces repeat, and each distinct one
-is encoded by the library once per memo. The tests compare with direct encoding.
+"""Token ids of whole texts with a public tokenizer file, memoised by pre-token.
+
+Words repeat, so each distinct pre-token is encoded by the library once per
+memo, many at a time. Texts of plain Latin letters are cut by the tokenizer's
+own pre-token pattern (its classes spelled out for those letters); any other
+text is cut before every single space that has a visible character on both
+sides, a place that no pre-token spans. Either way the ids of a text are the
+ids of its parts, one after the other; the tests compare with direct encoding.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
 #: White space or invisible in any engine: no cut beside these.
-_ODD = r"\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  ⁠　﻿"
+_ODD = r"\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
 _IRREGULAR = re.compile(rf" (?:$|[{_ODD}])|(?:^|[{_ODD}]) ")
 _CUT = re.compile(rf"(?<=[^{_ODD}]) (?=[^{_ODD}])")
 
-#: Pieces held in memory by one task (about 200 bytes each); the memo starts anew beyond it.
-MEMO_PIECES = 400_000
-#: Pieces longer than this are encoded each time.
+#: Plain texts: ASCII and the letters of Latin-1, in which both engines see the same classes. "<|" may start a special token.
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_NOT_PLAIN = re.compile(rf"[^\t\n\r\x20-\x7e{_LETTERS}]|<\|")
+#: Pre-token patterns of the two kinds of tokenizer (fixed by their files).
+_BYTE_PATTERN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
+_WORD_PATTERN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
+
+#: Parts held in memory by one task (about 180 bytes each); the memo starts anew beyond it.
+MEMO_PARTS = 1_000_000
+#: Parts longer than this are encoded each time.
 MEMO_LENGTH = 48
+#: Characters of missing parts that are encoded as one text.
+JOIN = 3000
 
 
 def pieces(text: str) -> list[str]:
-    """Cut a text; every piece but the first keeps its leading space."""
+    """Cut any text; every piece but the first keeps its leading space."""
     if not text:
         return []
     parts = text.split(" ") if not _IRREGULAR.search(text) else _CUT.split(text)
     return [parts[0], *[" " + p for p in parts[1:]]]
 
 
-class PieceEncoder:
+class PartEncoder:
     """Encodes batches of texts to little-endian unsigned 32-bit ids (bytes)."""
 
     def __init__(self, path: str):
@@ -41,33 +53,78 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        before = spec["pre_tokenizer"] or {}
+        self.pattern, self.ends, self.between, self.lower = None, None, "", False
+        if spec["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]:
+            self.pattern, self.between = _BYTE_PATTERN, "\n"  # a line break between two parts is one token of its own
+            self.mark = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        elif steps == ["NFC", "Replace", "Lowercase"] and spec["model"].get("end_of_word_suffix"):
+            self.pattern, self.between, self.lower = _WORD_PATTERN, " ", True
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # the last token of every pre-token is marked
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(spec["model"]["end_of_word_suffix"])]] = True
+
+    def _cut(self, text: str) -> list[str]:
+        if self.pattern is None or _NOT_PLAIN.search(text):
+            return pieces(text)
+        return self.pattern.findall(text.lower() if self.lower else text)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_joined(self, parts: list[str]) -> list[bytes]:
+        """Parts without white space inside, as few long texts; the ids are cut where parts end."""
+        texts: list[list[str]] = [[]]
+        size = 0
+        for p in parts:
+            if size > JOIN:
+                texts.append([])
+                size = 0
+            texts[-1].append(p)
+            size += len(p) + 1
+        out: list[bytes] = []
+        for own, ids in zip(texts, self._ids([self.between.join(t) for t in texts]), strict=True):
+            if self.ends is not None:
+                found = np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
+            else:
+                at = np.flatnonzero(ids == self.mark)
+                found = [ids[a:b] for a, b in zip([0, *(at + 1)], [*at, len(ids)], strict=True)]
+            out += [f.tobytes() for f in (found if len(found) == len(own) else self._ids(own))]
+        return out
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _fill(self, missing: list[str]) -> None:
+        whole = [p for p in missing if self.pattern is not None and self.pattern.fullmatch(p) and not _NOT_PLAIN.search(p) and not p.isspace()]
+        for at in range(0, len(whole), 20_000):
+            part = whole[at:at + 20_000]
+            self.memo.update(zip(part, self._encode_joined(part), strict=True))
+        rest = [p for p in missing if p not in self.memo]
+        for at in range(0, len(rest), 4096):
+            part = rest[at:at + 4096]
+            self.memo.update(zip(part, (i.tobytes() for i in self._ids(part)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [pieces(t) for t in texts]
-        wanted = set().union(*cut) if cut else set()
-        missing = [p for p in wanted if p not in self.memo]
-        if len(self.memo) + len(missing) > MEMO_PIECES:
+        cut = [self._cut(t) for t in texts]
+        wanted = set(chain.from_iterable(cut))
+        missing = wanted - self.memo.keys()
+        if len(self.memo) + len(missing) > MEMO_PARTS:
             self.memo.clear()
-            missing = list(wanted)
-        for at in range(0, len(missing), 4096):
-            part = missing[at:at + 4096]
-            self.memo.update(zip(part, self._encode(part), strict=True))
+            missing = wanted
+        self._fill(list(missing))
         out = [b"".join(map(self.memo.__getitem__, c)) for c in cut]
-        for p in [p for p in missing if len(p) > MEMO_LENGTH]:
-            del self.memo[p]
+        for p in missing:
+            if len(p) > MEMO_LENGTH:
+                del self.memo[p]
         return out
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[str, PartEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str) -> PartEncoder:
     """The encoder of this Python worker, kept for its next tasks."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
+        _ENCODERS[path] = PartEncoder(path)
     return _ENCODERS[path]
 
 
