@@ -89,6 +89,22 @@ def op10_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS name, regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT DISTINCT name, n, array_to_string(w[k:k + n - 1], ' ') AS win
+       FROM (SELECT name, w, least(10, len(w)) AS n, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS k FROM i WHERE len(w) > 0)),
+dw AS (SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS win
+       FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS k FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, k, n, name FROM dw JOIN iw USING (n, win)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+          FROM (SELECT doc_id, unnest(generate_series(k, k + n - 1)) AS p FROM (SELECT DISTINCT doc_id, k, n FROM hits)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(name, ',' ORDER BY name)) AS s FROM (SELECT DISTINCT doc_id, name FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(s, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""".replace("LOWERED", SQL_LOWER)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_boosted_tree_toxicity": op1_boosted_tree_toxicity,
     "op2_brown_class_ngrams": op2_brown_class_ngrams,
@@ -102,5 +118,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bounded_space_packing": op10_bounded_space_packing,
 }
 ORACLE: dict[str, str] = {
+    "op7_winnowing_decontamination": OP7_SQL,
     "op8_cuckoo_exact_dedup": OP8_SQL,
 }
