@@ -1,7 +1,6 @@
 """Generic operators: dedup, outlier filter, average-rank percentile, joins,
 profiles and constraints (unit edge rows and properties)."""
 
-import hashlib
 import random
 
 import pytest
