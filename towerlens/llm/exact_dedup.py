@@ -195,7 +195,7 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     of rows that repeat id and text one stays.
     """
     keys = _keyed(docs)
-    gone = _groups(keys).where(~F.col("id").eqNullSafe(F.col("keep_id"))).select("id", "key").distinct()
+    gone = _groups(keys).where(~F.col("id").eqNullSafe(F.col("keep_id"))).select("id", "key")
     id_, key = fresh("id_", docs.columns), fresh("key_", docs.columns)
     rows = docs.withColumn(id_, F.col("doc_id").cast("long")).withColumn(key, text_key("text"))
     left = rows.join(gone, rows[id_].eqNullSafe(gone["id"]) & (rows[key] == gone["key"]), "left_anti")
