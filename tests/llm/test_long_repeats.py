@@ -1,7 +1,8 @@
 import numpy as np
+import pandas as pd
 import pytest
 
-from towerlens.llm.long_repeats import remove_long_repeats
+from towerlens.llm.long_repeats import _Bucket, _Repeats, remove_long_repeats
 from towerlens.llm.run_index import RunLengthIndex
 
 from .conftest import EDGE
@@ -67,6 +68,22 @@ def test_removed_bytes_equal_brute_force(spark, hot):
         assert sum(b - a for a, b in zip(r.starts, r.ends, strict=True)) == r.n_bytes - len(r.kept)
 
 
+def test_a_bucket_is_the_same_in_whatever_order_its_rows_come():
+    """Anchors beside the border of two documents depend on both; every step must see them in one order."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdef"), 5)) for _ in range(40)]
+    frame = pd.DataFrame({"doc_id": pd.array([*range(60), None, 7], dtype="Int64"),
+                          "text": [" ".join(rng.choice(words, int(rng.integers(0, 60)))) for _ in range(60)] + [None, "seven"]})
+    def contexts(docs):
+        b = _Bucket(docs)
+        anchors = np.unique(np.concatenate([h for _, _, _, _, h, _ in b.anchors()]))
+        r = _Repeats(b, anchors)
+        return r.keys[r.one].tolist(), [[*own] for _, own in r.by_part(5)], b.ids.tolist()
+    expected = contexts(frame)
+    for seed in range(5):
+        assert contexts(frame.sample(frac=1, random_state=seed)) == expected
+
+
 def test_long_copy_and_empty_table(edge_docs, no_docs):
     got = {r.doc_id: r for r in remove_long_repeats(edge_docs.where("doc_id in (5, 6)")).collect()}
     assert len(got[5].kept) == got[5].n_bytes and len(got[6].kept) == 0 and got[6].starts == [0]

@@ -7,19 +7,20 @@ document of smaller id. All such strings are found exactly:
    an anchor, so equal strings hold equal anchors. Anchor hashes of all
    documents meet by hash; only those of several documents go on.
 2. Contexts. An anchor's context is all strings of ``LENGTH`` bytes that hold it.
-   Equal contexts are folded to the smallest id first, then contexts of the
-   same anchor meet in one partition.
-3. Index. A partition builds a run-length index (run-compressed BWT, sampled
-   run ends) of its distinct contexts, streams match lengths from the samples,
-   and marks what a context shares with one of a smaller id.
+   Hashes of contexts meet by anchor, each with the smallest id of its bucket:
+   a context that a smaller id holds elsewhere is a copy as a whole.
+3. Index. Of an anchor with several different contexts, each is sent once, by the
+   bucket of its smallest id, to one partition. That builds a run-length index
+   (run-compressed BWT, sampled run ends) of them, streams match lengths from
+   the samples, and marks what a context shares with one of a smaller id.
 4. Marks return to the documents, whose covered bytes go.
 
 Scale: documents are dealt to buckets by their id once, and that exchange
 serves all steps; hashes, contexts and marks move packed, per bucket and
 partition. An anchor with more than ``HOT`` different contexts (a line or
 passage that much of the corpus holds) does not meet as a whole: its single
-strings of ``LENGTH`` bytes are dealt by their own hash instead, each folded to
-one row a bucket. Nothing is capped, and no pair of documents is formed.
+strings of ``LENGTH`` bytes are dealt by their own hash instead, each told once
+a bucket. Nothing is capped, and no pair of documents is formed.
 """
 
 from __future__ import annotations
@@ -37,14 +38,14 @@ from towerlens.llm.run_index import RunLengthIndex
 from towerlens.llm.winnowing import _BASE, _INVERSE, _power
 
 LENGTH = 50
-K = 16
+K = 24
 REACH = LENGTH - K  # bytes of context on each side of an anchor
 #: Contexts of one anchor beyond which its strings are dealt singly.
 HOT = 2048
 #: A bucket tells of at most this many contexts of an anchor in step 1, enough to see that it is hot.
 TOLD = 64
 #: Text bytes planned for a bucket, and for a partition of anchors.
-BUCKET_BYTES, PART_BYTES = 16 << 20, 24 << 20
+BUCKET_BYTES, PART_BYTES = 8 << 20, 24 << 20
 #: Bytes of one run-length index.
 INDEX_BYTES = 2 << 20
 SEGMENT = 1 << 20
@@ -73,13 +74,14 @@ class _Segment:
 
 
 class _Bucket:
-    """The documents of a bucket as one run of bytes, ordered by id."""
+    """The documents of a bucket as one run of bytes, ordered by id and text: the same in every step, however they come."""
 
     def __init__(self, docs: pd.DataFrame):
-        ids = docs["doc_id"]
-        self.null = ids.isna().to_numpy()
-        ids = ids.astype("Int64").fillna(NO_ID).to_numpy(dtype=np.int64)
+        ids = docs["doc_id"].astype("Int64").fillna(NO_ID).to_numpy(dtype=np.int64)
+        null = docs["doc_id"].isna().to_numpy()
         texts = [(t if isinstance(t, str) else "").encode("utf-8", "surrogatepass") for t in docs["text"]]
+        order = sorted(range(len(texts)), key=lambda i: (ids[i], null[i], texts[i]))
+        texts, ids, self.null = [texts[i] for i in order], ids[order], null[order]
         self.ids = ids
         self.ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
         self.starts = self.ends - np.array([len(t) for t in texts], dtype=np.int64)
@@ -96,7 +98,10 @@ class _Bucket:
                 continue
             words = np.ndarray((len(part) - 7,), dtype="<u8", buffer=part.tobytes(), strides=(1,)).astype(np.uint64)
             with np.errstate(over="ignore"):
-                h = mix64(words[:len(part) - K + 1] * _U(0x9E3779B97F4A7C15) + mix64(words[K - 8:])) & ~_FLAG
+                h = words[K - 8:]
+                for at in range(K - 16, -1, -8):
+                    h = mix64(h) + words[at:at + len(h)] * _U(0x9E3779B97F4A7C15)
+                h = mix64(h) & ~_FLAG
             low = sliding_min(h, REACH + 1)
             pad = np.zeros(REACH, dtype=np.uint64)
             at = np.flatnonzero(~sliding_min(~np.concatenate([pad, low, pad]), REACH + 1) == h)
@@ -114,7 +119,7 @@ def _part(h: np.ndarray, parts: int) -> np.ndarray:
     return ((h >> _U(24)) % _U(parts)).astype(np.int64)
 
 
-def _packed(values: np.ndarray, part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _packed(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(partition, indices) for every partition that occurs."""
     order = np.argsort(part, kind="stable")
     cuts = np.flatnonzero(np.diff(part[order])) + 1
@@ -155,7 +160,7 @@ def _tell_anchors(parts: int):
         nth = np.arange(len(one)) - np.searchsorted(group, group)
         one, group = one[nth < TOLD], group[nth < TOLD]
         value = h[one] | several[group].astype(np.uint64)
-        rows = [(p, int(key[0]), np.sort(value[own]).astype("<u8").tobytes()) for p, own in _packed(value, _part(h[one], parts))]
+        rows = [(p, int(key[0]), np.sort(value[own]).astype("<u8").tobytes()) for p, own in _packed(_part(h[one], parts))]
         return pd.DataFrame(rows, columns=["part", "bucket", "hashes"])
     return run
 
@@ -202,16 +207,18 @@ def _windows(segment: _Segment, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarra
     return row, start, segment.hash(start, start + LENGTH, np.zeros(len(start), dtype=np.int64))
 
 
-def _tell_contexts(parts: int):
-    """Step 2: the different contexts of repeated anchors in a bucket, each with its smallest id; strings of hot anchors singly."""
-    def run(key: tuple[Any, ...], docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        columns = ["part", "bucket", "anchors", "keys", "owners", "sizes", "text"]
-        if not len(told) or not len(docs):
-            return pd.DataFrame({c: [] for c in columns})
-        answer = np.sort(np.concatenate([np.frombuffer(x, dtype="<u8") for x in told["hashes"]]).astype(np.uint64))
-        bucket = _Bucket(docs)
-        found: list[tuple] = []
-        for segment, doc, a, b, h, context in bucket.anchors():
+def _packed_hashes(rows: pd.DataFrame, column: str) -> np.ndarray:
+    found = [np.frombuffer(x, dtype="<u8") for x in rows[column] if x is not None]
+    return np.sort(np.concatenate(found).astype(np.uint64)) if found else np.zeros(0, dtype=np.uint64)
+
+
+class _Repeats:
+    """All contexts of repeated anchors in a bucket (of hot anchors their single strings), and the distinct ones by key."""
+
+    def __init__(self, bucket: _Bucket, answer: np.ndarray):
+        none = np.zeros(0, dtype=np.int64)
+        found: list[tuple] = [(none.astype(np.uint64), none.astype(np.uint64), none, none, none)]
+        for segment, doc, a, b, h, context in bucket.anchors() if len(answer) else ():
             own, at = _lookup(answer & ~_FLAG, h)
             hot = (answer[at] & _FLAG) > 0
             plain = own[~hot]
@@ -220,100 +227,145 @@ def _tell_contexts(parts: int):
                 own = own[hot]
                 row, start, string = _windows(segment, a[own], b[own])
                 found.append((string, string, bucket.ids[doc[own]][row], start, start + LENGTH))
-        anchors, keys, owners, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        one, _ = _unique_min(keys, owners)
-        rows = []
-        for p, own in _packed(keys[one], _part(anchors[one], parts)):
-            own = one[own]
-            text = b"".join(bucket.bytes[i:j] for i, j in zip(a[own], b[own], strict=True))
-            rows.append((p, int(key[0]), anchors[own].astype("<u8").tobytes(), keys[own].astype("<u8").tobytes(), owners[own].astype("<i8").tobytes(),
-                         (b - a)[own].astype(np.uint8).tobytes(), text))
-        return pd.DataFrame(rows, columns=columns)
+        self.anchors, self.keys, self.ids, self.a, self.b = (np.concatenate(x) for x in zip(*found, strict=True))
+        self.one, order = _unique_min(self.keys, self.ids)
+        self.context = np.empty(len(order), dtype=np.int64)  # of every occurrence: its place among the distinct ones
+        if len(order):
+            ranked = self.keys[order]
+            self.context[order] = np.cumsum(np.concatenate([[0], (ranked[1:] != ranked[:-1]).astype(np.int64)]))
+
+    def by_part(self, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(partition, places of its distinct contexts), always in the same order."""
+        return _packed(_part(self.anchors[self.one], parts))
+
+
+_CONTEXTS = "part int, bucket int, anchors binary, keys binary, owners binary, sizes binary, text binary"
+_ANSWERS = "bucket int, part int, hashes binary, bits binary, keys binary, masks binary"
+
+
+def _answers(rows: list[dict]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["bucket", "part", "hashes", "bits", "keys", "masks"])
+
+
+def _tell_contexts(parts: int):
+    """Step 2: hashes of the different contexts of a bucket, each with its smallest id."""
+    def run(key: tuple[Any, ...], docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(docs):
+            r = _Repeats(_Bucket(docs), _packed_hashes(told, "hashes"))
+            for p, own in r.by_part(parts):
+                own = r.one[own]
+                out.append((p, int(key[0]), (r.anchors[own] >> _U(20)).astype("<u4").tobytes(), r.keys[own].astype("<u8").tobytes(),
+                            r.ids[own].astype("<i8").tobytes(), None, None))
+        return pd.DataFrame(out, columns=["part", "bucket", "anchors", "keys", "owners", "sizes", "text"])
     return run
 
 
-def _judge(rows: pd.DataFrame) -> pd.DataFrame:
-    """Step 3: for every context the smallest id that holds it, and which of its strings a smaller id holds (bit o: from byte o)."""
-    counts = [len(x) // 8 for x in rows["keys"]]
-    anchors = np.concatenate([np.frombuffer(x, dtype="<u8") for x in rows["anchors"]]).astype(np.uint64)
-    keys = np.concatenate([np.frombuffer(x, dtype="<u8") for x in rows["keys"]]).astype(np.uint64)
-    owners = np.concatenate([np.frombuffer(x, dtype="<i8") for x in rows["owners"]])
-    sizes = np.concatenate([np.frombuffer(x, dtype=np.uint8) for x in rows["sizes"]]).astype(np.int64)
-    ends = np.cumsum(sizes)
-    text = b"".join(rows["text"])
+def _compare(rows: pd.DataFrame) -> pd.DataFrame:
+    """For each bucket: which of its contexts a smaller id holds elsewhere (bits, in its order), and the keys of those it
+    should send: it holds their smallest id, and their anchor has other contexts."""
+    anchors, keys, owners = (np.concatenate([np.frombuffer(x, dtype=kind) for x in rows[c]])
+                             for c, kind in (("anchors", "<u4"), ("keys", "<u8"), ("owners", "<i8")))
+    sizes = np.array([len(x) // 8 for x in rows["keys"]])
+    source = np.repeat(np.arange(len(sizes)), sizes)
     one, order = _unique_min(keys, owners)
-    group = np.cumsum(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) - 1
+    ranked = keys[order]
     context = np.empty(len(keys), dtype=np.int64)
-    context[order] = group
-    owner = owners[one]
-    # Anchors with several contexts are indexed; a context on its own shares no string but with its equals.
+    context[order] = np.cumsum(np.concatenate([[0], (ranked[1:] != ranked[:-1]).astype(np.int64)]))
+    elsewhere = owners[one][context] < owners
     _, which, members = np.unique(anchors[one], return_inverse=True, return_counts=True)
-    several = np.flatnonzero(members[which] > 1)
-    masks = np.zeros(len(one), dtype=np.uint64)
-    several = several[np.argsort(which[several], kind="stable")]
-    bytes_ = np.cumsum(sizes[one[several]] + 1)
+    wanted = one[members[which] > 1]
+    wanted = wanted[np.argsort(source[wanted], kind="stable")]
+    at = np.searchsorted(source[wanted], np.arange(len(sizes) + 1))
+    ends = np.cumsum(sizes)
+    return _answers([{"bucket": int(bucket), "part": int(part), "bits": np.packbits(elsewhere[end - n:end]).tobytes(),
+                      "keys": keys[wanted[at[i]:at[i + 1]]].astype("<u8").tobytes()}
+                     for i, (bucket, part, n, end) in enumerate(zip(rows["bucket"], rows["part"], sizes, ends, strict=True))])
+
+
+def _send_contexts(parts: int):
+    """The wanted contexts of a bucket, with their bytes."""
+    def run(key: tuple[Any, ...], docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        wanted = _packed_hashes(told, "keys")
+        if len(docs) and len(wanted):
+            bucket = _Bucket(docs)
+            r = _Repeats(bucket, _packed_hashes(told, "hashes"))
+            for p, own in r.by_part(parts):
+                own = r.one[own]
+                own = own[_lookup(wanted, r.keys[own])[0]]
+                if len(own):
+                    text = b"".join(bucket.bytes[i:j] for i, j in zip(r.a[own], r.b[own], strict=True))
+                    out.append((p, int(key[0]), (r.anchors[own] >> _U(20)).astype("<u4").tobytes(), r.keys[own].astype("<u8").tobytes(),
+                                r.ids[own].astype("<i8").tobytes(), (r.b - r.a)[own].astype(np.uint8).tobytes(), text))
+        return pd.DataFrame(out, columns=["part", "bucket", "anchors", "keys", "owners", "sizes", "text"])
+    return run
+
+
+def _judge(rows: pd.DataFrame) -> pd.DataFrame:
+    """Step 3: which strings of a context a context of a smaller id holds (bit o: from its byte o)."""
+    anchors, keys, owner, sizes = (np.concatenate([np.frombuffer(x, dtype=kind) for x in rows[c]])
+                                   for c, kind in (("anchors", "<u4"), ("keys", "<u8"), ("owners", "<i8"), ("sizes", np.uint8)))
+    source = np.repeat(np.arange(len(rows)), [len(x) for x in rows["sizes"]])
+    ends = np.cumsum(sizes, dtype=np.int64)
+    text = b"".join(rows["text"])
+    masks = np.zeros(len(keys), dtype=np.uint64)
     # Indexes of about INDEX_BYTES; an anchor's contexts stay together.
-    heads = np.flatnonzero(np.concatenate([[True], which[several][1:] != which[several][:-1]])) if len(several) else several
-    batch = (bytes_[heads] // INDEX_BYTES) if len(several) else several
-    cut = heads[1:][batch[1:] != batch[:-1]]
-    for part in np.split(several, cut) if len(several) else ():
-        texts = [text[ends[i] - sizes[i]:ends[i]].replace(b"\x00", b"\xff") for i in one[part]]
+    order = np.argsort(anchors, kind="stable")
+    heads = np.flatnonzero(np.concatenate([[True], anchors[order][1:] != anchors[order][:-1]]))
+    batch = np.cumsum(sizes[order] + 1, dtype=np.int64)[heads] // INDEX_BYTES
+    for part in np.split(order, heads[1:][batch[1:] != batch[:-1]]):
+        texts = [text[ends[i] - sizes[i]:ends[i]].replace(b"\x00", b"\xff") for i in part]  # 255 is in no UTF-8 text
         index = RunLengthIndex(texts)
         low = index.smallest_owner(owner[part], LENGTH)
         place = np.flatnonzero((low >= 0) & (low < owner[part][index.text_of]))
         start = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])[index.text_of[place]]
         np.bitwise_or.at(masks, part[index.text_of[place]], _U(1) << (place - start).astype(np.uint64))
-    out, first = [], 0
-    for bucket, n in zip(rows["bucket"], counts, strict=True):
-        own = context[first:first + n]
-        out.append((int(bucket), keys[first:first + n].astype("<u8").tobytes(), owner[own].astype("<i8").tobytes(), masks[own].astype("<u8").tobytes()))
-        first += n
-    return pd.DataFrame(out, columns=["bucket", "keys", "owners", "masks"])
+    out = []
+    for n, bucket in enumerate(rows["bucket"]):
+        own = np.flatnonzero((source == n) & (masks > 0))
+        if len(own):
+            out.append({"bucket": int(bucket), "keys": keys[own].astype("<u8").tobytes(), "masks": masks[own].astype("<u8").tobytes()})
+    return _answers(out)
 
 
-def _remove(key: tuple[Any, ...], docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+def _remove(parts: int):
     """Step 4: mark and cut the documents of a bucket."""
-    bucket = _Bucket(docs)
-    edge = np.zeros(len(bucket.raw) + 1, dtype=np.int32)
-
-    def gathered(column: str, kind: str) -> np.ndarray:
-        found = [np.frombuffer(x, dtype=kind) for x in told[column] if x is not None]
-        return np.concatenate(found) if found else np.zeros(0, dtype=kind)
-
-    def mark(start: np.ndarray, end: np.ndarray) -> None:
-        np.add.at(edge, start, 1)
-        np.add.at(edge, end, -1)
-
-    hashes = gathered("hashes", "<u8").astype(np.uint64)
-    hot = np.sort(hashes[(hashes & _FLAG) > 0] & ~_FLAG)
-    keys, owners, masks = gathered("keys", "<u8").astype(np.uint64), gathered("owners", "<i8"), gathered("masks", "<u8").astype(np.uint64)
-    order = np.argsort(keys)
-    keys, owners, masks = keys[order], owners[order], masks[order]
-    for segment, doc, a, b, h, context in bucket.anchors() if len(keys) else ():
-        own, at = _lookup(keys, context)
-        copy = owners[at] < bucket.ids[doc[own]]
-        mark(a[own[copy]], b[own[copy]])
-        part = ~copy & (masks[at] > 0)
-        start, bits = a[own[part]], masks[at[part]]
-        for o in range(REACH + 1):
-            on = start[(bits >> _U(o)) & _FLAG > 0] + o
-            mark(on, on + LENGTH)
-        own, _ = _lookup(hot, h)
-        if len(own):
-            row, start, string = _windows(segment, a[own], b[own])
-            got, at = _lookup(keys, string)
-            later = owners[at] < bucket.ids[doc[own]][row[got]]
-            mark(start[got[later]], start[got[later]] + LENGTH)
-    gone = np.cumsum(edge[:-1]) > 0
-    out = []
-    for n, (s, e) in enumerate(zip(bucket.starts, bucket.ends, strict=True)):
-        flags = gone[s:e]
-        change = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-        starts, ends = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
-        kept = bucket.bytes[s:e] if not len(starts) else bucket.raw[s:e][~flags].tobytes()
-        out.append((None if bucket.null[n] else int(bucket.ids[n]), int(e - s), starts.tolist(), ends.tolist(), kept))
-    frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "starts", "ends", "kept"])
-    return frame.astype({"doc_id": "Int64"})
+    def run(key: tuple[Any, ...], docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        bucket = _Bucket(docs)
+        r = _Repeats(bucket, _packed_hashes(told, "hashes"))
+        edge = np.zeros(len(bucket.raw) + 1, dtype=np.int32)
+
+        def mark(start: np.ndarray, end: np.ndarray) -> None:
+            np.add.at(edge, start, 1)
+            np.add.at(edge, end, -1)
+
+        bits = {p: b for p, b in zip(told["part"], told["bits"], strict=True) if b is not None}
+        elsewhere = np.zeros(len(r.one), dtype=bool)
+        for p, own in r.by_part(parts):
+            elsewhere[own] = np.unpackbits(np.frombuffer(bits[p], dtype=np.uint8))[:len(own)].astype(bool)
+        copy = elsewhere[r.context] | (r.ids > r.ids[r.one][r.context])
+        mark(r.a[copy], r.b[copy])
+        judged = told[[m is not None for m in told["masks"]]]
+        if len(judged):
+            keys, masks = (np.concatenate([np.frombuffer(x, dtype="<u8") for x in judged[c]]).astype(np.uint64) for c in ("keys", "masks"))
+            order = np.argsort(keys)
+            own, at = _lookup(keys[order], np.where(copy, _U(0), r.keys))
+            own, at = own[~copy[own]], at[~copy[own]]
+            start, strings = r.a[own], masks[order][at]
+            for o in range(REACH + 1):
+                on = start[(strings >> _U(o)) & _FLAG > 0] + o
+                mark(on, on + LENGTH)
+        gone = np.cumsum(edge[:-1]) > 0
+        out = []
+        for n, (s, e) in enumerate(zip(bucket.starts, bucket.ends, strict=True)):
+            flags = gone[s:e]
+            change = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
+            starts, ends = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+            kept = bucket.bytes[s:e] if not len(starts) else bucket.raw[s:e][~flags].tobytes()
+            out.append((None if bucket.null[n] else int(bucket.ids[n]), int(e - s), starts.tolist(), ends.tolist(), kept))
+        return pd.DataFrame(out, columns=["doc_id", "n_bytes", "starts", "ends", "kept"]).astype({"doc_id": "Int64"})
+    return run
 
 
 def remove_long_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -330,16 +382,18 @@ def remove_long_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2 * shuffle, -(-total // BUCKET_BYTES))
+    buckets = max(shuffle, -(-total // BUCKET_BYTES))
     parts = max(shuffle, -(-total // PART_BYTES))
     dealt = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("bucket"), "doc_id", "text")
     hashes = dealt.groupBy("bucket").applyInPandas(_tell_anchors(parts), "part int, bucket int, hashes binary")
     repeated = hashes.groupBy("part").applyInPandas(_repeated_anchors(hot), "bucket int, hashes binary")
-    contexts = dealt.groupBy("bucket").cogroup(repeated.groupBy("bucket")).applyInPandas(
-        _tell_contexts(parts), "part int, bucket int, anchors binary, keys binary, owners binary, sizes binary, text binary")
-    judged = contexts.groupBy("part").applyInPandas(_judge, "bucket int, keys binary, owners binary, masks binary")
-    empty = F.lit(None).cast("binary")
-    marks = judged.select("bucket", empty.alias("hashes"), "keys", "owners", "masks").unionByName(
-        repeated.select("bucket", "hashes", empty.alias("keys"), empty.alias("owners"), empty.alias("masks")))
+    told = dealt.groupBy("bucket").cogroup(repeated.groupBy("bucket")).applyInPandas(_tell_contexts(parts), _CONTEXTS)
+    compared = told.select("part", "bucket", "anchors", "keys", "owners").groupBy("part").applyInPandas(_compare, _ANSWERS)
+    empty = [F.lit(None).cast("binary").alias(c) for c in ("bits", "keys", "masks")]
+    answers = repeated.select("bucket", F.lit(None).cast("int").alias("part"), "hashes", *empty).unionByName(compared)
+    sent = dealt.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(_send_contexts(parts), _CONTEXTS)
+    judged = sent.groupBy("part").applyInPandas(_judge, _ANSWERS)
+    # Keys of step 2 asked for contexts; those of step 3 go with their masks.
+    marks = answers.withColumn("keys", F.lit(None).cast("binary")).unionByName(judged)
     return dealt.groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInPandas(
-        _remove, "doc_id long, n_bytes long, starts array<int>, ends array<int>, kept binary")
+        _remove(parts), "doc_id long, n_bytes long, starts array<int>, ends array<int>, kept binary")

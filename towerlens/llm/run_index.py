@@ -43,32 +43,35 @@ class RunLengthIndex:
         key = _word_at(self.text)
         shift = ((8 - keep) * 8).astype(np.uint64)
         key = np.where(keep > 0, (key >> np.minimum(shift, 63)) << np.minimum(shift, 63), 0).astype(np.uint64)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         width, longest = 8, int(self.left.max(initial=0))
         while True:
             ranked = key[order]
             rank = np.empty(n, dtype=np.int64)
             rank[order] = np.cumsum(np.concatenate([[1], (ranked[1:] != ranked[:-1]).astype(np.int64)]))[:n]
-            if width >= longest or (n and rank[order[-1]] == n):
+            if n and rank[order[-1]] == n:
                 return order
+            if width >= longest:
+                return np.argsort(rank * (n + 1) + np.arange(n))  # equal suffixes by place
             follows = np.zeros(n, dtype=np.int64)
             inside = np.flatnonzero(self.left > width)
             follows[inside] = rank[inside + width]
             key = rank * (n + 1) + follows
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             width *= 2
 
     def _compare(self, a: np.ndarray, b: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Common prefix of the suffixes at a and b (0 where there is no neighbour)."""
         out = np.zeros(len(a), dtype=np.int64)
         most = np.where(first, 0, np.minimum(self.left[a], self.left[b]))
+        words = _word_at(self.text)
         at = np.flatnonzero(most > 0)
-        while len(at):
-            same = self.text[a[at] + out[at]] == self.text[b[at] + out[at]]
-            at = at[same]
-            out[at] += 1
-            at = at[out[at] < most[at]]
-        return out
+        while len(at):  # eight bytes a step
+            differ = words[a[at] + out[at]] ^ words[b[at] + out[at]]
+            same = sum((differ < np.uint64(1 << 8 * k)).astype(np.int64) for k in range(1, 8)) + (differ == 0)
+            out[at] += same
+            at = at[(same == 8) & (out[at] < most[at])]
+        return np.minimum(out, most)
 
     def common_prefixes(self) -> np.ndarray:
         """For every suffix in order, the bytes it shares with the one before: streamed from the samples at run heads."""
