@@ -93,3 +93,43 @@ def test_edge_rows(edge_docs, no_docs):
     assert brown_scores(no_docs, seventh_held_out()).count() == 0
     none = brown_scores(edge_docs, F.lit(True)).collect()
     assert all((r.n_known, r.train_tokens, r.base_score, r.score) == (0, 0, 0.0, 0.0) for r in none)
+
+
+def test_words_beyond_the_most_frequent_get_a_class_of_their_own_neighbours(spark):
+    lines = [f"the n{i:03d} to v{i:03d}" for i in range(450)] * 30 + ["the leftzzzz"] * 25 + ["to rightzzzz"] * 25
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*lines, "the leftzzzz", "the rightzzzz", "to leftzzzz", "to rightzzzz"])], "doc_id long, text string")
+    got = {r.doc_id - len(lines): r.score for r in brown_scores(docs, F.col("doc_id") >= len(lines)).where("held_out").collect()}
+    assert got[0] > got[1] + 0.5
+    assert got[3] > got[2] + 0.5
+
+
+def test_passes_over_all_words_raise_the_likelihood(spark):
+    rng = np.random.default_rng(2)
+    shapes, classes, words = brown.SHAPES, 8, 300
+    starts = np.array([0, 120, words, words + shapes])
+    end = words + shapes
+    group = rng.integers(0, 4, end)
+    lines = []
+    for _ in range(600):
+        at, line = int(rng.integers(end)), []
+        for _ in range(int(rng.integers(0, 40))):
+            line.append(at)
+            at = int(rng.choice(np.flatnonzero(group == (group[at] + 1) % 4)))
+        lines.append(line)
+    training = spark.createDataFrame([(bytearray(np.array(x, dtype="<u4").tobytes()),) for x in lines], "codes binary").repartition(3)
+    counts = np.zeros((end + 1, end + 1), dtype=np.int64)
+    for x in lines:
+        np.add.at(counts, ([end, *x], [*x, end]), 1)
+    first = np.append(rng.integers(0, classes, end), classes).astype(np.uint16)
+    values = [likelihood(counts, brown.exchange_all(training, first, starts, classes, p), classes) for p in (0, 1, 30)]
+    assert values[0] == pytest.approx(likelihood(counts, first, classes)) and values[0] < values[1] < values[2]
+    # stops where no word explains its neighbours better elsewhere, or where no part of the moves raises the likelihood
+    best = brown.exchange_all(training, first, starts, classes, 30)
+    member = np.eye(classes + 1)[best]
+    neighbours, between = np.concatenate([counts @ member, counts.T @ member], axis=1)[:-1], member.T @ counts @ member
+    moved = np.append(brown.best_classes(neighbours, between, best[:-1].astype(int)), classes)
+    assert likelihood(counts, moved, classes) <= values[2] + 1e-6 * abs(values[2])
+
+
+def test_classes_grow_with_the_words():
+    assert [brown.classes_for(n) for n in (0, 16_797, 100_000, 1_000_000, 10 ** 9)] == [64, 64, 93, 200, 256]

@@ -4,20 +4,27 @@
    dictionary of its own and writes the number sequences and the dictionary;
    texts are read once and never shuffled.
 2. Counts. The dictionaries of all chunks meet by word: its training count goes
-   back to every chunk that holds it. A word whose count reaches ``OWN_COUNT``
-   and is among the ``OWN_UNITS`` most frequent is a unit; every other word
-   belongs to one of ``SHAPES`` units by the crc32 of its last four bytes.
-3. Classes. Exchange clustering moves units between ``CLASSES`` classes, each to
-   the class that raises the likelihood of all training bigrams most, until no
-   unit moves or ``PASSES`` passes are done. Every word gets its unit's class.
+   back to every chunk that holds it. Every word whose count reaches
+   ``OWN_COUNT`` is clustered by itself; rare and unseen words belong to one of
+   ``SHAPES`` units by the crc32 of their last four bytes.
+3. Classes. Their number grows with the clustered words (``classes_for``). Exchange
+   clustering of the ``OWN_UNITS`` most frequent words and the shapes gives the
+   classes to start from. Then come passes over all clustered words: the classes
+   of a word's neighbours are counted over the training documents, dealt by
+   word, and each word (and shape) moves to the class whose neighbours explain
+   its own best, until none moves or ``PASSES`` passes are done. A pass that
+   lowers the likelihood of all training bigrams is undone and tried with a
+   part of the words.
 4. Scores. P(word | two before) = P(class | two classes before), Witten-Bell
    smoothed down to bigrams and unigrams, times P(word | class): the word's
    share of the class, less the class's mass of unseen words (its share of
    words seen once).
 
-Scale: what reaches the driver is bounded by parameters, never by the data:
-unit bigrams (units squared), class trigrams, counts per unit. Counts cover
-all training documents. A frequent word is one row per chunk.
+Scale: of what reaches the driver and is broadcast, one array grows with the
+data: the class of each clustered word (two bytes a word). The rest is bounded
+by parameters: unit bigrams (units squared), class trigrams (at most
+``MAX_CLASSES`` + 1 cubed). Neighbour counts stay dealt by word. Counts cover all
+training documents. A frequent word is one row per chunk.
 """
 
 from __future__ import annotations
@@ -33,13 +40,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from towerlens.llm.common import fold, small_batches, written
+from towerlens.llm.common import fold, shared_folder, small_batches, written
+from towerlens.session import materialize, release
 
 OWN_UNITS = 768
 OWN_COUNT = 20
 SHAPES = 256
 CLASSES = 64
+#: Bound of the number of classes, reached at two million clustered words.
+MAX_CLASSES = 256
 PASSES = 12
+#: Clustered words whose neighbour counts a task holds at once, and tokens' neighbours counted before they are sent.
+DEALT_WORDS = 4096
+NEIGHBOURS = 8_000_000
 #: Tokens, and distinct words, after which a task starts the next chunk.
 CHUNK_TOKENS = 4_000_000
 CHUNK_WORDS = 500_000
@@ -48,7 +61,7 @@ SEGMENT = 4 << 20
 
 END = OWN_UNITS + SHAPES  # the unit of the end token
 UNITS = END + 1
-UNSEEN = 4096  # added to the unit of a word that training does not know
+UNSEEN = 4096  # added to the unit of a word that training does not know (more if there are more units)
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -114,9 +127,8 @@ def _documents(rows: list[tuple]) -> pd.DataFrame:
 def _encode_chunk(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
     """Units and summed logarithms of the documents of one chunk, from the counts of its words."""
     size = int(words["number"].max()) + 1 if len(words) else 0
-    counts, units = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.uint16)
-    counts[words["number"]], units[words["number"]] = words["c"], words["unit"]
-    codes = np.where(counts > 0, units, units + UNSEEN).astype("<u2")
+    counts, codes = np.zeros(size, dtype=np.int64), np.zeros(size, dtype="<u4")
+    counts[words["number"]], codes[words["number"]] = words["c"], words["code"]
     plus_one, log_count = np.log10(counts + 1.0), np.log10(np.maximum(counts, 1))
     out = []
     for doc_id, held_out, payload in zip(docs["doc_id"], docs["held_out"], docs["ids"], strict=True):
@@ -127,37 +139,44 @@ def _encode_chunk(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
     return frame.astype({"doc_id": "Int64"})
 
 
-def _keys(batches: Iterator[pd.DataFrame], cells: int, key) -> Iterator[pd.DataFrame]:
-    total, held, size = np.zeros(cells, dtype=np.int64), [], 0
-    for b in batches:
-        for payload in b["codes"]:
-            held.append(key(np.frombuffer(payload, dtype="<u2").astype(np.int64)))
-            size += len(held[-1])
-            if size > 1_000_000:
-                total += np.bincount(np.concatenate(held), minlength=cells)
-                held, size = [], 0
-    if held:
-        total += np.bincount(np.concatenate(held), minlength=cells)
-    at = np.flatnonzero(total)
-    yield pd.DataFrame({"key": at, "n": total[at]})
-
-
-def _bigram_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def key(units: np.ndarray) -> np.ndarray:
-        line = np.concatenate([[END], units, [END]])
-        return line[:-1] * UNITS + line[1:]
-    return _keys(batches, UNITS * UNITS, key)
+def _line(payload: bytes, ends: int, end: int) -> np.ndarray:
+    """A training document's codes between ``ends`` end tokens before it and one after it."""
+    codes = np.frombuffer(payload, dtype="<u4")
+    line = np.full(len(codes) + ends + 1, end, dtype=np.int64)
+    line[ends:-1] = codes
+    return line
 
 
-def _trigram_task(class_of: np.ndarray, classes: int):
+def _ngram_task(shared, cells: int, n: int, width: int):
+    """Counts of ``n`` successive groups, numbers under ``width`` in the shared array by code; its last is the end token's."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def key(units: np.ndarray) -> np.ndarray:
-            line = class_of[np.concatenate([[END, END], units, [END]])]
-            return (line[:-2] * classes + line[1:-1]) * classes + line[2:]
-        return _keys(batches, classes ** 3, key)
+        group, end = shared.value, len(shared.value) - 1
+        total, held, size = np.zeros(cells, dtype=np.int64), [], 0
+        for b in batches:
+            for payload in b["codes"]:
+                line = group[_line(payload, n - 1, end)].astype(np.int64)
+                key = line[:len(line) - n + 1]
+                for i in range(1, n):
+                    key = key * width + line[i:len(line) - n + 1 + i]
+                held.append(key)
+                size += len(key)
+                if size > 1_000_000:
+                    total += np.bincount(np.concatenate(held), minlength=cells)
+                    held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=cells)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"key": at, "n": total[at]})
     return run
 
 
+def _ngrams(training: DataFrame, group: np.ndarray, n: int, width: int) -> np.ndarray:
+    shared = training.sparkSession.sparkContext.broadcast(group)
+    out = _collected(training.mapInPandas(_ngram_task(shared, width ** n, n, width), "key long, n long"), width ** n)
+    shared.unpersist()
+    return out
+
+
 def _collected(counts: DataFrame, cells: int) -> np.ndarray:
     """Counts of fewer than ``cells`` keys, whatever the size of the corpus, summed on the cluster and laid out here."""
     found = counts.groupBy("key").agg(F.sum("n").alias("n")).toPandas()
@@ -226,10 +245,181 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES)
     return class_of
 
 
+def classes_for(words: int) -> int:
+    """Twice the cube root of the clustered words, so that class trigrams grow with them; CLASSES to MAX_CLASSES."""
+    return int(min(MAX_CLASSES, max(CLASSES, np.ceil(2 * np.cbrt(words)))))
+
+
+def likelihood(between: np.ndarray) -> float:
+    """What classes add to the log likelihood of all bigrams, from the counts of class bigrams."""
+    return float(_xlogx(between).sum() - _xlogx(between.sum(axis=0)).sum() - _xlogx(between.sum(axis=1)).sum())
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """32-bit numbers, first all their lowest bytes, which leaves little of small numbers once compressed."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _of_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _neighbour_task(shared, classes: int):
+    """Counts of (word, class after it) and (word, class before it), a row for each bucket of words: successive keys'
+    differences, and counts. Key: place in the bucket, times 2 (classes + 1), plus class (before: plus classes + 1)."""
+    width = 2 * (classes + 1)
+
+    def send(held: list[np.ndarray], starts: np.ndarray) -> Iterator[pd.DataFrame]:
+        every = np.concatenate(held)
+        every.sort()
+        at = np.concatenate([[0], np.flatnonzero(every[1:] != every[:-1]) + 1])
+        key, n = every[at], np.diff(at, append=len(every))
+        cut = np.searchsorted(key, starts * width)
+        rows = [(b, _planes(np.diff(key[i:j], prepend=starts[b] * width)), _planes(n[i:j]))
+                for b, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if j > i]
+        for at in range(0, len(rows), 64):
+            yield pd.DataFrame(rows[at:at + 64], columns=["bucket", "keys", "n"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        class_of, starts = shared.value
+        end, held, size = len(class_of) - 1, [], 0
+        group_of = class_of.astype(np.int64)
+        for b in batches:
+            # All documents of a batch in one line, each between two end tokens.
+            parts = [np.frombuffer(p, dtype="<u4") for p in b["codes"]]
+            line = np.full(sum(map(len, parts)) + len(parts) + 1, end, dtype=np.int64)
+            at = 1
+            for p in parts:
+                line[at:at + len(p)] = p
+                at += len(p) + 1
+            group, inner = group_of[line], line[1:-1]
+            words = inner != end
+            word = inner[words] * width
+            held += [word + group[2:][words], word + group[:-2][words] + classes + 1]
+            size += 2 * len(word)
+            if size > NEIGHBOURS:
+                yield from send(held, starts)
+                held, size = [], 0
+        if size:
+            yield from send(held, starts)
+    return run
+
+
+def _sum_task(shared, classes: int):
+    """Sums the neighbour counts of each bucket: its words' counts, and the class bigrams that they begin or, after the end token, are."""
+    width = 2 * (classes + 1)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        class_of, starts = shared.value
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for bucket, keys, n in zip(b["bucket"], b["keys"], b["n"], strict=True):
+                if bucket not in total:
+                    total[bucket] = np.zeros((starts[bucket + 1] - starts[bucket]) * width, dtype=np.int64)
+                total[bucket][np.cumsum(_of_planes(keys), dtype=np.int64)] += _of_planes(n)
+        for bucket, n in total.items():
+            after, before = np.split(n.reshape(-1, width), 2, axis=1)
+            now, between = class_of[starts[bucket]:starts[bucket + 1]], np.zeros((classes + 1, classes + 1), dtype=np.int64)
+            np.add.at(between, now, after)
+            np.add.at(between[classes], now, before[:, classes])
+            at = np.flatnonzero(n)
+            yield pd.DataFrame({"bucket": [bucket], "at": [at.astype("<u4").tobytes()], "count": [n[at].astype("<i8").tobytes()], "between": [between.astype("<i8").tobytes()]})
+    return run
+
+
+def _between_task(classes: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((classes + 1) ** 2, dtype=np.int64)
+        for b in batches:
+            for payload in b["between"]:
+                total += np.frombuffer(payload, dtype="<i8")
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"key": at, "n": total[at]})
+    return run
+
+
+def best_classes(neighbours: np.ndarray, between: np.ndarray, now: np.ndarray) -> np.ndarray:
+    """The class that explains each word's neighbours best: rows have counts of classes after, then before, the word.
+
+    Of class c, after it d: (N(c, d) + N(., d) / N) / (N(c, .) + 1), and before it alike; ties keep the class of now,
+    then the smaller. The last class is the end token's alone. A word without neighbours stays.
+    """
+    def table(n: np.ndarray) -> np.ndarray:
+        one = n.sum(axis=0) + 1e-9
+        return np.log((n + one / one.sum()) / (n.sum(axis=1, keepdims=True) + 1))
+    score = neighbours @ np.concatenate([table(between), table(between.T)], axis=1).T
+    score[:, -1] = -np.inf
+    at, best = np.arange(len(now)), score.argmax(axis=1)
+    stays = score[at, now]
+    return np.where(score[at, best] > stays + 1e-9 * np.abs(stays), best, now)
+
+
+def _move_task(shared, classes: int):
+    """The classes that the words of each bucket move to, two bytes a word."""
+    width = 2 * (classes + 1)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        class_of, starts, between = shared.value
+        for b in batches:
+            out = []
+            for bucket, at, count in zip(b["bucket"], b["at"], b["count"], strict=True):
+                now = class_of[starts[bucket]:starts[bucket + 1]].astype(np.int64)
+                n = np.zeros(len(now) * width)
+                n[np.frombuffer(at, dtype="<u4")] = np.frombuffer(count, dtype="<i8")
+                out.append((bucket, best_classes(n.reshape(-1, width), between, now).astype("<u2").tobytes()))
+            yield pd.DataFrame(out, columns=["bucket", "classes"])
+    return run
+
+
+def exchange_all(training: DataFrame, class_of: np.ndarray, starts: np.ndarray, classes: int, passes: int = PASSES) -> np.ndarray:
+    """Class of every clustered word and shape (and, last, the end token's), from those to start with.
+
+    ``training`` has codes; codes from ``starts[b]`` to ``starts[b + 1]`` are dealt to one task of each pass.
+    """
+    sc = training.sparkSession.sparkContext
+    shared_folder(training.sparkSession)
+    best, parts = None, 1
+    number = np.arange(len(class_of))
+    empty = training.where("length(codes) = 0").count()  # an end token after another
+    for step in range(passes + 1):
+        shared = sc.broadcast((class_of, starts))
+        sent = training.mapInPandas(_neighbour_task(shared, classes), "bucket int, keys binary, n binary")
+        summed = sent.repartition(len(starts) - 1, "bucket").mapInPandas(_sum_task(shared, classes), "bucket int, at binary, count binary, between binary")
+        table = materialize(summed, "brown-neighbours")
+        try:
+            between = _collected(table.select("between").mapInPandas(_between_task(classes), "key long, n long"), (classes + 1) ** 2)
+            between = between.reshape(classes + 1, classes + 1).astype(np.float64)
+            between[classes, classes] += empty
+            value = likelihood(between)
+            if best is not None and value <= best[0] + 1e-9 * abs(best[0]):
+                if parts == 4:
+                    return best[1]
+                parts *= 2
+                _, class_of, moved = best
+            else:
+                if step == passes:
+                    return class_of
+                scored = sc.broadcast((class_of, starts, between))
+                moved = class_of.copy()
+                for r in table.select("bucket", "at", "count").mapInPandas(_move_task(scored, classes), "bucket int, classes binary").collect():
+                    moved[starts[r["bucket"]]:starts[r["bucket"] + 1]] = np.frombuffer(r["classes"], dtype="<u2")
+                scored.unpersist()
+                if (moved == class_of).all():
+                    return class_of
+                best = value, class_of, moved
+        finally:
+            release(table)
+            shared.unpersist()
+        class_of = np.where(number % parts == step % parts, moved, class_of).astype(class_of.dtype)
+    return best[1]
+
+
 class Model:
     """Logarithms (base 10) of class transitions, and of what a token's code adds to its count."""
 
-    def __init__(self, class_of: np.ndarray, trigrams: np.ndarray, tokens: np.ndarray, once: np.ndarray):
+    def __init__(self, class_of: np.ndarray, trigrams: np.ndarray, tokens: np.ndarray, once: np.ndarray, own: int = OWN_UNITS,
+                 by_class: bool = False):
+        """``tokens`` and ``once`` by unit, or by class; the units are ``own`` words, SHAPES shapes and the end token."""
         k = int(class_of.max()) + 1
         three = trigrams.reshape(k, k, k).astype(np.float64)
         two, one = three.sum(axis=0), three.sum(axis=(0, 1))
@@ -240,31 +430,55 @@ class Model:
         p3 = (three + kinds * p2) / np.maximum(three.sum(axis=2, keepdims=True) + kinds, 1e-300)
         self.transition = np.log10(np.where(kinds > 0, p3, p2[None]))
         # Only units of shapes hold unseen words; classes of frequent words alone keep no mass for them.
-        size = np.bincount(class_of, weights=tokens, minlength=k)
-        single = np.bincount(class_of, weights=once, minlength=k)
-        shaped = np.bincount(class_of[OWN_UNITS:END], minlength=k) > 0
+        size = tokens if by_class else np.bincount(class_of, weights=tokens, minlength=k)
+        single = once if by_class else np.bincount(class_of, weights=once, minlength=k)
+        shaped = np.bincount(class_of[own:own + SHAPES], minlength=k) > 0
         unseen = np.where(shaped, (single + 1) / (size + 2), 0.0)
         unseen[size == 0] = 1.0
-        self.emission = np.zeros(UNSEEN + UNITS)
-        with np.errstate(divide="ignore"):
-            self.emission[:UNITS] = np.log10(np.maximum((1 - unseen) / np.maximum(size, 1), 1e-300))[class_of]
-            self.emission[UNSEEN:] = np.log10(np.maximum(unseen, 1e-300))[class_of]
-        self.class_of = np.concatenate([class_of, np.zeros(UNSEEN - UNITS, dtype=np.int64), class_of])
+        self.known = np.log10(np.maximum((1 - unseen) / np.maximum(size, 1), 1e-300))
+        self.unseen = np.log10(np.maximum(unseen, 1e-300))
+        self.class_of, self.end, self.unseen_at = class_of, own + SHAPES, max(UNSEEN, own + UNITS)
+
+    @property
+    def emission(self) -> np.ndarray:
+        """By code: of a unit, and from ``UNSEEN`` on of a unit's unseen words."""
+        out = np.zeros(UNSEEN + len(self.class_of))
+        out[:len(self.class_of)], out[UNSEEN:] = self.known[self.class_of], self.unseen[self.class_of]
+        return out
 
     def score(self, codes: np.ndarray) -> float:
         """Of a document's word codes and its end, without the logarithms of the words' counts."""
-        line = self.class_of[np.concatenate([[END, END], codes, [END]])]
-        return float(self.transition[line[:-2], line[1:-1], line[2:]].sum() + self.emission[codes].sum() + self.emission[END])
+        unseen = codes >= self.unseen_at
+        group = self.class_of[np.concatenate([[self.end, self.end], np.where(unseen, codes - self.unseen_at, codes), [self.end]])].astype(np.int64)
+        emitted = np.where(unseen, self.unseen[group[2:-1]], self.known[group[2:-1]])
+        return float(self.transition[group[:-2], group[1:-1], group[2:]].sum() + emitted.sum() + self.known[group[-1]])
+
+
+def _size_task(shared, classes: int):
+    """Tokens, words seen once, and words by class."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((3, classes + 1), dtype=np.int64)
+        for b in batches:
+            group, c = shared.value[b["code"].to_numpy(dtype=np.int64)], b["c"].to_numpy(dtype=np.int64)
+            np.add.at(total, (0, group), c)
+            np.add.at(total, (1, group), c == 1)
+            np.add.at(total, (2, group), 1)
+        yield pd.DataFrame({"class": np.arange(classes + 1), "tokens": total[0], "once": total[1], "words": total[2]})
+    return run
 
 
 def _score_task(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b["model"] = [shared.value.score(np.frombuffer(c, dtype="<u2").astype(np.int64)) for c in b["codes"]]
+            b["model"] = [shared.value.score(np.frombuffer(c, dtype="<u4").astype(np.int64)) for c in b["codes"]]
             yield b.drop(columns="codes")
     return run
 
 
+def _packed_shapes(words: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"bucket": words["bucket"].iloc[:1], "shapes": [words.sort_values("place")["shape"].to_numpy().astype("<u2").tobytes()]})
+
+
 def brown_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens (words and one end), n_known (known to training), train_tokens,
     base_score, score (base-10 logarithms of the text's probability by unigrams, and by the class model), perplexity.
@@ -287,26 +501,45 @@ def brown_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     shape = (F.crc32(F.expr("substring(word, -4, 4)")) % SHAPES + OWN_UNITS).cast("int")
     known = written(known.select("chunk", "number", "c", "first", shape.alias("shape"),
                                  F.when(F.col("c") >= OWN_COUNT, F.xxhash64("word")).alias("h")), "brown-words")
-    own = known.where("first AND h IS NOT NULL").orderBy(F.desc("c"), "h").limit(OWN_UNITS).select("h").collect()
-    units = spark.createDataFrame([(r["h"], n) for n, r in enumerate(own)], "h long, own int")
-    known = known.join(F.broadcast(units), "h", "left").withColumn("unit", F.coalesce("own", "shape"))
-
-    per_unit = known.where("first AND c > 0").groupBy("unit").agg(
-        F.sum("c").alias("tokens"), F.sum(F.when(F.col("c") == 1, 1).otherwise(0)).alias("once"), F.count(F.lit(1)).alias("words")).toPandas()
-    tokens, once = np.zeros(UNITS), np.zeros(UNITS)
-    tokens[per_unit["unit"].astype(int)], once[per_unit["unit"].astype(int)] = per_unit["tokens"], per_unit["once"]
-    tokens[END] = train_docs
-    n_train, n_words = int(tokens.sum()), int(per_unit["words"].sum()) + (train_docs > 0)
-
-    counted = known.where("c >= 0").select("chunk", "number", "c", "unit")
+    # Numbers of the clustered words: places in buckets dealt by hash, one bucket after the other; the shapes come last.
+    frequent = known.where("first AND h IS NOT NULL").select("h", "c", "shape")
+    buckets = max(1, frequent.count() // DEALT_WORDS)
+    place = Window.partitionBy("bucket").orderBy("h", "c", "shape")
+    frequent = written(frequent.withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
+                       .withColumn("place", F.row_number().over(place) - 1), "brown-frequent")
+    held = {r["bucket"]: r["count"] for r in frequent.groupBy("bucket").count().collect()}
+    starts = np.cumsum([0, *[held.get(b, 0) for b in range(buckets)], SHAPES])
+    own = int(starts[-2])
+    classes = classes_for(own)
+    top = frequent.orderBy(F.desc("c"), "h").limit(OWN_UNITS).select("bucket", "place").collect()
+    unit_of = np.zeros(own + SHAPES + 1, dtype=np.uint16)
+    for r in frequent.groupBy("bucket").applyInPandas(_packed_shapes, "bucket int, shapes binary").collect():
+        unit_of[starts[r["bucket"]]:starts[r["bucket"] + 1]] = np.frombuffer(r["shapes"], dtype="<u2")
+    unit_of[own:] = np.arange(OWN_UNITS, UNITS)
+    unit_of[[starts[r["bucket"]] + r["place"] for r in top]] = np.arange(len(top))
+
+    offsets = spark.createDataFrame([(b, int(at)) for b, at in enumerate(starts[:-2])], "bucket int, start long")
+    numbered = frequent.join(F.broadcast(offsets), "bucket").select("h", F.col("c").alias("_c"), F.col("shape").alias("_s"), (F.col("start") + F.col("place")).alias("own"))
+    of_shape = F.col("shape") + (own - OWN_UNITS)
+    same = (F.col("known.h") == F.col("numbered.h")) & (F.col("c") == F.col("_c")) & (F.col("shape") == F.col("_s"))
+    known = known.alias("known").join(numbered.alias("numbered"), same, "left").withColumn(
+        "code", F.when(F.col("c") > 0, F.coalesce("own", of_shape)).otherwise(of_shape + max(UNSEEN, own + UNITS))).select("chunk", "number", "c", "first", "code")
+
+    counted = known.select("chunk", "number", "c", "code")
     encoded = written(texts.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInPandas(
         _encode_chunk, "doc_id long, held_out boolean, n_words long, n_known long, plus_one double, log_count double, codes binary"), "brown-codes")
     training = encoded.where("NOT held_out").select("codes")
-    bigrams = _collected(training.mapInPandas(_bigram_task, "key long, n long"), UNITS * UNITS).reshape(UNITS, UNITS)
-    class_of = exchange(bigrams)
-    classes = CLASSES + 1
-    trigrams = _collected(training.mapInPandas(_trigram_task(class_of, classes), "key long, n long"), classes ** 3)
-    shared = spark.sparkContext.broadcast(Model(class_of, trigrams, tokens, once))
+    start_of = exchange(_ngrams(training, unit_of, 2, UNITS).reshape(UNITS, UNITS), classes).astype(np.uint16)
+    class_of = exchange_all(training, start_of[unit_of], starts, classes)
+    trigrams = _ngrams(training, class_of, 3, classes + 1)
+
+    group = spark.sparkContext.broadcast(class_of)
+    sizes = known.where("first AND c > 0").select("code", "c").mapInPandas(_size_task(group, classes), "class int, tokens long, once long, words long") \
+        .groupBy("class").agg(*[F.sum(x).alias(x) for x in ("tokens", "once", "words")]).toPandas()
+    tokens, once, words = (np.bincount(sizes["class"], weights=sizes[x], minlength=classes + 1) for x in ("tokens", "once", "words"))
+    tokens[classes] = train_docs
+    n_train, n_words = int(tokens.sum()), int(words.sum()) + (train_docs > 0)
+    shared = spark.sparkContext.broadcast(Model(class_of, trigrams, tokens, once, own, by_class=True))
 
     scored = encoded.mapInPandas(_score_task(shared), "doc_id long, held_out boolean, n_words long, n_known long, plus_one double, log_count double, model double")
     n = F.col("n_words") + 1
