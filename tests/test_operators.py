@@ -212,3 +212,21 @@ def test_rank_with_a_third_on_one_value(spark):
     df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise(F.col("id").cast("double")).alias("x"))
     dist, win = pct_rank_average(df, "x", "p"), window_pct_rank(df, "x", "p")
     assert dist.exceptAll(win).count() == 0
+
+
+def test_dq_report_keeps_every_technology_and_field(spark):
+    from towerlens.plans import dq
+    customers = spark.createDataFrame([("c1", 10.0, 1), ("c2", None, 0)], "customer_id string, totalcharges double, churn_flag int")
+    cdrs = spark.createDataFrame([(1, "c1", "t1", 1, 0, "2026-01-01"), (2, "c2", "t9", 0, 1, "2026-01-03")],
+                                 "call_id int, customer_id string, cell_tower_id string, is_completed int, is_dropped int, timestamp string")
+    towers = spark.createDataFrame([("t1", "N", "3G"), ("t2", "N", "6G"), ("t3", "S", "LTE-M"), ("t4", "S", "LTE-M"), ("t5", "S", None)],
+                                   "cell_tower_id string, region string, technology string")
+    report = dq.dq_report(spark, customers, cdrs, towers, "now")
+    assert report.first().cell_towers.technology_distribution == {"3G": 1, "6G": 1, "LTE-M": 2}
+    rows = dq.dq_report_fields(report).collect()
+    assert {r.technology: r.tower_count for r in rows} == {"3G": 1, "6G": 1, "LTE-M": 2}
+    r = rows[0]
+    assert (r.customers_null_total_charges, r.cdrs_completed_calls_pct, r.cdrs_dropped_calls_pct, r.cdrs_date_range_max, r.cell_towers_unique_regions) == (1, 50.0, 50.0, "2026-01-03", 2)
+    assert (r.referential_integrity_cdr_customer_match_rate_pct, r.referential_integrity_cdr_tower_match_rate_pct) == (100.0, 50.0)
+    empty = dq.dq_report_fields(dq.dq_report(spark, customers, cdrs, towers.where("technology = 'x'"), "now")).collect()
+    assert [(r.technology, r.tower_count, r.customers_row_count) for r in empty] == [(None, None, 2)]

@@ -305,6 +305,22 @@ def _dq_report(spark, w):
                     F.col("cell_towers.technology_distribution")["4G"].alias("towers_4g"),
                     F.col("cell_towers.technology_distribution")["5G"].alias("towers_5g"))
 
+@register("dq_report_fields", f"""
+SELECT '1970-01-01T00:00:00Z' AS run_timestamp, c.*, k.*,
+  {_match_sql('customer_id', 's_customers')} AS referential_integrity_cdr_customer_match_rate_pct,
+  {_match_sql('cell_tower_id', 's_towers')} AS referential_integrity_cdr_tower_match_rate_pct, t.*, d.technology, d.tower_count
+FROM (SELECT COUNT(*) AS customers_row_count, COUNT(DISTINCT customer_id) AS customers_unique_customer_ids,
+    COUNT(*) FILTER (WHERE totalcharges IS NULL) AS customers_null_total_charges,
+    {re_('AVG(churn_flag) * 100', 2)} AS customers_churn_rate_pct FROM s_customers) c,
+  (SELECT COUNT(*) AS cdrs_row_count, COUNT(DISTINCT call_id) AS cdrs_unique_call_ids,
+    {re_('AVG(is_completed) * 100', 2)} AS cdrs_completed_calls_pct, {re_('AVG(is_dropped) * 100', 2)} AS cdrs_dropped_calls_pct,
+    CAST(MIN(timestamp) AS VARCHAR) AS cdrs_date_range_min, CAST(MAX(timestamp) AS VARCHAR) AS cdrs_date_range_max FROM s_cdrs) k,
+  (SELECT COUNT(*) AS cell_towers_row_count, COUNT(DISTINCT region) AS cell_towers_unique_regions FROM s_towers) t
+  LEFT JOIN (SELECT technology, COUNT(*) AS tower_count FROM s_towers WHERE technology IS NOT NULL GROUP BY technology) d ON TRUE""",
+          ["s_customers", "s_cdrs", "s_towers"])
+def _dq_report_fields(spark, w):
+    return dq.dq_report_fields(dq.dq_report(spark, w.customers, w.cdrs, w.towers, run_ts="1970-01-01T00:00:00Z"))
+
 def _constraint_sql(view: str, spec) -> list[str]:
     rows = []
     if spec.primary_key:
