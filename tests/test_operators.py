@@ -230,3 +230,25 @@ def test_dq_report_keeps_every_technology_and_field(spark):
     assert (r.referential_integrity_cdr_customer_match_rate_pct, r.referential_integrity_cdr_tower_match_rate_pct) == (100.0, 50.0)
     empty = dq.dq_report_fields(dq.dq_report(spark, customers, cdrs, towers.where("technology = 'x'"), "now")).collect()
     assert [(r.technology, r.tower_count, r.customers_row_count) for r in empty] == [(None, None, 2)]
+
+
+def test_ordered_checksums_see_order_line_ends_and_empty_files(spark, scratch):
+    from towerlens.sources import file_fingerprints, source_file_stats
+    long = "".join(f"{i},{i * i}\n" for i in range(500)).encode()
+    for name, data in (("a", b"a,b\n1,2\n3,4\n"), ("b", b"a,b\n3,4\n1,2\n"), ("c", b"a,b\n1,2\r\n3,4"), ("d", b""), ("e", long)):
+        with open(f"{scratch}/{name}.csv", "wb") as fh:
+            fh.write(data)
+    read = lambda: {r.path[-5]: (r.size_bytes, r.ordered_sha256_16) for r in file_fingerprints(spark, f"{scratch}/*.csv").collect()}
+    got, source = read(), source_file_stats(spark, scratch).first()
+    assert len({r.path[:-5] for r in file_fingerprints(spark, f"{scratch}/*.csv").collect()}) == 1
+    assert len(set(got.values())) == 5 and got["a"][0] == got["b"][0] == got["c"][0] and got["d"][0] == 0
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        assert read() == got and source_file_stats(spark, scratch).first() == source
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with open(f"{scratch}/e.csv", "wb") as fh:
+        fh.write(b"".join(reversed(long.splitlines(True))))
+    changed = source_file_stats(spark, scratch).first()
+    assert changed.checksum_sha256_16 == source.checksum_sha256_16 and changed.ordered_sha256_16 != source.ordered_sha256_16

@@ -47,7 +47,8 @@ def audit_document(spark: SparkSession, audit: DataFrame, run_ts: str,
     """
     stats = {k: v.first().asDict() for k, v in (file_stats or {}).items()}
     stat_fields = [StructField("file_count", LongType()), StructField("size_bytes", LongType()),
-                   StructField("checksum_sha256_16", StringType()), StructField("malformed_fields", LongType())] if file_stats else []
+                   StructField("checksum_sha256_16", StringType()),
+                   StructField("ordered_sha256_16", StringType()), StructField("malformed_fields", LongType())] if file_stats else []
     rows = []
     for r in audit.collect():
         d = r.asDict(recursive=True)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,19 +49,79 @@ def _line_checksum(lines: DataFrame):
     return F.substring(F.sha2(text, 256), 1, 16)
 
 
+#: Modulus and base of the hash of a sequence of lines.
+_PRIME, _BASE = (1 << 127) - 1, 0x6A09E667F3BCC908B2FB1366EA957D3E
+
+
+def _after(first: tuple[int, int], then: tuple[int, int]) -> tuple[int, int]:
+    """(lines, hash) of two sequences one after the other: the same however lines are cut into sequences."""
+    return first[0] + then[0], (first[1] * pow(_BASE, then[0], _PRIME) + then[1]) % _PRIME
+
+
+def _hash_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    now, n, h = None, 0, 0
+    for b in batches:
+        for path, start, line in zip(b["path"], b["start"], b["line"], strict=True):
+            if (path, start) != now:
+                if now:
+                    yield pd.DataFrame({"path": [now[0]], "start": [now[1]], "lines": [n], "hash": [f"{h:x}"]})
+                now, n, h = (path, start), 0, 0
+            n, h = n + 1, (h * _BASE + int(line, 16)) % _PRIME
+    if now:
+        yield pd.DataFrame({"path": [now[0]], "start": [now[1]], "lines": [n], "hash": [f"{h:x}"]})
+
+
+def _joined(parts: pd.DataFrame) -> tuple[int, str]:
+    total = (0, 0)
+    for n, h in zip(parts["lines"], parts["hash"], strict=True):
+        total = _after(total, (int(n), int(h, 16)))
+    return total[0], f"{total[1]:x}"
+
+
+def _join_file(parts: pd.DataFrame) -> pd.DataFrame:
+    n, h = _joined(parts.sort_values("start"))
+    return pd.DataFrame({"path": [parts["path"].iloc[0]], "lines": [n], "hash": [h]})
+
+
+def _join_files(parts: pd.DataFrame) -> pd.DataFrame:
+    n, h = _joined(parts.sort_values("path"))
+    return pd.DataFrame({"lines": [n], "hash": [h]})
+
+
+def _ordered_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(path, lines, hash) of each file that has lines; the hash is of its lines in order, a carriage return being part of
+    its line. Each split is hashed where it lies, and the hashes of a file's splits are joined in order."""
+    reader = spark.read.option("lineSep", "\n")
+    lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.sha2("value", 256).alias("line"))
+    splits = lines.mapInPandas(_hash_splits, "path string, start long, lines long, hash string")
+    return splits.groupBy("path").applyInPandas(_join_file, "path string, lines long, hash string")
+
+
+def _ordered_checksum(size: Column) -> Column:
+    """16 hex digits of a SHA-256 over the bytes, the number of lines, and the hash of the lines in order."""
+    return F.substring(F.sha2(F.concat_ws(":", size.cast("string"), F.coalesce(F.col("lines"), F.lit(0)).cast("string"),
+                                          F.coalesce("hash", F.lit("0"))), 256), 1, 16)
+
+
 def source_file_stats(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
     """One row for a source stored as one or more files: file count, total
-    bytes and a checksum of its lines.
+    bytes, an order-free checksum of its lines (``checksum_sha256_16``) and one
+    to which order and line ends count (``ordered_sha256_16``; files in the
+    order of their paths).
 
     Files are listed without reading them; lines are read in splits and
-    hashed where they lie, so no file, however large, meets one task, and
-    equal lines give equal checksums however they are cut into files.
+    hashed where they lie, so no file, however large, meets one task. Neither
+    checksum is the SHA-256 of a file's bytes.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
     sizes = listing.agg(F.count(F.lit(1)).alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"))
     lines = spark.read.option("pathGlobFilter", glob).text(folder)
+    whole = _ordered_lines(spark, folder, glob).groupBy().applyInPandas(_join_files, "lines long, hash string")
     return sizes.select("file_count", "size_bytes",
-                        lines.agg(_line_checksum(lines).alias("c")).scalar().alias("checksum_sha256_16"))
+                        lines.agg(_line_checksum(lines).alias("c")).scalar().alias("checksum_sha256_16"),
+                        whole.select("lines").scalar().alias("lines"), whole.select("hash").scalar().alias("hash")) \
+        .select("file_count", "size_bytes", "checksum_sha256_16", _ordered_checksum(F.col("size_bytes")).alias("ordered_sha256_16"))
 
 
 def read_mart_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -76,7 +139,12 @@ def require_sources(spark: SparkSession, paths: dict[str, str]) -> None:
 
 
 def file_fingerprints(spark: SparkSession, pattern: str) -> DataFrame:
-    """Per file: path, size in bytes, checksum of its lines (as in ``source_file_stats``), at any size."""
-    lines = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("path"),
-                                            F.col("_metadata.file_size").alias("size_bytes"))
-    return lines.groupBy("path", "size_bytes").agg(_line_checksum(lines).alias("checksum_sha256_16"))
+    """Per file, also an empty one: path, size in bytes, and the checksums of its lines as in ``source_file_stats``, at any size."""
+    files = spark.read.format("binaryFile").load(pattern).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size_bytes"))
+    empty = hadoop_fs.empty_files(spark, pattern)
+    files = files.unionByName(spark.createDataFrame([(f, 0) for f in empty], "path string, size_bytes long"))
+    lines = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("path"))
+    free = lines.groupBy("path").agg(_line_checksum(lines).alias("_free"))
+    return files.join(free, "path", "left").join(_ordered_lines(spark, pattern), "path", "left").select(
+        "path", "size_bytes", F.coalesce("_free", F.substring(F.sha2(F.lit("0:0"), 256), 1, 16)).alias("checksum_sha256_16"),
+        _ordered_checksum(F.col("size_bytes")).alias("ordered_sha256_16"))
