@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from towerlens.session import checkpoint_dir
+from towerlens.sources import hadoop_fs
 
 #: Bytes of rows that one Arrow batch to Python holds (one row may exceed it).
 TEXT_BATCH_BYTES = 8 << 20
@@ -37,6 +38,54 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, buckets: int, *keys: str, partition_by: str | None = None) -> tuple[DataFrame, str]:
+    """``df`` dealt by hash of ``keys`` as it comes and written as a bucketed table in the shared folder: grouping and
+    joining by those keys then reads each bucket in one task, without an exchange. Returns the table read back and its
+    catalog name, to be given to ``forget`` when nothing reads it any more."""
+    spark = df.sparkSession
+    table = f"towerlens_{name}_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("compression", "zstd").option("path", f"{shared_folder(spark)}/llm/{table}")
+    (writer.partitionBy(partition_by) if partition_by else writer).bucketBy(buckets, *keys).saveAsTable(table)
+    return spark.table(table), table
+
+
+def forget(spark: SparkSession, *tables: str) -> None:
+    """Take ``bucketed`` tables out of the catalog and delete their files."""
+    for table in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        hadoop_fs.delete(spark, f"{shared_folder(spark)}/llm/{table}")
+
+
+def whole_numbers(vec: str, scale: int, bound: int) -> Column:
+    """floor(scale * x) of every component as int, computed in double; components beyond ``bound`` are held at it."""
+    x = F.col(vec).cast("array<double>")
+    return F.transform(x, lambda c: F.least(F.greatest(F.floor(c * F.lit(float(scale))), F.lit(-bound)), F.lit(bound)).cast("int"))
+
+
+def finite(vec: str) -> Column:
+    """Whether an array is there and holds neither nulls nor NaN nor infinities."""
+    x = F.col(vec).cast("array<double>")
+    return x.isNotNull() & F.forall(x, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), F.lit(False)))
+
+
+#: Keys that hold at least this share of all rows are told by a broadcast table, so that table has at most as many rows.
+HEAVY = 1024
+
+
+def add_total(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``rows`` (a written table) with ``value`` summed over all rows of the same ``key``, nulls being one key.
+
+    Sums are added up before they are shuffled. They come back by a broadcast join for keys that hold a share of at
+    least 1 in HEAVY of all rows, of which there are at most HEAVY, and by a shuffled join for the rest, whose groups are
+    that small, so no task meets a group of rows larger than that share.
+    """
+    sums = written(rows.groupBy(F.col(key).alias("_key")).agg(F.sum(value).alias(name), F.count(F.lit(1)).alias("_n")), "totals")
+    least = (sums.agg(F.sum("_n")).first()[0] or 0) / HEAVY
+    heavy, light = F.broadcast(sums.where(F.col("_n") >= least)), sums.where(F.col("_n") < least)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    return rows.join(heavy, same).drop("_key", "_n").unionByName(rows.join(heavy, same, "left_anti").join(light, same).drop("_key", "_n"))
+
+
 def small_batches(docs: DataFrame) -> DataFrame:
     """Bound the Arrow batches of this session by bytes, so that a batch of long texts stays small in a task."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BATCH_BYTES))
