@@ -21,6 +21,7 @@ from towerlens.llm.long_repeats import remove_long_repeats
 from towerlens.llm.packing import pack
 from towerlens.llm.pii import base_count, find_personal_data, joined_spans
 from towerlens.llm.quality import quality_scores, quarter_held_out
+from towerlens.llm.secret_scan import base_only, counted, find_secrets, joined
 from towerlens.llm.simhash import near_duplicates
 from towerlens.llm.toxicity import toxicity_scores
 from towerlens.llm.vector_codes import encode_vectors
@@ -99,6 +100,12 @@ def op11_member_resident_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", code.alias("code"), "error", "label_error", F.sha2(F.lit(books), 256).alias("codebooks_sha256"))
 
 
+def op12_convolutional_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[counted(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                        F.sha2(joined(base_only()), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"))
+
+
 def op13_dimension_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cluster_vectors(read(spark, sf_dir, "embeddings"), hash_order("1:"))
     return with_totals(found).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
@@ -184,6 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bit_sliced_simhash": op9_bit_sliced_simhash,
     "op10_bounded_space_packing": op10_bounded_space_packing,
     "op11_member_resident_codes": op11_member_resident_codes,
+    "op12_convolutional_secrets": op12_convolutional_secrets,
     "op13_dimension_sharded_lloyd": op13_dimension_sharded_lloyd,
 }
 ORACLE: dict[str, str] = {
