@@ -68,7 +68,7 @@ def test_gate_blocks_publish(spark, scratch):
     w.customers_raw = w.customers_raw.where(F.col("customerID").cast("int") % 2 == 0)
     with pytest.raises(DataQualityError):
         pipeline.run_silver(spark, w, scratch, "2026-05-26T00:00:00Z")
-    assert not os.path.exists(f"{scratch}/silver/CURRENT")
+    assert not os.path.exists(f"{scratch}/silver/_published")
 
 
 def test_conform_and_declared_load(spark, scratch):

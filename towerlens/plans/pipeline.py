@@ -4,10 +4,10 @@ marts (write, gate, publish) -> warehouse load (declared tables) -> smoke query.
 
 Silver and gold follow write-audit-publish: all tables of a layer are written
 to a folder of their own version, the gates run on the written Parquet, and
-only then is the layer's pointer (``CURRENT``, one small file) switched to that
-version. Readers resolve the pointer, so they see all old or all new tables; a
-failed gate or a crash leaves the old version in place. The version that was
-current before is kept, older ones are deleted.
+only then is the version published, by one atomic call (``sinks.publish``).
+Readers see all old or all new tables; a failed gate or a crash leaves the old
+version current. The version that was current before is kept, older ones are
+deleted. The load writes and gates fresh files and then switches each declared table to them.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ from towerlens.plans.warehouse import Warehouse
 from towerlens.schemas import CONSTRAINTS, CUSTOMER_SUMMARY_DEFAULTS, LANDED_SCHEMAS, MART_SCHEMAS
 from towerlens.session import materialized, release_since, run_concurrently
 from towerlens.sinks import write_csv, write_json_report, write_mart, write_parquet
-from towerlens.sinks.writers import conform, declare_table, load_table
-from towerlens.sources import hadoop_fs, malformed_fields, require_sources, source_file_stats
+from towerlens.sinks.publish import current, new_version, publish
+from towerlens.sinks.writers import conform, load_table
+from towerlens.sources import malformed_fields, require_sources, source_file_stats
 from towerlens.sources.adapters import CDR_ORDER, CUSTOMER_ORDER, TOWER_ORDER
 
 
@@ -45,27 +46,6 @@ class RunReport:
     counts: dict[str, int] = field(default_factory=dict)
 
 
-def publish(spark: SparkSession, layer: str, version: str) -> None:
-    """Switch ``layer`` to ``version`` and drop versions older than the one before."""
-    before = hadoop_fs.read_text(spark, f"{layer}/CURRENT")
-    hadoop_fs.write_text(spark, f"{layer}/CURRENT", version)
-    for name in hadoop_fs.list_dirs(spark, layer):
-        if name.startswith("v-") and name not in (version, before):
-            hadoop_fs.delete(spark, f"{layer}/{name}")
-
-
-def current(spark: SparkSession, layer: str) -> str:
-    """The folder of the published version of a layer."""
-    version = hadoop_fs.read_text(spark, f"{layer}/CURRENT")
-    if version is None:
-        raise FileNotFoundError(f"nothing published under {layer}")
-    return f"{layer}/{version}"
-
-
-def new_version() -> str:
-    return f"v-{time.time_ns():020d}"
-
-
 def run_land(spark: SparkSession, w: Warehouse, out: str) -> dict[str, str]:
     """Write the three raw sources once as CSV files: the raw zone that the
     bronze audit inventories and silver cleans (the CDR file keeps its row
@@ -177,17 +157,15 @@ def gate_marts(spark: SparkSession, marts: dict[str, DataFrame]) -> dict[str, in
 
 
 def run_load(spark: SparkSession, folder: str, database: str) -> dict[str, int]:
-    """Warehouse load: truncate-and-load every gated mart into its declared
-    table (external, beside the lake, so dropping it keeps data) and return
-    the rows read back from the tables."""
+    """Warehouse load: every mart is written anew beside the lake, gated there, and its declared table is then switched
+    to the new files (``sinks.writers.load_table``); returns the rows read back from the tables."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     root = folder.rsplit("/gold/", 1)[0]
 
     def load(name: str) -> int:
-        defaults = CUSTOMER_SUMMARY_DEFAULTS if name == "fact_customer_summary" else None
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")  # the declaration of another lake
-        declare_table(spark, f"{database}.{name}", MART_SCHEMAS[name], f"{root}/warehouse/{name}")
-        return load_table(spark, f"{database}.{name}", spark.read.parquet(f"{folder}/{name}"), MART_SCHEMAS[name], defaults)
+        return load_table(spark, f"{database}.{name}", spark.read.parquet(f"{folder}/{name}"), MART_SCHEMAS[name],
+                          CUSTOMER_SUMMARY_DEFAULTS if name == "fact_customer_summary" else None,
+                          root=f"{root}/warehouse/{name}", check=CONSTRAINTS[name])
 
     done = run_concurrently(spark, {f"load: {name}": (lambda n=name: load(n)) for name in MART_SCHEMAS})
     return {k.split(": ")[1]: n for k, n in done.items()}

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,8 +41,8 @@ from towerlens.plans import dashboards as D
 from towerlens.plans import gold
 from towerlens.plans.oracle import avgx, dbl, left_case, pct_rank_sql, re_, right_bins, ru, sumx, with_ctes
 from towerlens.plans.warehouse import Warehouse
-from towerlens.schemas import CDRS_RAW, CONSTRAINTS, CUSTOMERS_RAW, TOWERS_RAW
-from towerlens.session import checkpoint_dir
+from towerlens.schemas import CDRS_RAW, CONSTRAINTS, CUSTOMERS_RAW, MART_SCHEMAS, TOWERS_RAW
+from towerlens.session import checkpoint_dir, materialize, release
 from towerlens.sources.adapters import CDR_ORDER, CUSTOMER_ORDER, TOWER_ORDER
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -359,6 +360,35 @@ def _constraints(spark, w):
         out = v if out is None else out.unionByName(v)
     return out
 
+# ------------------------------------------------------------------- load
+def _load(spark: SparkSession, w: Warehouse, marts: dict[str, DataFrame]) -> dict[str, str]:
+    """Every mart loaded twice into a declared table of its own database: part of its rows, then all of them."""
+    from towerlens.sinks import load_table
+    database = f"towerlens_load_{uuid.uuid4().hex}"
+    root = f"{checkpoint_dir(spark)}/load/{database}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+    for name, df in marts.items():
+        df = materialize(df, "mart_to_load")
+        for rows in (df.limit(1), df):
+            load_table(spark, f"{database}.{name}", rows, MART_SCHEMAS[name], root=f"{root}/{name}", check=CONSTRAINTS[name])
+        release(df)
+    return {name: f"{database}.{name}" for name in marts}
+
+@register("load_daily_network_metrics", "SELECT * FROM fact_daily_network_metrics", ["fact_daily_network_metrics"])
+def _load_daily(spark, w):
+    """The rows of the declared table after a second load took the place of the first."""
+    return spark.table(_load(spark, w, {"fact_daily_network_metrics": w.daily})["fact_daily_network_metrics"])
+
+@register("load_row_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {v}" for t, v in (
+    ("dim_cell_towers", "s_towers"), ("fact_customer_summary", "fact_customer_summary"), ("fact_regional_performance", "fact_regional_performance"),
+    ("fact_churn_cohort", "fact_churn_cohort"))), ["s_towers", "fact_customer_summary", "fact_regional_performance", "fact_churn_cohort"])
+def _load_counts(spark, w):
+    """Rows read back from the declared tables."""
+    tables = _load(spark, w, {"dim_cell_towers": w.towers, "fact_customer_summary": w.customer_summary,
+                              "fact_regional_performance": w.regional, "fact_churn_cohort": w.cohort})
+    parts = [spark.table(t).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, t in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
 _RAW_SPEC = TableConstraints("customers_raw", primary_key=("customerID",), not_null=("Dependents",),
                              allowed_values={"Contract": ("One year", "Two year")}, min_values={"tenure": 6})
 

@@ -46,7 +46,7 @@ class Warehouse:
         silver_names = ["customers", "cdrs", "cell_towers"]
         gold_names = ["fact_customer_summary", "fact_daily_network_metrics",
                       "fact_regional_performance", "fact_churn_cohort"]
-        from towerlens.plans.pipeline import current
+        from towerlens.sinks.publish import current
         silver_folder, gold_folder = current(spark, f"{root}/silver"), current(spark, f"{root}/gold")
         tables = {n: spark.read.parquet(f"{silver_folder}/{n}") for n in silver_names}
         tables.update({n: spark.read.parquet(f"{gold_folder}/{n}") for n in gold_names})

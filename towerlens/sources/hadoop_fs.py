@@ -45,26 +45,16 @@ def empty_files(spark: SparkSession, pattern: str) -> list[str]:
                   if s.isFile() and not s.getLen() and not s.getPath().getName().startswith(("_", ".")))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file whole: a new file beside it, then renamed over it."""
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path`` (empty when it does not exist)."""
     fs, p = _fs(spark, path)
-    _, fresh = _fs(spark, path + ".next")
-    out = fs.create(fresh, True)
-    out.write(bytearray(text, "utf-8"))
-    out.close()
-    fs.delete(p, False)
-    if not fs.rename(fresh, p):
-        raise OSError(f"could not write {path}")
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
-    """The content of a small file, or of the one that was about to replace it; None if neither exists."""
-    for name in (path, path + ".next"):
-        fs, p = _fs(spark, name)
-        if fs.exists(p):
-            stream = fs.open(p)
-            try:
-                return bytes(stream.readAllBytes()).decode("utf-8")
-            finally:
-                stream.close()
-    return None
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """Create a file of no bytes, with its folder; an error if the file exists. One call: the file is there or it is not."""
+    fs, p = _fs(spark, path)
+    if not fs.createNewFile(p):
+        raise FileExistsError(path)
