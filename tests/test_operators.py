@@ -150,13 +150,16 @@ def test_composite_primary_key(spark):
     assert constraint_violations(df, spec).first().violations == 2
 
 
-def test_file_fingerprints_follow_lines(spark, scratch):
+def test_file_fingerprints_are_the_sha256_of_small_files(spark, scratch):
+    import hashlib
+
     from towerlens.sources import file_fingerprints
-    for name, data in (("a", b"a,b\n1,2\n3,4\n"), ("b", b"a,b\n3,4\n1,2\n"), ("c", b"a,b\n1,2\n3,5\n")):
+    data = {"a": b"a,b\n1,2\n3,4\n", "b": b"a,b\n3,4\n1,2\n", "c": b"a,b\n1,2\r\n3,4", "d": b"", "e": b"x" * 1_000_000}
+    for name, text in data.items():
         with open(f"{scratch}/{name}.csv", "wb") as fh:
-            fh.write(data)
+            fh.write(text)
     got = {r.path[-5]: (r.size_bytes, r.checksum_sha256_16) for r in file_fingerprints(spark, f"{scratch}/*.csv").collect()}
-    assert got["a"] == got["b"] != got["c"] and got["a"][0] == 12 and len(got["a"][1]) == 16
+    assert got == {k: (len(v), hashlib.sha256(v).hexdigest()[:16]) for k, v in data.items()}
 
 
 def test_require_sources(spark, scratch):
@@ -232,23 +235,66 @@ def test_dq_report_keeps_every_technology_and_field(spark):
     assert [(r.technology, r.tower_count, r.customers_row_count) for r in empty] == [(None, None, 2)]
 
 
-def test_ordered_checksums_see_order_line_ends_and_empty_files(spark, scratch):
-    from towerlens.sources import file_fingerprints, source_file_stats
-    long = "".join(f"{i},{i * i}\n" for i in range(500)).encode()
-    for name, data in (("a", b"a,b\n1,2\n3,4\n"), ("b", b"a,b\n3,4\n1,2\n"), ("c", b"a,b\n1,2\r\n3,4"), ("d", b""), ("e", long)):
-        with open(f"{scratch}/{name}.csv", "wb") as fh:
-            fh.write(data)
-    read = lambda: {r.path[-5]: (r.size_bytes, r.ordered_sha256_16) for r in file_fingerprints(spark, f"{scratch}/*.csv").collect()}
-    got, source = read(), source_file_stats(spark, scratch).first()
-    assert len({r.path[:-5] for r in file_fingerprints(spark, f"{scratch}/*.csv").collect()}) == 1
-    assert len(set(got.values())) == 5 and got["a"][0] == got["b"][0] == got["c"][0] and got["d"][0] == 0
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+def tree(leaves, fan):
+    import hashlib
+    while len(leaves) > 1:
+        groups = [leaves[i:i + fan] for i in range(0, len(leaves), fan)]
+        leaves = [g[0] if len(g) == 1 else hashlib.sha256("".join(g).encode()).hexdigest() for g in groups]
+    return leaves[0]
+
+
+def test_hash_tree_at_any_task_layout(spark, scratch, monkeypatch):
+    """Files of many blocks and a source of many files equal the tree built in one place; order, line ends and empty files count."""
+    import hashlib
+    import os
+
+    from towerlens.sources import file_fingerprints, files, source_file_stats
+    monkeypatch.setattr(files, "FAN", 3)
+    data = {f"{i:02d}": b"".join(b"%d,%d\n" % (j, j * i) for j in range(40 * i)) for i in range(11)}
+    folder = f"{scratch}/s"
+    os.makedirs(folder)
+
+    def put(name, text):
+        with open(f"{folder}/{name}.csv", "wb") as fh:
+            fh.write(text)
+
+    def want(text):
+        return tree([hashlib.sha256(text[i:i + 100]).hexdigest() for i in range(0, max(1, len(text)), 100)], 3)
+    for name, text in data.items():
+        put(name, text)
+    put("_SUCCESS", b"")
+    got = {r.path[-6:-4]: r.checksum_sha256_16 for r in file_fingerprints(spark, folder, block=100).collect()}
+    assert got == {k: want(v)[:16] for k, v in data.items()}
+    first = source_file_stats(spark, folder, block=100).first()
+    assert first.checksum_sha256_16 == tree([want(data[k]) for k in sorted(data)], 3)[:16]
+    assert (first.file_count, first.size_bytes) == (11, sum(map(len, data.values())))
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
     try:
-        assert read() == got and source_file_stats(spark, scratch).first() == source
+        assert source_file_stats(spark, folder, block=100).first() == first
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    with open(f"{scratch}/e.csv", "wb") as fh:
-        fh.write(b"".join(reversed(long.splitlines(True))))
-    changed = source_file_stats(spark, scratch).first()
-    assert changed.checksum_sha256_16 == source.checksum_sha256_16 and changed.ordered_sha256_16 != source.ordered_sha256_16
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    seen = {first.checksum_sha256_16}
+    for text in (b"".join(reversed(data["10"].splitlines(True))), data["10"].replace(b"\n", b"\r\n"), b""):
+        put("10", text)
+        seen.add(source_file_stats(spark, folder, block=100).first().checksum_sha256_16)
+    assert len(seen) == 4
+    empty = source_file_stats(spark, folder, "*.parquet").first()
+    assert (empty.file_count, empty.size_bytes, empty.checksum_sha256_16) == (0, 0, hashlib.sha256(b"").hexdigest()[:16])
+
+
+def test_audit_of_landed_files_scans_each_source_once(spark, scratch):
+    """Rows, NULLs and malformed fields come from one CSV scan a source, and what did not parse can be read back."""
+    from towerlens.plans import bronze
+    from towerlens.schemas import TOWERS_RAW_ORDERED
+    from towerlens.sources import read_csv
+    with open(f"{scratch}/towers.csv", "w") as fh:
+        fh.write("file_row,cell_tower_id,region,city,latitude,longitude,technology,installation_date,capacity_users\n"
+                 "1,t1,N,C,1.5,2.5,5G,2020-01-01,500\n2,t2,,C,x,y,4G,someday,1000\n3,t3,S,C,,2.0,4G,2020-02-30,7 users\n")
+    audit = bronze.audit_landed(spark, {"cell_towers.csv": scratch})
+    assert audit._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    row = audit.first()
+    assert (row.row_count, row.malformed_fields, row.column_count) == (3, 5, 8)
+    assert row.null_counts["latitude"] == 2 and row.null_counts["region"] == 1 and row.null_counts["installation_date"] == 2
+    bad = {r.cell_tower_id: r.why for r in read_csv(spark, scratch, TOWERS_RAW_ORDERED, rescued="why").where("why is not null").collect()}
+    assert bad == {"t2": {"latitude": "x", "longitude": "y", "installation_date": "someday"}, "t3": {"installation_date": "2020-02-30", "capacity_users": "7 users"}}

@@ -18,11 +18,13 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         for i, c in enumerate(cols)])).alias("_x")).select("_x.*")
 
 
-def audit_record(df: DataFrame, source: str, description: str, key_column: str) -> DataFrame:
+def audit_record(df: DataFrame, source: str, description: str, key_column: str, rescued: str | None = None) -> DataFrame:
     """One row: source, description, key column, row and column counts, the
-    column list and the NULL count of every column as a map."""
-    cols = df.columns
-    aggs = [F.count(F.lit(1)).alias("row_count")] + [
+    column list and the NULL count of every column as a map. With ``rescued``
+    (the column of a CSV scan that holds what did not parse, none of the source's own) also ``malformed_fields``, counted by the same scan."""
+    cols = [c for c in df.columns if c != rescued]
+    bad = [F.coalesce(F.sum(F.coalesce(F.size(F.map_keys(rescued)), F.lit(0))), F.lit(0)).alias("malformed_fields")] if rescued else []
+    aggs = bad + [F.count(F.lit(1)).alias("row_count")] + [
         F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
     return wide.select(
@@ -34,6 +36,7 @@ def audit_record(df: DataFrame, source: str, description: str, key_column: str)
         F.array(*[F.lit(c) for c in cols]).alias("columns"),
         F.map_from_arrays(F.array(*[F.lit(c) for c in cols]),
                           F.array(*[F.col(f"_n{i}") for i in range(len(cols))])).alias("null_counts"),
+        *(["malformed_fields"] if rescued else []),
     )
 
 

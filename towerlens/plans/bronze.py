@@ -10,16 +10,28 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from towerlens.constants import SOURCES
 from towerlens.operators import audit_record, null_counts
+from towerlens.schemas import LANDED_SCHEMAS
+from towerlens.session import run_concurrently
+from towerlens.sources import read_csv
+from towerlens.sources.adapters import CDR_ORDER, CUSTOMER_ORDER, TOWER_ORDER
 
 
-def audit_sources(sources: dict[str, DataFrame]) -> DataFrame:
+def audit_sources(sources: dict[str, DataFrame], rescued: str | None = None) -> DataFrame:
     """One audit row per registered source (row/column counts, columns, NULL
-    counts), unioned by name."""
-    rows = [audit_record(sources[name], name, desc, key) for name, desc, key in SOURCES
+    counts, with ``rescued`` also malformed fields), unioned by name."""
+    rows = [audit_record(sources[name], name, desc, key, rescued) for name, desc, key in SOURCES
             if name in sources]
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
+def audit_landed(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """The audit of landed CSV files: one scan of each source gives its rows, NULLs and malformed fields. The columns that
+    stand for the file order are not part of a source."""
+    order = {"telco_customer_churn.csv": CUSTOMER_ORDER, "cdr_records.csv": CDR_ORDER, "cell_towers.csv": TOWER_ORDER}
+    return audit_sources({name: read_csv(spark, path, LANDED_SCHEMAS[name], rescued="_rescued").drop(*order[name])
+                          for name, path in paths.items()}, "_rescued")
+
+
 def audit_row_counts(sources: dict[str, DataFrame]) -> DataFrame:
     return audit_sources(sources).select("filename", "key_column", "row_count", "column_count")
 
@@ -40,17 +52,17 @@ def audit_total_rows(sources: dict[str, DataFrame]) -> DataFrame:
 def audit_document(spark: SparkSession, audit: DataFrame, run_ts: str,
                    file_stats: dict[str, DataFrame] | None = None) -> DataFrame:
     """The audit as one nested record: run id, stage, sources array; with
-    ``file_stats`` (per source: file count, bytes, checksum, malformed fields) merged in.
+    ``file_stats`` (per source: file count, bytes, checksum) merged in.
 
     The audit has one row per registered source, so it is brought to the
     driver (bounded by the registry, not by the data) and rewrapped.
     """
-    stats = {k: v.first().asDict() for k, v in (file_stats or {}).items()}
+    done = run_concurrently(spark, {"": audit.collect, **{k: v.first for k, v in (file_stats or {}).items()}})
+    stats = {k: v.asDict() for k, v in done.items() if k}
     stat_fields = [StructField("file_count", LongType()), StructField("size_bytes", LongType()),
-                   StructField("checksum_sha256_16", StringType()),
-                   StructField("ordered_sha256_16", StringType()), StructField("malformed_fields", LongType())] if file_stats else []
+                   StructField("checksum_sha256_16", StringType())] if file_stats else []
     rows = []
-    for r in audit.collect():
+    for r in done[""]:
         d = r.asDict(recursive=True)
         if file_stats:
             d |= stats.get(d["filename"], {})

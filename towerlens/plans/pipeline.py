@@ -26,12 +26,12 @@ from towerlens.operators.constraints import load_check
 from towerlens.plans import bronze, dq, gold, silver
 from towerlens.plans.analytics import v1_regional_snapshot
 from towerlens.plans.warehouse import Warehouse
-from towerlens.schemas import CONSTRAINTS, CUSTOMER_SUMMARY_DEFAULTS, LANDED_SCHEMAS, MART_SCHEMAS
+from towerlens.schemas import CONSTRAINTS, CUSTOMER_SUMMARY_DEFAULTS, MART_SCHEMAS
 from towerlens.session import materialized, release_since, run_concurrently
 from towerlens.sinks import write_csv, write_json_report, write_mart, write_parquet
 from towerlens.sinks.publish import current, new_version, publish
 from towerlens.sinks.writers import conform, load_table
-from towerlens.sources import malformed_fields, require_sources, source_file_stats
+from towerlens.sources import require_sources, source_file_stats
 from towerlens.sources.adapters import CDR_ORDER, CUSTOMER_ORDER, TOWER_ORDER
 
 
@@ -60,16 +60,12 @@ def run_land(spark: SparkSession, w: Warehouse, out: str) -> dict[str, str]:
 def run_bronze(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
                paths: dict[str, str] | None = None) -> DataFrame:
     """Inventory of the raw sources: row, column and NULL counts per source
-    and, for landed files, file count, bytes and checksum."""
+    and, for landed files, malformed fields (by the same scan), file count, bytes and checksum (one read of the bytes)."""
     step(spark, "bronze: audit sources")
-    stats = None
     if paths:
         require_sources(spark, paths)
-        def stats_of(name: str, path: str) -> DataFrame:
-            bad = malformed_fields(spark, path, LANDED_SCHEMAS[name]).agg(F.sum("malformed_count"))
-            return source_file_stats(spark, path).withColumn("malformed_fields", bad.scalar())
-        stats = {name: stats_of(name, path) for name, path in paths.items()}
-    audit = bronze.audit_sources(w.raw_sources())
+    stats = {name: source_file_stats(spark, path) for name, path in paths.items()} if paths else None
+    audit = bronze.audit_landed(spark, paths) if paths else bronze.audit_sources(w.raw_sources())
     write_json_report(bronze.audit_document(spark, audit, run_ts, stats), f"{out}/bronze/_ingestion_audit")
     return audit
 

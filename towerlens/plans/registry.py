@@ -116,6 +116,39 @@ def _scan_csv_towers(spark, w):
     write_csv(w.towers_raw.drop(*TOWER_ORDER), path)
     return read_csv(spark, path, TOWERS_RAW)
 
+_HASHED = ["cell_tower_id", "region", "city", "technology", "installation_date", "capacity_users"]
+
+@register("file_audit", f"""
+SELECT * FROM (WITH lines AS (SELECT '{','.join(_HASHED)}' || chr(10) AS line, -1 AS n
+  UNION ALL SELECT concat_ws(',', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _HASHED)}) || chr(10), file_row FROM towers_raw),
+file AS (SELECT string_agg(line, '' ORDER BY n) AS body FROM lines),
+leaves AS (SELECT i, sha256(substr(body, i * 1000 + 1, 1000)) AS d, len(body) AS n FROM (SELECT body, unnest(range(CAST(ceil(len(body) / 1000.0) AS BIGINT))) AS i FROM file))
+SELECT CAST(1 AS BIGINT) AS file_count, CAST(max(n) AS BIGINT) AS size_bytes, substr(sha256(string_agg(d, '' ORDER BY i)), 1, 16) AS checksum_sha256_16 FROM leaves)""",
+          ["towers_raw"])
+def _file_audit(spark, w):
+    """The tower source as one CSV file, audited in ranges of 1,000 bytes."""
+    from towerlens.sinks import write_csv
+    from towerlens.sources import source_file_stats
+    path = f"{checkpoint_dir(spark)}/csv/audited_{uuid.uuid4().hex}"
+    write_csv(w.towers_raw.orderBy("file_row").select(*_HASHED).coalesce(1), path)
+    return source_file_stats(spark, path, block=1000)
+
+@register("malformed_rows", """
+SELECT customerID AS customer_id, 'TotalCharges' AS column_name, TotalCharges AS field_text, CAST(NULL AS DOUBLE) AS totalcharges FROM customers_raw
+WHERE TotalCharges IS NOT NULL AND TRY_CAST(trim(TotalCharges) AS DOUBLE) IS NULL""", ["customers_raw"])
+def _malformed_rows(spark, w):
+    """Fields of the landed customers that are no number, with their text, from the scan that types them."""
+    from pyspark.sql.types import DoubleType, StructField, StructType
+
+    from towerlens.sinks import write_csv
+    from towerlens.sources import read_csv
+    path = f"{checkpoint_dir(spark)}/csv/customers_{uuid.uuid4().hex}"
+    write_csv(w.customers_raw.select("customerID", "TotalCharges", "tenure"), path)
+    typed = StructType([f if f.name != "TotalCharges" else StructField(f.name, DoubleType()) for f in CUSTOMERS_RAW.fields
+                        if f.name in ("customerID", "TotalCharges", "tenure")])
+    bad = read_csv(spark, path, typed, rescued="rescued").where(F.col("rescued").isNotNull())
+    return bad.select(F.col("customerID").alias("customer_id"), F.explode("rescued").alias("column_name", "field_text"), F.col("TotalCharges").alias("totalcharges"))
+
 # ----------------------------------------------------------- silver pieces
 @register("lenient_cast_number", """
 SELECT customerID AS customer_id, TotalCharges AS totalcharges_text,

@@ -1,10 +1,12 @@
-"""File-level sources: CSV scans, existence checks, file fingerprints."""
+"""File-level sources: CSV scans with rescued text, existence checks, checksums of files as a hash tree."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import fnmatch
+import hashlib
+import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,112 +18,111 @@ class SourceMissingError(FileNotFoundError):
     """A named bronze source does not exist."""
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, rescued: str | None = None) -> DataFrame:
     """CSV with a header row, columns resolved by their header names.
 
     With a schema, its columns are picked by name (a missing one is an error,
     files of one source whose headers differ are an error, no inference pass)
-    and cast; a field that does not parse becomes NULL (``malformed_fields``
-    counts them). Without one the types are inferred (audit of unknown files).
+    and cast; a field that does not parse becomes NULL. With ``rescued`` the
+    same parse also yields a column of that name: a map from column name to the
+    text of every field of the row that did not parse, NULL if all did. Without
+    a schema the types are inferred (audit of unknown files).
     """
     reader = spark.read.option("header", True).option("enforceSchema", False)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     raw = reader.csv(path)
-    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    columns = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    return raw.select(*columns, *([_rescued(schema).alias(rescued)] if rescued else []))
+
+
+def _rescued(schema: StructType) -> Column:
+    """name -> text of the fields that hold text but do not parse as their declared type."""
+    typed = [f for f in schema.fields if f.dataType.simpleString() != "string"]
+    bad = [F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(),
+                  F.struct(F.lit(f.name).alias("name"), F.col(f"`{f.name}`").alias("text"))) for f in typed]
+    if not bad:
+        return F.lit(None).cast("map<string,string>")
+    none = bad[0].isNull()
+    for b in bad[1:]:
+        none = none & b.isNull()
+    return F.when(~none, F.map_from_entries(F.array_compact(F.array(*bad))))
 
 
 def malformed_fields(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """(column_name, malformed_count): fields that hold text which does not parse as the declared type."""
-    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    """(column_name, malformed_count): fields that hold text which does not parse as the declared type, in one scan."""
     typed = [f for f in schema.fields if f.dataType.simpleString() != "string"]
-    wide = raw.agg(*[F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f"_n{i}")
-                     for i, f in enumerate(typed)])
+    scan = read_csv(spark, path, schema, rescued="_bad")
+    wide = scan.agg(*[F.count_if(F.map_contains_key(F.col("_bad"), f.name)).alias(f"_n{i}") for i, f in enumerate(typed)])
     return wide.select(F.explode(F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f"_n{i}").alias("malformed_count"))
                                            for i, f in enumerate(typed)])).alias("_x")).select("_x.*")
 
 
-def _line_checksum(lines: DataFrame):
-    """Order-free checksum of text lines, the same at every size: 16 hex digits of a SHA-256 over the number of lines and
-    the sum of their 64-bit hashes (copies of lines count)."""
-    text = F.concat_ws(":", F.count(F.lit(1)).cast("string"),
-                       F.coalesce(F.sum(F.xxhash64("value").cast("decimal(38,0)")).cast("string"), F.lit("0")))
-    return F.substring(F.sha2(text, 256), 1, 16)
-
-
-#: Modulus and base of the hash of a sequence of lines.
-_PRIME, _BASE = (1 << 127) - 1, 0x6A09E667F3BCC908B2FB1366EA957D3E
-
-
-def _after(first: tuple[int, int], then: tuple[int, int]) -> tuple[int, int]:
-    """(lines, hash) of two sequences one after the other: the same however lines are cut into sequences."""
-    return first[0] + then[0], (first[1] * pow(_BASE, then[0], _PRIME) + then[1]) % _PRIME
-
-
-def _hash_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    now, n, h = None, 0, 0
-    for b in batches:
-        for path, start, line in zip(b["path"], b["start"], b["line"], strict=True):
-            if (path, start) != now:
-                if now:
-                    yield pd.DataFrame({"path": [now[0]], "start": [now[1]], "lines": [n], "hash": [f"{h:x}"]})
-                now, n, h = (path, start), 0, 0
-            n, h = n + 1, (h * _BASE + int(line, 16)) % _PRIME
-    if now:
-        yield pd.DataFrame({"path": [now[0]], "start": [now[1]], "lines": [n], "hash": [f"{h:x}"]})
-
-
-def _joined(parts: pd.DataFrame) -> tuple[int, str]:
-    total = (0, 0)
-    for n, h in zip(parts["lines"], parts["hash"], strict=True):
-        total = _after(total, (int(n), int(h, 16)))
-    return total[0], f"{total[1]:x}"
-
-
-def _join_file(parts: pd.DataFrame) -> pd.DataFrame:
-    n, h = _joined(parts.sort_values("start"))
-    return pd.DataFrame({"path": [parts["path"].iloc[0]], "lines": [n], "hash": [h]})
-
-
-def _join_files(parts: pd.DataFrame) -> pd.DataFrame:
-    n, h = _joined(parts.sort_values("path"))
-    return pd.DataFrame({"lines": [n], "hash": [h]})
-
-
-def _ordered_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(path, lines, hash) of each file that has lines; the hash is of its lines in order, a carriage return being part of
-    its line. Each split is hashed where it lies, and the hashes of a file's splits are joined in order."""
-    reader = spark.read.option("lineSep", "\n")
-    lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(path).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.sha2("value", 256).alias("line"))
-    splits = lines.mapInPandas(_hash_splits, "path string, start long, lines long, hash string")
-    return splits.groupBy("path").applyInPandas(_join_file, "path string, lines long, hash string")
-
-
-def _ordered_checksum(size: Column) -> Column:
-    """16 hex digits of a SHA-256 over the bytes, the number of lines, and the hash of the lines in order."""
-    return F.substring(F.sha2(F.concat_ws(":", size.cast("string"), F.coalesce(F.col("lines"), F.lit(0)).cast("string"),
-                                          F.coalesce("hash", F.lit("0"))), 256), 1, 16)
-
-
-def source_file_stats(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
-    """One row for a source stored as one or more files: file count, total
-    bytes, an order-free checksum of its lines (``checksum_sha256_16``) and one
-    to which order and line ends count (``ordered_sha256_16``; files in the
-    order of their paths).
-
-    Files are listed without reading them; lines are read in splits and
-    hashed where they lie, so no file, however large, meets one task. Neither
-    checksum is the SHA-256 of a file's bytes.
+#: Bytes of a leaf of the hash tree, and children of a node (fixed: a checksum depends on them, on nothing else).
+BLOCK, FAN = 32 << 20, 4096
+_STEP = 1 << 20
+
+
+def _hash_blocks(size: int):
+    """SHA-256 of byte ranges, each read where its task runs and hashed by the native library, a step at a time."""
+    def hash_blocks(batches):
+        from pyarrow.fs import FileSystem
+        for b in batches:
+            digests = []
+            for path, block in zip(b.column("path").to_pylist(), b.column("block").to_pylist(), strict=True):
+                store, at = FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+                digest, left = hashlib.sha256(), size
+                with store.open_input_file(at) as stream:
+                    stream.seek(block * size)
+                    while left and (part := stream.read(min(left, _STEP))):
+                        digest.update(part)
+                        left -= len(part)
+                digests.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column("file"), b.column("block"), pa.array(digests, pa.string())], names=["file", "node", "digest"])
+    return hash_blocks
+
+
+def _roots(nodes: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """(keys, digest): the root over each key's (node, digest) rows, ``most`` of them at most, FAN children a node in order.
+    A node with one child is that child; otherwise it is the SHA-256 of its children's hexadecimal digests."""
+    while most > 1:
+        children = F.transform(F.array_sort(F.collect_list(F.struct("node", "digest"))), lambda c: c["digest"])
+        nodes = nodes.groupBy(*keys, F.expr(f"node div {FAN}").alias("node")).agg(children.alias("_c")).select(
+            *keys, "node", F.when(F.size("_c") == 1, F.col("_c")[0]).otherwise(F.sha2(F.array_join("_c", ""), 256)).alias("digest"))
+        most = -(-most // FAN)
+    return nodes.select(*keys, "digest")
+
+
+def _listing(spark: SparkSession, pattern: str, glob: str) -> list[tuple[int, str, int]]:
+    """(number, path, bytes) of the files that ``pattern`` names (a folder: those in it) in the order of their paths."""
+    found = [(p, n) for p, n in hadoop_fs.files(spark, pattern) if fnmatch.fnmatch(p.rsplit("/", 1)[-1], glob)]
+    return [(i, p, n) for i, (p, n) in enumerate(sorted(found))]
+
+
+def _file_digests(spark: SparkSession, files: list[tuple[int, str, int]], block: int) -> DataFrame:
+    """(file, digest) of every file: byte ranges of ``block`` are dealt to tasks, read once, and joined by the tree."""
+    blocks = [max(1, -(-n // block)) for _, _, n in files]
+    table = spark.createDataFrame([(i, p, b) for (i, p, _), b in zip(files, blocks, strict=True)], "file int, path string, blocks long")
+    ranges = table.select("file", "path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges.repartition(max(1, min(sum(blocks), max(parts, sum(blocks) // 16))), "file", "block")
+    leaves = ranges.mapInArrow(_hash_blocks(block), "file int, node long, digest string")
+    return _roots(leaves, ["file"], max(blocks, default=1))
+
+
+def source_file_stats(spark: SparkSession, folder: str, glob: str = "*.csv", block: int = BLOCK) -> DataFrame:
+    """One row for a source stored as one or more files: file count, total bytes and ``checksum_sha256_16``, 16 digits of
+    a hash tree over the bytes of its files in the order of their paths.
+
+    Files are listed without reading them, then every byte is read once, in ranges of fixed length hashed by many tasks, so
+    no file, however large, meets one task, and the value is the same however tasks are cut. A source of one file of at
+    most one range has the SHA-256 of its bytes.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    sizes = listing.agg(F.count(F.lit(1)).alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"))
-    lines = spark.read.option("pathGlobFilter", glob).text(folder)
-    whole = _ordered_lines(spark, folder, glob).groupBy().applyInPandas(_join_files, "lines long, hash string")
-    return sizes.select("file_count", "size_bytes",
-                        lines.agg(_line_checksum(lines).alias("c")).scalar().alias("checksum_sha256_16"),
-                        whole.select("lines").scalar().alias("lines"), whole.select("hash").scalar().alias("hash")) \
-        .select("file_count", "size_bytes", "checksum_sha256_16", _ordered_checksum(F.col("size_bytes")).alias("ordered_sha256_16"))
+    files = _listing(spark, folder, glob)
+    one = spark.createDataFrame([(len(files), sum(n for _, _, n in files))], "file_count long, size_bytes long")
+    digests = _file_digests(spark, files, block).select(F.lit(0).alias("all"), F.col("file").cast("long").alias("node"), "digest")
+    root = _roots(digests, ["all"], len(files)).agg(F.coalesce(F.max("digest"), F.sha2(F.lit(""), 256)).alias("d"))
+    return one.select("*", F.substring(root.scalar(), 1, 16).alias("checksum_sha256_16"))
 
 
 def read_mart_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -138,13 +139,8 @@ def require_sources(spark: SparkSession, paths: dict[str, str]) -> None:
         raise SourceMissingError("sources that do not exist: " + "; ".join(missing))
 
 
-def file_fingerprints(spark: SparkSession, pattern: str) -> DataFrame:
-    """Per file, also an empty one: path, size in bytes, and the checksums of its lines as in ``source_file_stats``, at any size."""
-    files = spark.read.format("binaryFile").load(pattern).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size_bytes"))
-    empty = hadoop_fs.empty_files(spark, pattern)
-    files = files.unionByName(spark.createDataFrame([(f, 0) for f in empty], "path string, size_bytes long"))
-    lines = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("path"))
-    free = lines.groupBy("path").agg(_line_checksum(lines).alias("_free"))
-    return files.join(free, "path", "left").join(_ordered_lines(spark, pattern), "path", "left").select(
-        "path", "size_bytes", F.coalesce("_free", F.substring(F.sha2(F.lit("0:0"), 256), 1, 16)).alias("checksum_sha256_16"),
-        _ordered_checksum(F.col("size_bytes")).alias("ordered_sha256_16"))
+def file_fingerprints(spark: SparkSession, pattern: str, block: int = BLOCK) -> DataFrame:
+    """Per file, also an empty one: path, size in bytes and the checksum of its bytes as in ``source_file_stats``."""
+    files = _listing(spark, pattern, "*")
+    sizes = spark.createDataFrame(files, "file int, path string, size_bytes long")
+    return sizes.join(_file_digests(spark, files, block), "file").select("path", "size_bytes", F.substring("digest", 1, 16).alias("checksum_sha256_16"))

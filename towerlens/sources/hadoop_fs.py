@@ -36,13 +36,13 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def empty_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths of the files of no bytes that ``pattern`` names (a folder: those in it), which Spark's scans leave out."""
+def files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the files that ``pattern`` names (a folder: those in it), hidden ones left out."""
     fs, p = _fs(spark, pattern)
     found = list(fs.globStatus(p) or [])
     inner = [f for s in found if s.isDirectory() for f in fs.listStatus(s.getPath())]
-    return sorted(s.getPath().toString() for s in [*found, *inner]
-                  if s.isFile() and not s.getLen() and not s.getPath().getName().startswith(("_", ".")))
+    return [(s.getPath().toString(), int(s.getLen())) for s in [*found, *inner]
+            if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
