@@ -1,8 +1,10 @@
 """Scalar expressions: rounding, bins, flags, lenient casts (edge rows)."""
 
 import datetime as dt
+from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from towerlens.constants import (
     ENGAGEMENT_DASH_EDGES,
@@ -98,3 +100,34 @@ def test_lenient_number_takes_plain_numbers_only(spark):
     df = one_col(spark, ["NaN", "1d", "Infinity", "-inf", "1e400", "0x1", "1.5", " -2 ", "+.5", "3.", "1e3", "", None], "string")
     assert [r[0] for r in df.select(lenient_number("x")).collect()] == [
         None, None, None, None, None, None, 1.5, -2.0, 0.5, 3.0, 1000.0, None, None]
+
+
+INF, NAN = float("inf"), float("nan")
+
+
+@pytest.mark.parametrize("values,want", [
+    ([1e30, 1.0], 1e30), ([INF, 1.0], INF), ([-INF, 5.0, None], -INF), ([INF, -INF], NAN), ([NAN, 1.0], NAN), ([None, None], None),
+    ([1e20, 1.0, -1e20], 1.0), ([1e27, 3.0, -1e27, 0.25], 3.25), ([1e-12] * 1000, 1e-9), ([0.1] * 10, 1.0), ([1.7e308, 1.7e308], INF),
+    ([1e18, 1e-9, -1e18], 1e-9), ([5e-324, 1.0], 1.0), ([-0.0], 0.0), ([1e29, -1e29], 0.0)])
+def test_sum_exact_over_the_range_of_a_double(spark, values, want):
+    from towerlens.functions import final_sum, merged_sums, partial_sums
+    df = one_col(spark, values, "double")
+    once = df.agg(sum_exact("x").alias("s")).first().s
+    parts = df.withColumn("g", F.monotonically_increasing_id()).groupBy("g").agg(*partial_sums("x", "p"))
+    twice = parts.groupBy((F.col("g") % 2).alias("h")).agg(*merged_sums("p")).agg(final_sum("p").alias("s")).first().s
+    for got in (once, twice):
+        assert got == want or (got != got and want is not None and want != want)
+
+
+def test_sum_exact_does_not_depend_on_order(spark):
+    import random
+    r = random.Random(9)
+    values = [r.choice([-1, 1]) * r.random() * 10.0 ** r.randint(-20, 26) for _ in range(3000)]
+    want = None
+    for seed in range(4):
+        random.Random(seed).shuffle(values)
+        got = one_col(spark, values, "double").repartition(seed + 1).agg(sum_exact("x")).first()[0]
+        want = got if want is None else want
+        assert got == want
+    exact = sum(map(Fraction, values))
+    assert abs(Fraction(want) - exact) <= abs(exact) * Fraction(1, 10 ** 12)

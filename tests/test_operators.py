@@ -34,14 +34,41 @@ def test_dedup_keeps_first_by_declared_order(spark):
     assert dropped.columns == ["k", "v"]
 
 
-def test_dedup_hot_key_plan_is_partial_aggregate(spark):
-    # one key holding most rows: the plan pre-aggregates before the shuffle
+def test_dedup_with_a_hot_key_sorts_and_shuffles_no_wide_rows(spark):
+    # one key holding most rows: ordered by an aggregate before the shuffle; the result is the written table without the copies
+    from towerlens.operators.dedup import first_rows
     df = spark.range(20000).select(F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(
-        F.col("id").cast("string")).alias("k"), F.col("id").alias("o"))
+        F.col("id").cast("string")).alias("k"), F.col("id").alias("o"), F.lit("wide").alias("w"), F.col("id").alias("_v"))
     out = dedup_keep_first(df, ["k"], ["o"])
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min" in plan
-    assert out.where("k = 'hot'").first().o == 1
+    assert "Sort" not in plan and "hashpartitioning" not in plan and "Aggregate" not in plan and "BroadcastHashJoin" in plan
+    assert out.where("k = 'hot'").first().o == 1 and out.count() == 6668
+    narrow = df.select("k", "o", F.lit(0).alias("_tie"), F.col("id" if "id" in df.columns else "_v").alias("_row"))
+    assert "partial_min" in first_rows(narrow, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
+    pruned = out.select("o")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<o:bigint,_row:bigint>" in pruned
+
+
+def test_dedup_ties_do_not_depend_on_the_layout(spark):
+    rows = [(i % 40, i % 2, None if i % 3 else "a", "b" if i % 5 else None, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k int, o int, x string, y string, z int")
+    a = sorted(map(tuple, dedup_keep_first(df, ["k"], ["o"]).collect()))
+    b = sorted(map(tuple, dedup_keep_first(df.repartition(7, "z").orderBy(F.desc("z")), ["k"], ["o"]).collect()))
+    assert a == b and len(a) == 40 and all(r[1] == r[0] % 2 for r in a)
+
+
+def test_dedup_many_repeated_keys(spark):
+    """Heavy and light repeated keys together, composite and NULL keys."""
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 7000).alias("k"), (F.col("id") % 2).alias("j"),
+                                   (-F.col("id")).alias("o"), F.col("id").alias("v"))
+    want = {}
+    for r in df.collect():
+        if (r.k, r.j) not in want or r.o < want[r.k, r.j]:
+            want[r.k, r.j] = r.o
+    got = {(r.k, r.j): r.o for r in dedup_keep_first(df, ["k", "j"], ["o"]).collect()}
+    assert got == want
+    unique = spark.range(50).select("id", (F.col("id") * 2).alias("o"))
+    assert dedup_keep_first(unique, ["id"], ["o"]).count() == 50 and dedup_keep_first(unique.limit(0), ["id"], ["o"]).count() == 0
 
 
 def test_dedup_order_is_required(spark):
@@ -217,6 +244,25 @@ def test_rank_with_a_third_on_one_value(spark):
     assert dist.exceptAll(win).count() == 0
 
 
+@pytest.mark.parametrize("nulls", [False, True])
+def test_rank_join_meets_no_hot_value_without_adaptive_execution(spark, nulls):
+    """A third of all rows on one value, or without one: the rows are spread over the tasks of the join."""
+    hot = F.lit(None).cast("double") if nulls else F.lit(0.0)
+    df = spark.range(60000).select("id", F.when(F.col("id") % 3 == 0, hot).otherwise(F.col("id").cast("double")).alias("x"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        ranked = pct_rank_average(df, "x", "p", parts=8)
+        sizes = sorted(r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        win = window_pct_rank(df, "x", "p")
+        assert ranked.exceptAll(win).count() == 0 and win.exceptAll(ranked).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_dq_report_keeps_every_technology_and_field(spark):
     from towerlens.plans import dq
     customers = spark.createDataFrame([("c1", 10.0, 1), ("c2", None, 0)], "customer_id string, totalcharges double, churn_flag int")

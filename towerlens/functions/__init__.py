@@ -2,11 +2,13 @@
 
 from towerlens.functions.exprs import (  # noqa: F401
     avg_exact,
-    beyond_nine,
     bucketize,
     eq_flag,
+    final_sum,
     lenient_number,
     lenient_timestamp,
+    merged_sums,
+    partial_sums,
     pct,
     round_half_even,
     round_half_up,

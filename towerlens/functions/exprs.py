@@ -40,20 +40,56 @@ def round_half_up(c: str | Column, digits: int) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
+#: Bands of a sum: values below the first bound to nine decimals, values from there to the second as whole numbers, what
+#: the first leaves beyond nine decimals in units of 1e-27. Each is a decimal with ten digits of room for the sum.
+_NEAR, _FAR, _UNIT = 1e18, 1e28, 1e27
+_LIMBS = ("near", "big", "fine", "far", "n")
+
+
+def _limbs(c: str | Column) -> dict[str, Column]:
+    """A double in bands that are added up apart: ``near``, ``big`` and ``fine`` as decimals; ``far``, a double, has what
+    no band covers: values from 1e28 on, what is left below 1e-27, infinities and NaN (0 for all others); ``n`` counts values."""
+    x = _c(c).cast("double")
+    near, big = F.abs(x) < F.lit(_NEAR), (F.abs(x) >= F.lit(_NEAR)) & (F.abs(x) < F.lit(_FAR))
+    head = F.when(near, x).try_cast("decimal(28,9)")
+    left = F.when(near, x - head.cast("double"))
+    fine = F.when(left != 0, left * F.lit(_UNIT)).try_cast("decimal(28,0)")
+    far = F.when(near, left - F.coalesce(fine.cast("double") / F.lit(_UNIT), F.lit(0.0))).when(big, F.lit(0.0)).otherwise(x)
+    return {"near": head, "big": F.when(big, x).try_cast("decimal(28,0)"), "fine": fine, "far": far, "n": F.when(x.isNotNull(), F.lit(1).cast("long"))}
+
+
+def _sum_of(s: dict[str, Column]) -> Column:
+    zero = F.lit(0.0)
+    total = (F.coalesce(s["near"].cast("double"), zero) + F.coalesce(s["fine"].cast("double") / F.lit(_UNIT), zero)
+             + F.coalesce(s["big"].cast("double"), zero) + F.coalesce(s["far"], zero))
+    return F.when(s["n"] > 0, total)
+
+
 def sum_exact(c: str | Column) -> Column:
-    """Sum of a double that does not depend on the order rows arrive in.
+    """Sum of a double that does not depend on the order rows arrive in, NULL without values.
 
-    The first nine decimals are summed as decimals; what a value has beyond
-    them (nothing, for money and megabytes) is summed as a double and added,
-    so no digit of the source is dropped.
+    Values below 1e18 are added as decimals of nine places, what they have beyond those in units of 1e-27, values from 1e18
+    to 1e28 as whole decimals; so the sum of such values is the same to the last bit however rows come. Values from
+    1e28 on and what is below 1e-27 are added as doubles apart, without failing; infinities and NaN give what doubles
+    give (both infinities: NaN).
     """
-    return F.sum(_c(c).cast("decimal(38,9)")).cast("double") + F.sum(beyond_nine(c))
+    return _sum_of({k: F.sum(v) for k, v in _limbs(c).items()})
 
 
-def beyond_nine(c: str | Column) -> Column:
-    """What a double has beyond its first nine decimals."""
-    x = _c(c).cast("double")
-    return x - x.cast("decimal(38,9)").cast("double")
+def partial_sums(c: str | Column, name: str) -> list[Column]:
+    """The bands of ``sum_exact`` as aggregates of their own, to be added up further by ``merged_sums``."""
+    return [F.sum(v).alias(f"{name}_{k}") for k, v in _limbs(c).items()]
+
+
+def merged_sums(name: str) -> list[Column]:
+    """Sums of ``partial_sums`` columns, under the same names."""
+    kept = {"near": "decimal(38,9)", "big": "decimal(38,0)", "fine": "decimal(38,0)"}
+    return [(F.sum(f"{name}_{k}").cast(kept[k]) if k in kept else F.sum(f"{name}_{k}")).alias(f"{name}_{k}") for k in _LIMBS]
+
+
+def final_sum(name: str) -> Column:
+    """``sum_exact`` of what ``partial_sums`` or ``merged_sums`` counted under ``name``."""
+    return _sum_of({k: F.sum(f"{name}_{k}") for k in _LIMBS})
 
 
 def avg_exact(c: str | Column) -> Column:

@@ -3,10 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from towerlens import session
+
+#: A key is heavy when it holds at least this share of all rows: there are at most as many heavy keys.
+HEAVY = 1024
+
+
+def same_key(keys: Sequence[str], other: DataFrame, prefix: str = "_k") -> Column:
+    """Null-safe equality of key columns with ``other``'s ``prefix0``, ``prefix1``, ..."""
+    return reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(other[f"{prefix}{i}"]) for i, k in enumerate(keys)])
+
+
+def _copies(narrow: DataFrame, keys: list[str], rows: int) -> DataFrame | None:
+    """The rows of ``narrow`` whose key occurs more than once; None if there are none.
+
+    Keys are counted by a hash aggregate. Repeated keys come back to their rows by a semi-join: heavy ones, at most HEAVY,
+    by broadcast, the rest, each below that share, as Spark sees fit.
+    """
+    counted = narrow.groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = session.materialize(counted.where("_n > 1"), "repeated_keys")
+    heavy = F.col("_n") * HEAVY >= F.lit(rows)
+    n = repeated.agg(F.count_if(heavy).alias("heavy"), F.count_if(~heavy).alias("light")).first()
+    parts = []
+    if n["heavy"]:
+        told = F.broadcast(repeated.where(heavy))
+        parts.append(narrow.join(told, same_key(keys, told), "left_semi"))
+    if n["light"]:
+        told = repeated.where(~heavy)
+        parts.append(narrow.join(told, same_key(keys, told), "left_semi"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def first_rows(copies: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """(_row) of the first of each key's rows by ``order``, then ``_tie``, aggregated before the shuffle."""
+    packed = F.struct(*[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)], "_tie", "_row")
+    return copies.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.min(packed).alias("_first")).select(F.col("_first._row").alias("_row"))
+
 
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                      drop_order_cols: bool = False) -> DataFrame:
@@ -14,29 +51,28 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
 
     A distributed table has no file order, so every source declares the
     columns that stand for it; they are required. Rows that tie on all of them
-    are settled by the remaining columns, so the result never depends on the
-    partitioning.
+    are settled by a hash of the remaining columns, so the result never depends
+    on the partitioning. NULL keys are one key.
 
-    Plan: ``min(struct(order..., rest...))`` per key, a sort aggregate on both
-    sides of the exchange; unlike a ``row_number()`` window it aggregates
-    before the shuffle, so a key holding a third of all rows becomes one row
-    per map task.
+    The payload of a row is written once, with a row number, and fetched only for rows that stay: everything
+    else runs on (key, order, row number). Keys are counted by a hash aggregate; only the rows of keys that repeat are ordered, by a
+    minimum that is aggregated before its shuffle, so a key holding a third of all rows is one row per map task. What falls
+    out are the numbers of the other copies, and the result is the written table without them (an anti-join on a unique number): wide
+    rows are neither sorted nor shuffled, and what reads the result later reads only the columns it needs.
     """
     if not order_cols:
         raise ValueError("order_cols must name the columns that order the rows of a key")
     keys, order = list(keys), list(order_cols)
-    payload = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in payload])
-    first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    out = []
-    for c in df.columns:
-        if c in keys:
-            out.append(F.col(c))
-        elif c in payload:
-            out.append(F.col(f"_first.{c}").alias(c))
-        elif not drop_order_cols:
-            out.append(F.col(f"_first._o{order.index(c)}").alias(c))
-    return first.select(*out)
+    kept = [c for c in df.columns if not (drop_order_cols and c in order and c not in keys)]
+    payload = [F.col(f"`{c}`") for c in df.columns if c not in keys and c not in order]
+    tie = F.xxhash64(*payload, *[c.isNull() for c in payload]) if payload else F.lit(0).cast("long")
+    base = session.materialize(df.withColumns({"_tie": tie, "_row": F.monotonically_increasing_id()}), "keep_first")
+    narrow = base.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, *order])], "_tie", "_row")
+    copies = _copies(narrow, keys, base.count())
+    if copies is not None:
+        losers = copies.select("_row").join(first_rows(copies, keys, order), "_row", "left_anti")
+        base = base.join(session.materialize(losers, "later_copies"), "_row", "left_anti")
+    return base.select(*[F.col(f"`{c}`") for c in kept])
 
 
 def dedup_counts(before: DataFrame, key: str) -> DataFrame:

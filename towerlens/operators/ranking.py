@@ -18,6 +18,13 @@ every row (the tests keep it as the reference to compare against). Here:
 
 The number of partitions is ``parts`` (default: the session's shuffle
 partitions) at any size; no value range or bucket is capped.
+
+The ranks come back to the rows without any task meeting a hot value: values
+that hold at least 1 in HEAVY of all rows, of which there are at most HEAVY, are
+told by a broadcast table. Their rows, and those without a value, take part in
+the join with the other values' ranks under keys that match nothing and are
+spread by a hash of the row, so that join meets no value above that share, with
+or without adaptive execution.
 """
 
 from __future__ import annotations
@@ -28,12 +35,19 @@ from pyspark.sql import functions as F
 from towerlens import session
 
 
-def pct_rank_table(df: DataFrame, col: str, out_col: str, parts: int | None = None) -> DataFrame:
-    """Distinct non-NULL values of ``col`` with their average-rank percentile."""
+#: A value is heavy when it holds at least this share of all rows.
+HEAVY = 1024
+#: Keys over which rows that need no light rank are spread.
+_SPREAD = 1 << 20
+
+
+def _ranks(df: DataFrame, col: str, out_col: str, parts: int | None) -> DataFrame:
+    """(col, out_col, _cnt, _n, _at): distinct non-NULL values with their rank, their rows, all rows, and 0."""
     v = F.col(col)
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.where(v.isNotNull()).groupBy(v.alias(col)).agg(F.count(F.lit(1)).alias("_cnt"))
-    ranged = counts.repartitionByRange(parts, col).withColumn("_part", F.spark_partition_id())
+    # ``_at`` is written, so that it stays a column: as a literal it would fall out of the join's keys
+    ranged = counts.repartitionByRange(parts, col).withColumns({"_part": F.spark_partition_id(), "_at": F.lit(0)})
     ranged = session.materialize(ranged, "rank_values")
     smaller = Window.partitionBy("_part").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_before", F.coalesce(F.sum("_cnt").over(smaller), F.lit(0)))
@@ -44,9 +58,23 @@ def pct_rank_table(df: DataFrame, col: str, out_col: str, parts: int | None = No
     # ``offsets`` has at most ``parts`` rows.
     rank = ((F.col("_off") + F.col("_before")).cast("double")
             + (F.col("_cnt") + F.lit(1)) / F.lit(2.0)) / F.col("_n")
-    return local.join(F.broadcast(offsets), "_part").select(v, rank.alias(out_col))
+    return local.join(F.broadcast(offsets), "_part").select(v, rank.alias(out_col), "_cnt", "_n", "_at")
+
+
+def pct_rank_table(df: DataFrame, col: str, out_col: str, parts: int | None = None) -> DataFrame:
+    """Distinct non-NULL values of ``col`` with their average-rank percentile."""
+    return _ranks(df, col, out_col, parts).select(col, out_col)
 
 
-def pct_rank_average(df: DataFrame, col: str, out_col: str, parts: int | None = None) -> DataFrame:
-    """``df`` plus ``out_col`` = average-rank percentile of ``col``."""
-    return df.join(pct_rank_table(df, col, out_col, parts), on=col, how="left")
+def pct_rank_average(df: DataFrame, col: str, out_col: str, parts: int | None = None, among: DataFrame | None = None) -> DataFrame:
+    """``df`` plus ``out_col`` = average-rank percentile of ``col`` among the rows of ``among`` (default ``df``; a written
+    table with the same values spares computing ``df`` twice)."""
+    ranks = _ranks(among or df, col, out_col, parts)
+    heavy = F.col("_cnt") * HEAVY >= F.col("_n")
+    hot = ranks.where(heavy).select(F.col(col).alias("_hot"), F.col(out_col).alias("_hot_rank"))
+    cold = ranks.where(~heavy).select(F.col(col).alias("_cold"), F.col(out_col).alias("_cold_rank"), "_at")
+    told = df.join(F.broadcast(hot), F.col(col) == F.col("_hot"), "left")
+    needs = F.col(col).isNotNull() & F.col("_hot").isNull()
+    told = told.withColumn("_spread", F.when(needs, F.lit(0)).otherwise((1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_SPREAD))).cast("int")))
+    both = told.join(cold, (F.col(col) == F.col("_cold")) & (F.col("_spread") == F.col("_at")), "left")
+    return both.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("_hot_rank", "_cold_rank").alias(out_col))

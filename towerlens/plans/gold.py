@@ -4,8 +4,7 @@ Scale notes:
 * every mart pre-aggregates the CDRs with a map-side partial aggregate before
   any shuffle, so a customer, day or tower holding a third of all CDRs costs
   one row per map task in the exchange;
-* dimensions and rank tables are joined without hints: Spark broadcasts what
-  is small in bytes and splits skewed keys of the rest;
+* dimensions are joined without hints: Spark broadcasts what is small in bytes and splits skewed keys of the rest;
 * the engagement percentile ranks never pass through one partition
   (``operators.ranking``).
 """
@@ -16,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.constants import ENGAGEMENT_WEIGHTS
-from towerlens.functions import avg_exact, beyond_nine, pct, round_half_even, safe_ratio, sum_exact
-from towerlens.operators import drop_null_keys, join_dim, pct_rank_table
+from towerlens.functions import avg_exact, final_sum, merged_sums, partial_sums, pct, round_half_even, safe_ratio, sum_exact
+from towerlens.operators import drop_null_keys, join_dim, pct_rank_average
 from towerlens import session
 from towerlens.schemas import CUSTOMER_SUMMARY_DEFAULTS
 
@@ -46,14 +45,13 @@ def customer_summary_base(customers: DataFrame, cdrs: DataFrame) -> DataFrame:
 def engagement_score(base: DataFrame, rank_parts: int | None = None) -> DataFrame:
     """Weighted sum of three average-rank percentiles, 2 decimals, plus CLV.
 
-    Each rank table has one row per distinct value (few for tenure and call
-    counts, which Spark then broadcasts into the join-back by their size).
+    Hot values (no data, no calls) are told by broadcast, so no join meets them (``operators.ranking``).
     """
     out = base
     score = None
     for col, weight in ENGAGEMENT_WEIGHTS:
         rcol = f"_pct_{col}"
-        out = out.join(pct_rank_table(base, col, rcol, rank_parts), on=col, how="left")
+        out = pct_rank_average(out, col, rcol, rank_parts, among=base)
         term = F.col(rcol) * F.lit(weight)
         score = term if score is None else score + term
     out = out.withColumn("engagement_score", round_half_even(score, 2))
@@ -115,17 +113,15 @@ def fact_regional_performance(cdrs: DataFrame, towers: DataFrame, exact_distinct
     """
     narrow = drop_null_keys(cdrs, ["cell_tower_id"]).groupBy("cell_tower_id", "customer_id").agg(
         F.count("call_id").alias("calls"), F.sum("is_completed").alias("completed"), F.sum("is_dropped").alias("dropped"),
-        F.sum(F.col("data_mb").cast("decimal(38,9)")).alias("mb"),
-        F.sum(F.col("cost_usd").cast("decimal(38,9)")).alias("usd"),
-        F.sum(beyond_nine("data_mb")).alias("mb_rest"), F.sum(beyond_nine("cost_usd")).alias("usd_rest"))
+        *partial_sums("data_mb", "mb"), *partial_sums("cost_usd", "usd"))
     known = drop_null_keys(join_dim(narrow, towers.select("cell_tower_id", "region"), "cell_tower_id", "left"), ["region"])
     per_tower = known.groupBy("region", "cell_tower_id").agg(
-        *[F.sum(c).alias(c) for c in ("calls", "completed", "dropped", "mb", "usd", "mb_rest", "usd_rest")])
+        *[F.sum(c).alias(c) for c in ("calls", "completed", "dropped")], *merged_sums("mb"), *merged_sums("usd"))
     totals = per_tower.groupBy("region").agg(
         F.sum("calls").alias("total_calls"), F.sum("completed").cast("bigint").alias("completed_calls"),
         F.sum("dropped").cast("bigint").alias("dropped_calls"),
-        F.coalesce(F.sum("mb").cast("double") + F.sum("mb_rest"), F.lit(0.0)).alias("total_data_mb"),
-        F.coalesce(F.sum("usd").cast("double") + F.sum("usd_rest"), F.lit(0.0)).alias("total_revenue_usd"),
+        F.coalesce(final_sum("mb"), F.lit(0.0)).alias("total_data_mb"),
+        F.coalesce(final_sum("usd"), F.lit(0.0)).alias("total_revenue_usd"),
         F.count(F.lit(1)).alias("active_towers"))
     if exact_distinct:
         people = known.select("region", "customer_id").distinct().groupBy("region").agg(F.count("customer_id").alias("unique_customers"))

@@ -73,9 +73,6 @@ def run_bronze(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
 def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
                cdr_partition_by: str | None = None) -> dict[str, int]:
     obs = Observation("outliers")
-    customers = silver.clean_customers(w.customers_raw, CUSTOMER_ORDER)
-    cdrs = silver.clean_cdrs(w.cdrs_raw, CDR_ORDER, observation=obs)
-    towers = silver.clean_cell_towers(w.towers_raw, w.as_of, TOWER_ORDER)
     version = new_version()
     stage = f"{out}/silver/{version}"
     # Every mart aggregates all CDRs, so folders per date would only add
@@ -83,9 +80,9 @@ def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
     # Parquet min/max statistics selective for date or customer predicates.
     run_concurrently(spark, {
         "silver: write cdrs": lambda: write_parquet(
-            cdrs, f"{stage}/cdrs", partition_by=cdr_partition_by, cluster_by=["call_date", "customer_id"]),
-        "silver: write customers": lambda: write_parquet(customers, f"{stage}/customers"),
-        "silver: write towers": lambda: write_parquet(towers, f"{stage}/cell_towers"),
+            silver.clean_cdrs(w.cdrs_raw, CDR_ORDER, observation=obs), f"{stage}/cdrs", partition_by=cdr_partition_by, cluster_by=["call_date", "customer_id"]),
+        "silver: write customers": lambda: write_parquet(silver.clean_customers(w.customers_raw, CUSTOMER_ORDER), f"{stage}/customers"),
+        "silver: write towers": lambda: write_parquet(silver.clean_cell_towers(w.towers_raw, w.as_of, TOWER_ORDER), f"{stage}/cell_towers"),
     })
     s_customers = spark.read.parquet(f"{stage}/customers")
     s_cdrs = spark.read.parquet(f"{stage}/cdrs")

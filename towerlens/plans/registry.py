@@ -15,15 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from towerlens.constants import (
-
-    AT_RISK_MIN_MONTHLY,
-    ENGAGEMENT_DASH_EDGES,
-    ENGAGEMENT_DASH_LABELS,
-    ENGAGEMENT_SQL_EDGES,
-    ENGAGEMENT_SQL_LABELS,
-    HIGH_RISK_MIN_CUSTOMERS,
     MAX_CALL_SECONDS,
-    MONTH_TO_MONTH,
     SOURCES,
 )
 from towerlens.functions import eq_flag, lenient_number, lenient_timestamp
@@ -38,7 +30,7 @@ from towerlens.operators.constraints import TableConstraints
 from towerlens.plans import analytics as A
 from towerlens.plans import bronze, dq
 from towerlens.plans import dashboards as D
-from towerlens.plans import gold
+from towerlens.plans import gold, oracle
 from towerlens.plans.oracle import avgx, dbl, left_case, pct_rank_sql, re_, right_bins, ru, sumx, with_ctes
 from towerlens.plans.warehouse import Warehouse
 from towerlens.schemas import CDRS_RAW, CONSTRAINTS, CUSTOMERS_RAW, MART_SCHEMAS, TOWERS_RAW
@@ -373,6 +365,16 @@ def _constraint_sql(view: str, spec) -> list[str]:
     return [f"SELECT '{spec.table}' AS table_name, '{name}' AS constraint_name, "
             f"CAST({expr} AS BIGINT) AS violations FROM {view}" for name, expr in rows]
 
+#: The rules of the tables, stated here again for the oracle.
+_RULES = [
+    TableConstraints("customers", ("customer_id",), min_values={"monthlycharges": 0}),
+    TableConstraints("dim_cell_towers", ("cell_tower_id",), ("region",), {"technology": ("4G", "5G", "3G")}),
+    TableConstraints("fact_customer_summary", ("customer_id",), ("churn_flag",)),
+    TableConstraints("fact_daily_network_metrics", ("call_date",), ("total_calls", "completed_calls", "dropped_calls", "unique_customers_active")),
+    TableConstraints("fact_regional_performance", ("region",)),
+    TableConstraints("fact_churn_cohort", ("tenure_cohort", "contract", "paymentmethod")),
+]
+
 _CONSTRAINT_VIEWS = {
     "customers": "s_customers", "dim_cell_towers": "s_towers",
     "fact_customer_summary": "fact_customer_summary",
@@ -381,7 +383,7 @@ _CONSTRAINT_VIEWS = {
 }
 
 @register("constraint_violations", " UNION ALL ".join(
-    q for t, v in _CONSTRAINT_VIEWS.items() for q in _constraint_sql(v, CONSTRAINTS[t])),
+    q for spec in _RULES for q in _constraint_sql(_CONSTRAINT_VIEWS[spec.table], spec)),
     list(_CONSTRAINT_VIEWS.values()))
 def _constraints(spark, w):
     tables = {"customers": w.customers, "dim_cell_towers": w.towers,
@@ -459,7 +461,7 @@ def _q02(spark, w):
 @register("q03_high_risk_segments", f"""
 SELECT tenure_cohort, contract, paymentmethod, customer_count, churn_count, churn_rate_pct,
   {ru('avg_monthly_charges', 2)} AS avg_monthly_charges
-FROM fact_churn_cohort WHERE customer_count >= {HIGH_RISK_MIN_CUSTOMERS}
+FROM fact_churn_cohort WHERE customer_count >= {oracle.HIGH_RISK_MIN_CUSTOMERS}
 ORDER BY churn_rate_pct DESC, tenure_cohort, contract, paymentmethod LIMIT 10""", ["fact_churn_cohort"])
 def _q03(spark, w):
     return A.q03_high_risk_segments(w.cohort)
@@ -471,7 +473,7 @@ FROM fact_customer_summary GROUP BY internetservice ORDER BY churn_rate_pct DESC
 def _q04(spark, w):
     return A.q04_churn_by_internet(w.customer_summary)
 
-AT_RISK_WHERE = (f"churn_flag = 0 AND contract = '{MONTH_TO_MONTH}' AND monthlycharges > {AT_RISK_MIN_MONTHLY}")
+AT_RISK_WHERE = (f"churn_flag = 0 AND contract = '{oracle.MONTH_TO_MONTH}' AND monthlycharges > {oracle.AT_RISK_MIN_MONTHLY}")
 
 @register("q05_revenue_at_risk", f"""
 SELECT tenure_cohort, contract, COUNT(*) AS at_risk_customer_count,
@@ -498,7 +500,7 @@ def _q07(spark, w):
     return A.q07_daily_health_30(w.daily)
 
 @register("q08_engagement_vs_churn", f"""
-SELECT {left_case('engagement_score', ENGAGEMENT_SQL_EDGES, ENGAGEMENT_SQL_LABELS)} AS engagement_band,
+SELECT {left_case('engagement_score', oracle.ENGAGEMENT_SQL_EDGES, oracle.ENGAGEMENT_SQL_LABELS)} AS engagement_band,
   COUNT(*) AS customers, {CHURN_PCT} AS churn_rate_pct, {ru(avgx('monthlycharges'), 2)} AS avg_arpu,
   {ru(avgx('total_data_mb'), 2)} AS avg_data_mb, {ru('AVG(total_calls)', 1)} AS avg_calls
 FROM fact_customer_summary GROUP BY engagement_band ORDER BY engagement_band""", FCS)
@@ -528,13 +530,13 @@ def _preview(spark, w):
 
 @register("ex1_having_form", f"""
 SELECT contract, AVG(churn_flag) * 100 AS churn_rate_pct FROM fact_customer_summary
-GROUP BY contract HAVING contract = '{MONTH_TO_MONTH}'""", FCS)
+GROUP BY contract HAVING contract = '{oracle.MONTH_TO_MONTH}'""", FCS)
 def _ex1h(spark, w):
     return A.ex1_having_form(w.customer_summary)
 
 @register("ex1_where_form", f"""
 SELECT contract, AVG(churn_flag) * 100 AS churn_rate_pct FROM fact_customer_summary
-WHERE contract = '{MONTH_TO_MONTH}' GROUP BY contract""", FCS)
+WHERE contract = '{oracle.MONTH_TO_MONTH}' GROUP BY contract""", FCS)
 def _ex1w(spark, w):
     return A.ex1_where_form(w.customer_summary)
 
@@ -545,17 +547,17 @@ def _ex2(spark, w):
 
 @register("ex3_topk_cohorts", f"""
 SELECT tenure_cohort, contract, paymentmethod, churn_rate_pct FROM fact_churn_cohort
-WHERE customer_count >= {HIGH_RISK_MIN_CUSTOMERS}
+WHERE customer_count >= {oracle.HIGH_RISK_MIN_CUSTOMERS}
 ORDER BY churn_rate_pct DESC, tenure_cohort, contract, paymentmethod LIMIT 10""", ["fact_churn_cohort"])
 def _ex3(spark, w):
     return A.ex3_topk_cohorts(w.cohort)
 
-@register("ex4_upper_predicate", f"SELECT * FROM fact_customer_summary WHERE UPPER(contract) = '{MONTH_TO_MONTH.upper()}'",
+@register("ex4_upper_predicate", f"SELECT * FROM fact_customer_summary WHERE UPPER(contract) = '{oracle.MONTH_TO_MONTH.upper()}'",
           FCS)
 def _ex4u(spark, w):
     return A.ex4_upper_predicate(w.customer_summary)
 
-@register("ex4_plain_predicate", f"SELECT * FROM fact_customer_summary WHERE contract = '{MONTH_TO_MONTH}'", FCS)
+@register("ex4_plain_predicate", f"SELECT * FROM fact_customer_summary WHERE contract = '{oracle.MONTH_TO_MONTH}'", FCS)
 def _ex4p(spark, w):
     return A.ex4_plain_predicate(w.customer_summary)
 
@@ -602,7 +604,7 @@ _PAY_LABEL = ("replace(replace(replace(replace(paymentmethod, 'Bank transfer (au
 @register("d2_top_cohorts", f"""
 SELECT tenure_cohort, contract, paymentmethod, customer_count, churn_rate_pct,
   concat_ws(' | ', tenure_cohort, replace(contract, 'Month-to-month', 'M2M'), {_PAY_LABEL}) AS label
-FROM (SELECT * FROM fact_churn_cohort WHERE customer_count >= {HIGH_RISK_MIN_CUSTOMERS}
+FROM (SELECT * FROM fact_churn_cohort WHERE customer_count >= {oracle.HIGH_RISK_MIN_CUSTOMERS}
       ORDER BY churn_rate_pct DESC, tenure_cohort, contract, paymentmethod LIMIT 8)
 ORDER BY churn_rate_pct""", ["fact_churn_cohort"])
 def _d2(spark, w):
@@ -624,7 +626,7 @@ def _d4(spark, w):
 @register("d5_engagement_bands_right", f"""
 SELECT eng_band, AVG(churn_flag) * 100 AS churn_rate, COUNT(customer_id) AS customers,
   {avgx('monthlycharges')} AS avg_revenue
-FROM (SELECT *, {right_bins('engagement_score', ENGAGEMENT_DASH_EDGES, ENGAGEMENT_DASH_LABELS)} AS eng_band
+FROM (SELECT *, {right_bins('engagement_score', oracle.ENGAGEMENT_DASH_EDGES, oracle.ENGAGEMENT_DASH_LABELS)} AS eng_band
       FROM fact_customer_summary)
 WHERE eng_band IS NOT NULL GROUP BY eng_band ORDER BY eng_band""", FCS)
 def _d5(spark, w):

@@ -32,7 +32,7 @@ from pyspark.sql.types import StructType
 from towerlens.plans.gold import fact_daily_network_metrics
 from towerlens.plans.silver import clean_cdrs
 from towerlens.schemas import CDRS_RAW
-from towerlens.session import materialize, release
+from towerlens.session import materialize, materialized, release_since
 from towerlens.sources import hadoop_fs
 
 
@@ -72,7 +72,7 @@ class CdrIngest:
         return f"{self.lake_dir}/silver/cdrs"
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, mark = batch.sparkSession, materialized()
         batch_clean = materialize(clean_cdrs(batch, self.order_cols), f"cdr_batch_{epoch_id}")
         new = batch_clean
         if hadoop_fs.exists(spark, self.silver):
@@ -81,9 +81,7 @@ class CdrIngest:
         (new.sortWithinPartitions("call_date", "customer_id")
          .write.mode("append").parquet(self.silver))
         self._refresh_daily(spark, batch_clean.select("call_date").distinct(), epoch_id)
-        release(batch_clean)
-        if new is not batch_clean:
-            release(new)
+        release_since(spark, mark)
 
     def _refresh_daily(self, spark: SparkSession, touched: DataFrame, epoch_id: int) -> None:
         silver = spark.read.parquet(self.silver)
