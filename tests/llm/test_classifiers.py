@@ -100,3 +100,22 @@ def test_sample_is_bounded_and_sums_are_whole(spark):
     total = summed(spark.range(0, 5000, 1, 37), lambda b: np.array([b["id"].sum(), len(b)], dtype=float), 2)
     assert total.tolist() == [5000 * 4999 / 2, 5000.0]
     assert summed(spark.range(0), lambda b: np.array([len(b)], dtype=float), 1).tolist() == [0.0]
+
+
+def test_quality_of_copies_with_mixed_labels_does_not_depend_on_the_layout(spark):
+    """200 equal texts, a third of them of quality 1, more than vote: every copy gets the same score, in any order of rows."""
+    rows = [(i, "the same text of a few words, again") for i in range(200)] + [(200 + i, f"other words {i} here and there {i * i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(260)], "doc_id long, quality int")
+    seen = []
+    for layout in (docs, docs.orderBy(F.desc("doc_id")).coalesce(1), docs.repartition(7, F.xxhash64("doc_id", F.lit(5)))):
+        got = {r.doc_id: r.score for r in quality_scores(layout, labels, quarter_held_out()).collect()}
+        assert len({round(got[i], 9) for i in range(200)}) == 1 and 0.2 < got[0] < 0.45
+        seen.append(np.array([got[i] for i in range(260)]))
+    assert max(np.abs(s - seen[0]).max() for s in seen) < 1e-3  # the basis is a sum of rounded numbers
+
+
+def test_quality_takes_one_row_of_a_repeated_labelled_id(spark):
+    docs = spark.createDataFrame([(1, "a good text"), (1, "another text"), (1, None), (2, "bad words"), (3, "plain")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    assert quality_scores(docs, labels, F.lit(False)).count() == 5

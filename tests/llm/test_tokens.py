@@ -31,14 +31,14 @@ def test_parts_encode_like_whole_texts(name):
     assert [np.frombuffer(b, dtype="<u4").tolist() for b in enc.encode(texts)] == [x.tolist() for x in direct(name, texts)]
 
 
-def test_memo_starts_anew_beyond_its_bound(monkeypatch):
+def test_memo_keeps_two_generations(monkeypatch):
     import towerlens.llm.tokens as tokens
-    monkeypatch.setattr(tokens, "MEMO_PARTS", 20)
+    monkeypatch.setattr(tokens, "GENERATION", 20)
     enc = PartEncoder(public_tokenizers.path(FILES[1]))
     texts = [f"some words number {i} and more {i * 7}" for i in range(40)]
     for t, ids in zip(texts, direct(FILES[1], texts), strict=True):
         assert enc.encode([t])[0] == ids.tobytes()
-    assert len(enc.memo) <= 20
+    assert len(enc.memo) <= 40 and 0 < len(enc.older) <= 40 and " some" not in enc.older.keys() - enc.memo.keys()
 
 
 def test_codes_give_any_token():

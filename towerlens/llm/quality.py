@@ -129,10 +129,16 @@ class Voters:
     """Labelled vectors at length one, and what a vote needs besides."""
 
     def __init__(self, weights: np.ndarray, basis: np.ndarray, payloads: list[bytes], labels: np.ndarray):
-        self.weights, self.basis, self.labels = weights, basis, labels
+        self.weights, self.basis = weights, basis
         self.prior = float(labels.mean()) if len(labels) else 0.5
-        self.vectors = np.concatenate([self._project(payloads[at:at + 1024]) for at in range(0, len(payloads), 1024)]) \
-            if len(labels) else np.zeros((0, LATENT), dtype=np.float32)
+        alike: dict[bytes, list[float]] = {}  # rows with the same terms are one voter, in an order of their own
+        for p, y in zip(payloads, labels, strict=True):
+            alike.setdefault(bytes(p), []).append(float(y))
+        own = sorted(alike)
+        self.labels = np.array([np.mean(sorted(alike[p])) for p in own])
+        self.rows = np.array([len(alike[p]) for p in own], dtype=np.int64)
+        self.vectors = np.concatenate([self._project(own[at:at + 1024]) for at in range(0, len(own), 1024)]) \
+            if own else np.zeros((0, LATENT), dtype=np.float32)
 
     def _project(self, payloads) -> np.ndarray:
         v = _matrix(payloads, self.weights) @ self.basis
@@ -145,8 +151,13 @@ class Voters:
         k = min(NEIGHBOURS, len(self.labels))
         for at in range(0, len(payloads), BLOCK):
             cosine = self._project(payloads[at:at + BLOCK]) @ self.vectors.T
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-            votes = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64) ** SHARPNESS
+            near = np.sort(np.argpartition(-cosine, k - 1, axis=1)[:, :k], axis=1)
+            order = np.argsort(-np.take_along_axis(cosine, near, axis=1), axis=1, kind="stable")
+            near = np.take_along_axis(near, order, axis=1)
+            # NEIGHBOURS rows vote; of a voter that stands for more rows than are left, so many of its mean label
+            rows = self.rows[near]
+            votes = np.clip(NEIGHBOURS - (np.cumsum(rows, axis=1) - rows), 0, rows)
+            votes = votes * np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64) ** SHARPNESS
             out.append(((votes * self.labels[near]).sum(axis=1) + 0.01 * self.prior) / (votes.sum(axis=1) + 0.01))
         return np.clip(np.concatenate(out), 0, 1) if out else np.zeros(0)
 
@@ -166,6 +177,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column) -> Data
     Null text is empty: an empty text meets no neighbour and gets the share of quality 1 among the labelled rows, as
     does everything when all vectors vanish; without labels the score is 0.5. Repeated rows are scored alike, null
     doc_ids are scored but never labelled. An empty table gives an empty result; other columns are not read.
+
+    Labelled rows with equal terms (copies, say) vote as one with their mean label, weighing as many neighbours as they are; so ties
+    among them do not depend on the order of rows. Of rows that share a labelled doc_id, the one with the smallest terms counts.
+    Texts are read whole, in segments where they are very long.
     """
     spark = docs.sparkSession
     small_batches(docs)
@@ -180,8 +195,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column) -> Data
     weights[TRIGRAMS:] *= SHAPE_WEIGHT
     basis = latent_basis(table, weights)
     sample = labelled_sample(labels, "quality", ~F.coalesce(held_out, F.lit(False)), MOST_LABELLED)
-    voters = table.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).where("NOT held_out").select("terms", "label") \
-        .limit(MOST_LABELLED).toPandas()
+    voters = table.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).where("NOT held_out") \
+        .groupBy("label_id").agg(F.min("terms").alias("terms"), F.first("label").alias("label")).toPandas()  # at most a row of the sample each
     shared = spark.sparkContext.broadcast(Voters(weights, basis, list(voters["terms"]), voters["label"].to_numpy(dtype=np.float64)))
     return table.mapInPandas(_vote(shared), "doc_id long, held_out boolean, score double")
 

@@ -29,8 +29,9 @@ _NOT_PLAIN = re.compile(rf"[^\t\n\r\x20-\x7e{_LETTERS}]|<\|")
 _BYTE_PATTERN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
 _WORD_PATTERN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
 
-#: Parts held in memory by one task (about 180 bytes each); the memo starts anew beyond it.
-MEMO_PARTS = 1_000_000
+#: Parts of a generation of the memo (about 180 bytes each). When one is full it becomes the older one and the one before it goes,
+#: so a worker holds two generations (about 50 MB) and a batch, and words that keep coming stay.
+GENERATION = 140_000
 #: Parts longer than this are encoded each time.
 MEMO_LENGTH = 48
 #: Characters of missing parts that are encoded as one text.
@@ -53,6 +54,7 @@ class PartEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         spec = json.loads(self.tokenizer.to_str())
         steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
         before = spec["pre_tokenizer"] or {}
@@ -65,10 +67,11 @@ class PartEncoder:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # the last token of every pre-token is marked
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(spec["model"]["end_of_word_suffix"])]] = True
 
-    def _cut(self, text: str) -> list[str]:
+    def _cut(self, text: str) -> tuple[list[str], bool]:
+        """Parts of a text, and whether they are pre-tokens of plain letters."""
         if self.pattern is None or _NOT_PLAIN.search(text):
-            return pieces(text)
-        return self.pattern.findall(text.lower() if self.lower else text)
+            return pieces(text), False
+        return self.pattern.findall(text.lower() if self.lower else text), True
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -93,26 +96,35 @@ class PartEncoder:
             out += [f.tobytes() for f in (found if len(found) == len(own) else self._ids(own))]
         return out
 
-    def _fill(self, missing: list[str]) -> None:
-        whole = [p for p in missing if self.pattern is not None and self.pattern.fullmatch(p) and not _NOT_PLAIN.search(p) and not p.isspace()]
+    def _fill(self, plain: set[str], other: set[str]) -> None:
+        whole = [p for p in plain if not p.isspace()]
         for at in range(0, len(whole), 20_000):
             part = whole[at:at + 20_000]
             self.memo.update(zip(part, self._encode_joined(part), strict=True))
-        rest = [p for p in missing if p not in self.memo]
+        rest = [*(p for p in plain if p.isspace()), *(other - plain)]
         for at in range(0, len(rest), 4096):
             part = rest[at:at + 4096]
             self.memo.update(zip(part, (i.tobytes() for i in self._ids(part)), strict=True))
 
+    def _missing(self, wanted: set[str]) -> set[str]:
+        """What neither generation knows; what the older one knows moves to the newer one."""
+        memo, older = self.memo, self.older
+        missing = {p for p in wanted if p not in memo}
+        known = [p for p in missing if p in older] if older else []
+        for p in known:
+            memo[p] = older[p]
+        missing.difference_update(known)
+        return missing
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._cut(t) for t in texts]
-        wanted = set(chain.from_iterable(cut))
-        missing = wanted - self.memo.keys()
-        if len(self.memo) + len(missing) > MEMO_PARTS:
-            self.memo.clear()
-            missing = wanted
-        self._fill(list(missing))
-        out = [b"".join(map(self.memo.__getitem__, c)) for c in cut]
-        for p in missing:
+        if len(self.memo) > GENERATION:
+            self.older, self.memo = self.memo, {}
+        plain = self._missing(set(chain.from_iterable(c for c, p in cut if p)))
+        other = self._missing(set(chain.from_iterable(c for c, p in cut if not p)))
+        self._fill(plain, other)
+        out = [b"".join(map(self.memo.__getitem__, c)) for c, _ in cut]
+        for p in chain(plain, other - plain):
             if len(p) > MEMO_LENGTH:
                 del self.memo[p]
         return out
