@@ -30,8 +30,8 @@ _BYTE_PATTERN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[
 _WORD_PATTERN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
 
 #: Parts of a generation of the memo (about 180 bytes each). When one is full it becomes the older one and the one before it goes,
-#: so a worker holds two generations (about 50 MB) and a batch, and words that keep coming stay.
-GENERATION = 140_000
+#: so a worker holds two generations (about 90 MB) and a batch, and words that keep coming stay.
+GENERATION = 250_000
 #: Parts longer than this are encoded each time.
 MEMO_LENGTH = 48
 #: Characters of missing parts that are encoded as one text.
@@ -89,11 +89,13 @@ class PartEncoder:
         out: list[bytes] = []
         for own, ids in zip(texts, self._ids([self.between.join(t) for t in texts]), strict=True):
             if self.ends is not None:
-                found = np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
+                cuts = np.flatnonzero(self.ends[ids])[:-1] + 1
+                begin, stop = [0, *cuts.tolist()], [*cuts.tolist(), len(ids)]
             else:
-                at = np.flatnonzero(ids == self.mark)
-                found = [ids[a:b] for a, b in zip([0, *(at + 1)], [*at, len(ids)], strict=True)]
-            out += [f.tobytes() for f in (found if len(found) == len(own) else self._ids(own))]
+                marks = np.flatnonzero(ids == self.mark)
+                begin, stop = [0, *(marks + 1).tolist()], [*marks.tolist(), len(ids)]
+            raw = ids.tobytes()
+            out += [raw[4 * i:4 * j] for i, j in zip(begin, stop, strict=True)] if len(begin) == len(own) else [f.tobytes() for f in self._ids(own)]
         return out
 
     def _fill(self, plain: set[str], other: set[str]) -> None:
