@@ -119,3 +119,41 @@ def test_quality_takes_one_row_of_a_repeated_labelled_id(spark):
     docs = spark.createDataFrame([(1, "a good text"), (1, "another text"), (1, None), (2, "bad words"), (3, "plain")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     assert quality_scores(docs, labels, F.lit(False)).count() == 5
+
+
+def test_toxicity_does_not_depend_on_the_layout(tables):
+    docs, labels = tables
+    scores = [{r.doc_id: r.score for r in toxicity_scores(layout, labels).collect()}
+              for layout in (docs, docs.orderBy(F.desc("doc_id")).coalesce(1), docs.repartition(7, F.xxhash64("doc_id", F.lit(5))))]
+    for other in scores[1:]:
+        assert other.keys() == scores[0].keys()
+        assert max(abs(other[k] - v) for k, v in scores[0].items()) < 1e-9
+
+
+def test_features_equal_brute_force():
+    lexicon = Lexicon({"zork": 3.0, "blarg": 2.5, "mumb~": 2.2, "grump~": 2.1})
+    calm = ["the river runs past you", "Zork!! u are a blarg", "mumbling grumpily HERE", "so0o sooo id1ot i.d.i.o.t"]
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        text = " ".join(rng.choice(" ".join(calm).split(), rng.integers(0, 40)))
+        got = dict(zip(FEATURES, features(text, lexicon), strict=True))
+        words = ["".join(run) for run in _letter_runs(text.lower())]
+        weight = {w: max(3.0 * (w == "zork"), 2.5 * (w == "blarg"), 2.2 * w.startswith("mumb"), 2.1 * w.startswith("grump"))
+                  for w in words}
+        hits = [i for i, w in enumerate(words) if weight[w] > 0]
+        second = [i for i, w in enumerate(words) if w in ("you", "u")]
+        assert got["weight_sum"] == pytest.approx(sum(weight[words[i]] for i in hits))
+        assert got["near_second_person"] == sum(any(abs(i - j) <= 6 for j in second) for i in hits)
+        assert got["window_hits"] == max((sum(i <= j < i + 20 for j in hits) for i in hits), default=0)
+        assert got["learned_hits"] == sum(w in ("zork", "blarg") for w in words)
+        assert got["exclamations"] == pytest.approx(text.count("!") / max(1, len(words)))
+
+
+def _letter_runs(text):
+    run = []
+    for c in text + " ":
+        if c.isalpha():
+            run.append(c)
+        elif run:
+            yield run
+            run = []

@@ -190,29 +190,32 @@ def calibrated(plain: Column, steps: list[tuple[float, float]] | None) -> Column
 def fit(docs: DataFrame, labels: DataFrame, training: Column, calibration: Column) -> ToxicityModel:
     """Fit on the labelled rows of ``docs``; both conditions are on doc_id, ``calibration`` picks the fold of the isotonic step.
 
-    Without labels of both kinds the score is constant: their share, 0 with none.
+    Without labels of both kinds the score is constant: their share, 0 with none. Rows are dealt by the hash of their id
+    and ordered before the fit, so the model does not depend on the layout of ``docs``.
     """
     spark = docs.sparkSession
     small_batches(docs)
     sample = labelled_sample(labels, "toxic", F.coalesce(training, F.lit(False)), MOST_LABELLED)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")) \
-        .select(F.coalesce("text", F.lit("")).alias("text"), "label", F.coalesce(calibration, F.lit(False)).alias("calibrates"))
+        .select("label_id", F.coalesce("text", F.lit("")).alias("text"), "label", F.coalesce(calibration, F.lit(False)).alias("calibrates"))
     rows = written(rows, "toxicity-sample")
     kinds = {(r["calibrates"], r["label"] > 0): r["count"] for r in rows.groupBy("calibrates", "label").count().collect()}
     toxic, every = sum(n for (_, t), n in kinds.items() if t), sum(kinds.values())
     if not (kinds.get((False, True)) and kinds.get((False, False))):
         return ToxicityModel(None, None, None, toxic / every if every else 0.0)
     lexicon = spark.sparkContext.broadcast(learn_lexicon(rows.where("NOT calibrates")))
-    parts = max(1, min(spark.sparkContext.defaultParallelism, every // 2000 + 1))
-    dense = written(rows.select(array_to_vector(_feature_udf(lexicon)("text")).alias("features"), "label", "calibrates"), "toxicity-features") \
-        .coalesce(parts)
+    parts = every // 2000 + 1
+    dense = written(rows.select(array_to_vector(_feature_udf(lexicon)("text")).alias("features"), "label", "calibrates", "label_id",
+                                F.xxhash64("text").alias("order")), "toxicity-features")
+    # the trees add up numbers row by row: the same rows in the same order, however the documents are laid out
+    dense = dense.repartition(parts, "label_id").sortWithinPartitions("label_id", "order")
     trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7,
                           minInstancesPerNode=2).fit(dense.where("NOT calibrates"))
     steps = None
     if kinds.get((True, True)) and kinds.get((True, False)):
         plain = F.round(vector_to_array("probability")[1], 3)
         binned = trees.transform(dense.where("calibrates")).groupBy(plain.alias("plain")) \
-            .agg(F.avg("label").alias("share"), F.count(F.lit(1)).cast("double").alias("rows")).coalesce(1)
+            .agg(F.avg("label").alias("share"), F.count(F.lit(1)).cast("double").alias("rows")).coalesce(1).sortWithinPartitions("plain")
         model = IsotonicRegression(featuresCol="plain", labelCol="share", weightCol="rows").fit(binned)
         steps = list(zip(model.boundaries.toArray().tolist(), model.predictions.toArray().tolist(), strict=True))
     return ToxicityModel(lexicon, trees, steps, toxic / every)
@@ -231,8 +234,8 @@ def fit_on_folds(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1, higher: toxic likelier).
 
-    Null text is empty and scored like any text (no hits). Repeated rows are scored alike; null doc_ids are scored but
-    never labelled. An empty table gives an empty result; lang, source and other columns are not read.
+    Null text is empty and scored like any text (no hits); a very long text is read whole, its features are densities and
+    counts. Equal texts have equal scores, repeated rows too; null doc_ids are scored but never labelled. An empty table gives an empty result; lang, source and other columns are not read.
     """
     scored, name = fit_on_folds(docs, labels).score(docs.select("doc_id", "text"))
     return scored.select("doc_id", fifth_held_out().alias("held_out"), F.col(name).alias("score"))
