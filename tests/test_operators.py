@@ -344,3 +344,61 @@ def test_audit_of_landed_files_scans_each_source_once(spark, scratch):
     assert row.null_counts["latitude"] == 2 and row.null_counts["region"] == 1 and row.null_counts["installation_date"] == 2
     bad = {r.cell_tower_id: r.why for r in read_csv(spark, scratch, TOWERS_RAW_ORDERED, rescued="why").where("why is not null").collect()}
     assert bad == {"t2": {"latitude": "x", "longitude": "y", "installation_date": "someday"}, "t3": {"installation_date": "2020-02-30", "capacity_users": "7 users"}}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_skewed_join_equals_the_plain_join(spark, how):
+    from towerlens.operators import join_skewed
+    fact = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None))
+                                    .otherwise((F.col("id") % 2500).cast("string")).alias("k"), (F.col("id") % 11).alias("_salt"), F.lit(1).alias("_hot"))
+    fact = fact.unionAll(fact.where("k = 'hot'"))  # repeated rows
+    dim = spark.createDataFrame([("hot", "a"), ("hot", "b"), (None, "n")] + [(str(i), f"v{i}") for i in range(0, 2500, 2)], "k string, name string")
+    got, want = join_skewed(fact, dim, "k", how), fact.join(dim, "k", how)
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    empty = join_skewed(fact.limit(0), dim, "k", how)
+    assert empty.columns == want.columns and empty.count() == 0
+
+
+@pytest.mark.parametrize("nulls", [False, True])
+def test_skewed_join_meets_no_hot_key_without_adaptive_execution(spark, nulls):
+    """A third of all rows on one tower (or on none): every task of the join stays below twice the median."""
+    from towerlens.operators import join_skewed
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        hot = F.lit(None).cast("long") if nulls else F.lit(7).cast("long")
+        fact = spark.range(0, 90_000, 1, 6).select(F.when(F.col("id") % 3 == 0, hot).otherwise(F.col("id") % 20_000 + 10).alias("k"), F.lit("same").alias("v"))
+        fact = fact.withColumn("n", F.col("k") * 0)  # copies: rows of a key differ in nothing
+        fact = fact.withColumn("id", F.monotonically_increasing_id())
+        dim = spark.range(0, 20_010).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+        joined = join_skewed(fact, dim, "k", "left")
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        plain = sorted(r["count"] for r in fact.join(dim, "k", "left").groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    middle = sizes[len(sizes) // 2]
+    assert sum(sizes) == 90_000 and max(sizes) <= 2 * middle
+    assert max(plain) > 2 * plain[len(plain) // 2]
+
+
+def test_merged_bitmaps_equal_exact_distinct_counts(spark):
+    from towerlens.operators import bitmaps
+    rows = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, F.lit("c0")).when(F.col("id") % 50 == 1, F.lit(None))
+                                       .otherwise(F.concat(F.lit("c"), F.col("id") * 7919 % 70_001)).alias("customer"),
+                                       (F.col("id") % 40).alias("day"), F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("place"))
+    ids = bitmaps.dense_ids(rows, "customer", parts=5)
+    n = rows.select("customer").where("customer IS NOT NULL").distinct().count()
+    assert ids.agg(F.min("dense_id"), F.max("dense_id"), F.count_distinct("dense_id"), F.count_distinct("customer")).first()[:] == (0, n - 1, n, n)
+    assert n > 2 * 32_768  # several buckets
+    days = bitmaps.presence(rows.join(ids, "customer", "left"), ["day", "place"])
+    exact = F.count_distinct("customer").alias("u")
+    for by, want in ((["day"], rows.groupBy("day").agg(exact)), (["place"], rows.groupBy("place").agg(exact)), ([], rows.agg(exact)),
+                     ([(F.col("day") % 3).alias("d3")], rows.groupBy((F.col("day") % 3).alias("d3")).agg(exact))):
+        names = [c for c in want.columns if c != "u"]
+        got = bitmaps.counted(bitmaps.merged(days, by), names, "u")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    none = bitmaps.presence(rows.join(ids, "customer", "left").limit(0), ["day"])
+    assert bitmaps.counted(bitmaps.merged(none, []), [], "u").first().u == 0

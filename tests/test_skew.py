@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from towerlens.plans import oracle
-from towerlens.plans.registry import ORACLE, QUERIES, _WAREHOUSES  # noqa: F401
+from towerlens.plans.registry import ACTIVE_SQL, ORACLE, QUERIES, _WAREHOUSES  # noqa: F401
 from towerlens.plans.warehouse import Warehouse
 
 from .test_entry import canon
@@ -70,3 +70,17 @@ def test_hot_key_really_is_a_third(skewed):
     raw = w.cdrs_raw
     share = raw.where("call_id = 'HOT-1'").count() / raw.count()
     assert 0.3 < share < 0.37
+
+
+def test_active_customers_and_orphans_under_skew(skewed):
+    from towerlens.plans import dq, gold
+    w, con = skewed
+    enriched = "SELECT call_id, customer_id, cell_tower_id, region, city, technology FROM cdr_enriched"
+    strays = "SELECT * FROM s_cdrs c WHERE NOT EXISTS (SELECT 1 FROM s_towers t WHERE t.cell_tower_id = c.cell_tower_id)"
+    cases = [(gold.active_customers(gold.activity_bitmaps(w.cdrs, w.towers)), ACTIVE_SQL, ["s_cdrs", "cdr_enriched"]),
+             (gold.cdr_tower_enrich(w.cdrs, w.towers).select("call_id", "customer_id", "cell_tower_id", "region", "city", "technology"), enriched, ["cdr_enriched"]),
+             (dq.dq_orphan_cdrs(w.cdrs, w.towers, key="cell_tower_id"), strays, ["s_cdrs", "s_towers"])]
+    for sdf, sql, needs in cases:
+        got, want = sdf.toArrow(), con.sql(oracle.with_ctes(sql, needs)).to_arrow_table()
+        assert got.num_rows == want.num_rows > 0, sql
+        assert canon(got.to_pandas()) == canon(want.to_pandas()), sql

@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: A key is heavy when it holds at least this share of the fact rows: there are at most as many heavy keys.
+HEAVY = 1024
+#: Parts over which the rows of a heavy key are spread.
+SALTS = 64
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
@@ -36,9 +42,48 @@ def match_rates(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
         (F.try_divide(F.col("matched_rows").cast("double"), F.col("total_rows")) * 100).alias(out_col))
 
 
+def heavy_keys(fact: DataFrame, key: str) -> DataFrame:
+    """(key) of the at most HEAVY non-null keys that hold at least 1 in HEAVY of the keyed rows of ``fact``."""
+    k = F.col(f"`{key}`")
+    counted = fact.where(k.isNotNull()).groupBy(k.alias(key)).agg(F.count(F.lit(1)).alias("_n"))
+    every = counted.agg(F.sum("_n")).scalar()
+    return counted.where(F.col("_n") * HEAVY >= every).select(F.col(f"`{key}`"))
+
+
+def _unused(name: str, *tables: DataFrame) -> str:
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def join_skewed(fact: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """``fact`` joined with ``dim`` on ``key`` (inner, left, left_semi, left_anti) such that no task meets a hot key, with or
+    without adaptive execution.
+
+    Fact rows of a heavy key are dealt over SALTS parts, and the rows of ``dim`` are repeated for those keys only (at most
+    HEAVY of them, told by broadcast). Null keys match nothing and are dealt the same way. The part of a row is a hash of its map
+    task and its columns, so a task that is run again deals its rows as before, whatever their order. The heavy keys cost one
+    more scan of the key column, aggregated before its shuffle.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"join_skewed does not support {how}")
+    hot, salt = _unused("_hot", fact, dim), _unused("_salt", fact, dim)
+    heavy = F.broadcast(heavy_keys(fact, key).select(F.col(f"`{key}`").alias(hot)))
+    k = F.col(f"`{key}`")
+    plain = [F.col(f"`{f.name}`") for f in fact.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    part = 1 + F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(SALTS))
+    spread = F.when(F.col(hot).isNotNull() | k.isNull(), part).otherwise(F.lit(0).cast("long"))
+    left = fact.join(heavy, k == F.col(hot), "left").withColumn(salt, spread).drop(hot)
+    copies = F.when(F.col(hot).isNotNull(), F.sequence(F.lit(1).cast("long"), F.lit(SALTS).cast("long"))) \
+        .otherwise(F.array(F.lit(0).cast("long")))
+    right = dim.where(k.isNotNull()).join(heavy, k == F.col(hot), "left").withColumn(salt, F.explode(copies)).drop(hot)
+    return left.join(right, [key, salt], how).drop(salt)
+
+
 def orphans(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
     """Rows of ``fact`` whose key has no match in ``dim`` (NULL keys
-    included: they match nothing): one anti-join on the distinct keys, which
-    Spark broadcasts when they are small."""
-    keys = dim.select(F.col(dim_key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    return fact.join(keys, fact[fact_key] == keys["_k"], "left_anti")
+    included: they match nothing): one anti-join on the distinct keys, with
+    hot and NULL keys of ``fact`` dealt over many tasks."""
+    keys = dim.select(F.col(f"`{dim_key}`").alias(fact_key)).where(F.col(f"`{fact_key}`").isNotNull()).distinct()
+    return join_skewed(fact, keys, fact_key, "left_anti").select(*[F.col(f"`{c}`") for c in fact.columns])

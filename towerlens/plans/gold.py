@@ -4,20 +4,22 @@ Scale notes:
 * every mart pre-aggregates the CDRs with a map-side partial aggregate before
   any shuffle, so a customer, day or tower holding a third of all CDRs costs
   one row per map task in the exchange;
-* dimensions are joined without hints: Spark broadcasts what is small in bytes and splits skewed keys of the rest;
+* dimensions are joined without hints: Spark broadcasts what is small in bytes; raw CDRs of hot towers are salted;
 * the engagement percentile ranks never pass through one partition
   (``operators.ranking``).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.constants import ENGAGEMENT_WEIGHTS
 from towerlens.functions import avg_exact, final_sum, merged_sums, partial_sums, pct, round_half_even, safe_ratio, sum_exact
-from towerlens.operators import drop_null_keys, join_dim, pct_rank_average
 from towerlens import session
+from towerlens.operators import bitmaps, drop_null_keys, join_dim, join_skewed, pct_rank_average
 from towerlens.schemas import CUSTOMER_SUMMARY_DEFAULTS
 
 
@@ -97,9 +99,39 @@ def fact_daily_network_metrics(cdrs: DataFrame, exact_distinct: bool = True) ->
 
 
 def cdr_tower_enrich(cdrs: DataFrame, towers: DataFrame) -> DataFrame:
-    """CDRs LEFT JOIN towers(cell_tower_id, region, city, technology)."""
+    """CDRs LEFT JOIN towers(cell_tower_id, region, city, technology); a hot tower's CDRs are dealt over many tasks."""
     dim = towers.select("cell_tower_id", "region", "city", "technology")
-    return join_dim(cdrs, dim, "cell_tower_id", "left")
+    return join_skewed(cdrs, dim, "cell_tower_id", "left")
+
+
+def activity_bitmaps(cdrs: DataFrame, towers: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+    """(call_date, region, bucket, bits): which customers were active on a day in a region (NULL: unknown tower).
+
+    Written once; every coarser count comes from it without a look at the CDRs. CDRs are first reduced to distinct
+    (day, tower, customer), so a hot customer or tower joins with one row for each of them. ``customers`` numbers the
+    customers (``bitmaps.dense_ids``; default: numbered from the CDRs).
+    """
+    seen = cdrs.select("call_date", "cell_tower_id", "customer_id").where(F.col("customer_id").isNotNull()).distinct()
+    seen = session.materialize(seen, "customer_days")
+    ids = customers if customers is not None else bitmaps.dense_ids(seen, "customer_id")
+    placed = join_dim(seen, towers.select("cell_tower_id", "region"), "cell_tower_id", "left")
+    numbered = join_dim(placed, ids, "customer_id", "inner")
+    bits = session.materialize(bitmaps.presence(numbered, ["call_date", "region"]), "activity_bitmaps")
+    session.release(seen)
+    return bits
+
+
+def active_customers(activity: DataFrame) -> DataFrame:
+    """(level, period, unique_customers): exact active customers by day, month, region and over all, from the bitmaps alone."""
+    day = bitmaps.merged(activity.where(F.col("call_date").isNotNull()), ["call_date"])
+    month = bitmaps.merged(day, [F.date_format("call_date", "yyyy-MM").alias("month")])
+    region = bitmaps.merged(activity.where(F.col("region").isNotNull()), ["region"])
+    levels = [("day", bitmaps.counted(day, ["call_date"], "unique_customers").withColumnRenamed("call_date", "period")),
+              ("month", bitmaps.counted(month, ["month"], "unique_customers").withColumnRenamed("month", "period")),
+              ("region", bitmaps.counted(region, ["region"], "unique_customers").withColumnRenamed("region", "period")),
+              ("all", bitmaps.counted(bitmaps.merged(activity, []), [], "unique_customers").withColumn("period", F.lit("all")))]
+    rows = [df.select(F.lit(level).alias("level"), F.col("period").cast("string").alias("period"), "unique_customers") for level, df in levels]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def fact_regional_performance(cdrs: DataFrame, towers: DataFrame, exact_distinct: bool = True) -> DataFrame:

@@ -245,6 +245,19 @@ def _daily(spark, w):
 def _regional(spark, w):
     return w.regional
 
+ACTIVE_SQL = """
+SELECT 'day' AS level, CAST(call_date AS VARCHAR) AS period, COUNT(DISTINCT customer_id) AS unique_customers
+FROM s_cdrs WHERE call_date IS NOT NULL AND customer_id IS NOT NULL GROUP BY call_date
+UNION ALL SELECT 'month', strftime(call_date, '%Y-%m'), COUNT(DISTINCT customer_id)
+FROM s_cdrs WHERE call_date IS NOT NULL AND customer_id IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'region', region, COUNT(DISTINCT customer_id) FROM cdr_enriched
+WHERE region IS NOT NULL AND customer_id IS NOT NULL GROUP BY region
+UNION ALL SELECT 'all', 'all', COUNT(DISTINCT customer_id) FROM s_cdrs"""
+
+@register("active_customers", ACTIVE_SQL, ["s_cdrs", "cdr_enriched"])
+def _active_customers(spark, w):
+    return gold.active_customers(gold.activity_bitmaps(w.cdrs, w.towers))
+
 @register("fact_churn_cohort", "SELECT * FROM fact_churn_cohort", ["fact_churn_cohort"])
 def _cohort(spark, w):
     return w.cohort
