@@ -272,15 +272,50 @@ def test_dq_report_keeps_every_technology_and_field(spark):
                                    "cell_tower_id string, region string, technology string")
     report = dq.dq_report(spark, customers, cdrs, towers, "now")
     assert report.first().cell_towers.technology_distribution == {"3G": 1, "6G": 1, "LTE-M": 2}
-    rows = dq.dq_report_fields(report).collect()
+    rows = dq.dq_report_fields(report, dq.dq_technology_distribution(towers)).collect()
     assert {r.technology: r.tower_count for r in rows} == {"3G": 1, "6G": 1, "LTE-M": 2}
     r = rows[0]
     assert (r.customers_null_total_charges, r.cdrs_completed_calls_pct, r.cdrs_dropped_calls_pct, r.cdrs_date_range_max, r.cell_towers_unique_regions) == (1, 50.0, 50.0, "2026-01-03", 2)
     assert (r.referential_integrity_cdr_customer_match_rate_pct, r.referential_integrity_cdr_tower_match_rate_pct) == (100.0, 50.0)
-    empty = dq.dq_report_fields(dq.dq_report(spark, customers, cdrs, towers.where("technology = 'x'"), "now")).collect()
+    none = towers.where("technology = 'x'")
+    empty = dq.dq_report_fields(dq.dq_report(spark, customers, cdrs, none, "now"), dq.dq_technology_distribution(none)).collect()
     assert [(r.technology, r.tower_count, r.customers_row_count) for r in empty] == [(None, None, 2)]
 
 
+def test_dq_report_with_observed_measures_scans_the_cdrs_once(spark, scratch):
+    from pyspark.sql import Observation
+
+    from towerlens.plans import dq
+    rows = [(i, f"c{i % 5}", f"t{i % 3}", i % 2, int(i % 7 == 0), f"2026-01-{1 + i % 28:02d} 00:00:00") for i in range(200)]
+    rows += [(None, None, "t0", 0, 0, "2026-02-01 00:00:00"), (7, "nobody", None, 1, 1, None)]
+    cdrs = spark.createDataFrame(rows, "call_id int, customer_id string, cell_tower_id string, is_completed int, is_dropped int, timestamp string") \
+        .withColumn("timestamp", F.to_timestamp("timestamp"))
+    customers = spark.createDataFrame([("c0", 1.0, 1), ("c1", 2.0, 0), ("c1", 2.0, 0), (None, 2.0, 0)], "customer_id string, totalcharges double, churn_flag int")
+    towers = spark.createDataFrame([("t0", "N", "5G"), ("t1", "N", "5G")], "cell_tower_id string, region string, technology string")
+    seen = Observation()
+    cdrs.observe(seen, *[c.alias(k) for k, (_, c) in dq.cdr_metrics().items()]).write.parquet(f"{scratch}/cdrs")
+    stored = spark.read.parquet(f"{scratch}/cdrs")
+    observed = dq.dq_report(spark, customers, stored, towers, "now", observed=seen.get)
+    assert observed.collect() == dq.dq_report(spark, customers, stored, towers, "now").collect()
+    r = observed.first()
+    assert r.cdrs == dq.dq_cdrs(stored).first() and r.cdrs.unique_call_ids == 200 and r.cdrs.row_count == 202
+    assert r.referential_integrity == dq.dq_referential_integrity(stored, customers, towers).first()
+    formatted = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = observed._jdf.queryExecution().explainString(formatted)
+    read = {line.split(":", 1)[1].strip() for line in plan.splitlines() if line.startswith("ReadSchema")}
+    assert read == {"struct<call_id:int,customer_id:string,cell_tower_id:string>"}
+    assert plan.count("ReadSchema") == 1
+    empty = stored.where("call_id < 0")
+    assert dq.dq_report(spark, customers, empty, towers, "now").first().referential_integrity.cdr_customer_match_rate_pct is None
+
+
+def test_key_census_against_counts(spark):
+    from towerlens.operators import key_census
+    fact = spark.createDataFrame([(1, "a"), (1, None), (2, "a"), (None, "z")], "k int, `d k` string")
+    r = key_census(fact, {"k": spark.createDataFrame([(1, 9)], "k int, x int"), "d k": None}).first().asDict()
+    assert r == {"k_distinct": 2, "k_rows": 4, "k_matched": 2, "k_match_pct": 50.0, "d k_distinct": 2, "d k_rows": 4, "d k_matched": 0, "d k_match_pct": 0.0}
+
+
 def tree(leaves, fan):
     import hashlib
     while len(leaves) > 1:

@@ -7,7 +7,7 @@ from towerlens.operators.constraints import (  # noqa: F401
 )
 from towerlens.operators.dedup import dedup_counts, dedup_keep_first  # noqa: F401
 from towerlens.operators.filters import drop_null_keys, outlier_filter  # noqa: F401
-from towerlens.operators.joins import heavy_keys, join_dim, join_skewed, match_rates, orphans  # noqa: F401
+from towerlens.operators.joins import heavy_keys, join_dim, join_skewed, key_census, match_rates, orphans  # noqa: F401
 from towerlens.operators.profile import (  # noqa: F401
     audit_record,
     null_counts,

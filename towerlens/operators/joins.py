@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,33 @@ def match_rates(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
         (F.try_divide(F.col("matched_rows").cast("double"), F.col("total_rows")) * 100).alias(out_col))
 
 
+def key_census(fact: DataFrame, keys: dict[str, DataFrame | None]) -> DataFrame:
+    """One row with ``<key>_distinct`` (non-null values of that column of ``fact``), ``<key>_rows``, ``<key>_matched`` and
+    ``<key>_match_pct`` (rows whose value the dimension given for the key has in a column of that name; none without one).
+
+    One scan of the key columns serves all of them: every row gives a (key, value) pair a key, which is counted before the
+    shuffle, so a hot value is one row per map task. Values are compared as text; NULLs match nothing and count as rows.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(keys)])
+    counted = fact.select(F.explode(pairs).alias("_x")).groupBy(F.col("_x.kind").alias("_kind"), F.col("_x.value").alias("_value")) \
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    known = [dim.select(F.lit(i).alias("_kind"), F.col(f"`{c}`").cast("string").alias("_value")).dropna()
+             for i, (c, dim) in enumerate(keys.items()) if dim is not None]
+    if known:
+        hit = reduce(DataFrame.unionByName, known).distinct().withColumn("_hit", F.lit(True))
+        counted = counted.join(hit, ["_kind", "_value"], "left")
+    else:
+        counted = counted.withColumn("_hit", F.lit(None).cast("boolean"))
+    sums = []
+    for i, c in enumerate(keys):
+        own = F.col("_kind") == i
+        sums += [F.count_if(own & F.col("_value").isNotNull()).alias(f"{c}_distinct"),
+                 F.coalesce(F.sum(F.when(own, F.col("_rows"))), F.lit(0)).alias(f"{c}_rows"),
+                 F.coalesce(F.sum(F.when(own & F.col("_hit"), F.col("_rows"))), F.lit(0)).alias(f"{c}_matched")]
+    return counted.agg(*sums).select("*", *[
+        (F.try_divide(F.col(f"`{c}_matched`").cast("double"), F.col(f"`{c}_rows`")) * 100).alias(f"{c}_match_pct") for c in keys])
+
+
 def heavy_keys(fact: DataFrame, key: str) -> DataFrame:
     """(key) of the at most HEAVY non-null keys that hold at least 1 in HEAVY of the keyed rows of ``fact``."""
     k = F.col(f"`{key}`")

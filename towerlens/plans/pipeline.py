@@ -72,15 +72,18 @@ def run_bronze(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
 
 def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
                cdr_partition_by: str | None = None) -> dict[str, int]:
-    obs = Observation("outliers")
+    obs, written = Observation("outliers"), Observation("cdrs written")
     version = new_version()
     stage = f"{out}/silver/{version}"
     # Every mart aggregates all CDRs, so folders per date would only add
     # files; rows sorted by (call_date, customer_id) inside each file make
     # Parquet min/max statistics selective for date or customer predicates.
+    # The report's measures of the CDRs that add up are observed by the task that writes the rows.
+    measured = [c.alias(name) for name, (_, c) in dq.cdr_metrics().items()]
     run_concurrently(spark, {
         "silver: write cdrs": lambda: write_parquet(
-            silver.clean_cdrs(w.cdrs_raw, CDR_ORDER, observation=obs), f"{stage}/cdrs", partition_by=cdr_partition_by, cluster_by=["call_date", "customer_id"]),
+            silver.clean_cdrs(w.cdrs_raw, CDR_ORDER, observation=obs).observe(written, *measured), f"{stage}/cdrs",
+            partition_by=cdr_partition_by, cluster_by=["call_date", "customer_id"]),
         "silver: write customers": lambda: write_parquet(silver.clean_customers(w.customers_raw, CUSTOMER_ORDER), f"{stage}/customers"),
         "silver: write towers": lambda: write_parquet(silver.clean_cell_towers(w.towers_raw, w.as_of, TOWER_ORDER), f"{stage}/cell_towers"),
     })
@@ -88,16 +91,17 @@ def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
     s_cdrs = spark.read.parquet(f"{stage}/cdrs")
     s_towers = spark.read.parquet(f"{stage}/cell_towers")
     # audit on the staged tables, then publish
+    lazy = dq.dq_report(spark, s_customers, s_cdrs, s_towers, run_ts, observed=written.get)
     checks = run_concurrently(spark, {
         "silver: constraints": lambda: constraint_violations(s_customers, CONSTRAINTS["customers"]).collect(),
-        "silver: dq report": lambda: dq.dq_report(spark, s_customers, s_cdrs, s_towers, run_ts).collect(),
+        "silver: dq report": lambda: lazy.collect(),
     })
     enforce(checks["silver: constraints"])
-    lazy = dq.dq_report(spark, s_customers, s_cdrs, s_towers, run_ts)
     report = spark.createDataFrame(checks["silver: dq report"], lazy.schema)  # one row
     dq.gate(report)
     step(spark, "silver: publish")
     write_json_report(report, f"{stage}/_data_quality_report")
+    dq.dq_technology_distribution(s_towers).write.json(f"{stage}/_technology_distribution")
     publish(spark, f"{out}/silver", version)
     m = obs.get
     return {"cdr_rows_seen": int(m.get("rows_in", 0)), "cdr_rows_kept": int(m.get("rows_kept", 0))}

@@ -358,7 +358,8 @@ FROM (SELECT COUNT(*) AS customers_row_count, COUNT(DISTINCT customer_id) AS cus
   LEFT JOIN (SELECT technology, COUNT(*) AS tower_count FROM s_towers WHERE technology IS NOT NULL GROUP BY technology) d ON TRUE""",
           ["s_customers", "s_cdrs", "s_towers"])
 def _dq_report_fields(spark, w):
-    return dq.dq_report_fields(dq.dq_report(spark, w.customers, w.cdrs, w.towers, run_ts="1970-01-01T00:00:00Z"))
+    report = dq.dq_report(spark, w.customers, w.cdrs, w.towers, run_ts="1970-01-01T00:00:00Z")
+    return dq.dq_report_fields(report, dq.dq_technology_distribution(w.towers))
 
 def _constraint_sql(view: str, spec) -> list[str]:
     rows = []
