@@ -33,6 +33,8 @@ from towerlens.llm.features import labelled_sample
 
 #: Labelled rows the model is fitted on (the bound of the classifier's sample).
 MOST_LABELLED = 30_000
+#: Partitions in which the trees see that sample, at most: it is a few MB of features, more partitions are only more tasks a tree.
+MOST_PARTS = 6
 LEXICON = 2_000
 #: A learned term occurs in so many toxic rows, and with so high a z-score of its log-odds.
 LEAST_TOXIC, LEAST_Z = 3, 3.5
@@ -204,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, calibration: Colum
     if not (kinds.get((False, True)) and kinds.get((False, False))):
         return ToxicityModel(None, None, None, toxic / every if every else 0.0)
     lexicon = spark.sparkContext.broadcast(learn_lexicon(rows.where("NOT calibrates")))
-    parts = every // 2000 + 1
+    parts = min(MOST_PARTS, every // 2000 + 1)  # follows the sample alone, never the layout or the cluster
     dense = written(rows.select(array_to_vector(_feature_udf(lexicon)("text")).alias("features"), "label", "calibrates", "label_id",
                                 F.xxhash64("text").alias("order")), "toxicity-features")
     # the trees add up numbers row by row: the same rows in the same order, however the documents are laid out
