@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.constants import ENGAGEMENT_WEIGHTS
@@ -23,10 +23,9 @@ from towerlens.operators import bitmaps, drop_null_keys, join_dim, join_skewed,
 from towerlens.schemas import CUSTOMER_SUMMARY_DEFAULTS
 
 
-def customer_activity(cdrs: DataFrame) -> DataFrame:
-    """Per-customer CDR aggregate (NULL customer ids form no group)."""
+def _activity_measures() -> list[Column]:
     voice = F.when(F.col("call_type") == "VOICE", F.col("duration_seconds"))
-    return (drop_null_keys(cdrs, ["customer_id"]).groupBy("customer_id").agg(
+    return [
         F.count("call_id").alias("total_calls"),
         round_half_even(F.coalesce(F.sum(voice), F.lit(0)) / F.lit(60.0), 2).alias("total_voice_minutes"),
         F.coalesce(sum_exact("data_mb"), F.lit(0.0)).alias("total_data_mb"),
@@ -34,14 +33,37 @@ def customer_activity(cdrs: DataFrame) -> DataFrame:
         F.coalesce(F.sum("is_dropped"), F.lit(0)).cast("bigint").alias("dropped_calls"),
         F.avg("duration_seconds").alias("avg_call_duration_sec"),
         F.max("timestamp").alias("last_activity_date"),
-    ))
+    ]
 
 
-def customer_summary_base(customers: DataFrame, cdrs: DataFrame) -> DataFrame:
+def customer_activity(cdrs: DataFrame) -> DataFrame:
+    """Per-customer CDR aggregate (NULL customer ids form no group)."""
+    return drop_null_keys(cdrs, ["customer_id"]).groupBy("customer_id").agg(*_activity_measures())
+
+
+def cdrs_by_customer(cdrs: DataFrame) -> DataFrame:
+    """One row for each customer id of the CDRs, NULL included: its CDRs (cdr_rows) and the measures of
+    ``customer_activity``. Silver keeps it bucketed, so the match rate and the summary join it without an exchange."""
+    return cdrs.groupBy("customer_id").agg(F.count(F.lit(1)).alias("cdr_rows"), *_activity_measures())
+
+
+def customer_match(by_customer: DataFrame, customers: DataFrame) -> DataFrame:
+    """(customer_id_match_pct) of the CDRs counted in ``cdrs_by_customer``: those whose customer is known, in percent."""
+    known = customers.select("customer_id").where(F.col("customer_id").isNotNull()).distinct().withColumn("_hit", F.lit(True))
+    hits = F.coalesce(F.sum(F.when(F.col("_hit"), F.col("cdr_rows"))), F.lit(0)).cast("double")
+    return by_customer.select("customer_id", "cdr_rows").join(known, "customer_id", "left").agg(
+        (F.try_divide(hits, F.sum("cdr_rows")) * 100).alias("customer_id_match_pct"))
+
+
+def join_activity(customers: DataFrame, activity: DataFrame) -> DataFrame:
     """customers LEFT JOIN activity, activity columns zero-filled (the last
     activity stays NULL for customers without CDRs)."""
-    joined = customers.join(customer_activity(cdrs), "customer_id", "left")
-    return joined.fillna(CUSTOMER_SUMMARY_DEFAULTS)
+    return customers.join(activity.drop("cdr_rows"), "customer_id", "left").fillna(CUSTOMER_SUMMARY_DEFAULTS)
+
+
+def customer_summary_base(customers: DataFrame, cdrs: DataFrame) -> DataFrame:
+    """Customers with their activity, aggregated from the CDRs."""
+    return join_activity(customers, customer_activity(cdrs))
 
 
 def engagement_score(base: DataFrame, rank_parts: int | None = None) -> DataFrame:
@@ -62,15 +84,20 @@ def engagement_score(base: DataFrame, rank_parts: int | None = None) -> DataFram
     return out.select(*base.columns, "engagement_score", "estimated_clv_usd")
 
 
-def fact_customer_summary(customers: DataFrame, cdrs: DataFrame, rank_parts: int | None = None) -> DataFrame:
+def fact_customer_summary(customers: DataFrame, cdrs: DataFrame, rank_parts: int | None = None,
+                          by_customer: DataFrame | None = None) -> DataFrame:
     """M4: one row per customer with activity, engagement score and CLV.
 
+    ``by_customer`` (``cdrs_by_customer`` of these CDRs, as silver keeps it) saves the scan of the CDRs; bucketed
+    like the customers it joins them without an exchange.
+
     The joined base feeds three rank computations and the final join; it is
     written once as a Parquet table in the session's shared checkpoint folder,
     which also cuts the lineage back to the CDR scan, so a lost executor does
     not replay the CDR aggregation.
     """
-    base = session.materialize(customer_summary_base(customers, cdrs), "customer_summary_base")
+    joined = customer_summary_base(customers, cdrs) if by_customer is None else join_activity(customers, by_customer)
+    base = session.materialize(joined, "customer_summary_base")
     return engagement_score(base, rank_parts)
 
 

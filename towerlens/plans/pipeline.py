@@ -29,9 +29,10 @@ from towerlens.plans.warehouse import Warehouse
 from towerlens.schemas import CONSTRAINTS, CUSTOMER_SUMMARY_DEFAULTS, MART_SCHEMAS
 from towerlens.session import materialized, release_since, run_concurrently
 from towerlens.sinks import write_csv, write_json_report, write_mart, write_parquet
+from towerlens.sinks.buckets import forget_bucketed, read_bucketed, write_bucketed
 from towerlens.sinks.publish import current, new_version, publish
 from towerlens.sinks.writers import conform, load_table
-from towerlens.sources import require_sources, source_file_stats
+from towerlens.sources import hadoop_fs, require_sources, source_file_stats
 from towerlens.sources.adapters import CDR_ORDER, CUSTOMER_ORDER, TOWER_ORDER
 
 
@@ -71,10 +72,16 @@ def run_bronze(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
 
 
 def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
-               cdr_partition_by: str | None = None) -> dict[str, int]:
+               cdr_partition_by: str | None = None, buckets: int | None = None) -> dict[str, int]:
+    """Clean, write, audit and publish the silver tables: customers, CDRs, towers, and the CDRs by customer.
+
+    Customers and CDRs by customer have one row a key and are bucketed by it (``sinks.buckets``; default: as many
+    buckets as the session has shuffle partitions).
+    """
     obs, written = Observation("outliers"), Observation("cdrs written")
     version = new_version()
     stage = f"{out}/silver/{version}"
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Every mart aggregates all CDRs, so folders per date would only add
     # files; rows sorted by (call_date, customer_id) inside each file make
     # Parquet min/max statistics selective for date or customer predicates.
@@ -84,14 +91,17 @@ def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
         "silver: write cdrs": lambda: write_parquet(
             silver.clean_cdrs(w.cdrs_raw, CDR_ORDER, observation=obs).observe(written, *measured), f"{stage}/cdrs",
             partition_by=cdr_partition_by, cluster_by=["call_date", "customer_id"]),
-        "silver: write customers": lambda: write_parquet(silver.clean_customers(w.customers_raw, CUSTOMER_ORDER), f"{stage}/customers"),
+        "silver: write customers": lambda: write_bucketed(
+            silver.clean_customers(w.customers_raw, CUSTOMER_ORDER), f"{stage}/customers", "customer_id", buckets),
         "silver: write towers": lambda: write_parquet(silver.clean_cell_towers(w.towers_raw, w.as_of, TOWER_ORDER), f"{stage}/cell_towers"),
     })
-    s_customers = spark.read.parquet(f"{stage}/customers")
+    s_customers = read_bucketed(spark, f"{stage}/customers")
     s_cdrs = spark.read.parquet(f"{stage}/cdrs")
     s_towers = spark.read.parquet(f"{stage}/cell_towers")
+    step(spark, "silver: write cdrs by customer")
+    s_activity = write_bucketed(gold.cdrs_by_customer(s_cdrs), f"{stage}/customer_activity", "customer_id", buckets)
     # audit on the staged tables, then publish
-    lazy = dq.dq_report(spark, s_customers, s_cdrs, s_towers, run_ts, observed=written.get)
+    lazy = dq.dq_report(spark, s_customers, s_cdrs, s_towers, run_ts, observed=written.get, by_customer=s_activity)
     checks = run_concurrently(spark, {
         "silver: constraints": lambda: constraint_violations(s_customers, CONSTRAINTS["customers"]).collect(),
         "silver: dq report": lambda: lazy.collect(),
@@ -103,6 +113,7 @@ def run_silver(spark: SparkSession, w: Warehouse, out: str, run_ts: str,
     write_json_report(report, f"{stage}/_data_quality_report")
     dq.dq_technology_distribution(s_towers).write.json(f"{stage}/_technology_distribution")
     publish(spark, f"{out}/silver", version)
+    forget_bucketed(spark, f"{stage}/customers", f"{stage}/customer_activity")
     m = obs.get
     return {"cdr_rows_seen": int(m.get("rows_in", 0)), "cdr_rows_kept": int(m.get("rows_kept", 0))}
 
@@ -112,7 +123,8 @@ def run_gold(spark: SparkSession, out: str) -> str:
     (conformed to its declared schema) and once as CSV export, gate them and
     publish; returns the published folder."""
     source = current(spark, f"{out}/silver")
-    customers = spark.read.parquet(f"{source}/customers")
+    customers = read_bucketed(spark, f"{source}/customers")
+    by_customer = read_bucketed(spark, f"{source}/customer_activity") if hadoop_fs.exists(spark, f"{source}/customer_activity") else None
     cdrs = spark.read.parquet(f"{source}/cdrs")
     towers = spark.read.parquet(f"{source}/cell_towers")
     version = new_version()
@@ -124,7 +136,7 @@ def run_gold(spark: SparkSession, out: str) -> str:
                           f"{folder}/{name}", f"{folder}/csv/{name}")
 
     def summary_then_cohort() -> tuple[DataFrame, DataFrame]:
-        s = write("fact_customer_summary", gold.fact_customer_summary(customers, cdrs))
+        s = write("fact_customer_summary", gold.fact_customer_summary(customers, cdrs, by_customer=by_customer))
         return s, write("fact_churn_cohort", gold.fact_churn_cohort(s))
 
     done = run_concurrently(spark, {
@@ -141,6 +153,7 @@ def run_gold(spark: SparkSession, out: str) -> str:
     written["fact_churn_cohort"] = cohort
     gate_marts(spark, written)
     publish(spark, f"{out}/gold", version)
+    forget_bucketed(spark, f"{source}/customers", f"{source}/customer_activity")
     return folder
 
 

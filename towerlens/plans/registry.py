@@ -18,7 +18,7 @@ from towerlens.constants import (
     MAX_CALL_SECONDS,
     SOURCES,
 )
-from towerlens.functions import eq_flag, lenient_number, lenient_timestamp
+from towerlens.functions import eq_flag, lenient_number, lenient_timestamp, round_half_even
 from towerlens.operators import (
     constraint_violations,
     dedup_counts,
@@ -35,6 +35,7 @@ from towerlens.plans.oracle import avgx, dbl, left_case, pct_rank_sql, re_, righ
 from towerlens.plans.warehouse import Warehouse
 from towerlens.schemas import CDRS_RAW, CONSTRAINTS, CUSTOMERS_RAW, MART_SCHEMAS, TOWERS_RAW
 from towerlens.session import checkpoint_dir, materialize, release
+from towerlens.sinks.buckets import write_bucketed
 from towerlens.sources.adapters import CDR_ORDER, CUSTOMER_ORDER, TOWER_ORDER
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -301,6 +302,16 @@ SELECT {_match_sql('customer_id', 's_customers')} AS cdr_customer_match_rate_pct
 def _dq_ri(spark, w):
     return dq.dq_referential_integrity(w.cdrs, w.customers, w.towers)
 
+@register("bucketed_customer_match", f"""
+SELECT {_match_sql('customer_id', 's_customers')} AS cdr_customer_match_rate_pct""", ["s_customers", "s_cdrs"])
+def _bucketed_match(spark, w):
+    root = f"{checkpoint_dir(spark)}/tables/bucketed-{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    customers = write_bucketed(w.customers, f"{root}/customers", "customer_id", parts)
+    activity = write_bucketed(gold.cdrs_by_customer(w.cdrs), f"{root}/customer_activity", "customer_id", parts)
+    return gold.customer_match(activity, customers).select(
+        round_half_even("customer_id_match_pct", 2).alias("cdr_customer_match_rate_pct"))
+
 @register("dq_orphan_cdrs", """
 SELECT * FROM s_cdrs c WHERE NOT EXISTS (SELECT 1 FROM s_customers k WHERE k.customer_id = c.customer_id)""",
           ["s_cdrs", "s_customers"])
