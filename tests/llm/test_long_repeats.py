@@ -88,3 +88,14 @@ def test_long_copy_and_empty_table(edge_docs, no_docs):
     got = {r.doc_id: r for r in remove_long_repeats(edge_docs.where("doc_id in (5, 6)")).collect()}
     assert len(got[5].kept) == got[5].n_bytes and len(got[6].kept) == 0 and got[6].starts == [0]
     assert remove_long_repeats(no_docs).count() == 0
+
+
+def test_rows_of_one_id_with_partly_shared_texts(spark):
+    """Rows of one id remove nothing from each other, but each loses what a smaller id holds of it, though their contexts differ.
+
+    Only the bucket that sends a context is told what its strings lose: rows of one id must be dealt together."""
+    shared = "a passage of more than fifty bytes that all of these documents hold, whatever their id may be"
+    data = [(None, f"{i * 7919} {shared} {i}") for i in range(60)] + [(9, f"{shared} {i * 104729}") for i in range(60)] + [(3, "x" + shared[2:])]
+    got = remove_long_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert sorted([(r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), bytes(r.kept)) for r in got], key=repr) == brute(data)
+    assert all(len(r.starts) == 1 for r in got if r.doc_id != 3)
