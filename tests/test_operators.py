@@ -71,6 +71,31 @@ def test_dedup_many_repeated_keys(spark):
     assert dedup_keep_first(unique, ["id"], ["o"]).count() == 50 and dedup_keep_first(unique.limit(0), ["id"], ["o"]).count() == 0
 
 
+def test_dedup_with_many_later_copies_shuffles_no_wide_rows(spark):
+    """More later copies than Spark would broadcast as numbers: the written table is still not shuffled."""
+    df = spark.range(2_500_000).select((F.col("id") % 1_200_000).alias("k"), (-F.col("id")).alias("o"), F.lit("wide").alias("w"), F.col("id").alias("v"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        out = dedup_keep_first(df, ["k"], ["o"])
+        p = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in p and "Sort" not in p and "BroadcastHashJoin" in p
+        got = out.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("k").alias("k"), F.sum("v").alias("v")).first()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert (got.n, got.k, got.v) == (1_200_000, 1_200_000, sum(range(1_300_000, 2_500_000)))
+
+
+def test_dedup_ways_of_leaving_rows_out_agree(spark):
+    from towerlens.operators.dedup import without_rows
+    from towerlens.session import materialize
+    base = materialize(spark.range(0, 200_000, 1, 5).select("id", F.monotonically_increasing_id().alias("_row")), "ways")
+    later = materialize(base.where("id % 3 = 1 OR id % 64 = 63 OR id % 32768 = 0").select("_row"), "ways")
+    want = {i for i in range(200_000) if not (i % 3 == 1 or i % 64 == 63 or i % 32768 == 0)}
+    for kw in ({}, {"few": 0}, {"few": 0, "bitmap_bytes": 0}):
+        assert sorted(r.id for r in without_rows(base, later, **kw).collect()) == sorted(want), kw
+
+
 def test_dedup_order_is_required(spark):
     with pytest.raises(ValueError):
         dedup_keep_first(spark.createDataFrame([(1, 2)], "k int, v int"), ["k"], [])

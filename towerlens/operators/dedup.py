@@ -3,40 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from towerlens import session
 
 #: A key is heavy when it holds at least this share of all rows: there are at most as many heavy keys.
 HEAVY = 1024
+#: Bits of a row number inside a bitmap, and words of 64 bits that hold them.
+_BLOCK, _WORDS = 15, 512
+#: Bytes of bitmaps that are broadcast at most (those of 500 million rows).
+BITMAP_BYTES = 64 << 20
+#: Numbers of rows up to which they are joined as they are.
+FEW = 1 << 20
 
 
-def same_key(keys: Sequence[str], other: DataFrame, prefix: str = "_k") -> Column:
-    """Null-safe equality of key columns with ``other``'s ``prefix0``, ``prefix1``, ..."""
-    return reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(other[f"{prefix}{i}"]) for i, k in enumerate(keys)])
+def heavy_hashes(narrow: DataFrame, rows: int) -> DataFrame | None:
+    """(_h): ``_h`` of the at most HEAVY keys that hold at least 1 in HEAVY of the ``rows`` rows; None if there are none.
 
-
-def _copies(narrow: DataFrame, keys: list[str], rows: int) -> DataFrame | None:
-    """The rows of ``narrow`` whose key occurs more than once; None if there are none.
-
-    Keys are counted by a hash aggregate. Repeated keys come back to their rows by a semi-join: heavy ones, at most HEAVY,
-    by broadcast, the rest, each below that share, as Spark sees fit.
+    A bounded summary of frequent values names every such hash and a few others, which are counted out.
     """
-    counted = narrow.groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = session.materialize(counted.where("_n > 1"), "repeated_keys")
-    heavy = F.col("_n") * HEAVY >= F.lit(rows)
-    n = repeated.agg(F.count_if(heavy).alias("heavy"), F.count_if(~heavy).alias("light")).first()
-    parts = []
-    if n["heavy"]:
-        told = F.broadcast(repeated.where(heavy))
-        parts.append(narrow.join(told, same_key(keys, told), "left_semi"))
-    if n["light"]:
-        told = repeated.where(~heavy)
-        parts.append(narrow.join(told, same_key(keys, told), "left_semi"))
-    return reduce(DataFrame.unionByName, parts) if parts else None
+    named = narrow.stat.freqItems(["_h"], 0.5 / HEAVY).first()[0]
+    if not named:
+        return None
+    named = F.broadcast(narrow.sparkSession.createDataFrame([(h,) for h in named], "_h long"))
+    counted = narrow.select("_h").join(named, "_h", "left_semi").groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    heavy = [(r["_h"],) for r in counted.where(F.col("_n") * HEAVY >= F.lit(rows)).collect()]
+    return narrow.sparkSession.createDataFrame(heavy, "_h long") if heavy else None
 
 
 def first_rows(copies: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -45,6 +39,47 @@ def first_rows(copies: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return copies.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.min(packed).alias("_first")).select(F.col("_first._row").alias("_row"))
 
 
+def _later_copies(narrow: DataFrame, keys: list[str], order: list[str], rows: int) -> DataFrame:
+    """(_row) of every row of ``narrow`` that is not the first of its key: one exchange of (key, order, row number).
+
+    Rows of heavy keys are kept out of that exchange; their first rows, one a key, are an aggregate and come back by broadcast.
+    """
+    heavy = heavy_hashes(narrow, rows)
+    light = narrow if heavy is None else narrow.join(F.broadcast(heavy), "_h", "left_anti")
+    place = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order], "_tie", "_row")
+    later = light.withColumn("_place", F.row_number().over(place)).where("_place > 1").select("_row")
+    if heavy is None:
+        return later
+    hot = narrow.join(F.broadcast(heavy), "_h", "left_semi")
+    # few keys share 64 bits with a heavy one, so these are hardly more than HEAVY rows; without a hint Spark sees their size
+    return later.unionByName(hot.select("_row").join(first_rows(hot, keys, order), "_row", "left_anti"))
+
+
+def _bitmaps(rows: DataFrame) -> DataFrame:
+    """(_block, _bits): the row numbers as bits, a row of 4 KB for each 32,768 consecutive numbers that hold any."""
+    at = F.col("_row")
+    words = rows.groupBy(F.shiftright(at, _BLOCK).alias("_block"), F.shiftright(at, 6).bitwiseAND(_WORDS - 1).cast("int").alias("_word")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(_row & 63 AS INT))")).alias("_set"))
+    held = words.groupBy("_block").agg(F.map_from_entries(F.collect_list(F.struct("_word", "_set"))).alias("_held"))
+    return held.select("_block", F.expr(f"transform(sequence(0, {_WORDS - 1}), i -> coalesce(_held[i], 0L))").alias("_bits"))
+
+
+def without_rows(base: DataFrame, rows: DataFrame, bitmap_bytes: int = BITMAP_BYTES, few: int = FEW) -> DataFrame:
+    """``base`` (a written table with a unique ``_row``) without the rows whose numbers the written table ``rows`` holds.
+
+    Few numbers are joined as they are. More are told by a broadcast of bitmaps, an eighth of a byte a row of ``base``, so
+    ``base`` is not shuffled. Where those would pass ``bitmap_bytes``, the join is shuffled and its result written once.
+    """
+    if rows.count() <= few:
+        return base.join(rows, "_row", "left_anti")
+    bits = session.materialize(_bitmaps(rows), "later_copies_bits")
+    if bits.count() * _WORDS * 8 > bitmap_bytes:
+        return session.materialize(base.join(rows, "_row", "left_anti"), "keep_first_rows")
+    at = base["_row"]
+    marked = F.expr(f"getbit(_bits[CAST(shiftright(_row, 6) & {_WORDS - 1} AS INT)], CAST(_row & 63 AS INT)) = 1")
+    return base.join(F.broadcast(bits), (F.shiftright(at, _BLOCK) == bits["_block"]) & marked, "left_anti")
+
+
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                      drop_order_cols: bool = False) -> DataFrame:
     """One row per key: the first by ``order_cols`` ascending (NULLs first).
@@ -55,9 +90,9 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     on the partitioning. NULL keys are one key.
 
     The payload of a row is written once, with a row number, and fetched only for rows that stay: everything
-    else runs on (key, order, row number). Keys are counted by a hash aggregate; only the rows of keys that repeat are ordered, by a
-    minimum that is aggregated before its shuffle, so a key holding a third of all rows is one row per map task. What falls
-    out are the numbers of the other copies, and the result is the written table without them (an anti-join on a unique number): wide
+    else runs on (key, order, row number), which is shuffled once by key. Rows of heavy keys are no part of that: their first rows
+    are a minimum that is aggregated before its shuffle, so a key holding a third of all rows is one row per map task. What falls
+    out are the numbers of the other copies, and the result is the written table without them (``without_rows``): wide
     rows are neither sorted nor shuffled, and what reads the result later reads only the columns it needs.
     """
     if not order_cols:
@@ -66,12 +101,12 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     kept = [c for c in df.columns if not (drop_order_cols and c in order and c not in keys)]
     payload = [F.col(f"`{c}`") for c in df.columns if c not in keys and c not in order]
     tie = F.xxhash64(*payload, *[c.isNull() for c in payload]) if payload else F.lit(0).cast("long")
-    base = session.materialize(df.withColumns({"_tie": tie, "_row": F.monotonically_increasing_id()}), "keep_first")
-    narrow = base.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, *order])], "_tie", "_row")
-    copies = _copies(narrow, keys, base.count())
-    if copies is not None:
-        losers = copies.select("_row").join(first_rows(copies, keys, order), "_row", "left_anti")
-        base = base.join(session.materialize(losers, "later_copies"), "_row", "left_anti")
+    base = session.materialize(df.withColumn("_row", F.monotonically_increasing_id()), "keep_first")
+    narrow = base.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, *order])], tie.alias("_tie"), "_row",
+                         F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("_h"))
+    later = session.materialize(_later_copies(narrow, keys, order, base.count()), "later_copies")
+    if later.count():
+        base = without_rows(base, later)
     return base.select(*[F.col(f"`{c}`") for c in kept])
 
 

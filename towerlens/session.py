@@ -26,6 +26,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",  # a join whose smaller side is small in each task sorts neither
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -85,7 +86,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     if not root:
         raise RuntimeError("no checkpoint folder: set spark.checkpoint.dir to a shared folder")
     path = f"{root.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     _MATERIALIZED.append(path)
     out = spark.read.parquet(path)
     out._towerlens_path = path
