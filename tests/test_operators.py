@@ -444,6 +444,20 @@ def test_skewed_join_meets_no_hot_key_without_adaptive_execution(spark, nulls):
     assert max(plain) > 2 * plain[len(plain) // 2]
 
 
+def test_orphans_shuffle_no_rows_where_few_keys_are_unknown(spark):
+    """The dimension is too large to be broadcast, the unknown keys are not: the rows are not shuffled for them."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        fact = spark.range(60_000).select(F.when(F.col("id") % 6 == 0, F.lit(None)).otherwise(F.col("id") % 30_000 + 5).alias("k"), F.lit("wide").alias("w"), "id")
+        got = orphans(fact, "k", spark.range(30_000).select(F.col("id").alias("k")), "k")
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        want = [i for i in range(60_000) if i % 6 == 0 or i % 30_000 + 5 >= 30_000]
+        assert sorted(r.id for r in got.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_merged_bitmaps_equal_exact_distinct_counts(spark):
     from towerlens.operators import bitmaps
     rows = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, F.lit("c0")).when(F.col("id") % 50 == 1, F.lit(None))

@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from towerlens import session
+
 #: A key is heavy when it holds at least this share of the fact rows: there are at most as many heavy keys.
 HEAVY = 1024
 #: Parts over which the rows of a heavy key are spread.
 SALTS = 64
+#: Unknown keys that are broadcast at most.
+TOLD = 1 << 18
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
@@ -111,8 +115,17 @@ def join_skewed(fact: DataFrame, dim: DataFrame, key: str, how: str = "left") ->
 
 
 def orphans(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
-    """Rows of ``fact`` whose key has no match in ``dim`` (NULL keys
-    included: they match nothing): one anti-join on the distinct keys, with
-    hot and NULL keys of ``fact`` dealt over many tasks."""
-    keys = dim.select(F.col(f"`{dim_key}`").alias(fact_key)).where(F.col(f"`{fact_key}`").isNotNull()).distinct()
-    return join_skewed(fact, keys, fact_key, "left_anti").select(*[F.col(f"`{c}`") for c in fact.columns])
+    """Rows of ``fact`` whose key has no match in ``dim`` (NULL keys included: they match nothing).
+
+    The distinct keys of ``fact``, aggregated before their shuffle, meet the keys of ``dim``; the unknown ones are written once
+    and only then meet the rows: by broadcast, so these are not shuffled, or, if they are more than TOLD, by a shuffle that deals the
+    rows of hot keys over many tasks.
+    """
+    key = F.col(f"`{fact_key}`")
+    known = dim.select(F.col(f"`{dim_key}`").alias(fact_key)).where(key.isNotNull()).distinct()
+    unknown = session.materialize(fact.select(key).where(key.isNotNull()).distinct().join(known, fact_key, "left_anti"), "unknown_keys")
+    keyed = fact.where(key.isNotNull())
+    few = unknown.count() <= TOLD
+    rows = keyed.join(F.broadcast(unknown), fact_key, "left_semi") if few else join_skewed(keyed, unknown, fact_key, "left_semi")
+    rows = rows.unionByName(fact.where(key.isNull()))
+    return rows.select(*[F.col(f"`{c}`") for c in fact.columns])
