@@ -92,6 +92,26 @@ def test_network_adds_secrets_of_other_forms_and_leaves_other_tokens(spark):
     assert caught == 2 and wrong <= 6
 
 
+def test_every_window_trains(spark):
+    """More windows than one shard holds: each is in a shard of its half, every shard has both labels, counts are whole."""
+    docs = spark.range(9_000).select(F.col("id").alias("doc_id"), F.concat(F.when(F.col("id") % 30 == 0, F.lit("token = ")).otherwise(F.lit("see ")),
+                                     F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 20), F.lit(" end")).alias("text"))
+    ddl = f"key long, {S._SCANNED}"
+    scanned = docs.mapInArrow(S._scan(S._arrow_schema(ddl), 1), ddl)
+    windows = S.labelled_windows(scanned)
+    rows = windows.collect()
+    zeros = sum(r.label == 0 for r in rows)
+    assert zeros > 8_000 and sum(r.n for r in rows if r.label == 1) == 300
+    ddl = "window binary, label int, n long, half int, shape int"
+    halved = windows.select("window", F.col("label").cast("int"), "n").mapInArrow(S._with_half(S._arrow_schema(ddl)), ddl)
+    counts = {(r["half"], r["label"]): r["count"] for r in halved.groupBy("half", "label").count().collect()}
+    dealt = S._shards(halved, counts, 1_000).collect()
+    assert {(bytes(r.window), r.label) for r in dealt} == {(bytes(r.window), r.label) for r in rows}
+    assert sum(r.label == 0 for r in dealt) == zeros
+    held = {(r.half, r.shard) for r in dealt}
+    assert len(held) > 6 and {(r.half, r.shard, r.label) for r in dealt} == {(*h, y) for h in held for y in (0, 1)}
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     rows = S.find_secrets(edge_docs).collect()
     assert len(rows) == edge_docs.count() and all(r.findings == [] for r in rows)

@@ -25,12 +25,14 @@ def as_codes(windows: bytes) -> np.ndarray:
 
 
 class CharNetwork:
-    """Logits of windows; ``fit`` learns from labelled ones by Adam, the same for the same rows in the same order."""
+    """Logits of windows; ``train`` learns from labelled ones by Adam, the same for the same rows in the same order."""
 
     def __init__(self, seed: int = 12):
         r = np.random.default_rng(seed)
         self.p = {"e": r.normal(0, 0.3, (128, _WIDE)), "w": r.normal(0, 0.15, (_SPAN * _WIDE, _FILTERS)), "b": np.zeros(_FILTERS),
                   "v": r.normal(0, 0.15, (3 * _FILTERS, _HIDDEN)), "c": np.zeros(_HIDDEN), "u": r.normal(0, 0.3, _HIDDEN), "d": np.zeros(1)}
+        self.mean, self.spread = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
+        self.steps = 0.0
 
     def _forward(self, x: np.ndarray):
         e = self.p["e"][x]
@@ -62,22 +64,45 @@ class CharNetwork:
         return {"e": de, "w": dw, "b": dtop.sum(axis=(0, 1)),
                 "v": top.reshape(len(x), -1).T @ dh, "c": dh.sum(axis=0), "u": hidden.T @ dz, "d": np.array([dz.sum()])}
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 128, rate: float = 0.004, seed: int = 12) -> CharNetwork:
-        """Both labels weigh alike (the rarer one is repeated). Half of the windows of a step lose the context before
-        the candidate and a quarter the context after it, so the characters of the candidate count by themselves."""
+    def _tables(self) -> list[tuple[dict, str]]:
+        return [(d, k) for d in (self.p, self.mean, self.spread) for k in sorted(self.p)]
+
+    def state(self) -> np.ndarray:
+        """Parameters, Adam's means and spreads and the steps made, as one row of numbers."""
+        return np.concatenate([d[k].ravel() for d, k in self._tables()] + [np.array([self.steps], dtype=float)])
+
+    def restore(self, state: np.ndarray) -> CharNetwork:
+        at = 0
+        for d, k in self._tables():
+            d[k] = state[at:at + d[k].size].reshape(d[k].shape).copy()
+            at += d[k].size
+        self.spread = {k: np.maximum(v, 0) for k, v in self.spread.items()}
+        self.steps = state[at]
+        return self
+
+    def train(self, x: np.ndarray, y: np.ndarray, turn: int = 0, passes: int = 1, batch: int = 128, rate: float = 0.004, seed: int = 12) -> CharNetwork:
+        """One pass of ``passes``: every window at least once, both labels alike (the rarer one is repeated). Half of the windows of a step lose
+        the context before the candidate and a quarter the context after it, so the characters of the candidate count by themselves."""
         r = np.random.default_rng(seed)
-        ones, zeros = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-        mean, spread = {k: np.zeros_like(v) for k, v in self.p.items()}, {k: np.zeros_like(v) for k, v in self.p.items()}
-        steps = max(LEAST_STEPS, 2 * max(len(ones), len(zeros)) // batch * epochs)
-        for t in range(1, steps + 1):
-            own = np.concatenate([r.choice(ones, batch // 2), r.choice(zeros, batch // 2)])
-            xs = x[own].copy()
+        own = [np.flatnonzero(y == k) for k in (1, 0)]
+        steps = max(-(-LEAST_STEPS // passes), -(-max(len(o) for o in own) // (batch // 2)))
+        turns = [np.concatenate([r.permutation(o) for _ in range(-(-steps * (batch // 2) // len(o)))]) for o in own]
+        for t in range(steps):
+            at = slice(t * (batch // 2), (t + 1) * (batch // 2))
+            picked = np.concatenate([o[at] for o in turns])
+            xs = x[picked].copy()
             xs[r.random(batch) < 0.5, :LEFT] = 0
             xs[r.random(batch) < 0.25, LEFT + BODY:] = 0
-            for k, g in self._gradients(xs, y[own].astype(float)).items():
-                mean[k] += 0.1 * (g - mean[k])
-                spread[k] += 0.001 * (g * g - spread[k])
-                self.p[k] -= rate * (mean[k] / (1 - 0.9 ** t)) / (np.sqrt(spread[k] / (1 - 0.999 ** t)) + 1e-8)
+            self.steps += 1
+            for k, g in self._gradients(xs, y[picked].astype(float)).items():
+                self.mean[k] += 0.1 * (g - self.mean[k])
+                self.spread[k] += 0.001 * (g * g - self.spread[k])
+                self.p[k] -= rate * (self.mean[k] / (1 - 0.9 ** self.steps)) / (np.sqrt(self.spread[k] / (1 - 0.999 ** self.steps)) + 1e-8)
+        return self
+
+    def fit(self, x: np.ndarray, y: np.ndarray, passes: int = 4) -> CharNetwork:
+        for turn in range(passes):
+            self.train(x, y, turn, passes, seed=12 + turn)
         return self
 
 
