@@ -96,6 +96,40 @@ def test_dedup_ways_of_leaving_rows_out_agree(spark):
         assert sorted(r.id for r in without_rows(base, later, **kw).collect()) == sorted(want), kw
 
 
+def test_dedup_shuffles_the_first_order_column_and_settles_ties_apart(spark, monkeypatch):
+    """One exchange of (key, first order column, row number); the other order columns and the payload only for rows that tie."""
+    from towerlens.operators import dedup
+    plans, keep = {}, dedup.session.materialize
+
+    def spy(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, name, **options)
+    monkeypatch.setattr(dedup.session, "materialize", spy)
+    rows = [(i % 5000, None if i % 7 == 0 else i % 3, (i * 37) % 1009, f"w{i}") for i in range(20000)]
+    df = spark.createDataFrame(rows, "k int, o int, p int, w string")
+    want = {}
+    for k, o, p, w in rows:
+        at = (o is not None, o or 0, p)
+        if k not in want or at < want[k][0]:
+            want[k] = (at, w)
+    got = {r.k: r.w for r in dedup_keep_first(df, ["k"], ["o", "p"]).collect()}
+    assert got == {k: w for k, (_, w) in want.items()} and "BroadcastHashJoin" in plans["later_ties"]
+    assert "ReadSchema: struct<k:int,o:int,_row:bigint>" in plans["later_copies"]
+    plans.clear()
+    distinct = df.select("k", F.expr("row_number() over (order by w)").alias("o"), "p", "w")  # no ties: no second exchange
+    assert dedup_keep_first(distinct, ["k"], ["o", "p"]).count() == 5000 and "later_ties" not in plans
+
+
+def test_rows_named_by_numbers(spark):
+    from towerlens.operators.dedup import with_rows
+    from towerlens.session import materialize
+    base = materialize(spark.range(0, 100_000, 1, 5).select("id", F.monotonically_increasing_id().alias("_row")), "named")
+    some = materialize(base.where("id % 3 = 1 OR id % 64 = 63").select("_row"), "named")
+    want = [i for i in range(100_000) if i % 3 == 1 or i % 64 == 63]
+    for kw in ({}, {"few": 0}, {"few": 0, "bitmap_bytes": 0}):
+        assert sorted(r.id for r in with_rows(base, some, **kw).collect()) == want, kw
+
+
 def test_dedup_order_is_required(spark):
     with pytest.raises(ValueError):
         dedup_keep_first(spark.createDataFrame([(1, 2)], "k int, v int"), ["k"], [])

@@ -15,7 +15,7 @@ HEAVY = 1024
 _BLOCK, _WORDS = 15, 512
 #: Bytes of bitmaps that are broadcast at most (those of 500 million rows).
 BITMAP_BYTES = 64 << 20
-#: Numbers of rows up to which they are joined as they are.
+#: Numbers of rows up to which they are broadcast as they are.
 FEW = 1 << 20
 
 
@@ -40,19 +40,29 @@ def first_rows(copies: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def _later_copies(narrow: DataFrame, keys: list[str], order: list[str], rows: int) -> DataFrame:
-    """(_row) of every row of ``narrow`` that is not the first of its key: one exchange of (key, order, row number).
+    """(_row) of every row of ``narrow`` that is not the first of its key: one exchange of (key, first order column, row number).
 
-    Rows of heavy keys are kept out of that exchange; their first rows, one a key, are an aggregate and come back by broadcast.
+    That column alone settles most keys. Rows that share a key's first place by it, and they only, are settled by all order
+    columns and the tie hash in a second exchange. Rows of heavy keys are kept out of both; their first rows, one a key, are an
+    aggregate and come back by broadcast.
     """
     heavy = heavy_hashes(narrow, rows)
     light = narrow if heavy is None else narrow.join(F.broadcast(heavy), "_h", "left_anti")
-    place = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order], "_tie", "_row")
-    later = light.withColumn("_place", F.row_number().over(place)).where("_place > 1").select("_row")
-    if heavy is None:
+    by_key = Window.partitionBy(*[F.col(f"`{k}`") for k in keys])
+    one = by_key.orderBy(F.col(f"`{order[0]}`").asc_nulls_first())  # rows that tie are peers: same rank, counted together
+    found = light.withColumns({"_place": F.rank().over(one), "_peers": F.count(F.lit(1)).over(one)}) \
+        .where("_place > 1 OR _peers > 1").select("_row", (F.col("_place") == 1).alias("_tied"))
+    if heavy is not None:
+        hot = narrow.join(F.broadcast(heavy), "_h", "left_semi")
+        # few keys share 64 bits with a heavy one, so these are hardly more than HEAVY rows; without a hint Spark sees their size
+        found = found.unionByName(hot.select("_row").join(first_rows(hot, keys, order), "_row", "left_anti").withColumn("_tied", F.lit(False)))
+    found = session.materialize(found, "later_copies")
+    later, tied = [found.where(c).select("_row") for c in ("NOT _tied", "_tied")]
+    if tied.isEmpty():
         return later
-    hot = narrow.join(F.broadcast(heavy), "_h", "left_semi")
-    # few keys share 64 bits with a heavy one, so these are hardly more than HEAVY rows; without a hint Spark sees their size
-    return later.unionByName(hot.select("_row").join(first_rows(hot, keys, order), "_row", "left_anti"))
+    every = by_key.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order], "_tie", "_row")
+    settled = with_rows(narrow, tied).withColumn("_place", F.row_number().over(every)).where("_place > 1").select("_row")
+    return later.unionByName(session.materialize(settled, "later_ties"))
 
 
 def _bitmaps(rows: DataFrame) -> DataFrame:
@@ -64,20 +74,30 @@ def _bitmaps(rows: DataFrame) -> DataFrame:
     return held.select("_block", F.expr(f"transform(sequence(0, {_WORDS - 1}), i -> coalesce(_held[i], 0L))").alias("_bits"))
 
 
-def without_rows(base: DataFrame, rows: DataFrame, bitmap_bytes: int = BITMAP_BYTES, few: int = FEW) -> DataFrame:
-    """``base`` (a written table with a unique ``_row``) without the rows whose numbers the written table ``rows`` holds.
+def _numbered(base: DataFrame, rows: DataFrame, how: str, bitmap_bytes: int, few: int) -> DataFrame:
+    """``base`` joined with the row numbers ``rows`` (left_semi, left_anti).
 
-    Few numbers are joined as they are. More are told by a broadcast of bitmaps, an eighth of a byte a row of ``base``, so
+    Few numbers are broadcast as they are. More are told by a broadcast of bitmaps, an eighth of a byte a row of ``base``, so
     ``base`` is not shuffled. Where those would pass ``bitmap_bytes``, the join is shuffled and its result written once.
     """
-    if rows.count() <= few:
-        return base.join(rows, "_row", "left_anti")
-    bits = session.materialize(_bitmaps(rows), "later_copies_bits")
+    if rows.count() <= few:  # a hint, since their table may hold other rows and look larger
+        return base.join(F.broadcast(rows), "_row", how)
+    bits = session.materialize(_bitmaps(rows), "row_bits")
     if bits.count() * _WORDS * 8 > bitmap_bytes:
-        return session.materialize(base.join(rows, "_row", "left_anti"), "keep_first_rows")
+        return session.materialize(base.join(rows, "_row", how), "numbered_rows")
     at = base["_row"]
     marked = F.expr(f"getbit(_bits[CAST(shiftright(_row, 6) & {_WORDS - 1} AS INT)], CAST(_row & 63 AS INT)) = 1")
-    return base.join(F.broadcast(bits), (F.shiftright(at, _BLOCK) == bits["_block"]) & marked, "left_anti")
+    return base.join(F.broadcast(bits), (F.shiftright(at, _BLOCK) == bits["_block"]) & marked, how)
+
+
+def without_rows(base: DataFrame, rows: DataFrame, bitmap_bytes: int = BITMAP_BYTES, few: int = FEW) -> DataFrame:
+    """``base`` (a written table with a unique ``_row``) without the rows whose numbers the written table ``rows`` holds."""
+    return _numbered(base, rows, "left_anti", bitmap_bytes, few)
+
+
+def with_rows(base: DataFrame, rows: DataFrame, bitmap_bytes: int = BITMAP_BYTES, few: int = FEW) -> DataFrame:
+    """The rows of ``base`` (a written table with a unique ``_row``) whose numbers the written table ``rows`` holds."""
+    return _numbered(base, rows, "left_semi", bitmap_bytes, few)
 
 
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
@@ -90,7 +110,8 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     on the partitioning. NULL keys are one key.
 
     The payload of a row is written once, with a row number, and fetched only for rows that stay: everything
-    else runs on (key, order, row number), which is shuffled once by key. Rows of heavy keys are no part of that: their first rows
+    else runs on (key, first order column, row number), which is shuffled once by key; the other order columns of rows that tie on
+    the first one follow in a second shuffle of those rows only. Rows of heavy keys are no part of that: their first rows
     are a minimum that is aggregated before its shuffle, so a key holding a third of all rows is one row per map task. What falls
     out are the numbers of the other copies, and the result is the written table without them (``without_rows``): wide
     rows are neither sorted nor shuffled, and what reads the result later reads only the columns it needs.
@@ -101,11 +122,12 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     kept = [c for c in df.columns if not (drop_order_cols and c in order and c not in keys)]
     payload = [F.col(f"`{c}`") for c in df.columns if c not in keys and c not in order]
     tie = F.xxhash64(*payload, *[c.isNull() for c in payload]) if payload else F.lit(0).cast("long")
-    base = session.materialize(df.withColumn("_row", F.monotonically_increasing_id()), "keep_first")
+    # pages of version 2 hold numbers and texts as differences: next to nothing for the row numbers
+    base = session.materialize(df.withColumn("_row", F.monotonically_increasing_id()), "keep_first", **{"parquet.writer.version": "v2"})
     narrow = base.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, *order])], tie.alias("_tie"), "_row",
                          F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("_h"))
-    later = session.materialize(_later_copies(narrow, keys, order, base.count()), "later_copies")
-    if later.count():
+    later = _later_copies(narrow, keys, order, base.count())
+    if not later.isEmpty():
         base = without_rows(base, later)
     return base.select(*[F.col(f"`{c}`") for c in kept])
 

@@ -61,17 +61,19 @@ def add_time_dims(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 def clean_cdrs(raw: DataFrame, order_cols: Sequence[str],
                drop_order_cols: bool = True, observation: Observation | None = None) -> DataFrame:
-    """M2: parse -> drop unparsable -> time dims -> outlier filter -> flags ->
-    MB -> keep-first dedup on call_id (filters run before the dedup)."""
+    """M2: parse -> drop unparsable -> outlier filter -> keep-first dedup on
+    call_id (filters run before the dedup) -> time dims -> flags -> MB.
+
+    The columns that follow from others come after the dedup, which writes its rows once: they are computed when read."""
     df = raw.withColumn("timestamp", lenient_timestamp("timestamp")).dropna(subset=["timestamp"])
-    df = add_time_dims(df)
     df = outlier_filter(df, "duration_seconds", MAX_CALL_SECONDS, observation)
-    df = df.withColumns({
+    df = dedup_keep_first(df, ["call_id"], order_cols, drop_order_cols=drop_order_cols)
+    df = add_time_dims(df)
+    return df.withColumns({
         "is_completed": eq_flag("call_status", "COMPLETED"),
         "is_dropped": eq_flag("call_status", "DROPPED"),
         "data_mb": round_half_even(F.col("bytes_transferred") / F.lit(float(BYTES_PER_MB)), 3),
     })
-    return dedup_keep_first(df, ["call_id"], order_cols, drop_order_cols=drop_order_cols)
 
 
 def clean_cell_towers(raw: DataFrame, as_of: str, order_cols: Sequence[str]) -> DataFrame:

@@ -74,9 +74,10 @@ def checkpoint_dir(spark: SparkSession, fallback=None) -> str | None:
     return None
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Cut lineage: write ``df`` as a Parquet table in the session's shared
-    checkpoint folder and return the table read back.
+    checkpoint folder and return the table read back. ``options`` are further
+    options of the writer.
 
     Columnar and compressed (unlike row-serialized RDD checkpoint blocks),
     and the scan carries statistics. Requires ``spark.checkpoint.dir``.
@@ -86,7 +87,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     if not root:
         raise RuntimeError("no checkpoint folder: set spark.checkpoint.dir to a shared folder")
     path = f"{root.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    df.write.mode("errorifexists").options(compression="zstd", **options).parquet(path)
     _MATERIALIZED.append(path)
     out = spark.read.parquet(path)
     out._towerlens_path = path
