@@ -130,6 +130,16 @@ def test_rows_named_by_numbers(spark):
         assert sorted(r.id for r in with_rows(base, some, **kw).collect()) == want, kw
 
 
+def test_presence_deals_rows_before_it_makes_bitmaps(spark):
+    from towerlens.operators import bitmaps
+    df = spark.range(300_000).select((F.col("id") % 7).alias("day"), "id")
+    bits = bitmaps.presence(df, ["day"], "id")
+    plan = bits._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("bitmap_construct_agg") < plan.index("Exchange") and "bitmap_construct_agg" not in plan[plan.index("Exchange"):]
+    got = {r.day: r.n for r in bitmaps.counted(bits, ["day"], "n").collect()}
+    assert got == {d: len(range(d, 300_000, 7)) for d in range(7)}
+
+
 def test_dedup_order_is_required(spark):
     with pytest.raises(ValueError):
         dedup_keep_first(spark.createDataFrame([(1, 2)], "k int, v int"), ["k"], [])

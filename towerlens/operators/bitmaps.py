@@ -6,8 +6,9 @@ gaps, cut into buckets of 32,768, and a bucket of a group is one bitmap of 4 KB:
 
 1. ``dense_ids`` numbers the distinct keys (dealt by range, numbered inside each
    partition, shifted by the partitions' totals; no task sees all keys);
-2. ``presence`` sets a bit for each id of a group (partial bitmaps are merged
-   before the shuffle, so a hot id or group costs one row a bucket and map task);
+2. ``presence`` sets a bit for each id of a group. Its rows, which callers make
+   distinct, are dealt by group and bucket first: a bitmap made before the
+   shuffle would hold few ids, the fewer the more buckets there are;
 3. ``merged`` unites bitmaps into coarser groups, ``counted`` counts their bits.
 
 The bitmaps of a day are written once and later days are added beside them.
@@ -41,8 +42,8 @@ def dense_ids(df: DataFrame, key: str, id_col: str = "dense_id", parts: int | No
 def presence(df: DataFrame, by: Sequence[str], id_col: str = "dense_id") -> DataFrame:
     """(by..., bucket, bits): which ids occur in each group; rows without an id are left out, NULL groups are kept."""
     i = F.col(id_col) + 1  # Spark's buckets start at 1
-    return df.where(F.col(id_col).isNotNull()).groupBy(*by, F.bitmap_bucket_number(i).alias("bucket")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(i)).alias("bits"))
+    placed = df.where(F.col(id_col).isNotNull()).select(*by, F.bitmap_bucket_number(i).alias("bucket"), F.bitmap_bit_position(i).alias("_bit"))
+    return placed.repartition(*by, "bucket").groupBy(*by, "bucket").agg(F.bitmap_construct_agg("_bit").alias("bits"))
 
 
 def merged(bitmaps: DataFrame, by: Sequence) -> DataFrame:

@@ -139,13 +139,10 @@ def activity_bitmaps(cdrs: DataFrame, towers: DataFrame, customers: DataFrame |
     customers (``bitmaps.dense_ids``; default: numbered from the CDRs).
     """
     seen = cdrs.select("call_date", "cell_tower_id", "customer_id").where(F.col("customer_id").isNotNull()).distinct()
-    seen = session.materialize(seen, "customer_days")
-    ids = customers if customers is not None else bitmaps.dense_ids(seen, "customer_id")
+    ids = customers if customers is not None else bitmaps.dense_ids(cdrs, "customer_id")
     placed = join_dim(seen, towers.select("cell_tower_id", "region"), "cell_tower_id", "left")
     numbered = join_dim(placed, ids, "customer_id", "inner")
-    bits = session.materialize(bitmaps.presence(numbered, ["call_date", "region"]), "activity_bitmaps")
-    session.release(seen)
-    return bits
+    return session.materialize(bitmaps.presence(numbered, ["call_date", "region"]), "activity_bitmaps")
 
 
 def active_customers(activity: DataFrame) -> DataFrame:
