@@ -31,6 +31,17 @@ def test_parts_encode_like_whole_texts(name):
     assert [np.frombuffer(b, dtype="<u4").tolist() for b in enc.encode(texts)] == [x.tolist() for x in direct(name, texts)]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_plain_texts_take_the_model_once_a_pre_token(name, monkeypatch):
+    enc, asked = PartEncoder(public_tokenizers.path(name)), []
+    monkeypatch.setattr(enc, "_ids", lambda texts: pytest.fail("the whole tokenizer was asked for plain texts"))
+    monkeypatch.setattr(enc.memo, "encode", lambda part, own=enc.memo.encode: (asked.append(part), own(part))[1])
+    texts = ["Déjà vu, \n\n it's  the SAME\tweek 2024! ", "it's the same  week, déjà", " \n", "", "x" * 300 + " <b>|"]
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in enc.encode(texts + texts[:2])]
+    assert got == [x.tolist() for x in direct(name, texts + texts[:2])]
+    assert asked and len(asked) == len(set(asked))
+
+
 def test_memo_keeps_two_generations(monkeypatch):
     import towerlens.llm.tokens as tokens
     monkeypatch.setattr(tokens, "GENERATION", 20)

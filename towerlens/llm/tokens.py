@@ -1,11 +1,13 @@
 """Token ids of whole texts with a public tokenizer file, memoised by pre-token.
 
 Words repeat, so each distinct pre-token is encoded by the library once per
-memo, many at a time. Texts of plain Latin letters are cut by the tokenizer's
-own pre-token pattern (its classes spelled out for those letters); any other
-text is cut before every single space that has a visible character on both
-sides, a place that no pre-token spans. Either way the ids of a text are the
-ids of its parts, one after the other; the tests compare with direct encoding.
+memo. Texts of plain Latin letters are cut by the tokenizer's own pre-token
+pattern (its classes spelled out for those letters), and the library's model
+encodes each pre-token by itself as the memo misses it; any other text is cut
+before every single space that has a visible character on both sides, a place
+that no pre-token spans, and the whole tokenizer encodes many such parts at a
+time. Either way the ids of a text are the ids of its parts, one after the
+other; the tests compare with direct encoding.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -24,18 +27,16 @@ _CUT = re.compile(rf"(?<=[^{_ODD}]) (?=[^{_ODD}])")
 
 #: Plain texts: ASCII and the letters of Latin-1, in which both engines see the same classes. "<|" may start a special token.
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-_NOT_PLAIN = re.compile(rf"[^\t\n\r\x20-\x7e{_LETTERS}]|<\|")
+_NOT_PLAIN = re.compile(rf"[^\t\n\r\x20-\x7e{_LETTERS}]")
 #: Pre-token patterns of the two kinds of tokenizer (fixed by their files).
 _BYTE_PATTERN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
 _WORD_PATTERN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
 
 #: Parts of a generation of the memo (about 180 bytes each). When one is full it becomes the older one and the one before it goes,
-#: so a worker holds two generations (about 50 MB) and a batch, and words that keep coming stay.
+#: so a worker holds two generations (about 50 MB), and words that keep coming stay.
 GENERATION = 140_000
 #: Parts longer than this are encoded each time.
 MEMO_LENGTH = 48
-#: Characters of missing parts that are encoded as one text.
-JOIN = 3000
 
 
 def pieces(text: str) -> list[str]:
@@ -46,89 +47,88 @@ def pieces(text: str) -> list[str]:
     return [parts[0], *[" " + p for p in parts[1:]]]
 
 
+class _Memo(dict):
+    """Ids of parts. A pre-token that is not there comes from the generation before, or else from ``encode``, and stays if it is short."""
+
+    def __init__(self, encode, older: dict[str, bytes]):
+        self.encode, self.older = encode, older
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part) or self.encode(part)
+        if len(part) <= MEMO_LENGTH:
+            self[part] = ids
+        return ids
+
+
 class PartEncoder:
     """Encodes batches of texts to little-endian unsigned 32-bit ids (bytes)."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.memo = _Memo(self._pre_token, {})
         spec = json.loads(self.tokenizer.to_str())
         steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
         before = spec["pre_tokenizer"] or {}
-        self.pattern, self.ends, self.between, self.lower = None, None, "", False
+        self.pattern, self.lower = None, False
         if spec["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]:
-            self.pattern, self.between = _BYTE_PATTERN, "\n"  # a line break between two parts is one token of its own
-            self.mark = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+            self.pattern = _BYTE_PATTERN
         elif steps == ["NFC", "Replace", "Lowercase"] and spec["model"].get("end_of_word_suffix"):
-            self.pattern, self.between, self.lower = _WORD_PATTERN, " ", True
-            self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # the last token of every pre-token is marked
-            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(spec["model"]["end_of_word_suffix"])]] = True
+            self.pattern, self.lower = _WORD_PATTERN, True
+        # The letters that the library's models know the bytes of a plain character by.
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in range(1, 256)}
 
-    def _cut(self, text: str) -> tuple[list[str], bool]:
-        """Parts of a text, and whether they are pre-tokens of plain letters."""
-        if self.pattern is None or _NOT_PLAIN.search(text):
-            return pieces(text), False
-        return self.pattern.findall(text.lower() if self.lower else text), True
+    @property
+    def older(self) -> dict[str, bytes]:
+        return self.memo.older
+
+    def _pre_token(self, part: str) -> bytes:
+        """Ids of a single pre-token of plain letters."""
+        return array("I", [t.id for t in self.model.tokenize(part.translate(self.letters))]).tobytes()
+
+    def _plain(self, text: str) -> bool:
+        return self.pattern is not None and not _NOT_PLAIN.search(text) and "<|" not in text
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_joined(self, parts: list[str]) -> list[bytes]:
-        """Parts without white space inside, as few long texts; the ids are cut where parts end."""
-        texts: list[list[str]] = [[]]
-        size = 0
-        for p in parts:
-            if size > JOIN:
-                texts.append([])
-                size = 0
-            texts[-1].append(p)
-            size += len(p) + 1
-        out: list[bytes] = []
-        for own, ids in zip(texts, self._ids([self.between.join(t) for t in texts]), strict=True):
-            if self.ends is not None:
-                cuts = np.flatnonzero(self.ends[ids])[:-1] + 1
-                begin, stop = [0, *cuts.tolist()], [*cuts.tolist(), len(ids)]
-            else:
-                marks = np.flatnonzero(ids == self.mark)
-                begin, stop = [0, *(marks + 1).tolist()], [*marks.tolist(), len(ids)]
-            raw = ids.tobytes()
-            out += [raw[4 * i:4 * j] for i, j in zip(begin, stop, strict=True)] if len(begin) == len(own) else [f.tobytes() for f in self._ids(own)]
-        return out
+    def _turn(self) -> None:
+        if len(self.memo) > GENERATION:
+            older, self.memo.older = self.memo, {}
+            self.memo = _Memo(self._pre_token, older)
 
-    def _fill(self, plain: set[str], other: set[str]) -> None:
-        whole = [p for p in plain if not p.isspace()]
-        for at in range(0, len(whole), 20_000):
-            part = whole[at:at + 20_000]
-            self.memo.update(zip(part, self._encode_joined(part), strict=True))
-        rest = [*(p for p in plain if p.isspace()), *(other - plain)]
-        for at in range(0, len(rest), 4096):
-            part = rest[at:at + 4096]
-            self.memo.update(zip(part, (i.tobytes() for i in self._ids(part)), strict=True))
-
-    def _missing(self, wanted: set[str]) -> set[str]:
-        """What neither generation knows; what the older one knows moves to the newer one."""
+    def _fill(self, wanted: set[str]) -> list[str]:
+        """Parts of other texts that neither generation knows, encoded as texts of their own; returns them."""
         memo, older = self.memo, self.older
-        missing = {p for p in wanted if p not in memo}
-        known = [p for p in missing if p in older] if older else []
-        for p in known:
-            memo[p] = older[p]
-        missing.difference_update(known)
+        missing = [p for p in wanted if p not in memo]
+        memo.update((p, older[p]) for p in missing if p in older)
+        missing = [p for p in missing if p not in memo]
+        for at in range(0, len(missing), 4096):
+            part = missing[at:at + 4096]
+            memo.update(zip(part, (i.tobytes() for i in self._ids(part)), strict=True))
         return missing
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
-        if len(self.memo) > GENERATION:
-            self.older, self.memo = self.memo, {}
-        plain = self._missing(set(chain.from_iterable(c for c, p in cut if p)))
-        other = self._missing(set(chain.from_iterable(c for c, p in cut if not p)))
-        self._fill(plain, other)
-        out = [b"".join(map(self.memo.__getitem__, c)) for c, _ in cut]
-        for p in chain(plain, other - plain):
-            if len(p) > MEMO_LENGTH:
-                del self.memo[p]
+        out: list[bytes] = []
+        other: list[tuple[int, list[str]]] = []
+        for t in texts:
+            if self._plain(t):
+                self._turn()
+                out.append(b"".join(map(self.memo.__getitem__, self.pattern.findall(t.lower() if self.lower else t))))
+            else:
+                other.append((len(out), pieces(t)))
+                out.append(b"")
+        if other:
+            self._turn()
+            filled = self._fill(set(chain.from_iterable(c for _, c in other)))
+            for n, cut in other:
+                out[n] = b"".join(map(self.memo.__getitem__, cut))
+            for p in filled:
+                if len(p) > MEMO_LENGTH:
+                    del self.memo[p]
         return out
 
 
