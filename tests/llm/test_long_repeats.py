@@ -99,3 +99,27 @@ def test_rows_of_one_id_with_partly_shared_texts(spark):
     got = remove_long_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()
     assert sorted([(r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), bytes(r.kept)) for r in got], key=repr) == brute(data)
     assert all(len(r.starts) == 1 for r in got if r.doc_id != 3)
+
+
+def test_only_suffixes_that_are_not_yet_apart_are_sorted_again(monkeypatch):
+    import towerlens.llm.run_index as run_index
+    rng, sizes = np.random.default_rng(4), []
+    monkeypatch.setattr(run_index.np, "argsort", lambda x, own=np.argsort: (sizes.append(len(x)), own(x))[1])
+    shared = bytes(rng.integers(1, 256, 60, dtype=np.uint8))
+    texts = [bytes(rng.integers(1, 256, 70, dtype=np.uint8)) for _ in range(200)] + [shared, shared + b"a"]
+    index = RunLengthIndex(texts)
+    assert sizes[0] == len(index.text) and len(sizes) > 1 and max(sizes[1:]) <= 1000
+    rest = [texts[t][len(texts[t]) - n:] for t, n in zip(index.text_of, index.left, strict=True)]
+    assert index.suffixes.tolist() == sorted(range(len(rest)), key=lambda i: (rest[i], i))
+
+
+def test_anchors_that_are_not_wanted_are_left_out():
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 123, 400, dtype=np.uint8)).decode() for _ in range(30)]
+    bucket = _Bucket(pd.DataFrame({"doc_id": range(30), "text": texts}))
+    every = [np.concatenate(x) for x in list(zip(*bucket.anchors(), strict=True))[1:]]
+    wanted = np.unique(every[3])[::3]
+    few = [np.concatenate(x) for x in list(zip(*bucket.anchors(wanted), strict=True))[1:]]
+    assert 0 < len(few[3]) < len(every[3])
+    for x, y in zip(few, every, strict=True):
+        assert x.tolist() == y[np.isin(every[3], wanted)].tolist()

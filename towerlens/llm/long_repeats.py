@@ -48,7 +48,8 @@ TOLD = 64
 BUCKET_BYTES, PART_BYTES = 8 << 20, 24 << 20
 #: Bytes of one run-length index.
 INDEX_BYTES = 2 << 20
-SEGMENT = 1 << 20
+#: Bytes hashed at once, so that the arrays of a step stay in a processor cache.
+SEGMENT = 1 << 17
 MARGIN = 128
 NO_ID = np.iinfo(np.int64).max  # a null id is larger than any other
 
@@ -88,8 +89,9 @@ class _Bucket:
         self.bytes = b"".join(texts)
         self.raw = np.frombuffer(self.bytes, dtype=np.uint8)
 
-    def anchors(self) -> Iterator[tuple]:
-        """Per segment: (segment, document, context start, context end, anchor hash with a free low bit, context hash)."""
+    def anchors(self, wanted: np.ndarray | None = None) -> Iterator[tuple]:
+        """Per segment: (segment, document, context start, context end, anchor hash with a free low bit, context hash);
+        of the anchors whose hash is among the sorted ``wanted``, if given."""
         n = len(self.raw)
         for core in range(0, n, SEGMENT):
             first, last = max(0, core - MARGIN), min(n, core + SEGMENT + MARGIN)
@@ -107,6 +109,11 @@ class _Bucket:
             at = np.flatnonzero(~sliding_min(~np.concatenate([pad, low, pad]), REACH + 1) == h)
             at = at[(at + first >= core) & (at + first < core + SEGMENT)]
             h, at = h[at], at + first
+            if wanted is not None:
+                own, _ = _lookup(wanted, h)
+                if not len(own):
+                    continue
+                h, at = h[own], at[own]
             doc = np.searchsorted(self.ends, at, side="right")
             a, b = np.maximum(at - REACH, self.starts[doc]), np.minimum(at + K + REACH, self.ends[doc])
             inside = (at + K <= self.ends[doc]) & (b - a >= LENGTH)  # too short a context holds no string
@@ -218,13 +225,13 @@ class _Repeats:
     def __init__(self, bucket: _Bucket, answer: np.ndarray):
         none = np.zeros(0, dtype=np.int64)
         found: list[tuple] = [(none.astype(np.uint64), none.astype(np.uint64), none, none, none)]
-        for segment, doc, a, b, h, context in bucket.anchors() if len(answer) else ():
-            own, at = _lookup(answer & ~_FLAG, h)
-            hot = (answer[at] & _FLAG) > 0
-            plain = own[~hot]
+        wanted = answer & ~_FLAG
+        for segment, doc, a, b, h, context in bucket.anchors(wanted) if len(answer) else ():
+            hot = (answer[np.searchsorted(wanted, h)] & _FLAG) > 0
+            plain = np.flatnonzero(~hot)
             found.append((h[plain], context[plain], bucket.ids[doc[plain]], a[plain], b[plain]))
             if hot.any():
-                own = own[hot]
+                own = np.flatnonzero(hot)
                 row, start, string = _windows(segment, a[own], b[own])
                 found.append((string, string, bucket.ids[doc[own]][row], start, start + LENGTH))
         self.anchors, self.keys, self.ids, self.a, self.b = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -334,18 +341,12 @@ def _remove(parts: int):
     def run(key: tuple[Any, ...], docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         bucket = _Bucket(docs)
         r = _Repeats(bucket, _packed_hashes(told, "hashes"))
-        edge = np.zeros(len(bucket.raw) + 1, dtype=np.int32)
-
-        def mark(start: np.ndarray, end: np.ndarray) -> None:
-            np.add.at(edge, start, 1)
-            np.add.at(edge, end, -1)
-
         bits = {p: b for p, b in zip(told["part"], told["bits"], strict=True) if b is not None}
         elsewhere = np.zeros(len(r.one), dtype=bool)
         for p, own in r.by_part(parts):
             elsewhere[own] = np.unpackbits(np.frombuffer(bits[p], dtype=np.uint8))[:len(own)].astype(bool)
         copy = elsewhere[r.context] | (r.ids > r.ids[r.one][r.context])
-        mark(r.a[copy], r.b[copy])
+        begin, end = [r.a[copy]], [r.b[copy]]
         judged = told[[m is not None for m in told["masks"]]]
         if len(judged):
             keys, masks = (np.concatenate([np.frombuffer(x, dtype="<u8") for x in judged[c]]).astype(np.uint64) for c in ("keys", "masks"))
@@ -355,8 +356,11 @@ def _remove(parts: int):
             start, strings = r.a[own], masks[order][at]
             for o in range(REACH + 1):
                 on = start[(strings >> _U(o)) & _FLAG > 0] + o
-                mark(on, on + LENGTH)
-        gone = np.cumsum(edge[:-1]) > 0
+                begin.append(on)
+                end.append(on + LENGTH)
+        edge = np.bincount(np.concatenate(begin), minlength=len(bucket.raw) + 1)
+        edge -= np.bincount(np.concatenate(end), minlength=len(bucket.raw) + 1)
+        gone = np.cumsum(edge[:-1], out=edge[:-1]) > 0
         out = []
         for n, (s, e) in enumerate(zip(bucket.starts, bucket.ends, strict=True)):
             flags = gone[s:e]

@@ -37,27 +37,32 @@ class RunLengthIndex:
         self._samples = self._compare(self.run_heads, self.suffixes[heads - 1], heads == 0)
 
     def _sort(self) -> np.ndarray:
-        """Suffix order by prefix doubling; a suffix ends with its text, equal ones keep their order."""
+        """Suffix order by prefix doubling of what is not yet apart; a suffix ends with its text, equal ones keep their order."""
         n = len(self.text)
         keep = np.minimum(self.left, 8)
         key = _word_at(self.text)
         shift = ((8 - keep) * 8).astype(np.uint64)
         key = np.where(keep > 0, (key >> np.minimum(shift, 63)) << np.minimum(shift, 63), 0).astype(np.uint64)
         order = np.argsort(key)
-        width, longest = 8, int(self.left.max(initial=0))
+        ranked = key[order]
+        slots, width = np.arange(n), 8  # places in the order that are not settled yet: runs of equal keys
+        rank = np.empty(n, dtype=np.int64)
         while True:
-            ranked = key[order]
-            rank = np.empty(n, dtype=np.int64)
-            rank[order] = np.cumsum(np.concatenate([[1], (ranked[1:] != ranked[:-1]).astype(np.int64)]))[:n]
-            if n and rank[order[-1]] == n:
+            new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+            rank[order[slots]] = np.maximum.accumulate(np.where(new, slots, 0)) + 1  # the first place of its run
+            slots = slots[~(new & np.append(new[1:], True))]
+            if not len(slots):
                 return order
-            if width >= longest:
-                return np.argsort(rank * (n + 1) + np.arange(n))  # equal suffixes by place
-            follows = np.zeros(n, dtype=np.int64)
-            inside = np.flatnonzero(self.left > width)
-            follows[inside] = rank[inside + width]
-            key = rank * (n + 1) + follows
-            order = np.argsort(key)
+            open_ = order[slots]
+            if width >= self.left[open_].max():
+                order[slots] = open_[np.argsort(rank[open_] * (n + 1) + open_)]  # equal suffixes by place
+                return order
+            follows = np.zeros(len(open_), dtype=np.int64)
+            inside = np.flatnonzero(self.left[open_] > width)
+            follows[inside] = rank[open_[inside] + width]
+            key = rank[open_] * (n + 1) + follows
+            by = np.argsort(key)
+            order[slots], ranked = open_[by], key[by]
             width *= 2
 
     def _compare(self, a: np.ndarray, b: np.ndarray, first: np.ndarray) -> np.ndarray:
