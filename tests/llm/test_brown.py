@@ -133,3 +133,40 @@ def test_passes_over_all_words_raise_the_likelihood(spark):
 
 def test_classes_grow_with_the_words():
     assert [brown.classes_for(n) for n in (0, 16_797, 100_000, 1_000_000, 10 ** 9)] == [64, 64, 93, 200, 256]
+
+
+def _lines(spark, rng, end, rows=300):
+    lines = [[*rng.zipf(1.3, int(rng.integers(0, 40))) % end] for _ in range(rows)] + [[], [3] * 600]
+    counts = np.zeros((end + 1, end + 1), dtype=np.int64)
+    for x in lines:
+        np.add.at(counts, ([end, *x], [*x, end]), 1)
+    return spark.createDataFrame([(bytearray(np.array(x, dtype="<u4").tobytes()),) for x in lines], "codes binary").repartition(3), len(lines), counts
+
+
+@pytest.mark.parametrize("limit", [4_000_000, 50])
+def test_pairs_of_words_are_counted_once_and_read_by_every_pass(spark, monkeypatch, limit):
+    monkeypatch.setattr(brown, "PAIRS", limit)
+    rng = np.random.default_rng(3)
+    end, classes = 200 + brown.SHAPES, 8
+    starts = np.array([0, 90, 90, 200, 200 + brown.SHAPES // 2, end])
+    training, documents, counts = _lines(spark, rng, end)
+    pairs = brown.word_pairs(training, starts)
+    assert (pairs.where("part > 0").count() > 0) == (limit == 50)
+    assert (brown._between(pairs, np.arange(end + 1, dtype=np.uint32), starts, end + 1, documents) == counts).all()
+    brown.release(pairs)
+    # every pass moves words by the counts of all documents, which are read for the pairs and for their number only
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    first = np.append(rng.integers(0, classes, end), classes).astype(np.uint16)
+    got = brown.exchange_all(training.mapInPandas(seen, "codes binary"), first, starts, classes, 1)
+    member = np.eye(classes + 1)[first]
+    neighbours, between = np.concatenate([counts @ member, counts.T @ member], axis=1)[:-1], member.T @ counts @ member
+    assert (got == np.append(brown.best_classes(neighbours, between, first[:-1].astype(int)), classes)).all()
+    read.value = 0
+    brown.exchange_all(training.mapInPandas(seen, "codes binary"), first, starts, classes, 6)
+    assert read.value == 2 * documents

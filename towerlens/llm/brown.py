@@ -9,10 +9,12 @@
    ``SHAPES`` units by the crc32 of their last four bytes.
 3. Classes. Their number grows with the clustered words (``classes_for``). Exchange
    clustering of the ``OWN_UNITS`` most frequent words and the shapes gives the
-   classes to start from. Then come passes over all clustered words: the classes
-   of a word's neighbours are counted over the training documents, dealt by
-   word, and each word (and shape) moves to the class whose neighbours explain
-   its own best, until none moves or ``PASSES`` passes are done. A pass that
+   classes to start from. The pairs of successive words of all training documents
+   are counted once, dealt by word, and written. Then come passes over all
+   clustered words, which read that table without an exchange: the classes of a
+   word's neighbours are counted, and each word (and shape) moves to the class
+   whose neighbours explain its own best, until none moves or ``PASSES`` passes are
+   done. A pass that
    lowers the likelihood of all training bigrams is undone and tried with a
    part of the words.
 4. Scores. P(word | two before) = P(class | two classes before), Witten-Bell
@@ -23,7 +25,8 @@
 Scale: of what reaches the driver and is broadcast, one array grows with the
 data: the class of each clustered word (two bytes a word). The rest is bounded
 by parameters: unit bigrams (units squared), class trigrams (at most
-``MAX_CLASSES`` + 1 cubed). Neighbour counts stay dealt by word. Counts cover all
+``MAX_CLASSES`` + 1 cubed). Pairs stay dealt by word, ``PAIRS`` at most in a row;
+counts of the parts of a larger bucket are added up by a shuffle. Counts cover all
 training documents. A frequent word is one row per chunk.
 """
 
@@ -50,9 +53,12 @@ CLASSES = 64
 #: Bound of the number of classes, reached at two million clustered words.
 MAX_CLASSES = 256
 PASSES = 12
-#: Clustered words whose neighbour counts a task holds at once, and tokens' neighbours counted before they are sent.
+#: Clustered words, and shapes, whose neighbour counts a task holds at once; tokens' neighbours counted before they are
+#: sent; and pairs of a bucket that are summed at once.
 DEALT_WORDS = 4096
+DEALT_SHAPES = 8
 NEIGHBOURS = 8_000_000
+PAIRS = 4_000_000
 #: Tokens, and distinct words, after which a task starts the next chunk.
 CHUNK_TOKENS = 4_000_000
 CHUNK_WORDS = 500_000
@@ -255,35 +261,34 @@ def likelihood(between: np.ndarray) -> float:
     return float(_xlogx(between).sum() - _xlogx(between.sum(axis=0)).sum() - _xlogx(between.sum(axis=1)).sum())
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """32-bit numbers, first all their lowest bytes, which leaves little of small numbers once compressed."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+def _planes(x: np.ndarray, size: int) -> bytes:
+    """Numbers of ``size`` bytes, first all their lowest bytes, which leaves little of small numbers once compressed."""
+    return np.ascontiguousarray(x.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T).tobytes()
 
 
-def _of_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def _of_planes(raw: bytes, size: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(size, -1).T).view(f"<u{size}").ravel().astype(np.int64)
 
 
-def _neighbour_task(shared, classes: int):
-    """Counts of (word, class after it) and (word, class before it), a row for each bucket of words: successive keys'
-    differences, and counts. Key: place in the bucket, times 2 (classes + 1), plus class (before: plus classes + 1)."""
-    width = 2 * (classes + 1)
+def _pair_task(starts: np.ndarray):
+    """Counts of (word, code after it) and (word, code before it), a row for each bucket of words: successive keys'
+    differences, and counts. Key: place in the bucket, times 2 (codes), plus the code (before: plus codes)."""
+    end = int(starts[-1])
+    codes = end + 1
 
-    def send(held: list[np.ndarray], starts: np.ndarray) -> Iterator[pd.DataFrame]:
+    def send(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
         every = np.concatenate(held)
         every.sort()
         at = np.concatenate([[0], np.flatnonzero(every[1:] != every[:-1]) + 1])
         key, n = every[at], np.diff(at, append=len(every))
-        cut = np.searchsorted(key, starts * width)
-        rows = [(b, _planes(np.diff(key[i:j], prepend=starts[b] * width)), _planes(n[i:j]))
+        cut = np.searchsorted(key, starts * (2 * codes))
+        rows = [(b, _planes(np.diff(key[i:j], prepend=starts[b] * (2 * codes)), 8), _planes(n[i:j], 4))
                 for b, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if j > i]
         for at in range(0, len(rows), 64):
             yield pd.DataFrame(rows[at:at + 64], columns=["bucket", "keys", "n"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        class_of, starts = shared.value
-        end, held, size = len(class_of) - 1, [], 0
-        group_of = class_of.astype(np.int64)
+        held, size = [], 0
         for b in batches:
             # All documents of a batch in one line, each between two end tokens.
             parts = [np.frombuffer(p, dtype="<u4") for p in b["codes"]]
@@ -292,52 +297,125 @@ def _neighbour_task(shared, classes: int):
             for p in parts:
                 line[at:at + len(p)] = p
                 at += len(p) + 1
-            group, inner = group_of[line], line[1:-1]
+            inner = line[1:-1]
             words = inner != end
-            word = inner[words] * width
-            held += [word + group[2:][words], word + group[:-2][words] + classes + 1]
+            word = inner[words] * (2 * codes)
+            held += [word + line[2:][words], word + line[:-2][words] + codes]
             size += 2 * len(word)
             if size > NEIGHBOURS:
-                yield from send(held, starts)
+                yield from send(held)
                 held, size = [], 0
         if size:
-            yield from send(held, starts)
+            yield from send(held)
     return run
 
 
-def _sum_task(shared, classes: int):
-    """Sums the neighbour counts of each bucket: its words' counts, and the class bigrams that they begin or, after the end token, are."""
-    width = 2 * (classes + 1)
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their counts, from several such."""
+    if len(held) == 1:
+        return held[0]
+    key, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(key, kind="stable")  # merges sorted runs
+    key = key[order]
+    at = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+    return key[at], np.add.reduceat(n[order], at)
+
+
+def _side(place: np.ndarray, code: np.ndarray, n: np.ndarray, words: int) -> bytes:
+    """Neighbours of a bucket's words on one side: how many each word has, their codes, counts of a byte, and what
+    larger counts have beyond it."""
+    more = np.flatnonzero(n > 255)
+    sizes = np.array([words, len(code), len(more)], dtype="<i8")
+    columns = (np.bincount(place, minlength=words).astype("<u4"), code.astype("<u4"), np.minimum(n, 255).astype("<u1"),
+               more.astype("<u4"), (n[more] - 255).astype("<i8"))
+    return b"".join([sizes.tobytes(), *[x.tobytes() for x in columns]])
+
+
+def _of_side(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of the word, code and count (as a double) of every pair."""
+    words, pairs, more = np.frombuffer(raw, dtype="<i8", count=3)
+    at, out = 24, []
+    for kind, size in (("<u4", words), ("<u4", pairs), ("<u1", pairs), ("<u4", more), ("<i8", more)):
+        out.append(np.frombuffer(raw, dtype=kind, count=size, offset=at))
+        at += out[-1].nbytes
+    lengths, code, n, larger, beyond = out
+    n = n.astype(np.float64)
+    n[larger] += beyond
+    return np.repeat(np.arange(words), lengths), code, n
+
+
+def _merge_task(starts: np.ndarray):
+    """Sums the pairs of each bucket, whose rows come one after the other: a row for each bucket, or several parts
+    (which may share pairs) of one with very many."""
+    codes = int(starts[-1]) + 1
+
+    def row(bucket: int, part: int, held: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        key, n = _merged(held)
+        line, code = np.divmod(key, codes)
+        place, words = line // 2, int(starts[bucket + 1] - starts[bucket])
+        after, before = line % 2 == 0, line % 2 == 1
+        first = before & (code == codes - 1)
+        begins = np.zeros(words, dtype="<i8")
+        begins[place[first]] = n[first]
+        return pd.DataFrame({"bucket": [bucket], "part": [part], "begins": [begins.tobytes()],
+                             **{name: [_side(place[x], code[x], n[x], words)] for name, x in (("after", after), ("before", before))}})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        class_of, starts = shared.value
-        total: dict[int, np.ndarray] = {}
+        bucket, part, held, size = None, 0, [], 0
         for b in batches:
-            for bucket, keys, n in zip(b["bucket"], b["keys"], b["n"], strict=True):
-                if bucket not in total:
-                    total[bucket] = np.zeros((starts[bucket + 1] - starts[bucket]) * width, dtype=np.int64)
-                total[bucket][np.cumsum(_of_planes(keys), dtype=np.int64)] += _of_planes(n)
-        for bucket, n in total.items():
-            after, before = np.split(n.reshape(-1, width), 2, axis=1)
-            now, between = class_of[starts[bucket]:starts[bucket + 1]], np.zeros((classes + 1, classes + 1), dtype=np.int64)
-            np.add.at(between, now, after)
-            np.add.at(between[classes], now, before[:, classes])
-            at = np.flatnonzero(n)
-            yield pd.DataFrame({"bucket": [bucket], "at": [at.astype("<u4").tobytes()], "count": [n[at].astype("<i8").tobytes()], "between": [between.astype("<i8").tobytes()]})
+            for of, keys, n in zip(b["bucket"], b["keys"], b["n"], strict=True):
+                if of != bucket:
+                    if held:
+                        yield row(bucket, part, held)
+                    bucket, part, held, size = of, 0, [], 0
+                held.append((np.cumsum(_of_planes(keys, 8)), _of_planes(n, 4)))
+                size += len(held[-1][0])
+                if size > PAIRS:
+                    held = [_merged(held)]
+                    size = len(held[0][0])
+                    if size > PAIRS // 2:
+                        yield row(bucket, part, held)
+                        part, held, size = part + 1, [], 0
+        if held:
+            yield row(bucket, part, held)
     return run
 
 
-def _between_task(classes: int):
+def word_pairs(training: DataFrame, starts: np.ndarray) -> DataFrame:
+    """Which codes come after and before the words of each bucket, and how often: a written table that passes read
+    without an exchange. Codes from ``starts[b]`` to ``starts[b + 1]`` are a bucket; the last of ``starts`` is the end token."""
+    shared_folder(training.sparkSession)
+    sent = training.mapInPandas(_pair_task(starts), "bucket int, keys binary, n binary")
+    dealt = sent.repartition(len(starts) - 1, "bucket").sortWithinPartitions("bucket")
+    return materialize(dealt.mapInPandas(_merge_task(starts), "bucket int, part int, begins binary, after binary, before binary"), "brown-pairs")
+
+
+def _between_task(shared, groups: int):
+    """Counts of successive groups of codes: those that words begin, or that they are after the end token, the last group."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((classes + 1) ** 2, dtype=np.int64)
+        group_of, starts = shared.value
+        total = np.zeros(groups ** 2)
         for b in batches:
-            for payload in b["between"]:
-                total += np.frombuffer(payload, dtype="<i8")
+            for bucket, begins, after in zip(b["bucket"], b["begins"], b["after"], strict=True):
+                now = group_of[starts[bucket]:starts[bucket + 1]].astype(np.int64)
+                place, code, n = _of_side(after)
+                total += np.bincount((now * groups)[place] + group_of[code], weights=n, minlength=groups ** 2)
+                total[-groups:] += np.bincount(now, weights=np.frombuffer(begins, dtype="<i8"), minlength=groups)
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"key": at, "n": total[at]})
+        yield pd.DataFrame({"key": at, "n": total[at].astype(np.int64)})
     return run
 
 
+def _between(pairs: DataFrame, group_of: np.ndarray, starts: np.ndarray, groups: int, documents: int) -> np.ndarray:
+    """Counts of successive groups in as many training documents; the last group is the end token's."""
+    shared = pairs.sparkSession.sparkContext.broadcast((group_of, starts))
+    out = _collected(pairs.select("bucket", "begins", "after").mapInPandas(_between_task(shared, groups), "key long, n long"), groups ** 2)
+    shared.unpersist()
+    out = out.reshape(groups, groups)
+    out[-1, -1] += documents - out[-1].sum()  # empty documents: an end token after another
+    return out
+
+
 def best_classes(neighbours: np.ndarray, between: np.ndarray, now: np.ndarray) -> np.ndarray:
     """The class that explains each word's neighbours best: rows have counts of classes after, then before, the word.
 
@@ -354,62 +432,100 @@ def best_classes(neighbours: np.ndarray, between: np.ndarray, now: np.ndarray) -
     return np.where(score[at, best] > stays + 1e-9 * np.abs(stays), best, now)
 
 
-def _move_task(shared, classes: int):
-    """The classes that the words of each bucket move to, two bytes a word."""
-    width = 2 * (classes + 1)
+def _neighbours(after: bytes, before: bytes, class_of: np.ndarray, words: int, classes: int) -> np.ndarray:
+    """Counts of the classes after, then before, each word of a bucket."""
+    width, out = 2 * (classes + 1), np.zeros(words * 2 * (classes + 1))
+    for at, raw in ((0, after), (classes + 1, before)):
+        place, code, n = _of_side(raw)
+        out += np.bincount(place * width + at + class_of[code], weights=n, minlength=len(out))
+    return out
 
+
+def _moved(bucket: int, neighbours: np.ndarray, given: tuple, classes: int) -> tuple[int, bytes]:
+    class_of, starts, between = given
+    now = class_of[starts[bucket]:starts[bucket + 1]].astype(np.int64)
+    return bucket, best_classes(neighbours.reshape(len(now), 2 * (classes + 1)), between, now).astype("<u2").tobytes()
+
+
+def _move_task(shared, classes: int):
+    """The classes that the words of each bucket, given whole, move to, two bytes a word."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        class_of, starts, between = shared.value
+        class_of, starts, _ = shared.value
         for b in batches:
-            out = []
-            for bucket, at, count in zip(b["bucket"], b["at"], b["count"], strict=True):
-                now = class_of[starts[bucket]:starts[bucket + 1]].astype(np.int64)
-                n = np.zeros(len(now) * width)
-                n[np.frombuffer(at, dtype="<u4")] = np.frombuffer(count, dtype="<i8")
-                out.append((bucket, best_classes(n.reshape(-1, width), between, now).astype("<u2").tobytes()))
+            out = [_moved(bucket, _neighbours(after, before, class_of, int(starts[bucket + 1] - starts[bucket]), classes), shared.value, classes)
+                   for bucket, after, before in zip(b["bucket"], b["after"], b["before"], strict=True)]
             yield pd.DataFrame(out, columns=["bucket", "classes"])
     return run
 
 
-def exchange_all(training: DataFrame, class_of: np.ndarray, starts: np.ndarray, classes: int, passes: int = PASSES) -> np.ndarray:
+def _part_task(shared, classes: int):
+    """Neighbour counts of each part of a bucket."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        class_of, starts, _ = shared.value
+        for b in batches:
+            for bucket, after, before in zip(b["bucket"], b["after"], b["before"], strict=True):
+                n = _neighbours(after, before, class_of, int(starts[bucket + 1] - starts[bucket]), classes)
+                at = np.flatnonzero(n)
+                yield pd.DataFrame({"bucket": [bucket], "at": [at.astype("<u4").tobytes()], "n": [n[at].astype("<i8").tobytes()]})
+    return run
+
+
+def _move_parts_task(shared, classes: int):
+    """As ``_move_task``, from the counts of the parts."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        starts = shared.value[1]
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for bucket, at, n in zip(b["bucket"], b["at"], b["n"], strict=True):
+                if bucket not in total:
+                    total[bucket] = np.zeros(int(starts[bucket + 1] - starts[bucket]) * 2 * (classes + 1))
+                total[bucket][np.frombuffer(at, dtype="<u4")] += np.frombuffer(n, dtype="<i8")
+        if total:
+            yield pd.DataFrame([_moved(bucket, n, shared.value, classes) for bucket, n in total.items()], columns=["bucket", "classes"])
+    return run
+
+
+def exchange_all(training: DataFrame, class_of: np.ndarray, starts: np.ndarray, classes: int, passes: int = PASSES,
+                 pairs: DataFrame | None = None) -> np.ndarray:
     """Class of every clustered word and shape (and, last, the end token's), from those to start with.
 
-    ``training`` has codes; codes from ``starts[b]`` to ``starts[b + 1]`` are dealt to one task of each pass.
+    ``training`` has codes; ``pairs`` are its ``word_pairs``, if they are there already.
     """
-    sc = training.sparkSession.sparkContext
-    shared_folder(training.sparkSession)
+    if pairs is None:
+        pairs = word_pairs(training, starts)
+        try:
+            return exchange_all(training, class_of, starts, classes, passes, pairs)
+        finally:
+            release(pairs)
+    sc = pairs.sparkSession.sparkContext
     best, parts = None, 1
     number = np.arange(len(class_of))
-    empty = training.where("length(codes) = 0").count()  # an end token after another
+    documents = training.count()
+    split = [r["bucket"] for r in pairs.where("part > 0").select("bucket").distinct().collect()]
+    sides, moves = pairs.select("bucket", "after", "before"), "bucket int, classes binary"
     for step in range(passes + 1):
-        shared = sc.broadcast((class_of, starts))
-        sent = training.mapInPandas(_neighbour_task(shared, classes), "bucket int, keys binary, n binary")
-        summed = sent.repartition(len(starts) - 1, "bucket").mapInPandas(_sum_task(shared, classes), "bucket int, at binary, count binary, between binary")
-        table = materialize(summed, "brown-neighbours")
-        try:
-            between = _collected(table.select("between").mapInPandas(_between_task(classes), "key long, n long"), (classes + 1) ** 2)
-            between = between.reshape(classes + 1, classes + 1).astype(np.float64)
-            between[classes, classes] += empty
-            value = likelihood(between)
-            if best is not None and value <= best[0] + 1e-9 * abs(best[0]):
-                if parts == 4:
-                    return best[1]
-                parts *= 2
-                _, class_of, moved = best
-            else:
-                if step == passes:
-                    return class_of
-                scored = sc.broadcast((class_of, starts, between))
-                moved = class_of.copy()
-                for r in table.select("bucket", "at", "count").mapInPandas(_move_task(scored, classes), "bucket int, classes binary").collect():
-                    moved[starts[r["bucket"]]:starts[r["bucket"] + 1]] = np.frombuffer(r["classes"], dtype="<u2")
-                scored.unpersist()
-                if (moved == class_of).all():
-                    return class_of
-                best = value, class_of, moved
-        finally:
-            release(table)
+        between = _between(pairs, class_of, starts, classes + 1, documents).astype(np.float64)
+        value = likelihood(between)
+        if best is not None and value <= best[0] + 1e-9 * abs(best[0]):
+            if parts == 4:
+                return best[1]
+            parts *= 2
+            _, class_of, moved = best
+        else:
+            if step == passes:
+                return class_of
+            shared = sc.broadcast((class_of, starts, between))
+            found = sides.where(~F.col("bucket").isin(split)).mapInPandas(_move_task(shared, classes), moves)
+            if split:
+                counts = sides.where(F.col("bucket").isin(split)).mapInPandas(_part_task(shared, classes), "bucket int, at binary, n binary")
+                found = found.union(counts.repartition(len(split), "bucket").mapInPandas(_move_parts_task(shared, classes), moves))
+            moved = class_of.copy()
+            for r in found.collect():
+                moved[starts[r["bucket"]]:starts[r["bucket"] + 1]] = np.frombuffer(r["classes"], dtype="<u2")
             shared.unpersist()
+            if (moved == class_of).all():
+                return class_of
+            best = value, class_of, moved
         class_of = np.where(number % parts == step % parts, moved, class_of).astype(class_of.dtype)
     return best[1]
 
@@ -508,8 +624,8 @@ def brown_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     frequent = written(frequent.withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
                        .withColumn("place", F.row_number().over(place) - 1), "brown-frequent")
     held = {r["bucket"]: r["count"] for r in frequent.groupBy("bucket").count().collect()}
-    starts = np.cumsum([0, *[held.get(b, 0) for b in range(buckets)], SHAPES])
-    own = int(starts[-2])
+    starts = np.cumsum([0, *[held.get(b, 0) for b in range(buckets)], *[DEALT_SHAPES] * (SHAPES // DEALT_SHAPES)])
+    own = int(starts[buckets])
     classes = classes_for(own)
     top = frequent.orderBy(F.desc("c"), "h").limit(OWN_UNITS).select("bucket", "place").collect()
     unit_of = np.zeros(own + SHAPES + 1, dtype=np.uint16)
@@ -518,7 +634,7 @@ def brown_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     unit_of[own:] = np.arange(OWN_UNITS, UNITS)
     unit_of[[starts[r["bucket"]] + r["place"] for r in top]] = np.arange(len(top))
 
-    offsets = spark.createDataFrame([(b, int(at)) for b, at in enumerate(starts[:-2])], "bucket int, start long")
+    offsets = spark.createDataFrame([(b, int(at)) for b, at in enumerate(starts[:buckets])], "bucket int, start long")
     numbered = frequent.join(F.broadcast(offsets), "bucket").select("h", F.col("c").alias("_c"), F.col("shape").alias("_s"), (F.col("start") + F.col("place")).alias("own"))
     of_shape = F.col("shape") + (own - OWN_UNITS)
     same = (F.col("known.h") == F.col("numbered.h")) & (F.col("c") == F.col("_c")) & (F.col("shape") == F.col("_s"))
@@ -529,8 +645,12 @@ def brown_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     encoded = written(texts.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInPandas(
         _encode_chunk, "doc_id long, held_out boolean, n_words long, n_known long, plus_one double, log_count double, codes binary"), "brown-codes")
     training = encoded.where("NOT held_out").select("codes")
-    start_of = exchange(_ngrams(training, unit_of, 2, UNITS).reshape(UNITS, UNITS), classes).astype(np.uint16)
-    class_of = exchange_all(training, start_of[unit_of], starts, classes)
+    pairs = word_pairs(training, starts)
+    try:
+        start_of = exchange(_between(pairs, unit_of, starts, UNITS, train_docs), classes).astype(np.uint16)
+        class_of = exchange_all(training, start_of[unit_of], starts, classes, pairs=pairs)
+    finally:
+        release(pairs)
     trigrams = _ngrams(training, class_of, 3, classes + 1)
 
     group = spark.sparkContext.broadcast(class_of)
