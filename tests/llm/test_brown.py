@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +171,25 @@ def test_pairs_of_words_are_counted_once_and_read_by_every_pass(spark, monkeypat
     read.value = 0
     brown.exchange_all(training.mapInPandas(seen, "codes binary"), first, starts, classes, 6)
     assert read.value == 2 * documents
+
+
+@pytest.mark.parametrize(("segment", "tokens", "words"), [(4 << 20, 4_000_000, 500_000), (40, 30, 500_000), (7, 10 ** 9, 12), (1, 1, 1)])
+def test_words_of_chunks_are_the_words_of_the_texts(monkeypatch, segment, tokens, words):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 3)
+
+    for name, value in (("TaskContext", Task), ("SEGMENT", segment), ("CHUNK_TOKENS", tokens), ("CHUNK_WORDS", words)):
+        monkeypatch.setattr(brown, name, value)
+    texts = ["", None, " \t\n ", "One two\x0bONE\x0cthree\r\n", "Ä ä  É x \x1c\x00 \U0001f600", "one", "a" * 60 + " b", " ".join(f"W{i % 9}" for i in range(40))] * 3
+    rows = [(None if i == 4 else i, i % 3 == 0, t) for i, t in enumerate(texts)]
+    batch = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.bool_(), pa.string()), strict=True)], names=["doc_id", "held_out", "text"])
+    out = pa.Table.from_batches(brown._cut_chunks(iter([batch.slice(0, 5), batch.slice(5, 0), batch.slice(5)]))).to_pylist()
+    known = {(r["chunk"], r["number"]): r for r in out if r["kind"] == "word"}
+    assert len({(r["chunk"], r["word"]) for r in known.values()}) == len(known)
+    docs = [(r["doc_id"], r["held_out"], [known[r["chunk"], n]["word"] for n in np.frombuffer(r["ids"], dtype="<u4").tolist()]) for r in out if r["kind"] == "doc"]
+    assert docs == [(d, h, (t or "").encode().lower().split()) for d, h, t in rows]
+    counts = Counter()
+    for r in known.values():
+        counts[r["word"]] += r["n"]
+    assert counts == Counter(w for _, h, x in docs if not h for w in x)

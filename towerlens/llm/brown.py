@@ -33,12 +33,13 @@ training documents. A frequent word is one row per chunk.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,7 +63,7 @@ PAIRS = 4_000_000
 #: Tokens, and distinct words, after which a task starts the next chunk.
 CHUNK_TOKENS = 4_000_000
 CHUNK_WORDS = 500_000
-#: Bytes of a text that are cut into words at once.
+#: Bytes of texts that are cut into words at once.
 SEGMENT = 4 << 20
 
 END = OWN_UNITS + SHAPES  # the unit of the end token
@@ -72,62 +73,99 @@ UNSEEN = 4096  # added to the unit of a word that training does not know (more i
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def words_of(text) -> Iterator[list[bytes]]:
-    """Words of a whole text with A-Z lowered, in segments; null is empty."""
-    raw = (text if isinstance(text, str) else "").encode("utf-8", "surrogatepass").lower()
-    at = 0
+def _words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of whole texts with A-Z lowered, one text after the other, and how many each text has."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(text))  # empty before leading and after trailing white space
+    words = parts.flatten()
+    full = pc.not_equal(pc.binary_length(words), 0)
+    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    return words.filter(full), np.diff(before[np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy())])])
+
+
+def _segments(text: pa.Array) -> Iterator[pa.Array]:
+    """One text in parts of about SEGMENT bytes, cut before white space."""
+    raw, at = text.cast(pa.binary())[0].as_py(), 0
     while at < len(raw):
         stop = len(raw) if at + SEGMENT >= len(raw) else (m.start() if (m := _SPACE.search(raw, at + SEGMENT)) else len(raw))
-        yield raw[at:stop].split()  # ASCII white space
+        yield pa.array([raw[at:stop]], type=pa.binary()).view(pa.string())
         at = stop
 
 
 _CHUNK_SCHEMA = "kind string, chunk long, doc_id long, held_out boolean, ids binary, word binary, number int, n long"
-
-
-def _cut_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_CHUNK_TYPES = pa.schema([("kind", pa.string()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
+                          ("ids", pa.binary()), ("word", pa.binary()), ("number", pa.int32()), ("n", pa.int64())])
+
+
+def _rows(size: int, **columns) -> pa.RecordBatch:
+    """Rows of a chunk; a column is an array or one value for all rows, and null if it is not given."""
+    def column(name: str, kind: pa.DataType) -> pa.Array:
+        value = columns.get(name)
+        if value is None:
+            return pa.nulls(size, kind)
+        return value if isinstance(value, pa.Array) else pa.repeat(pa.scalar(value, kind), size)
+    return pa.RecordBatch.from_arrays([column(f.name, f.type) for f in _CHUNK_TYPES], schema=_CHUNK_TYPES)
+
+
+class _Dictionary:
+    """Numbers of the distinct words of a chunk in the order in which they come, and their training counts."""
+
+    def __init__(self):
+        self.known, self.counts = pa.array([], pa.string()), np.zeros(0, dtype=np.int64)
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        part = words.dictionary_encode()
+        every = pa.concat_arrays([self.known, part.dictionary]).dictionary_encode()
+        ids = every.indices.to_numpy()[len(self.known):][part.indices.to_numpy()]
+        self.known = every.dictionary
+        return ids.astype("<u4")
+
+    def count(self, ids: np.ndarray) -> None:
+        counts = np.bincount(ids, minlength=len(self.known))
+        counts[:len(self.counts)] += self.counts
+        self.counts = counts
+
+    def rows(self, chunk: int) -> Iterator[pa.RecordBatch]:
+        self.count(np.zeros(0, dtype=np.int64))  # of all words by now
+        for at in range(0, len(self.known), 50_000):
+            part = self.known[at:at + 50_000]
+            yield _rows(len(part), kind="word", chunk=chunk, word=part.cast(pa.binary()), number=pa.array(np.arange(at, at + len(part)), pa.int32()),
+                        n=pa.array(self.counts[at:at + len(part)]))
+
+
+def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of successive texts of SEGMENT bytes at most; a longer text has a range to itself."""
+    first, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > first and size + n > SEGMENT:
+            yield first, i
+            first, size = i, 0
+        size += n
+    if len(sizes):
+        yield first, len(sizes)
+
+
+def _cut_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = count(TaskContext.get().partitionId() << 24)
-
-    def start():
-        return next(number), defaultdict(count().__next__), [], 0
-
-    def dictionary(chunk: int, known: dict, seen: list) -> Iterator[pd.DataFrame]:
-        n = np.bincount(np.concatenate(seen), minlength=len(known)) if seen else np.zeros(len(known), dtype=np.int64)
-        words = list(known)
-        for at in range(0, len(words), 50_000):
-            part = words[at:at + 50_000]
-            yield _frame(kind="word", chunk=chunk, word=part, number=np.arange(at, at + len(part)), n=n[at:at + len(part)])
-
-    chunk, known, seen, tokens = start()
+    chunk, known, tokens = next(number), _Dictionary(), 0
     for b in batches:
-        rows = []
-        for doc_id, held_out, text in zip(b["doc_id"], b["held_out"], b["text"], strict=True):
-            parts = [np.fromiter(map(known.__getitem__, w), dtype=np.uint32, count=len(w)) for w in words_of(text)]
-            ids = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)
-            if not held_out and len(ids):
-                seen.append(ids)
+        texts, training = pc.fill_null(b.column("text").cast(pa.string()), ""), ~b.column("held_out").to_numpy(zero_copy_only=False)
+        for i, j in _groups(pc.binary_length(texts).to_numpy()):
+            if j == i + 1:
+                parts = [known.numbers(_words(x)[0]) for x in _segments(texts[i:j])]
+                ids = np.concatenate(parts) if parts else np.zeros(0, dtype="<u4")
+                lengths = np.array([len(ids)])
+            else:
+                words, lengths = _words(texts[i:j])
+                ids = known.numbers(words)
+            known.count(ids[np.repeat(training[i:j], lengths)])
+            ends = np.concatenate([[0], 4 * np.cumsum(lengths)]).astype("<i4")
+            payload = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+            yield _rows(j - i, kind="doc", chunk=chunk, doc_id=b.column("doc_id")[i:j], held_out=b.column("held_out")[i:j], ids=payload)
             tokens += len(ids)
-            rows.append((None if pd.isna(doc_id) else int(doc_id), bool(held_out), ids.astype("<u4").tobytes(), chunk))
-            if tokens >= CHUNK_TOKENS or len(known) >= CHUNK_WORDS:
-                yield _documents(rows)
-                yield from dictionary(chunk, known, seen)
-                rows = []
-                chunk, known, seen, tokens = start()
-        if rows:
-            yield _documents(rows)
-    yield from dictionary(chunk, known, seen)
-
-
-def _frame(**columns) -> pd.DataFrame:
-    size = next(len(v) for v in columns.values() if not np.isscalar(v))
-    empty = {"kind": None, "chunk": 0, "doc_id": pd.NA, "held_out": None, "ids": None, "word": None, "number": 0, "n": 0}
-    frame = pd.DataFrame({k: columns.get(k, v) for k, v in empty.items()}, index=range(size))
-    return frame.astype({"doc_id": "Int64", "held_out": "boolean"})
-
-
-def _documents(rows: list[tuple]) -> pd.DataFrame:
-    ids, held, payload, chunk = zip(*rows, strict=True)
-    return _frame(kind="doc", chunk=np.array(chunk), doc_id=pd.array(ids, dtype="Int64"), held_out=np.array(held), ids=list(payload))
+            if tokens >= CHUNK_TOKENS or len(known.known) >= CHUNK_WORDS:
+                yield from known.rows(chunk)
+                chunk, known, tokens = next(number), _Dictionary(), 0
+    yield from known.rows(chunk)
 
 
 def _encode_chunk(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
@@ -381,6 +419,13 @@ def _merge_task(starts: np.ndarray):
     return run
 
 
+def dealt_codes(own: int) -> np.ndarray:
+    """First codes of the buckets of ``own`` clustered words, 64 of few words and more of DEALT_WORDS, then of the shapes;
+    last, the end token."""
+    step = min(DEALT_WORDS, max(1, -(-own // 64)))
+    return np.concatenate([np.arange(0, own, step), np.arange(own, own + SHAPES + 1, DEALT_SHAPES)])
+
+
 def word_pairs(training: DataFrame, starts: np.ndarray) -> DataFrame:
     """Which codes come after and before the words of each bucket, and how often: a written table that passes read
     without an exchange. Codes from ``starts[b]`` to ``starts[b + 1]`` are a bucket; the last of ``starts`` is the end token."""
@@ -607,7 +652,7 @@ def brown_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     spark = docs.sparkSession
     small_batches(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
-    chunks = written(rows.mapInPandas(_cut_chunks, _CHUNK_SCHEMA), "brown-chunks", partition_by="kind")
+    chunks = written(rows.mapInArrow(_cut_chunks, _CHUNK_SCHEMA), "brown-chunks", partition_by="kind")
     texts = chunks.where("kind = 'doc'").select("chunk", "doc_id", "held_out", "ids")
     train_docs = texts.where("NOT held_out").count()
 
@@ -624,8 +669,8 @@ def brown_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     frequent = written(frequent.withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
                        .withColumn("place", F.row_number().over(place) - 1), "brown-frequent")
     held = {r["bucket"]: r["count"] for r in frequent.groupBy("bucket").count().collect()}
-    starts = np.cumsum([0, *[held.get(b, 0) for b in range(buckets)], *[DEALT_SHAPES] * (SHAPES // DEALT_SHAPES)])
-    own = int(starts[buckets])
+    starts = np.cumsum([0, *[held.get(b, 0) for b in range(buckets)]])
+    own = int(starts[-1])
     classes = classes_for(own)
     top = frequent.orderBy(F.desc("c"), "h").limit(OWN_UNITS).select("bucket", "place").collect()
     unit_of = np.zeros(own + SHAPES + 1, dtype=np.uint16)
@@ -634,7 +679,7 @@ def brown_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     unit_of[own:] = np.arange(OWN_UNITS, UNITS)
     unit_of[[starts[r["bucket"]] + r["place"] for r in top]] = np.arange(len(top))
 
-    offsets = spark.createDataFrame([(b, int(at)) for b, at in enumerate(starts[:buckets])], "bucket int, start long")
+    offsets = spark.createDataFrame([(b, int(at)) for b, at in enumerate(starts[:-1])], "bucket int, start long")
     numbered = frequent.join(F.broadcast(offsets), "bucket").select("h", F.col("c").alias("_c"), F.col("shape").alias("_s"), (F.col("start") + F.col("place")).alias("own"))
     of_shape = F.col("shape") + (own - OWN_UNITS)
     same = (F.col("known.h") == F.col("numbered.h")) & (F.col("c") == F.col("_c")) & (F.col("shape") == F.col("_s"))
@@ -645,10 +690,11 @@ def brown_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     encoded = written(texts.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInPandas(
         _encode_chunk, "doc_id long, held_out boolean, n_words long, n_known long, plus_one double, log_count double, codes binary"), "brown-codes")
     training = encoded.where("NOT held_out").select("codes")
-    pairs = word_pairs(training, starts)
+    dealt = dealt_codes(own)
+    pairs = word_pairs(training, dealt)
     try:
-        start_of = exchange(_between(pairs, unit_of, starts, UNITS, train_docs), classes).astype(np.uint16)
-        class_of = exchange_all(training, start_of[unit_of], starts, classes, pairs=pairs)
+        start_of = exchange(_between(pairs, unit_of, dealt, UNITS, train_docs), classes).astype(np.uint16)
+        class_of = exchange_all(training, start_of[unit_of], dealt, classes, pairs=pairs)
     finally:
         release(pairs)
     trigrams = _ngrams(training, class_of, 3, classes + 1)
