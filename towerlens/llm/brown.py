@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
@@ -316,14 +316,16 @@ def _pair_task(starts: np.ndarray):
 
     def send(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
         every = np.concatenate(held)
+        held.clear()
         every.sort()
         at = np.concatenate([[0], np.flatnonzero(every[1:] != every[:-1]) + 1])
         key, n = every[at], np.diff(at, append=len(every))
+        del every, at
         cut = np.searchsorted(key, starts * (2 * codes))
-        rows = [(b, _planes(np.diff(key[i:j], prepend=starts[b] * (2 * codes)), 8), _planes(n[i:j], 4))
-                for b, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if j > i]
-        for at in range(0, len(rows), 64):
-            yield pd.DataFrame(rows[at:at + 64], columns=["bucket", "keys", "n"])
+        rows = ((b, _planes(np.diff(key[i:j], prepend=starts[b] * (2 * codes)), 8), _planes(n[i:j], 4))
+                for b, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if j > i)
+        while some := list(islice(rows, 16)):
+            yield pd.DataFrame(some, columns=["bucket", "keys", "n"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -342,21 +344,23 @@ def _pair_task(starts: np.ndarray):
             size += 2 * len(word)
             if size > NEIGHBOURS:
                 yield from send(held)
-                held, size = [], 0
+                size = 0
         if size:
             yield from send(held)
     return run
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and their counts, from several such."""
+    """Sorted keys and their counts, from several such, which are taken out of the list."""
     if len(held) == 1:
-        return held[0]
-    key, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        return held.pop()
+    key, n = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
+    held.clear()
     order = np.argsort(key, kind="stable")  # merges sorted runs
-    key = key[order]
+    key, n = key[order], n[order]
+    del order
     at = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
-    return key[at], np.add.reduceat(n[order], at)
+    return key[at], np.add.reduceat(n, at)
 
 
 def _side(place: np.ndarray, code: np.ndarray, n: np.ndarray, words: int) -> bytes:
@@ -652,7 +656,8 @@ def brown_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     spark = docs.sparkSession
     small_batches(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
-    chunks = written(rows.mapInArrow(_cut_chunks, _CHUNK_SCHEMA), "brown-chunks", partition_by="kind")
+    shared_folder(spark)
+    chunks = materialize(rows.mapInArrow(_cut_chunks, _CHUNK_SCHEMA), "brown-chunks")
     texts = chunks.where("kind = 'doc'").select("chunk", "doc_id", "held_out", "ids")
     train_docs = texts.where("NOT held_out").count()
 
@@ -689,6 +694,7 @@ def brown_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     counted = known.select("chunk", "number", "c", "code")
     encoded = written(texts.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInPandas(
         _encode_chunk, "doc_id long, held_out boolean, n_words long, n_known long, plus_one double, log_count double, codes binary"), "brown-codes")
+    release(chunks)
     training = encoded.where("NOT held_out").select("codes")
     dealt = dealt_codes(own)
     pairs = word_pairs(training, dealt)
