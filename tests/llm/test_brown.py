@@ -147,6 +147,7 @@ def _lines(spark, rng, end, rows=300):
 @pytest.mark.parametrize("limit", [4_000_000, 50])
 def test_pairs_of_words_are_counted_once_and_read_by_every_pass(spark, monkeypatch, limit):
     monkeypatch.setattr(brown, "PAIRS", limit)
+    monkeypatch.setattr(brown, "NEIGHBOURS", 4 * limit)
     rng = np.random.default_rng(3)
     end, classes = 200 + brown.SHAPES, 8
     starts = np.array([0, 90, 90, 200, 200 + brown.SHAPES // 2, end])

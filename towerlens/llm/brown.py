@@ -58,7 +58,7 @@ PASSES = 12
 #: sent; and pairs of a bucket that are summed at once.
 DEALT_WORDS = 4096
 DEALT_SHAPES = 8
-NEIGHBOURS = 8_000_000
+NEIGHBOURS = 4_000_000
 PAIRS = 4_000_000
 #: Tokens, and distinct words, after which a task starts the next chunk.
 CHUNK_TOKENS = 4_000_000
@@ -314,13 +314,11 @@ def _pair_task(starts: np.ndarray):
     end = int(starts[-1])
     codes = end + 1
 
-    def send(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
-        every = np.concatenate(held)
-        held.clear()
+    def send(every: np.ndarray) -> Iterator[pd.DataFrame]:
         every.sort()
         at = np.concatenate([[0], np.flatnonzero(every[1:] != every[:-1]) + 1])
         key, n = every[at], np.diff(at, append=len(every))
-        del every, at
+        del at
         cut = np.searchsorted(key, starts * (2 * codes))
         rows = ((b, _planes(np.diff(key[i:j], prepend=starts[b] * (2 * codes)), 8), _planes(n[i:j], 4))
                 for b, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if j > i)
@@ -328,7 +326,7 @@ def _pair_task(starts: np.ndarray):
             yield pd.DataFrame(some, columns=["bucket", "keys", "n"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
+        held, size = np.empty(NEIGHBOURS, dtype=np.int64), 0
         for b in batches:
             # All documents of a batch in one line, each between two end tokens.
             parts = [np.frombuffer(p, dtype="<u4") for p in b["codes"]]
@@ -340,13 +338,17 @@ def _pair_task(starts: np.ndarray):
             inner = line[1:-1]
             words = inner != end
             word = inner[words] * (2 * codes)
-            held += [word + line[2:][words], word + line[:-2][words] + codes]
-            size += 2 * len(word)
-            if size > NEIGHBOURS:
-                yield from send(held)
-                size = 0
+            for beside, side in ((line[2:], 0), (line[:-2], codes)):
+                keys = word + beside[words] + side
+                while len(keys):
+                    some, keys = keys[:NEIGHBOURS - size], keys[NEIGHBOURS - size:]
+                    held[size:size + len(some)] = some
+                    size += len(some)
+                    if size == NEIGHBOURS:
+                        yield from send(held)
+                        size = 0
         if size:
-            yield from send(held)
+            yield from send(held[:size])
     return run
 
 
